@@ -25,3 +25,14 @@ def lookup_join(big: DataFrame, small: DataFrame, on, how: str = "inner",
                 max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Equi-join ``big`` with a dimension ``small`` (broadcast when bounded)."""
     return big.join(bounded_broadcast(small, max_rows), on=on, how=how)
+
+
+def small_side(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Materialise a derived (aggregated) side once and broadcast it if bounded.
+
+    The side is cached so that the size check and the join read it once;
+    the cache keeps its lineage, so a lost executor only recomputes it.
+    """
+    cached = small.cache()
+    n = cached.count()
+    return F.broadcast(cached) if n <= max_rows else cached

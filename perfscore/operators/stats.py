@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from perfscore.functions.scoring import band_half_open
 from perfscore.functions.stats import Z_EPS, pearson, zscore
+from perfscore.operators.joins import small_side
 
 GroupCols = str | Sequence[str]
 
@@ -39,7 +40,7 @@ def zscore_within(df: DataFrame, value: str, group_cols: GroupCols = "channel_na
                   out: str = "z", eps: float = Z_EPS) -> DataFrame:
     """Add ``out`` = (x - group mean) / (group sample std + eps)."""
     keys = _cols(group_cols)
-    stats = group_stats(df, value, keys).drop("_n")
+    stats = small_side(group_stats(df, value, keys).drop("_n"))
     return (df.join(stats, on=keys, how="left")
             .withColumn(out, zscore(value, "_mean", "_std", eps))
             .drop("_mean", "_std"))
@@ -62,7 +63,7 @@ def group_mean(df: DataFrame, value: str, group_cols: GroupCols = "channel_name"
                out: str = "group_mean") -> DataFrame:
     """Add the mean of ``value`` over the row's group."""
     keys = _cols(group_cols)
-    stats = group_stats(df, value, keys).select(*keys, F.col("_mean").alias(out))
+    stats = small_side(group_stats(df, value, keys).select(*keys, F.col("_mean").alias(out)))
     return df.join(stats, on=keys, how="left")
 
 

@@ -67,16 +67,26 @@ _DEPENDS = {
 }
 
 
-def register_fixtures(spark: SparkSession, sf_dir: str) -> None:
-    """Register driver tables and the fixture views over them."""
-    register_tables(spark, sf_dir)
-    for name in ("f_videos_raw", "f_labels", "f_enriched", "f_enriched_left"):
-        spark.sql(FIXTURE_SQL[name]).createOrReplaceTempView(name)
+_FIXTURES: dict[tuple, dict[str, DataFrame]] = {}
+
+
+def register_fixtures(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Register driver tables and the fixture views over them (once per folder)."""
+    import os
+    k = (id(spark), os.path.abspath(sf_dir))
+    views = _FIXTURES.get(k)
+    if views is None or next(iter(views.values())).sparkSession is not spark:
+        register_tables(spark, sf_dir)
+        views = {}
+        for name in ("f_videos_raw", "f_labels", "f_enriched", "f_enriched_left"):
+            views[name] = spark.sql(FIXTURE_SQL[name])
+            views[name].createOrReplaceTempView(name)
+        _FIXTURES[k] = views
+    return views
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    register_fixtures(spark, sf_dir)
-    return spark.table(name)
+    return register_fixtures(spark, sf_dir)[name]
 
 
 def with_fixtures(sql: str, *views: str) -> str:

@@ -13,9 +13,21 @@ TABLE_NAMES = (
 )
 
 
+_CACHE: dict[tuple, DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan one driver table; filters and projections push into the scan."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """Scan one driver table; filters and projections push into the scan.
+
+    The DataFrame (a plan, not data) is memoised per session and folder so the
+    file listing and footer read happen once.
+    """
+    k = (id(spark), os.path.abspath(sf_dir), name)
+    df = _CACHE.get(k)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+        _CACHE[k] = df
+    return df
 
 
 def register_tables(spark: SparkSession, sf_dir: str,
