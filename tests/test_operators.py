@@ -147,7 +147,7 @@ def image_dir(tmp_path):
     (d / "v1.jpg").write_bytes(bytes(range(256)) * 4)
     (d / "v2.png").write_bytes(b"\x89PNG" + bytes(100))
     (d / "v3.gif").write_bytes(b"GIF89a")
-    (d / "v4.webp").write_bytes(b"")
+    (d / "v4.webp").write_bytes(b"BAD")
     return str(d)
 
 
@@ -165,9 +165,19 @@ def test_scan_admit_attach(spark, image_dir):
 def test_embed_images_pluggable(spark, image_dir):
     raw = spark.read.format("binaryFile").load(image_dir)
     imgs = raw.select(F.regexp_extract("path", r"([^/]+)\.[^.]+$", 1).alias("video_id"), "content")
-    out = {r.video_id: r for r in fl.embed_images(imgs).collect()}
+    def make():
+        base = fl.byte_histogram_embedder()
+
+        def embed(batch):
+            if any(c.startswith(b"BAD") for c in batch):
+                raise ValueError("cannot decode")
+            return base(batch)
+        return embed
+
+    out = {r.video_id: r for r in fl.embed_images(imgs, make).collect()}
     assert len(out["v1"].embedding) == 64 and abs(sum(out["v1"].embedding) - 1) < 1e-5
-    assert out["v4"].embedding is None and out["v4"].error == "unreadable"
+    assert out["v2"].embedding is not None            # same batch as the bad row, retried alone
+    assert out["v4"].embedding is None and out["v4"].error == "cannot decode"
     existing = spark.createDataFrame([("v1",)], "video_id string")
     assert sorted(r.video_id for r in fl.missing_embeddings(imgs, existing).collect()) == ["v2", "v3", "v4"]
 
