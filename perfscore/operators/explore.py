@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from perfscore.functions.scoring import band_names, band_right_closed
 from perfscore.operators.joins import small_side
+from perfscore.operators.quantiles import exact_quantiles
 
 
 def _explode_structs(row: DataFrame, structs) -> DataFrame:
@@ -46,15 +47,19 @@ def distinct_counts(df: DataFrame, cols: Sequence[str], approx: bool = False) ->
 
 
 def describe_exact(df: DataFrame, col: str, digits: int = 12) -> DataFrame:
-    """count, mean, std (n-1), min, exact quartiles (linear), max."""
-    q = F.percentile(F.col(col), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+    """count, mean, std (n-1), min, exact quartiles (linear), max.
+
+    Quartiles come from the distributed exact quantile (sorted ranks), entering
+    the one-row result as a scalar subquery.
+    """
+    q = exact_quantiles(df, col, [0.25, 0.5, 0.75], names=["p25", "p50", "p75"])
+    qs = q.select(F.struct("p25", "p50", "p75")).scalar()
     row = df.agg(F.count(col).alias("count"), F.avg(col).alias("mean"),
-                 F.stddev_samp(col).alias("std"), F.min(col).alias("min"), q.alias("q"),
-                 F.max(col).alias("max"))
+                 F.stddev_samp(col).alias("std"), F.min(col).alias("min"), F.max(col).alias("max"))
     r = lambda c: F.round(c, digits)
     return row.select("count", r(F.col("mean")).alias("mean"), r(F.col("std")).alias("std"),
-                      r(F.col("min")).alias("min"), r(F.col("q")[0]).alias("p25"),
-                      r(F.col("q")[1]).alias("p50"), r(F.col("q")[2]).alias("p75"),
+                      r(F.col("min")).alias("min"), r(qs["p25"]).alias("p25"),
+                      r(qs["p50"]).alias("p50"), r(qs["p75"]).alias("p75"),
                       r(F.col("max")).alias("max"))
 
 
@@ -64,8 +69,8 @@ def histogram_bins(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
     Bounds come from a scalar subquery (one small job), not a cross join.
     """
     vals = df.where(F.col(col).isNotNull() & ~F.isnan(F.col(col)))
-    lo = vals.select(F.min(col)).scalar()
-    hi = vals.select(F.max(col)).scalar()
+    bounds = vals.select(F.struct(F.min(col).alias("lo"), F.max(col).alias("hi"))).scalar()
+    lo, hi = bounds["lo"], bounds["hi"]
     width = hi - lo
     b = F.when(width == 0, F.lit(0)).otherwise(
         F.least(F.floor((F.col(col) - lo) / width * bins), F.lit(bins - 1)))
@@ -77,11 +82,8 @@ def boxplot_stats(df: DataFrame, value: str, group: str, digits: int = 12) -> Da
     """Per group: quartiles, whiskers inside 1.5 IQR, number of outliers."""
     v = F.col(value)
     keyed = df.where(F.col(group).isNotNull() & v.isNotNull())
-    quart = keyed.groupBy(group).agg(
-        F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q"))
-    quart = quart.select(group, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-                         F.col("_q")[2].alias("q3"))
-    quart = small_side(quart)
+    quart = exact_quantiles(keyed, value, [0.25, 0.5, 0.75], [group], ["q1", "median", "q3"])
+    quart = small_side(quart.drop("n"))
     iqr = F.col("q3") - F.col("q1")
     lo_fence = F.col("q1") - 1.5 * iqr
     hi_fence = F.col("q3") + 1.5 * iqr

@@ -121,9 +121,8 @@ def rescale(col, lo, hi, top: float = SCORE_MAX, digits: int = 1) -> Column:
 
 def rescale_3sigma(df: DataFrame, col: str, out: str = "score_20", sigmas: float = SIGMAS) -> DataFrame:
     """0-20 scale over mean ± 3 population std of ``col`` (bounds as scalar subqueries)."""
-    mean = df.select(F.avg(col)).scalar()
-    std = df.select(F.stddev_pop(col)).scalar()
-    return df.withColumn(out, rescale(col, mean - sigmas * std, mean + sigmas * std))
+    b = df.select(F.struct(F.avg(col).alias("m"), F.stddev_pop(col).alias("s"))).scalar()
+    return df.withColumn(out, rescale(col, b["m"] - sigmas * b["s"], b["m"] + sigmas * b["s"]))
 
 
 def rescale_fixed(df: DataFrame, col: str, lo: float = MODEL_SCORE_MIN, hi: float = MODEL_SCORE_MAX,
@@ -133,5 +132,6 @@ def rescale_fixed(df: DataFrame, col: str, lo: float = MODEL_SCORE_MIN, hi: floa
 
 def top_quantile_label(df: DataFrame, col: str, q: float = 0.75, out: str = "label") -> DataFrame:
     """1 when ``col`` is at or above its exact ``q`` quantile, else 0."""
-    t = df.select(F.percentile(col, F.lit(q))).scalar()
+    from perfscore.operators.quantiles import exact_quantiles
+    t = exact_quantiles(df, col, [q], names=["t"]).select("t").scalar()
     return df.withColumn(out, (F.col(col) >= t).cast("int"))

@@ -161,8 +161,8 @@ def top_quartile_classifier(df: DataFrame, label: str = "label", tab_cols: Seque
 
 def minmax_scale(df: DataFrame, col: str, top: float = 20.0, out: str = "score_20") -> DataFrame:
     """Min-max map of ``col`` to [0, top] (bounds as scalar subqueries)."""
-    lo = df.select(F.min(col)).scalar()
-    hi = df.select(F.max(col)).scalar()
+    b = df.select(F.struct(F.min(col).alias("lo"), F.max(col).alias("hi"))).scalar()
+    lo, hi = b["lo"], b["hi"]
     scaled = F.when(hi == lo, F.lit(0.0)).otherwise((F.col(col) - lo) / (hi - lo) * top)
     return df.withColumn(out, F.bround(scaled, 1))
 

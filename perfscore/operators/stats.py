@@ -2,8 +2,9 @@
 
 Group statistics use the aggregate-then-join form: a partial/final hash
 aggregate yields one row per group, joined back by key.  Unlike a window over
-the group, no task has to hold a whole (possibly huge) group, and adaptive
-execution broadcasts the per-group table when its measured size is small.
+the group, no task has to hold a whole (possibly huge) group.  The per-group
+table is materialised once, its row count checked, and it is broadcast when
+bounded, so the big side is joined in place without a shuffle.
 """
 
 from __future__ import annotations
@@ -88,9 +89,12 @@ def score_bands(df: DataFrame, score: str, norm: str, digits: int = 6) -> DataFr
 
 
 def score_summary(df: DataFrame, score: str, digits: int = 6) -> DataFrame:
+    """Min, max, mean and exact median (distributed, see operators.quantiles)."""
+    from perfscore.operators.quantiles import exact_median
+    med = exact_median(df, score).select("median").scalar()
     return df.agg(F.min(score).alias("min_score"), F.max(score).alias("max_score"),
                   F.round(F.avg(score), digits).alias("mean_score"),
-                  F.round(F.median(score), digits).alias("median_score"))
+                  F.round(med, digits).alias("median_score"))
 
 
 def flag_means(df: DataFrame, flags: dict, value: str) -> DataFrame:
