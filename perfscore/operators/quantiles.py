@@ -7,8 +7,8 @@ sort splits even a hot group across many tasks.  Each row's rank inside its
 group is then ``offset of its (group, partition) segment + position inside the
 segment``.  Segment offsets come from a small aggregate (at most
 groups + partitions rows).  Only the rows at the wanted ranks are kept, at most
-two per quantile and group.  The sorted, indexed data is checkpointed to the
-shared folder so positions stay fixed if an executor is lost.
+two per quantile and group.  The sorted, indexed data is written as a table in
+the shared folder so positions stay fixed if an executor is lost.
 
 Interpolation follows the usual (n-1) rule: h = p·(n-1),
 q = x[floor h]·(1-d) + x[ceil h]·d with d = h - floor h.
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from perfscore.operators.joins import small_side
-from perfscore.session import ensure_checkpoint_dir
+from perfscore.session import materialize
 
 
 def _name(p: float) -> str:
@@ -43,11 +43,9 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
     extra = [] if user_keys else [F.lit(0).alias("_g")]
     base = df.where(cond).select(*user_keys, *extra, v.cast("double").alias("_v"))
 
-    ensure_checkpoint_dir(df.sparkSession)
-    indexed = (base.orderBy(*keys, "_v")
-               .select(*keys, "_v", F.spark_partition_id().alias("_p"),
-                       F.monotonically_increasing_id().alias("_id"))
-               .checkpoint(eager=True))
+    indexed = materialize(base.orderBy(*keys, "_v")
+                          .select(*keys, "_v", F.spark_partition_id().alias("_p"),
+                                  F.monotonically_increasing_id().alias("_id")), "quantile_index")
 
     seg = indexed.groupBy(*keys, "_p").agg(F.count(F.lit(1)).alias("_c"), F.min("_id").alias("_first"))
     before = Window.partitionBy(*keys).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)

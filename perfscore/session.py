@@ -67,3 +67,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint dir."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "perfscore", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df, name: str):
+    """Write ``df`` as a parquet table under the shared folder and read it back.
+
+    Cuts lineage (a lost executor re-reads the table instead of recomputing
+    position-dependent results) and is cheaper than an RDD checkpoint.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
