@@ -32,6 +32,11 @@ def profile_columns(df: DataFrame) -> DataFrame:
     return _explode_structs(row, structs)
 
 
+def head_rows(df: DataFrame, n: int = 5, order: str = "video_id") -> DataFrame:
+    """First ``n`` rows in key order (a top-k, not a scan of everything to the driver)."""
+    return df.orderBy(F.col(order)).limit(n)
+
+
 def value_counts_multi(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Frequency of every value of several columns (NULL values dropped)."""
     long = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot(

@@ -25,25 +25,34 @@ MODEL_SCORE_MIN = -2.674614247865975
 MODEL_SCORE_MAX = 2.6463283924385905
 
 
+def feature_columns(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``video_id`` + the 20 features, given a ``channel_avg_perf`` column."""
+    feats = image_feature_columns() + channel_feature_columns()
+    named = {name: col for name, col in zip(TAB_FEATURES, feats)}
+    return df.select("video_id", *keep, *[named[n] for n in TAB_FEATURES])
+
+
 def training_features(scored: DataFrame, group: str = "channel_name",
                       value: str = "performance_score") -> DataFrame:
     """``video_id`` + the 20 tabular features in model order (labelling profile)."""
-    with_avg = group_mean(scored, value, group, out="channel_avg_perf")
-    feats = image_feature_columns() + channel_feature_columns()
-    named = {name: col for name, col in zip(TAB_FEATURES, feats)}
-    return with_avg.select("video_id", *[named[n] for n in TAB_FEATURES])
+    return feature_columns(group_mean(scored, value, group, out="channel_avg_perf"))
 
 
 def serving_features(annotations: DataFrame, subscribers: Column | None = None,
                      channel_avg: Column | None = None, niche: Column | None = None,
-                     max_chars: int = 200) -> DataFrame:
+                     max_chars: int = 200, form: str = "api") -> DataFrame:
     """The 20 features of the serving path from raw annotations.
 
-    Text counts when its (200-character) content is non-empty; faces are the
-    raw count; background, contrast and expression use the serving profile;
-    ``bg_blur`` is always 0.  Channel values default to the service defaults.
+    ``form='api'``: text counts when its (200-character) content is non-empty;
+    ``form='cli'``: text counts when there is more than one text annotation.
+    Faces are the raw count; background, contrast and expression use the
+    serving profile; ``bg_blur`` is always 0.  Channel values default to the
+    service defaults.
     """
+    if form not in ("api", "cli"):
+        raise ValueError("form must be 'api' or 'cli'")
     tl = F.length(lb.text_content(max_chars=max_chars))
+    has_text = (tl > 0) if form == "api" else lb.text_present()
     nb = lb.face_count()
     fond = lb.background_label(profile="serve")
     color = lb.color_label()
@@ -53,7 +62,7 @@ def serving_features(annotations: DataFrame, subscribers: Column | None = None,
     avg = channel_avg if channel_avg is not None else F.lit(DEFAULT_CHANNEL_AVG_PERF)
     nich = niche if niche is not None else F.lit(DEFAULT_NICHE)
     cols = {
-        "has_text": as_double(tl > 0),
+        "has_text": as_double(has_text),
         "text_short": as_double((tl > 0) & (tl <= 20)),
         "text_medium": as_double((tl > 20) & (tl <= 50)),
         "text_long": as_double(tl > 50),

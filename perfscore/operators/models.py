@@ -105,6 +105,55 @@ def cross_val_predictions(df: DataFrame, kind: str = "ridge", k: int = 5, seed:
     return out
 
 
+def cross_val_predictions_fold_safe(scored: DataFrame, embeddings: DataFrame | None = None,
+                                    value: str = "performance_score", group: str = "channel_name",
+                                    kind: str = "ridge", k: int = 5, seed: int = 42,
+                                    parallelism: int = 5, alpha: float = 1.0) -> DataFrame:
+    """Out-of-fold predictions without leakage.
+
+    For each fold the within-group z target, the group mean feature and the
+    scaler are fitted on the training folds only and applied to the held-out
+    fold.  A held-out group unseen in training gets the overall training mean
+    as its group feature and no target (so it is not scored).
+    """
+    from perfscore.functions.stats import zscore
+    from perfscore.operators.features import apply_scaler, feature_columns, fit_scaler
+    from perfscore.operators.joins import small_side
+    from perfscore.operators.stats import group_stats
+
+    base = scored.withColumn("fold", fold_of("video_id", seed, k)).cache()
+    with_emb = embeddings is not None
+    emb = (embeddings.where(F.col("embedding").isNotNull())
+           .select("video_id", array_to_vector("embedding").alias("emb")) if with_emb else None)
+
+    def fit_fold(f: int) -> DataFrame:
+        train, held = base.where(F.col("fold") != f), base.where(F.col("fold") == f)
+        stats = small_side(group_stats(train, value, group).drop("_n"))
+        overall = train.select(F.avg(value)).scalar()
+
+        def prep(df: DataFrame) -> DataFrame:
+            j = df.join(stats, group, "left")
+            j = (j.withColumn("y", zscore(value, "_mean", "_std"))
+                  .withColumn("channel_avg_perf", F.coalesce(F.col("_mean"), overall)))
+            out = feature_columns(j, keep=("y", "fold"))
+            return out.join(emb, "video_id") if with_emb else out
+
+        tr = prep(train).where(finite("y"))
+        scaler = fit_scaler(tr)
+        tr, te = apply_scaler(tr, scaler), apply_scaler(prep(held).where(finite("y")), scaler)
+        n, s = _label_stats(tr, "y")
+        model = regression_pipeline(kind, n, s, "y", with_embedding=with_emb, alpha=alpha,
+                                    seed=seed).fit(tr)
+        return model.transform(te).select("video_id", "fold", "y", "prediction")
+
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, k))) as pool:
+        parts = list(pool.map(fit_fold, range(k)))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def cv_metrics(preds: DataFrame, digits: int = 6) -> DataFrame:
     """Per-fold Pearson of prediction and target, with the mean and population std."""
     per_fold = preds.groupBy("fold").agg(pearson("prediction", "y").alias("corr"),

@@ -45,6 +45,11 @@ def q_profile(spark, sf_dir):
     return ex.profile_columns(enriched(spark, sf_dir))
 
 
+@key("head_rows", "SELECT * FROM f_enriched ORDER BY video_id LIMIT 5", E)
+def q_head_rows(spark, sf_dir):
+    return ex.head_rows(enriched(spark, sf_dir), 5)
+
+
 @key("value_counts_multi", " UNION ALL ".join(
     f"SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS value, count(*) AS n FROM f_enriched "
     f"WHERE {c} IS NOT NULL GROUP BY 2" for c in COUNT_COLS), E)

@@ -89,6 +89,15 @@ def q_features_serve(spark, sf_dir):
     return _r9(fe.serving_features(annotations(spark, sf_dir)))
 
 
+@key("features_serve_cli", SQL_VISION.replace("AS face_conf FROM c)", "AS face_conf, face_conf AS fc, n_texts FROM c)")
+     + "SELECT video_id, " + ", ".join(
+         ("CAST(n_texts > 1 AS DOUBLE)" if n == "has_text" else e) + f" AS {n}" for n, e in SQL_SERVE_COLS.items())
+     + " FROM vis2")
+def q_features_serve_cli(spark, sf_dir):
+    apply_core_conf(spark)
+    return _r9(fe.serving_features(annotations(spark, sf_dir), form="cli"))
+
+
 def _scaled_sql(n: str) -> str:
     s = f"stddev_pop({n}) OVER ()"
     return f"round(({n} - avg({n}) OVER ()) / (CASE WHEN {s} = 0 THEN 1 ELSE {s} END), 6) AS {n}"

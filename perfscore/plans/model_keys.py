@@ -39,6 +39,14 @@ def q_cv_predictions_gbt(spark, sf_dir):
     return preds.select("video_id", "fold", "y", F.round("prediction", 6).alias("prediction"))
 
 
+@key("cv_predictions_fold_safe")
+def q_cv_predictions_fold_safe(spark, sf_dir):
+    """Target, group mean and scaler fitted inside each training split."""
+    preds = md.cross_val_predictions_fold_safe(scored(spark, sf_dir), _emb(spark, sf_dir), group="niche")
+    return preds.select("video_id", "fold", F.round("y", 6).alias("y"),
+                        F.round("prediction", 6).alias("prediction"))
+
+
 @key("cv_metrics")
 def q_cv_metrics(spark, sf_dir):
     return md.cv_metrics(md.cross_val_predictions(_training(spark, sf_dir), "ridge"))

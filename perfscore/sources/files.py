@@ -81,6 +81,25 @@ def read_instances(spark: SparkSession, path: str, schema: T.StructType = INSTAN
     return spark.read.schema(schema).json(path)
 
 
+PREDICTION_SCHEMA = T.StructType([
+    T.StructField("video_id", T.StringType()),
+    T.StructField("prediction", T.ArrayType(T.DoubleType())),
+])
+
+
+def write_predictions(df: DataFrame, path: str, key: str = "video_id", value: str = "prediction") -> str:
+    """Batch predictions as JSON lines ``{key, prediction: [v]}`` (the key travels along)."""
+    df.select(F.col(key), F.array(F.col(value).cast("double")).alias("prediction")) \
+        .write.mode("overwrite").json(path)
+    return path
+
+
+def read_predictions(spark: SparkSession, path: str, key: str = "video_id") -> DataFrame:
+    """Every output file of a prediction folder, re-keyed by id (never by position)."""
+    df = spark.read.schema(PREDICTION_SCHEMA).json(path)
+    return df.select(F.col("video_id").alias(key), F.get(F.col("prediction"), 0).alias("prediction"))
+
+
 def scan_images(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
     """Image folder → ``video_id`` (file stem), ``path``, ``length``, ``extension``.
 

@@ -186,3 +186,12 @@ def test_positive_in_both(spark):
     d = spark.createDataFrame([("a", 0.1), ("b", 0.2), ("c", -0.1)], "feature string, diff double")
     w = spark.createDataFrame([("a", 0.5), ("b", -0.5), ("c", 0.3)], "feature string, weight double")
     assert [r.feature for r in st.positive_in_both(d, w).collect()] == ["a"]
+
+
+def test_predictions_roundtrip_by_key(spark):
+    df = spark.createDataFrame([(f"v{i}", i / 10) for i in range(30)], "video_id string, prediction double")
+    path = scratch_path(spark, "pred_test")
+    fl.write_predictions(df.repartition(4), path)
+    assert len([f for f in os.listdir(path) if f.startswith("part-")]) > 1   # all files are read
+    back = {r.video_id: r.prediction for r in fl.read_predictions(spark, path).collect()}
+    assert back == {r.video_id: r.prediction for r in df.collect()}
