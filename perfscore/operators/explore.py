@@ -209,9 +209,9 @@ def bands_right_closed(df: DataFrame, score: str, value: str, digits: int = 12)
     spark = df.sparkSession
     names = band_names()
     band_list = spark.createDataFrame([(i, b) for i, b in enumerate(names)], "band_order int, band string")
-    agg = (df.select(band_right_closed(score).alias("band"), F.col(value))
-           .where(F.col("band").isNotNull()).groupBy("band")
-           .agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(value), digits).alias("mean_value")))
+    agg = (df.select(band_right_closed(score).alias("band"), F.col(value)).groupBy("band")
+           .agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(value), digits).alias("mean_value"))
+           .where(F.col("band").isNotNull()))
     return (F.broadcast(band_list).join(agg, "band", "left")
             .select("band_order", "band", F.coalesce("n", F.lit(0)).alias("n"), "mean_value"))
 
@@ -219,10 +219,10 @@ def bands_right_closed(df: DataFrame, score: str, value: str, digits: int = 12)
 def band_top_share(df: DataFrame, score: str, value: str, threshold: float,
                    digits: int = 6) -> DataFrame:
     """Per ``(lo,hi]`` band: n, mean, percent of rows at or above ``threshold``."""
-    return (df.select(band_right_closed(score).alias("band"), F.col(value))
-            .where(F.col("band").isNotNull()).groupBy("band")
+    return (df.select(band_right_closed(score).alias("band"), F.col(value)).groupBy("band")
             .agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(value), 12).alias("mean_value"),
-                 F.round(F.avg((F.col(value) >= threshold).cast("int")) * 100, digits).alias("pct_top")))
+                 F.round(F.avg((F.col(value) >= threshold).cast("int")) * 100, digits).alias("pct_top"))
+            .where(F.col("band").isNotNull()))
 
 
 def channel_scores(df: DataFrame, group: str, score: str, value: str) -> DataFrame:

@@ -82,10 +82,12 @@ def score_bands(df: DataFrame, score: str, norm: str, digits: int = 6) -> DataFr
 
     Empty bands do not appear; a score of exactly 20 is in no band.
     """
+    # Aggregate first, drop the NULL band after: filtering before the aggregate
+    # lets Catalyst push the whole score expression into the scans again.
     return (df.select(band_half_open(score).alias("band"), F.col(norm))
-            .where(F.col("band").isNotNull())
             .groupBy("band")
-            .agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(norm), digits).alias("mean_z")))
+            .agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(norm), digits).alias("mean_z"))
+            .where(F.col("band").isNotNull()))
 
 
 def score_summary(df: DataFrame, score: str, digits: int = 6) -> DataFrame:
@@ -97,47 +99,62 @@ def score_summary(df: DataFrame, score: str, digits: int = 6) -> DataFrame:
                   F.round(med, digits).alias("median_score"))
 
 
-def flag_means(df: DataFrame, flags: dict, value: str) -> DataFrame:
-    """Per flag: mean of ``value`` on rows with and without it, in one scan.
+def flag_means(df: DataFrame, flags: dict, value, suffixes=None) -> DataFrame:
+    """Per flag: mean of each value on rows with and without the flag, in one scan.
 
-    A single global aggregate computes every conditional mean (no row
-    multiplication before the shuffle), then the one-row result is unpivoted.
+    ``value`` is a column name or a list of names.  One global aggregate
+    computes every conditional mean (no row multiplication before the
+    shuffle); the one-row result is then unpivoted to one row per flag.
+    Columns are ``mean_with``/``mean_without`` for one value, else suffixed
+    with ``_<value>``.
     """
+    values = [value] if isinstance(value, str) else list(value)
+    sfx = suffixes or ([""] if isinstance(value, str) else [f"_{v}" for v in values])
     aggs = []
-    for name, cond in flags.items():
+    for i, (name, cond) in enumerate(flags.items()):
         on = F.coalesce(cond, F.lit(False))
-        aggs.append(F.avg(F.when(on, F.col(value))).alias(f"{name}__on"))
-        aggs.append(F.avg(F.when(~on, F.col(value))).alias(f"{name}__off"))
-        aggs.append(F.count_if(on).alias(f"{name}__n"))
+        aggs.append(F.count_if(on).alias(f"__n{i}"))
+        for j, v in enumerate(values):
+            aggs.append(F.avg(F.when(on, F.col(v))).alias(f"__on{i}_{j}"))
+            aggs.append(F.avg(F.when(~on, F.col(v))).alias(f"__off{i}_{j}"))
     row = df.agg(*aggs)
-    return row.select(F.explode(F.array(*[
-        F.struct(F.lit(name).alias("feature"),
-                 F.col(f"{name}__n").alias("n_with"),
-                 F.col(f"{name}__on").alias("mean_with"),
-                 F.col(f"{name}__off").alias("mean_without"))
-        for name in flags])).alias("r")).select("r.*")
+    structs = []
+    for i, name in enumerate(flags):
+        fields = [F.lit(name).alias("feature"), F.col(f"__n{i}").alias("n_with")]
+        for j, sx in enumerate(sfx):
+            fields += [F.col(f"__on{i}_{j}").alias(f"mean_with{sx}"),
+                       F.col(f"__off{i}_{j}").alias(f"mean_without{sx}")]
+        structs.append(F.struct(*fields))
+    return row.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
+
+
+def _lift(with_col: str, without_col: str, digits: int):
+    return F.round(F.try_divide(with_col, without_col), digits)
+
+
+def _diff(with_col: str, without_col: str, digits: int):
+    return F.round(F.col(with_col) - F.col(without_col), digits)
 
 
 def feature_lift(df: DataFrame, flags: dict, value: str, digits: int = 6) -> DataFrame:
     """Mean with the feature over mean without it (cross-group multiplier)."""
     m = flag_means(df, flags, value)
-    return m.select("feature", "n_with",
-                    F.round(F.try_divide("mean_with", "mean_without"), digits).alias("lift"))
+    return m.select("feature", "n_with", _lift("mean_with", "mean_without", digits).alias("lift"))
 
 
 def feature_diff(df: DataFrame, flags: dict, value: str, digits: int = 6) -> DataFrame:
     """Mean with the feature minus mean without it (within-group effect)."""
     m = flag_means(df, flags, value)
-    return m.select("feature", "n_with",
-                    F.round(F.col("mean_with") - F.col("mean_without"), digits).alias("diff"))
+    return m.select("feature", "n_with", _diff("mean_with", "mean_without", digits).alias("diff"))
 
 
 def confound_flips(df: DataFrame, flags: dict, raw: str, norm: str, digits: int = 6) -> DataFrame:
-    """Features whose direction differs between raw lift and within-group diff."""
-    lift = feature_lift(df, flags, raw, digits).select("feature", "lift")
-    diff = feature_diff(df, flags, norm, digits).select("feature", "diff")
-    both = lift.join(diff, "feature")
-    return both.withColumn("flipped", (F.col("lift") > 1) != (F.col("diff") > 0))
+    """Features whose direction differs between raw lift and within-group diff (one scan)."""
+    m = flag_means(df, flags, [raw, norm], suffixes=["_raw", "_norm"])
+    lift = _lift("mean_with_raw", "mean_without_raw", digits)
+    diff = _diff("mean_with_norm", "mean_without_norm", digits)
+    out = m.select("feature", lift.alias("lift"), diff.alias("diff"))
+    return out.withColumn("flipped", (F.col("lift") > 1) != (F.col("diff") > 0))
 
 
 def positive_in_both(diff: DataFrame, weights: DataFrame) -> DataFrame:
