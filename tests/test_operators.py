@@ -192,6 +192,7 @@ def test_predictions_roundtrip_by_key(spark):
     df = spark.createDataFrame([(f"v{i}", i / 10) for i in range(30)], "video_id string, prediction double")
     path = scratch_path(spark, "pred_test")
     fl.write_predictions(df.repartition(4), path)
-    assert len([f for f in os.listdir(path) if f.startswith("part-")]) > 1   # all files are read
+    local = path[len("file:"):] if path.startswith("file:") else path
+    assert len([f for f in os.listdir(local) if f.startswith("part-")]) > 1   # all files are read
     back = {r.video_id: r.prediction for r in fl.read_predictions(spark, path).collect()}
     assert back == {r.video_id: r.prediction for r in df.collect()}
