@@ -49,7 +49,7 @@ def _c(col) -> Column:
 
 def text_length(text="texte_contenu") -> Column:
     """Characters of the OCR text; missing → 0."""
-    return F.length(F.coalesce(_c(text), F.lit(""))).cast("int")
+    return F.length(F.coalesce(_c(text), F.lit(""))).cast("bigint")
 
 
 def text_points(present, length, w: Weights = V5) -> Column:
