@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from perfscore.operators.scoring import score_table, with_performance
+from perfscore.operators.scoring import score_table, with_performance, with_rule_score
 from perfscore.plans.fixtures import AS_OF, fixture
 from perfscore.session import apply_core_conf
 
@@ -51,5 +51,10 @@ def enriched_perf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_performance(enriched(spark, sf_dir), AS_OF)
 
 
+def rule_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Enriched + performance + rule score, without the within-group z."""
+    return with_rule_score(enriched_perf(spark, sf_dir))
+
+
 def scored(spark: SparkSession, sf_dir: str, group: str = "niche") -> DataFrame:
     return score_table(enriched(spark, sf_dir), AS_OF, group_cols=group)

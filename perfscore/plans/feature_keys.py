@@ -8,7 +8,7 @@ from perfscore.functions.features import TAB_FEATURES
 from perfscore.functions.stats import pearson
 from perfscore.operators import features as fe
 from perfscore.operators.promote import promote_gate, runs_from_events
-from perfscore.plans.common import scored, scored_cte
+from perfscore.plans.common import rule_scored, scored, scored_cte
 from perfscore.plans.fixtures import annotations
 from perfscore.plans.registry import key
 from perfscore.plans.present_keys import SQL_VISION
@@ -49,7 +49,7 @@ def _r9(df):
 
 
 def _train(spark, sf_dir):
-    return fe.training_features(scored(spark, sf_dir))
+    return fe.training_features(rule_scored(spark, sf_dir))
 
 
 @key("features_train", TRAIN_CTE + " SELECT video_id, " + ", ".join(

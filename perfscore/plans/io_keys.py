@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from perfscore.operators.features import training_features
-from perfscore.plans.common import enriched, scored
+from perfscore.plans.common import enriched, rule_scored
 from perfscore.plans.registry import key
 from perfscore.session import scratch_path
 from perfscore.sources import files as fl
@@ -39,7 +39,7 @@ def q_embedding_scan(spark, sf_dir):
      "FROM s JOIN embeddings e ON s.video_id = CAST(e.vec_id AS VARCHAR)", E)
 def q_jsonl_instances(spark, sf_dir):
     """Nested instances to JSON lines and back; rows re-keyed by id, not position."""
-    feats = training_features(scored(spark, sf_dir))
+    feats = training_features(rule_scored(spark, sf_dir))
     emb = embedding_table(read_table(spark, sf_dir, "embeddings"))
     rows = feats.join(emb.select("video_id", "embedding"), "video_id")
     path = scratch_path(spark, "instances")
