@@ -1,8 +1,10 @@
-"""Exact, linearly interpolated quantiles without holding a group in one task.
+"""Exact, linearly interpolated quantiles without holding a hot group in one task.
 
 The ``percentile`` aggregate merges every distinct value of a group into one
-buffer, so a group holding a third of the rows would land in one task.  Here
-the values are sorted by ``(group, value)`` instead: the range-partitioned
+buffer, so a group holding a third of the rows would land in one task.  Group
+sizes are therefore counted first: groups up to ``BUFFER_MAX_ROWS`` rows use
+the aggregate (bounded buffer), larger ones are answered by sorted ranks.
+There the values are sorted by ``(group, value)``: the range-partitioned
 sort splits even a hot group across many tasks.  Each row's rank inside its
 group is then ``offset of its (group, partition) segment + position inside the
 segment``.  Segment offsets come from a small aggregate (at most
@@ -29,9 +31,47 @@ def _name(p: float) -> str:
     return "q_" + f"{p:g}".replace(".", "_")
 
 
+# Groups up to this many rows use the ``percentile`` aggregate (its buffer is
+# then bounded); larger groups take the distributed sort path.
+BUFFER_MAX_ROWS = 1_000_000
+
+
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
-                    group_cols: Sequence[str] = (), names: Sequence[str] | None = None) -> DataFrame:
-    """One row per group (or one row) with ``n`` and one column per probability."""
+                    group_cols: Sequence[str] = (), names: Sequence[str] | None = None,
+                    buffer_max_rows: int = BUFFER_MAX_ROWS) -> DataFrame:
+    """One row per group (or one row) with ``n`` and one column per probability.
+
+    Group sizes are counted first (a small aggregate).  Groups of at most
+    ``buffer_max_rows`` rows are answered by the built-in ``percentile``
+    aggregate; only larger (hot) groups go through :func:`sorted_quantiles`,
+    which never holds a group in one task.
+    """
+    user_keys = list(group_cols)
+    names = list(names) if names else [_name(p) for p in probs]
+    v = F.col(value)
+    cond = v.isNotNull() & ~F.isnan(v)
+    for k in user_keys:
+        cond = cond & F.col(k).isNotNull()
+    keys = user_keys or ["_g"]
+    extra = [] if user_keys else [F.lit(0).alias("_g")]
+    base = df.where(cond).select(*user_keys, *extra, v.cast("double").alias("_v"))
+
+    sizes = small_side(base.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")))
+    hot = sizes.where(F.col("n") > buffer_max_rows)
+    n_hot = hot.count()
+    small = base.join(sizes.where(F.col("n") <= buffer_max_rows), keys)
+    pct = F.percentile(F.col("_v"), F.array(*[F.lit(float(p)) for p in probs]))
+    out = (small.groupBy(*keys, "n").agg(pct.alias("_q"))
+           .select(*keys, "n", *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)]))
+    if n_hot:
+        big = base.join(F.broadcast(hot.select(*keys)), keys, "left_semi")
+        out = out.unionByName(sorted_quantiles(big, "_v", probs, keys, names))
+    return out.select(*user_keys, "n", *names)
+
+
+def sorted_quantiles(df: DataFrame, value: str, probs: Sequence[float],
+                     group_cols: Sequence[str] = (), names: Sequence[str] | None = None) -> DataFrame:
+    """Exact quantiles by sorted ranks (any group size); see the module notes."""
     user_keys = list(group_cols)
     names = list(names) if names else [_name(p) for p in probs]
     v = F.col(value)

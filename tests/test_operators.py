@@ -196,3 +196,26 @@ def test_predictions_roundtrip_by_key(spark):
     assert len([f for f in os.listdir(local) if f.startswith("part-")]) > 1   # all files are read
     back = {r.video_id: r.prediction for r in fl.read_predictions(spark, path).collect()}
     assert back == {r.video_id: r.prediction for r in df.collect()}
+
+
+@pytest.mark.parametrize("buffer_max_rows", [1_000_000, 50])
+def test_exact_quantiles_both_paths_match_numpy(spark, buffer_max_rows):
+    from perfscore.operators.quantiles import exact_quantiles
+    rng = np.random.default_rng(3)
+    rows = [("hot" if i % 3 else f"g{i % 7}", float(rng.normal())) for i in range(1500)]
+    rows += [("one", 5.0), ("two", 1.0), ("two", 3.0), (None, 1.0), ("two", float("nan"))]
+    df = spark.createDataFrame(rows, "g string, x double").repartition(5)
+    got = {r.g: r for r in exact_quantiles(df, "x", [0.25, 0.5, 0.75], ["g"],
+                                           buffer_max_rows=buffer_max_rows).collect()}
+    groups = {}
+    for g, x in rows:
+        if g is not None and not np.isnan(x):
+            groups.setdefault(g, []).append(x)
+    assert set(got) == set(groups)
+    for g, xs in groups.items():
+        ref = np.quantile(xs, [0.25, 0.5, 0.75])
+        r = got[g]
+        assert r.n == len(xs)
+        assert [r.q_0_25, r.q_0_5, r.q_0_75] == pytest.approx(ref.tolist(), abs=1e-12)
+    whole = exact_quantiles(df, "x", [0.5], buffer_max_rows=buffer_max_rows).first()
+    assert whole.q_0_5 == pytest.approx(float(np.quantile([x for g, x in rows if not np.isnan(x)], 0.5)))
