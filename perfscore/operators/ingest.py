@@ -52,7 +52,7 @@ def cap_per_group(df: DataFrame, n: int, group: str = "channel_id",
 def niche_lookup(df: DataFrame, niche_map: DataFrame, key: str = "channel_id",
                  default: str = DEFAULT_NICHE) -> DataFrame:
     """Attach ``niche`` from a (channel → niche) map; unknown channels → default."""
-    m = bounded_broadcast(niche_map.select(key, F.col("niche").alias("_niche")))
+    m = small_side(niche_map.select(key, F.col("niche").alias("_niche")))
     return (df.join(m, key, "left")
             .withColumn("niche", F.coalesce(F.col("_niche"), F.lit(default))).drop("_niche"))
 
