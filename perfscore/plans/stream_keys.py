@@ -47,7 +47,7 @@ def q_stream_ingest(spark, sf_dir):
 @key("zscore_incremental", f", {scored_cte('niche')} SELECT video_id, round(perf_norm, 6) AS z FROM scored", E)
 def q_zscore_incremental(spark, sf_dir):
     """Four hash batches merged into running moments; z equals the one-pass value."""
-    df = enriched_perf(spark, sf_dir).select("video_id", "niche", "performance_score")
+    df = enriched_perf(spark, sf_dir).select("video_id", "niche", "performance_score").cache()
     part = F.pmod(F.xxhash64("video_id"), F.lit(N_BATCHES))
     moments = GroupMoments(spark, "performance_score", ["niche"], "niche_moments")
     for b in range(N_BATCHES):
