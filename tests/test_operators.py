@@ -219,3 +219,21 @@ def test_exact_quantiles_both_paths_match_numpy(spark, buffer_max_rows):
         assert [r.q_0_25, r.q_0_5, r.q_0_75] == pytest.approx(ref.tolist(), abs=1e-12)
     whole = exact_quantiles(df, "x", [0.5], buffer_max_rows=buffer_max_rows).first()
     assert whole.q_0_5 == pytest.approx(float(np.quantile([x for g, x in rows if not np.isnan(x)], 0.5)))
+
+
+def test_broadcast_only_within_bound(spark):
+    from perfscore.operators.joins import bounded_broadcast, small_side
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    dim = spark.range(20).withColumnRenamed("id", "k")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # only explicit hints
+    try:
+        def plan(side):
+            return big.join(side, "k")._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan(bounded_broadcast(dim, 100))
+        assert "BroadcastHashJoin" not in plan(bounded_broadcast(dim, 10))
+        assert "BroadcastHashJoin" in plan(small_side(dim, 100))
+        assert "BroadcastHashJoin" not in plan(small_side(dim, 10))
+        assert big.join(bounded_broadcast(dim, 10), "k").count() == 20
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
