@@ -51,7 +51,7 @@ def distinct_counts(df: DataFrame, cols: Sequence[str], approx: bool = False) ->
                   *[fn(c).alias(f"n_{c}") for c in cols])
 
 
-def describe_exact(df: DataFrame, col: str, digits: int = 12) -> DataFrame:
+def describe_exact(df: DataFrame, col: str, digits: int = 9) -> DataFrame:
     """count, mean, std (n-1), min, exact quartiles (linear), max.
 
     Quartiles come from the distributed exact quantile (sorted ranks), entering
@@ -83,7 +83,7 @@ def histogram_bins(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
             .groupBy("bin").agg(F.count(F.lit(1)).alias("n")))
 
 
-def boxplot_stats(df: DataFrame, value: str, group: str, digits: int = 12) -> DataFrame:
+def boxplot_stats(df: DataFrame, value: str, group: str, digits: int = 9) -> DataFrame:
     """Per group: quartiles, whiskers inside 1.5 IQR, number of outliers."""
     v = F.col(value)
     keyed = df.where(F.col(group).isNotNull() & v.isNotNull())
@@ -182,7 +182,7 @@ def flag_stats(df: DataFrame, flags: Sequence[str], digits: int = 6) -> DataFram
     return _explode_structs(row, structs)
 
 
-def mean_by_feature(df: DataFrame, cols: Sequence[str], value: str, digits: int = 12) -> DataFrame:
+def mean_by_feature(df: DataFrame, cols: Sequence[str], value: str, digits: int = 9) -> DataFrame:
     """Mean of ``value`` for each value of each column; one unpivot + one groupBy."""
     long = df.select(F.col(value), *[F.col(c).cast("string").alias(c) for c in cols]).unpivot(
         [value], list(cols), "feature", "level")
@@ -204,7 +204,7 @@ def importance_rank(effects: DataFrame, value: str = "diff") -> DataFrame:
                           (F.col(value) >= med).alias("above_median"))
 
 
-def bands_right_closed(df: DataFrame, score: str, value: str, digits: int = 12) -> DataFrame:
+def bands_right_closed(df: DataFrame, score: str, value: str, digits: int = 9) -> DataFrame:
     """``(lo,hi]`` score bands in band order, empty bands kept with n = 0."""
     spark = df.sparkSession
     names = band_names()
@@ -220,7 +220,7 @@ def band_top_share(df: DataFrame, score: str, value: str, threshold: float,
                    digits: int = 6) -> DataFrame:
     """Per ``(lo,hi]`` band: n, mean, percent of rows at or above ``threshold``."""
     return (df.select(band_right_closed(score).alias("band"), F.col(value)).groupBy("band")
-            .agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(value), 12).alias("mean_value"),
+            .agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(value), 9).alias("mean_value"),
                  F.round(F.avg((F.col(value) >= threshold).cast("int")) * 100, digits).alias("pct_top"))
             .where(F.col("band").isNotNull()))
 

@@ -64,10 +64,10 @@ def q_distinct(spark, sf_dir):
 
 
 @key("describe_exact", f", s AS (SELECT {SQL_PERF} AS p FROM f_videos_raw) "
-     "SELECT count(p) AS count, round(avg(p), 12) AS mean, round(stddev_samp(p), 12) AS std, "
-     "round(min(p), 12) AS min, round(quantile_cont(p, 0.25), 12) AS p25, "
-     "round(quantile_cont(p, 0.5), 12) AS p50, round(quantile_cont(p, 0.75), 12) AS p75, "
-     "round(max(p), 12) AS max FROM s", V)
+     "SELECT count(p) AS count, round(avg(p), 9) AS mean, round(stddev_samp(p), 9) AS std, "
+     "round(min(p), 9) AS min, round(quantile_cont(p, 0.25), 9) AS p25, "
+     "round(quantile_cont(p, 0.5), 9) AS p50, round(quantile_cont(p, 0.75), 9) AS p75, "
+     "round(max(p), 9) AS max FROM s", V)
 def q_describe(spark, sf_dir):
     return ex.describe_exact(with_performance(videos_raw(spark, sf_dir), AS_OF), "performance_score")
 
@@ -83,9 +83,9 @@ def q_histogram(spark, sf_dir):
 @key("boxplot_stats", f", s AS (SELECT niche, {SQL_PERF} AS p FROM f_videos_raw), "
      "q AS (SELECT niche, quantile_cont(p, 0.25) AS q1, quantile_cont(p, 0.5) AS med, "
      "quantile_cont(p, 0.75) AS q3 FROM s GROUP BY niche) "
-     "SELECT s.niche, count(*) AS n, round(q1, 12) AS q1, round(med, 12) AS median, round(q3, 12) AS q3, "
-     "round(min(CASE WHEN p >= q1 - 1.5 * (q3 - q1) AND p <= q3 + 1.5 * (q3 - q1) THEN p END), 12) AS whisker_low, "
-     "round(max(CASE WHEN p >= q1 - 1.5 * (q3 - q1) AND p <= q3 + 1.5 * (q3 - q1) THEN p END), 12) AS whisker_high, "
+     "SELECT s.niche, count(*) AS n, round(q1, 9) AS q1, round(med, 9) AS median, round(q3, 9) AS q3, "
+     "round(min(CASE WHEN p >= q1 - 1.5 * (q3 - q1) AND p <= q3 + 1.5 * (q3 - q1) THEN p END), 9) AS whisker_low, "
+     "round(max(CASE WHEN p >= q1 - 1.5 * (q3 - q1) AND p <= q3 + 1.5 * (q3 - q1) THEN p END), 9) AS whisker_high, "
      "count(*) FILTER (WHERE NOT (p >= q1 - 1.5 * (q3 - q1) AND p <= q3 + 1.5 * (q3 - q1))) AS n_outliers "
      "FROM s JOIN q ON s.niche = q.niche GROUP BY s.niche, q1, med, q3", V)
 def q_boxplot(spark, sf_dir):
@@ -166,7 +166,7 @@ def q_label_stats(spark, sf_dir):
 
 @key("mean_by_feature", _scored_sql(" UNION ALL ".join(
     f"SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS level, count(*) AS n, "
-    f"round(avg(performance_score), 12) AS mean_value FROM scored WHERE {c} IS NOT NULL GROUP BY 2"
+    f"round(avg(performance_score), 9) AS mean_value FROM scored WHERE {c} IS NOT NULL GROUP BY 2"
     for c in FEATURE_COLS)), E)
 def q_mean_by_feature(spark, sf_dir):
     return ex.mean_by_feature(scored(spark, sf_dir), FEATURE_COLS, "performance_score")
@@ -189,7 +189,7 @@ _RC_BANDS = ("CASE WHEN thumbnail_score > 0 AND thumbnail_score <= 5 THEN '0-5'
 
 @key("bands_right_closed", _scored_sql(
     f", b AS (SELECT {_RC_BANDS} AS band, performance_score FROM scored), "
-    "a AS (SELECT band, count(*) AS n, round(avg(performance_score), 12) AS mean_value FROM b "
+    "a AS (SELECT band, count(*) AS n, round(avg(performance_score), 9) AS mean_value FROM b "
     "WHERE band IS NOT NULL GROUP BY band), "
     "l AS (SELECT * FROM (VALUES (0, '0-5'), (1, '5-10'), (2, '10-15'), (3, '15-20')) t(band_order, band)) "
     "SELECT l.band_order, l.band, coalesce(a.n, 0) AS n, a.mean_value FROM l LEFT JOIN a ON l.band = a.band"), E)
@@ -199,7 +199,7 @@ def q_bands_rc(spark, sf_dir):
 
 @key("band_top_share", _scored_sql(
     f", b AS (SELECT {_RC_BANDS} AS band, performance_score FROM scored) "
-    "SELECT band, count(*) AS n, round(avg(performance_score), 12) AS mean_value, "
+    "SELECT band, count(*) AS n, round(avg(performance_score), 9) AS mean_value, "
     f"round(avg(CASE WHEN performance_score >= {TOP_PERFORMER} THEN 1 ELSE 0 END) * 100, 6) AS pct_top "
     "FROM b WHERE band IS NOT NULL GROUP BY band"), E)
 def q_band_top_share(spark, sf_dir):
