@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from perfscore.functions import labels as lb
+from perfscore.operators.joins import small_side
 from perfscore.functions.scoring import (DIMENSION_MAX, V5, Weights, color_points,
                                          expression_points, person_points, text_points, tier)
 
@@ -91,9 +92,10 @@ def attribute_flags(vision: DataFrame) -> DataFrame:
 def weights_from_lift(lift: DataFrame, total: float = 20.0, digits: int = 6) -> DataFrame:
     """v4 points: proportional to ln(multiplier) over multipliers above 1.
 
-    ``lift`` has one row per feature, so the global window is over a few rows.
+    The lift table (one row per feature) is materialised once; the normalising
+    sum then enters as a scalar subquery over it, so the data is read once.
     """
-    pos = lift.where(F.col("lift") > 1).withColumn("_ln", F.ln("lift"))
-    w = Window.partitionBy()
+    pos = small_side(lift.where(F.col("lift") > 1).withColumn("_ln", F.ln("lift")))
+    total_ln = pos.select(F.sum("_ln")).scalar()
     return pos.select("feature", "lift",
-                      F.round(F.lit(total) * F.col("_ln") / F.sum("_ln").over(w), digits).alias("points"))
+                      F.round(F.lit(total) * F.col("_ln") / total_ln, digits).alias("points"))
