@@ -193,10 +193,11 @@ def mean_by_feature(df: DataFrame, cols: Sequence[str], value: str, digits: int
 def importance_rank(effects: DataFrame, value: str = "diff") -> DataFrame:
     """Rank features by effect; flag those at or above the median effect.
 
-    ``effects`` holds one row per feature (a few dozen rows), so the global
-    window and median here run over that tiny table only.
+    ``effects`` has one row per feature (a few dozen).  It is materialised
+    once; the median and the rank window then run over that tiny table only.
     """
     from pyspark.sql import Window
+    effects = small_side(effects)
     med = effects.select(F.median(value)).scalar()
     w = Window.orderBy(F.col(value).desc(), F.col("feature"))
     return effects.select("feature", value,
