@@ -156,11 +156,12 @@ def cross_val_predictions_fold_safe(scored: DataFrame, embeddings: DataFrame | N
 
 def cv_metrics(preds: DataFrame, digits: int = 6) -> DataFrame:
     """Per-fold Pearson of prediction and target, with the mean and population std."""
-    per_fold = preds.groupBy("fold").agg(pearson("prediction", "y").alias("corr"),
-                                         F.count(F.lit(1)).alias("n"))
+    from perfscore.operators.joins import small_side
+    per_fold = small_side(preds.groupBy("fold").agg(pearson("prediction", "y").alias("corr"),
+                                                    F.count(F.lit(1)).alias("n")))
     summary = per_fold.agg(F.avg("corr").alias("mean_corr"), F.stddev_pop("corr").alias("std_corr"))
-    m = summary.select(F.col("mean_corr")).scalar()
-    s = summary.select(F.col("std_corr")).scalar()
+    both = summary.select(F.struct("mean_corr", "std_corr")).scalar()
+    m, s = both["mean_corr"], both["std_corr"]
     return per_fold.select("fold", "n", F.round("corr", digits).alias("corr"),
                            F.round(m, digits).alias("mean_corr"), F.round(s, digits).alias("std_corr"))
 
