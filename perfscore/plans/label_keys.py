@@ -120,3 +120,21 @@ def q_confidences(spark, sf_dir):
      "CASE WHEN n_texts > 1 THEN text_conf ELSE 0.0e0 END AS text_confidence FROM c")
 def q_labels_build(spark, sf_dir):
     return _ann(spark, sf_dir).select("video_id", *lb.label_columns("label"))
+
+
+LABEL_COUNT_COLS = ("nb_personnes", "expression", "couleur_dominante", "contraste", "fond",
+                    "visage_present", "texte_present")
+_BUILT_SQL = (f"built AS (SELECT video_id, n_faces > 0 AS visage_present, "
+              f"CAST(least(n_faces, 3) AS INT) AS nb_personnes, {SQL_EXPR_LABEL} AS expression, "
+              f"n_texts > 1 AS texte_present, {SQL_COLOR} AS couleur_dominante, "
+              f"{SQL_CONTRAST['label']} AS contraste, {SQL_BACKGROUND['label']} AS fond FROM c)")
+
+
+@key("label_value_counts", _A + ", " + _BUILT_SQL + " " + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS value, count(*) AS n FROM built "
+    f"WHERE {c} IS NOT NULL GROUP BY 2" for c in LABEL_COUNT_COLS))
+def q_label_value_counts(spark, sf_dir):
+    """C11: frequency of every label value of the labels built from annotations."""
+    from perfscore.operators.explore import value_counts_multi
+    built = _ann(spark, sf_dir).select("video_id", *lb.label_columns("label"))
+    return value_counts_multi(built, LABEL_COUNT_COLS)
