@@ -25,10 +25,17 @@ from perfscore.session import scratch_path
 BatchFn = Callable[[DataFrame, int], DataFrame]
 
 
-def file_stream(spark: SparkSession, folder: str, glob: str, schema, fmt: str = "parquet") -> DataFrame:
-    """Streaming scan of the files of ``folder`` matching ``glob`` (explicit schema)."""
-    return (spark.readStream.format(fmt).schema(schema)
-            .option("pathGlobFilter", glob).option("maxFilesPerTrigger", 1).load(folder))
+def file_stream(spark: SparkSession, folder: str, glob: str, schema, fmt: str = "parquet",
+                max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming scan of the files of ``folder`` matching ``glob`` (explicit schema).
+
+    ``max_files_per_trigger`` bounds the size of one micro-batch when a large
+    backlog has landed; by default each trigger takes everything available.
+    """
+    reader = spark.readStream.format(fmt).schema(schema).option("pathGlobFilter", glob)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.load(folder)
 
 
 def run_available(stream: DataFrame, transform: BatchFn, target: str, checkpoint: str,
