@@ -11,7 +11,10 @@ from perfscore.plans.fixtures import AS_OF, F_VIDEOS_RAW
 from perfscore.plans.registry import key
 from perfscore.session import apply_core_conf, scratch_path
 from perfscore.sources.tables import read_table
-from perfscore.streaming.refresh import GroupMoments, file_stream, read_current, run_available
+from perfscore.operators.promote import promote_gate
+from perfscore.plans.feature_keys import PROMOTE_SQL
+from perfscore.streaming.refresh import (GroupMoments, file_stream, read_current, read_summed,
+                                         run_available)
 
 E = ("f_enriched",)
 N_BATCHES = 4
@@ -53,3 +56,28 @@ def q_zscore_incremental(spark, sf_dir):
     for b in range(N_BATCHES):
         moments.update(df.where(part == b))
     return moments.zscore(df).select("video_id", F.round("z", 6).alias("z"))
+
+
+def _run_partials(batch, batch_id):
+    """One micro-batch of events → additive partials per (segment, day)."""
+    return (batch.groupBy(F.col("event_type").alias("segment"), F.to_date("ts").alias("run_day"))
+            .agg(F.sum("value").alias("value_sum"), F.count("value").alias("value_n")))
+
+
+@key("stream_promote", PROMOTE_SQL)
+def q_stream_promote(spark, sf_dir):
+    """New performance events as a file stream → run metrics → promotion gate.
+
+    Each micro-batch writes partial sums and counts per (segment, day); the
+    current run table adds them up, so batches can arrive in any split.
+    """
+    apply_core_conf(spark)
+    schema = read_table(spark, sf_dir, "events").schema
+    stream = file_stream(spark, sf_dir, "events.parquet", schema)
+    target = scratch_path(spark, "runs_stream")
+    run_available(stream, _run_partials, target, scratch_path(spark, "runs_stream_ckpt"))
+    runs = read_summed(spark, target, ["segment", "run_day"], ["value_sum", "value_n"]).select(
+        "segment", "run_day", (F.col("value_sum") / F.col("value_n") / 100).alias("metric"))
+    out = promote_gate(runs)
+    return out.select("segment", "run_day", F.round("metric", 6).alias("metric"), "promoted",
+                      F.round("champion", 6).alias("champion"), "version")

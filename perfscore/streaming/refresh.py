@@ -63,6 +63,12 @@ def read_current(spark: SparkSession, target: str, key: str = "video_id") -> Dat
     return latest.select(key, "_row.*")
 
 
+def read_summed(spark: SparkSession, target: str, keys: Sequence[str], sums: Sequence[str]) -> DataFrame:
+    """Combine additive partial aggregates written by several batches (sum of sums)."""
+    df = spark.read.parquet(target)
+    return df.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
+
+
 # ---------------------------------------------------------------------------
 # Mergeable group statistics
 # ---------------------------------------------------------------------------

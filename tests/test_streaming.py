@@ -48,3 +48,26 @@ def test_stream_restarts_and_keeps_latest_version(spark, tmp_path):
     run_available(stream(), transform, target, ckpt)
     assert len(seen) == n_before
     assert {r.video_id: r.views2 for r in read_current(spark, target).collect()} == cur
+
+
+def test_partial_sums_across_batches_equal_one_pass(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from perfscore.streaming.refresh import read_summed
+
+    land = tmp_path / "events"
+    land.mkdir()
+    rows = [("s1", float(v)) for v in range(10)] + [("s2", 5.0), ("s2", 7.0)]
+    for name, part in (("e1", rows[:5]), ("e2", rows[5:])):
+        seg, val = zip(*part)
+        pq.write_table(pa.table({"segment": list(seg), "value": list(val)}), f"{land}/{name}.parquet")
+    target, ckpt = scratch_path(spark, "sum_target"), scratch_path(spark, "sum_ckpt")
+
+    def partial(batch, batch_id):
+        return batch.groupBy("segment").agg(F.sum("value").alias("s"), F.count("value").alias("n"))
+
+    # one file per trigger: two batches, each with partial sums
+    run_available(file_stream(spark, str(land), "*.parquet", "segment string, value double", 1),
+                  partial, target, ckpt)
+    got = {r.segment: r.s / r.n for r in read_summed(spark, target, ["segment"], ["s", "n"]).collect()}
+    assert got == {"s1": 4.5, "s2": 6.0}
