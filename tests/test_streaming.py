@@ -67,7 +67,8 @@ def test_partial_sums_across_batches_equal_one_pass(spark, tmp_path):
         return batch.groupBy("segment").agg(F.sum("value").alias("s"), F.count("value").alias("n"))
 
     # one file per trigger: two batches, each with partial sums
-    run_available(file_stream(spark, str(land), "*.parquet", "segment string, value double", 1),
+    run_available(file_stream(spark, str(land), "*.parquet", "segment string, value double",
+                              max_files_per_trigger=1),
                   partial, target, ckpt)
     got = {r.segment: r.s / r.n for r in read_summed(spark, target, ["segment"], ["s", "n"]).collect()}
     assert got == {"s1": 4.5, "s2": 6.0}
