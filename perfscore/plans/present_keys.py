@@ -106,7 +106,26 @@ def q_dimension_long(spark, sf_dir):
     return pr.dimension_long(pr.score_result(_vision(spark, sf_dir)))
 
 
-@key("score_result_json", None)
+_SQL_PTS = {
+    "text": ("CASE WHEN text_length > 0 THEN (CASE WHEN text_length > 50 THEN 10.0e0 "
+             "WHEN text_length > 20 THEN 8.5e0 ELSE 7.0e0 END) ELSE 0.0e0 END"),
+    "face": "CASE WHEN nb_faces = 1 THEN 4.0e0 WHEN nb_faces = 2 THEN 2.0e0 ELSE 0.0e0 END",
+    "expression": "CASE WHEN expression = 'Neutre' THEN 3.0e0 WHEN expression = 'Sourire' THEN 2.5e0 ELSE 0.0e0 END",
+    "colors": "CASE WHEN color = 'Froid' THEN 3.0e0 WHEN color = 'Neutre' THEN 1.5e0 ELSE 0.0e0 END",
+}
+_SQL_VALUES = {"text": "text_content", "face": "CAST(nb_faces AS VARCHAR)", "expression": "expression",
+               "colors": "color"}
+_SQL_MAX = {"text": 10, "face": 4, "expression": 3, "colors": 3}
+SQL_RESULT_JSON = (
+    SQL_VISION + "SELECT video_id, to_json({'score': round_even(" + " + ".join(_SQL_PTS.values()) + ", 1), "
+    "'score_max': 20, 'dimensions': {" + ", ".join(
+        f"'{d}': {{'score': {_SQL_PTS[d]}, 'max': {_SQL_MAX[d]}, 'value': {_SQL_VALUES[d]}}}" for d in _SQL_PTS)
+    + "}, 'vision': {'text_present': text_length > 0, 'text_length': CAST(text_length AS INT), "
+    "'text_content': text_content, 'nb_faces': nb_faces, 'expression': expression, 'color': color, "
+    "'background': background, 'contrast': contrast, 'face_conf': face_conf}})::VARCHAR AS json FROM vis2")
+
+
+@key("score_result_json", SQL_RESULT_JSON)
 def q_score_result_json(spark, sf_dir):
     return pr.result_json(pr.score_result(_vision(spark, sf_dir)))
 
