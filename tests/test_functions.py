@@ -122,3 +122,17 @@ def test_text_and_faces(spark):
     assert col(df, lb.person_bucket()) == [3, 0, 1]
     assert col(df, lb.text_confidence()) == [0.5, 0.0, 0.0]
     assert col(df, lb.face_confidence()) == [0.9, 0.0, 0.9]
+
+
+def test_documented_points_table(spark):
+    """Every row of the published v5 points table, dimension by dimension."""
+    from perfscore.functions.scoring import color_points, expression_points, person_points
+    texts = spark.createDataFrame([(True, 51), (True, 50), (True, 21), (True, 20), (True, 0), (False, 80)],
+                                  "p boolean, n bigint")
+    assert col(texts, text_points("p", "n")) == [10.0, 8.5, 8.5, 7.0, 7.0, 0.0]
+    persons = spark.createDataFrame([(n,) for n in (0, 1, 2, 3)], "n int")
+    assert col(persons, person_points("n")) == [0.0, 4.0, 2.0, 0.0]
+    exprs = spark.createDataFrame([(e,) for e in ("Neutre", "Sourire", "Surprise", "Intense", "Aucun")], "e string")
+    assert col(exprs, expression_points("e")) == [3.0, 2.5, 0.0, 0.0, 0.0]
+    colors = spark.createDataFrame([(c,) for c in ("Froid", "Neutre", "Chaud")], "c string")
+    assert col(colors, color_points("c")) == [3.0, 1.5, 0.0]
