@@ -136,3 +136,30 @@ def test_documented_points_table(spark):
     assert col(exprs, expression_points("e")) == [3.0, 2.5, 0.0, 0.0, 0.0]
     colors = spark.createDataFrame([(c,) for c in ("Froid", "Neutre", "Chaud")], "c string")
     assert col(colors, color_points("c")) == [3.0, 1.5, 0.0]
+
+
+def _rule(present, tl, nb, ex, co):
+    text = (10.0 if tl > 50 else 8.5 if tl > 20 else 7.0) if present else 0.0
+    person = {1: 4.0, 2: 2.0}.get(nb, 0.0)
+    expr = {"Neutre": 3.0, "Sourire": 2.5}.get(ex, 0.0)
+    color = {"Froid": 3.0, "Neutre": 1.5}.get(co, 0.0)
+    return text + person + expr + color
+
+
+def test_score_property_random_rows(spark):
+    from hypothesis import given, settings, strategies as st_
+    row = st_.tuples(st_.one_of(st_.none(), st_.booleans()), st_.integers(0, 200), st_.integers(0, 3),
+                     st_.sampled_from(["Neutre", "Sourire", "Surprise", "Intense", "Aucun"]),
+                     st_.sampled_from(["Froid", "Neutre", "Chaud"]))
+
+    @settings(max_examples=5, deadline=None)
+    @given(st_.lists(row, min_size=1, max_size=200))
+    def check(rows):
+        df = spark.createDataFrame(rows, "texte_present boolean, text_length bigint, nb_personnes int, "
+                                         "expression string, couleur_dominante string")
+        got = col(df, score_v5())
+        want = [_rule(bool(p), tl, nb, ex, co) for p, tl, nb, ex, co in rows]
+        assert got == want
+        assert all(0.0 <= s <= 20.0 for s in got)
+
+    check()
