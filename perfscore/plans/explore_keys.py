@@ -172,10 +172,10 @@ def q_mean_by_feature(spark, sf_dir):
     return ex.mean_by_feature(scored(spark, sf_dir), FEATURE_COLS, "performance_score")
 
 
-@key("importance_rank", _scored_sql(
-    f", d AS ({_flag_union('perf_norm', DIFF_SQL, 'diff')}), m AS (SELECT median(diff) AS med FROM d) "
-    "SELECT feature, diff, rank() OVER (ORDER BY diff DESC, feature) AS rank, diff >= med AS above_median "
-    "FROM d, m").replace(" ,", ",", 1).replace(") , d AS", "), d AS"), E)
+@key("importance_rank", f", {scored_cte('niche')}, d AS ({_flag_union('perf_norm', DIFF_SQL, 'diff')}), "
+     "m AS (SELECT median(diff) AS med FROM d) "
+     "SELECT feature, diff, rank() OVER (ORDER BY diff DESC, feature) AS rank, diff >= med AS above_median "
+     "FROM d, m", E)
 def q_importance(spark, sf_dir):
     diff = st.feature_diff(scored(spark, sf_dir), analysis_flags(), "perf_norm").select("feature", "diff")
     return ex.importance_rank(diff, "diff").withColumn("rank", F.col("rank").cast("bigint"))

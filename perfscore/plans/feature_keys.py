@@ -82,14 +82,14 @@ SQL_SERVE_COLS = {
 }
 
 
-@key("features_serve", SQL_VISION.replace("AS face_conf FROM c)", "AS face_conf, face_conf AS fc FROM c)")
+@key("features_serve", SQL_VISION
      + "SELECT video_id, " + ", ".join(f"{e} AS {n}" for n, e in SQL_SERVE_COLS.items()) + " FROM vis2")
 def q_features_serve(spark, sf_dir):
     apply_core_conf(spark)
     return _r9(fe.serving_features(annotations(spark, sf_dir)))
 
 
-@key("features_serve_cli", SQL_VISION.replace("AS face_conf FROM c)", "AS face_conf, face_conf AS fc, n_texts FROM c)")
+@key("features_serve_cli", SQL_VISION
      + "SELECT video_id, " + ", ".join(
          ("CAST(n_texts > 1 AS DOUBLE)" if n == "has_text" else e) + f" AS {n}" for n, e in SQL_SERVE_COLS.items())
      + " FROM vis2")

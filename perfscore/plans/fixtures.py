@@ -90,7 +90,11 @@ def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def with_fixtures(sql: str, *views: str) -> str:
-    """Prefix an oracle query with the fixture views it reads, as CTEs."""
+    """Prefix an oracle query with the fixture views it reads, as CTEs.
+
+    The query may start with ``, name AS (...)`` to append its own CTEs after
+    the fixture ones.
+    """
     needed: list[str] = []
 
     def add(view: str) -> None:

@@ -74,7 +74,8 @@ def q_scoring_defaults(spark, sf_dir):
 SQL_VISION = _A + """, vis AS (SELECT video_id,
    CASE WHEN n_texts > 0 THEN coalesce(substr(text, 1, 200), '') ELSE '' END AS text_content,
    n_faces AS nb_faces, {expr} AS expression, {color} AS color, {bg} AS background, {ct} AS contrast,
-   round_even(CASE WHEN n_faces > 0 THEN face_conf ELSE 0.0e0 END, 3) AS face_conf FROM c),
+   round_even(CASE WHEN n_faces > 0 THEN face_conf ELSE 0.0e0 END, 3) AS face_conf,
+   face_conf AS fc, n_texts FROM c),
 vis2 AS (SELECT *, length(text_content) AS text_length FROM vis),
 dims AS (
  SELECT video_id, 'text' AS dimension, CASE WHEN text_length > 0 THEN (CASE WHEN text_length > 50 THEN 10.0e0

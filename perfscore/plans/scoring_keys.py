@@ -59,15 +59,15 @@ def q_score_v5(spark, sf_dir):
 
 
 def _z_oracle(group: str) -> str:
-    return (f"WITH {scored_cte(group)} SELECT video_id, round(perf_norm, 6) AS z FROM scored")
+    return f", {scored_cte(group)} SELECT video_id, round(perf_norm, 6) AS z FROM scored"
 
 
-@key("zscore_within_niche", _z_oracle("niche").replace("WITH ", ", ", 1), E)
+@key("zscore_within_niche", _z_oracle("niche"), E)
 def q_z_niche(spark, sf_dir):
     return scored(spark, sf_dir, "niche").select("video_id", F.round("perf_norm", 6).alias("z"))
 
 
-@key("zscore_within_channel", _z_oracle("channel_name").replace("WITH ", ", ", 1), E)
+@key("zscore_within_channel", _z_oracle("channel_name"), E)
 def q_z_channel(spark, sf_dir):
     return scored(spark, sf_dir, "channel_name").select("video_id", F.round("perf_norm", 6).alias("z"))
 
