@@ -13,8 +13,8 @@ from perfscore.session import apply_core_conf, scratch_path
 from perfscore.sources.tables import read_table
 from perfscore.operators.promote import promote_gate
 from perfscore.plans.feature_keys import PROMOTE_SQL
-from perfscore.streaming.refresh import (GroupMoments, file_stream, read_current, read_summed,
-                                         run_available)
+from perfscore.streaming.refresh import (GroupMoments, compact, file_stream, read_current,
+                                         read_summed, run_available)
 
 E = ("f_enriched",)
 N_BATCHES = 4
@@ -35,13 +35,14 @@ def _videos_from_batch(batch, batch_id):
      f"subscriber_count, {SQL_PERF} AS performance_score, niche FROM f_videos_raw "
      f"WHERE NOT ({SQL_SHORT}) AND view_count >= {MIN_VIEWS}", ("f_videos_raw",))
 def q_stream_ingest(spark, sf_dir):
-    """File stream over the orders file → foreachBatch build → merge-on-read table."""
+    """File stream over the orders file → foreachBatch build → compacted merge-on-read table."""
     apply_core_conf(spark)
     read_table(spark, sf_dir, "customer").createOrReplaceTempView("customer")
     schema = read_table(spark, sf_dir, "orders").schema
     stream = file_stream(spark, sf_dir, "orders.parquet", schema)
     target = scratch_path(spark, "videos_stream")
     run_available(stream, _videos_from_batch, target, scratch_path(spark, "videos_stream_ckpt"))
+    compact(spark, target)
     return read_current(spark, target).select(
         "video_id", "channel_id", "channel_name", "published_at", "view_count", "duration",
         "subscriber_count", "performance_score", "niche")

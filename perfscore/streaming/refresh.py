@@ -1,9 +1,11 @@
 """Incremental refresh.
 
 T1: a file stream feeds ``foreachBatch``; each micro-batch is transformed with
-the ordinary batch operators and written to ``target/batch_id=<id>``.  A
-retried batch overwrites its own folder, so the sink is idempotent; readers
+the ordinary batch operators and written to ``target/batches/batch_id=<id>``.
+A retried batch overwrites its own folder, so the sink is idempotent; readers
 merge on the key and keep the row of the latest batch (merge on read).
+``compact`` writes the merged state as ``target/base/upto=<id>``; readers then
+take the newest base plus only the batches after it, so reads stay bounded.
 
 T2: per-group running statistics ``(n, mean, M2)`` merged batch by batch with
 the pairwise update (no sums of squares, which cancel), so z-scores after any
@@ -43,7 +45,7 @@ def run_available(stream: DataFrame, transform: BatchFn, target: str, checkpoint
     """Process everything available now, then stop (restartable via the checkpoint)."""
     def sink(batch: DataFrame, batch_id: int) -> None:
         out = transform(batch, batch_id)
-        out.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+        out.write.mode("overwrite").parquet(f"{target}/batches/batch_id={batch_id}")
         if on_batch is not None:
             on_batch(out, batch_id)
 
@@ -54,18 +56,46 @@ def run_available(stream: DataFrame, transform: BatchFn, target: str, checkpoint
         raise q.exception()
 
 
-def read_current(spark: SparkSession, target: str, key: str = "video_id") -> DataFrame:
-    """Latest version of each key across all written batches."""
-    df = spark.read.parquet(target)
+def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    from pyspark.errors import AnalysisException
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        return None
+
+
+def _latest_rows(df: DataFrame, key: str) -> DataFrame:
     cols = [c for c in df.columns if c not in (key, "batch_id")]
-    latest = (df.groupBy(key)
-              .agg(F.max_by(F.struct(*cols), F.col("batch_id")).alias("_row")))
+    latest = df.groupBy(key).agg(F.max_by(F.struct(*cols), F.col("batch_id")).alias("_row"))
     return latest.select(key, "_row.*")
 
 
+def read_current(spark: SparkSession, target: str, key: str = "video_id") -> DataFrame:
+    """Latest version of each key: newest compacted base plus the batches after it."""
+    batches = spark.read.parquet(f"{target}/batches")
+    base = _read_or_none(spark, f"{target}/base")
+    if base is None:
+        return _latest_rows(batches, key)
+    upto = base.select(F.max("upto")).scalar()
+    base_rows = base.where(F.col("upto") == upto).withColumnRenamed("upto", "batch_id")
+    newer = batches.where(F.col("batch_id") > upto)
+    return _latest_rows(base_rows.unionByName(newer), key)
+
+
+def compact(spark: SparkSession, target: str, key: str = "video_id") -> int:
+    """Write the current state as a new base covering all batches so far.
+
+    Idempotent: the base folder is named after the last batch it covers.
+    Returns that batch id.
+    """
+    upto = spark.read.parquet(f"{target}/batches").select(F.max("batch_id")).first()[0]
+    read_current(spark, target, key).write.mode("overwrite").parquet(f"{target}/base/upto={upto}")
+    return int(upto)
+
+
 def read_summed(spark: SparkSession, target: str, keys: Sequence[str], sums: Sequence[str]) -> DataFrame:
     """Combine additive partial aggregates written by several batches (sum of sums)."""
-    df = spark.read.parquet(target)
+    df = spark.read.parquet(f"{target}/batches")
     return df.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
 
 

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from perfscore.session import scratch_path
-from perfscore.streaming.refresh import file_stream, read_current, run_available
+from perfscore.streaming.refresh import compact, file_stream, read_current, run_available
 
 
 def _land(folder, name, rows):
@@ -49,6 +49,15 @@ def test_stream_restarts_and_keeps_latest_version(spark, tmp_path):
     assert len(seen) == n_before
     assert {r.video_id: r.views2 for r in read_current(spark, target).collect()} == cur
 
+    # Compaction keeps the answer; later batches still win over the base.
+    upto = compact(spark, target)
+    assert {r.video_id: r.views2 for r in read_current(spark, target).collect()} == cur
+    _land(land, "part3", [("a", 100)])
+    run_available(stream(), transform, target, ckpt)
+    after = {r.video_id: r.views2 for r in read_current(spark, target).collect()}
+    assert after == {"a": 200, "b": 10, "c": 14}
+    assert compact(spark, target) > upto
+
 
 def test_partial_sums_across_batches_equal_one_pass(spark, tmp_path):
     import pyarrow as pa
