@@ -82,3 +82,44 @@ def q_stream_promote(spark, sf_dir):
     out = promote_gate(runs)
     return out.select("segment", "run_day", F.round("metric", 6).alias("metric"), "promoted",
                       F.round("champion", 6).alias("champion"), "version")
+
+
+@key("zscore_stream", f", {scored_cte('niche')} SELECT video_id, round(perf_norm, 6) AS z FROM scored", E)
+def q_zscore_stream(spark, sf_dir):
+    """T2 as a stateful streaming aggregate.
+
+    Orders arrive as a file stream and are joined with the static channel and
+    label tables (stream-static joins).  ``groupBy(niche)`` keeps count, mean
+    and sample deviation per group in the state store (state size = number of
+    groups), written in complete mode each trigger.  The z-scores of the rows
+    then use that table through the checked broadcast join.
+    """
+    from perfscore.functions.stats import zscore
+    from perfscore.operators.joins import small_side
+    from perfscore.plans.fixtures import fixture
+
+    apply_core_conf(spark)
+    read_table(spark, sf_dir, "customer").createOrReplaceTempView("customer")
+    labels = fixture(spark, sf_dir, "f_labels").select("video_id")
+    orders = file_stream(spark, sf_dir, "orders.parquet", read_table(spark, sf_dir, "orders").schema)
+    view = "orders_stream_z"
+    orders.createOrReplaceTempView(view)
+    rows = spark.sql(F_VIDEOS_RAW.replace("FROM orders o", f"FROM {view} o")).join(labels, "video_id")
+    rows = rows.withColumn("performance_score", performance_score(
+        "view_count", "published_at", "subscriber_count", as_of_literal(AS_OF)))
+    stats = (rows.where(F.col("niche").isNotNull()).groupBy("niche")
+             .agg(F.count("performance_score").alias("n"), F.avg("performance_score").alias("_mean"),
+                  F.stddev_samp("performance_score").alias("_std")))
+    target = scratch_path(spark, "niche_stats_stream")
+
+    def write_state(batch, batch_id):
+        batch.write.mode("overwrite").parquet(target)
+
+    q = (stats.writeStream.outputMode("complete").foreachBatch(write_state)
+         .option("checkpointLocation", scratch_path(spark, "niche_stats_ckpt"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    table = small_side(spark.read.parquet(target).drop("n"))
+    df = enriched_perf(spark, sf_dir).select("video_id", "niche", "performance_score")
+    out = df.join(table, "niche", "left").withColumn("z", zscore("performance_score", "_mean", "_std"))
+    return out.select("video_id", F.round("z", 6).alias("z"))

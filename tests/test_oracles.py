@@ -36,7 +36,7 @@ def test_key_matches_duckdb(spark, con, name):
 def test_every_key_has_a_callable_and_oracles_are_keys():
     qs = entry_mod.queries()
     assert set(ORACLES) <= set(qs)
-    assert len(qs) >= 101
+    assert len(qs) >= 102
 
 
 def test_entry_smoke(spark):
