@@ -141,11 +141,25 @@ def byte_histogram_embedder(dim: int = 64) -> Callable[[list[bytes]], list[list[
 EMBED_SCHEMA = "video_id string, embedding array<float>, error string"
 
 
+ARROW_RECORDS_PER_BATCH = 256   # images per Arrow batch handed to the Python worker
+
+
 def embed_images(images: DataFrame, make_embedder: Callable[[], Callable] = byte_histogram_embedder,
-                 batch_size: int = EMBED_BATCH) -> DataFrame:
+                 batch_size: int = EMBED_BATCH,
+                 records_per_arrow_batch: int = ARROW_RECORDS_PER_BATCH) -> DataFrame:
     """Batch embedding with ``mapInPandas``: the model is built once per task,
     images go through it in batches; an unreadable image gets a NULL vector and
-    an error text instead of failing the task."""
+    an error text instead of failing the task.
+
+    Image bytes are large, so the Arrow batch size handed to Python is bounded
+    (session setting ``spark.sql.execution.arrow.maxRecordsPerBatch``, lowered
+    here only if it is higher): worker memory stays at a few hundred images.
+    """
+    spark = images.sparkSession
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    current = int(spark.conf.get(key, "10000"))
+    if current <= 0 or current > records_per_arrow_batch:
+        spark.conf.set(key, str(records_per_arrow_batch))
     def run(batches: Iterator) -> Iterator:
         import pandas as pd
         embed = make_embedder()
