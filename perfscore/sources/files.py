@@ -120,6 +120,23 @@ def admit_images(images: DataFrame, max_bytes: int = MAX_IMAGE_BYTES,
     return images.where(F.col("extension").isin(*extensions) & (F.col("length") <= max_bytes))
 
 
+def load_admitted_images(spark: SparkSession, folder: str, glob: str = "*",
+                         max_bytes: int = MAX_IMAGE_BYTES, extensions=IMAGE_EXTENSIONS) -> DataFrame:
+    """Admitted images with their bytes: ``video_id, path, length, content``.
+
+    The size predicate is evaluated on file metadata and the extension on the
+    path, so files that are not admitted are filtered before their content
+    is read.
+    """
+    df = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+          .option("recursiveFileLookup", "true").load(folder))
+    name = F.regexp_extract("path", r"([^/]+)$", 1)
+    ext = F.lower(F.regexp_extract(name, r"\.([^.]+)$", 1))
+    return (df.where((F.col("length") <= max_bytes) & ext.isin(*extensions))
+            .select(F.regexp_extract(name, r"^(.*?)(\.[^.]*)?$", 1).alias("video_id"),
+                    "path", "length", "content"))
+
+
 def byte_histogram_embedder(dim: int = 64) -> Callable[[list[bytes]], list[list[float] | None]]:
     """Deterministic stand-in for an image network: normalised byte histogram."""
     import numpy as np

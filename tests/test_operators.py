@@ -182,6 +182,13 @@ def test_embed_images_pluggable(spark, image_dir):
     assert sorted(r.video_id for r in fl.missing_embeddings(imgs, existing).collect()) == ["v2", "v3", "v4"]
 
 
+def test_load_admitted_images_then_embed(spark, image_dir):
+    imgs = fl.load_admitted_images(spark, image_dir, max_bytes=500)
+    assert sorted(r.video_id for r in imgs.collect()) == ["v2", "v4"]   # v1 too big, v3 gif
+    out = {r.video_id: r.error for r in fl.embed_images(imgs).collect()}
+    assert set(out) == {"v2", "v4"}
+
+
 def test_positive_in_both(spark):
     d = spark.createDataFrame([("a", 0.1), ("b", 0.2), ("c", -0.1)], "feature string, diff double")
     w = spark.createDataFrame([("a", 0.5), ("b", -0.5), ("c", 0.3)], "feature string, weight double")
