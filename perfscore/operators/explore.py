@@ -37,12 +37,21 @@ def head_rows(df: DataFrame, n: int = 5, order: str = "video_id") -> DataFrame:
     return df.orderBy(F.col(order)).limit(n)
 
 
-def value_counts_multi(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Frequency of every value of several columns (NULL values dropped)."""
+def value_counts_multi(df: DataFrame, cols: Sequence[str], order: str | None = None) -> DataFrame:
+    """Frequency of every value of several columns (NULL values dropped).
+
+    ``order='frequency'`` sorts each column's values by count (descending,
+    ties by value); ``order='value'`` by value; ``None`` leaves rows unordered.
+    """
     long = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot(
         [], list(cols), "feature", "value")
-    return (long.where(F.col("value").isNotNull())
-            .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")))
+    out = (long.where(F.col("value").isNotNull())
+           .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")))
+    if order == "frequency":
+        return out.orderBy("feature", F.col("n").desc(), "value")
+    if order == "value":
+        return out.orderBy("feature", "value")
+    return out
 
 
 def distinct_counts(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:

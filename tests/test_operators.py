@@ -82,6 +82,13 @@ def test_value_counts_drop_null_keys(spark):
     assert out == [("x", "a", 2), ("y", "1", 2)]
 
 
+def test_value_counts_orders(spark):
+    df = spark.createDataFrame([("b",), ("a",), ("b",), ("c",), ("c",), ("c",)], "x string")
+    by_freq = [(r.value, r.n) for r in ex.value_counts_multi(df, ["x"], order="frequency").collect()]
+    by_value = [r.value for r in ex.value_counts_multi(df, ["x"], order="value").collect()]
+    assert by_freq == [("c", 3), ("b", 2), ("a", 1)] and by_value == ["a", "b", "c"]
+
+
 def test_duplicates_count_nulls_equal(spark):
     df = spark.createDataFrame([("a",), ("a",), (None,), (None,), ("b",)], "k string")
     assert ex.duplicate_counts(df, ["k"]).first().n_duplicates == 2
