@@ -46,3 +46,17 @@ def test_assembler_order_and_save_load(spark):
     a = model.transform(data).select("video_id", "prediction").orderBy("video_id").collect()
     b = md.load_model(path).transform(data).select("video_id", "prediction").orderBy("video_id").collect()
     assert [r.prediction for r in a] == pytest.approx([r.prediction for r in b])
+
+
+def test_gbt_learns_a_step(spark):
+    rng = np.random.default_rng(2)
+    n = 300
+    x = rng.normal(size=n)
+    y = 2.0 * (x > 0) + rng.normal(scale=0.1, size=n)
+    cols = list(TAB_FEATURES)
+    rows = [(f"v{i}", *([float(x[i])] + [0.0] * (len(cols) - 1)), float(y[i])) for i in range(n)]
+    df = spark.createDataFrame(rows, "video_id string, " + ", ".join(f"{c} double" for c in cols) + ", y double")
+    model = md.fit_final(df, "gbt", with_embedding=False)
+    pred = np.array([r.prediction for r in model.transform(df).orderBy("video_id").collect()])
+    truth = np.array([r.y for r in df.orderBy("video_id").collect()])
+    assert np.corrcoef(pred, truth)[0, 1] > 0.95
