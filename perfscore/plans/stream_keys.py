@@ -1,18 +1,24 @@
-"""Driver keys: incremental refresh (T1 stream ingest, T2 incremental z)."""
+"""Driver keys: incremental refresh.
+
+T1: ``stream_ingest`` (file stream of orders → video table, merge on read with
+compaction) and ``stream_promote`` (file stream of events → additive run
+partials → promotion gate).  T2: ``zscore_incremental`` (mergeable moments over
+hash batches) and ``zscore_stream`` (stateful streaming group aggregate).
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from perfscore.functions.video import MIN_VIEWS, as_of_literal, is_short, performance_score
+from perfscore.operators.promote import promote_gate
 from perfscore.plans.common import SQL_PERF, enriched_perf, scored_cte
-from perfscore.plans.ingest_keys import SQL_SHORT
+from perfscore.plans.feature_keys import PROMOTE_SQL
 from perfscore.plans.fixtures import AS_OF, F_VIDEOS_RAW
+from perfscore.plans.ingest_keys import SQL_SHORT
 from perfscore.plans.registry import key
 from perfscore.session import apply_core_conf, scratch_path
 from perfscore.sources.tables import read_table
-from perfscore.operators.promote import promote_gate
-from perfscore.plans.feature_keys import PROMOTE_SQL
 from perfscore.streaming.refresh import (GroupMoments, compact, file_stream, read_current,
                                          read_summed, run_available)
 
