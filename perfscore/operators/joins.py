@@ -36,3 +36,30 @@ def small_side(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFram
     cached = small.cache()
     n = cached.count()
     return F.broadcast(cached) if n <= max_rows else cached
+
+
+# A group with more rows than this is "hot".  There are at most
+# total_rows / HOT_GROUP_ROWS hot groups, which bounds their broadcast.
+HOT_GROUP_ROWS = 1_000_000
+
+
+def stats_join(big: DataFrame, stats: DataFrame, keys: list[str], count_col: str = "_n",
+               how: str = "left", max_rows: int = BROADCAST_MAX_ROWS,
+               hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+    """Join per-group statistics (with a row count per group) back to the rows.
+
+    A bounded stats table is broadcast.  Otherwise the hot groups (more than
+    ``hot_rows`` rows) are broadcast and their rows joined in place, and only
+    the remaining rows shuffle on the key, so no hot group lands in one
+    reducer even without adaptive skew handling.
+    """
+    cached = stats.cache()
+    n = cached.count()
+    if n <= max_rows:
+        return big.join(F.broadcast(cached.drop(count_col)), keys, how)
+    hot = cached.where(F.col(count_col) > hot_rows).drop(count_col)
+    cold = cached.where(F.col(count_col) <= hot_rows).drop(count_col)
+    hot_keys = F.broadcast(hot.select(*keys))
+    rows_hot = big.join(hot_keys, keys, "left_semi").join(F.broadcast(hot), keys, how)
+    rows_rest = big.join(hot_keys, keys, "left_anti").join(cold, keys, how)
+    return rows_hot.unionByName(rows_rest)

@@ -4,7 +4,9 @@ Group statistics use the aggregate-then-join form: a partial/final hash
 aggregate yields one row per group, joined back by key.  Unlike a window over
 the group, no task has to hold a whole (possibly huge) group.  The per-group
 table is materialised once, its row count checked, and it is broadcast when
-bounded, so the big side is joined in place without a shuffle.
+bounded, so the big side is joined in place without a shuffle; beyond the
+bound, hot groups are still broadcast and only the other rows shuffle
+(``operators.joins.stats_join``).
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from pyspark.sql import functions as F
 
 from perfscore.functions.scoring import band_half_open
 from perfscore.functions.stats import Z_EPS, pearson, zscore
-from perfscore.operators.joins import small_side
+from perfscore.operators.joins import stats_join
 
 GroupCols = str | Sequence[str]
 
@@ -41,10 +43,8 @@ def zscore_within(df: DataFrame, value: str, group_cols: GroupCols = "channel_na
                   out: str = "z", eps: float = Z_EPS) -> DataFrame:
     """Add ``out`` = (x - group mean) / (group sample std + eps)."""
     keys = _cols(group_cols)
-    stats = small_side(group_stats(df, value, keys).drop("_n"))
-    return (df.join(stats, on=keys, how="left")
-            .withColumn(out, zscore(value, "_mean", "_std", eps))
-            .drop("_mean", "_std"))
+    joined = stats_join(df, group_stats(df, value, keys), keys)
+    return joined.withColumn(out, zscore(value, "_mean", "_std", eps)).drop("_mean", "_std")
 
 
 def zscore_within_window(df: DataFrame, value: str, group_cols: GroupCols = "channel_name",
@@ -64,8 +64,8 @@ def group_mean(df: DataFrame, value: str, group_cols: GroupCols = "channel_name"
                out: str = "group_mean") -> DataFrame:
     """Add the mean of ``value`` over the row's group."""
     keys = _cols(group_cols)
-    stats = small_side(group_stats(df, value, keys).select(*keys, F.col("_mean").alias(out)))
-    return df.join(stats, on=keys, how="left")
+    stats = group_stats(df, value, keys).select(*keys, "_n", F.col("_mean").alias(out))
+    return stats_join(df, stats, keys)
 
 
 def pearson_pair(df: DataFrame, score: str, raw: str, norm: str, digits: int = 6) -> DataFrame:

@@ -251,3 +251,21 @@ def test_broadcast_only_within_bound(spark):
         assert big.join(bounded_broadcast(dim, 10), "k").count() == 20
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_stats_join_fallback_splits_hot_groups(spark):
+    from perfscore.operators import joins
+    rows = [(f"v{i}", "hot" if i % 3 else f"g{i % 40}", float(i % 17)) for i in range(1200)] + [("vn", None, 1.0)]
+    df = spark.createDataFrame(rows, "video_id string, g string, x double")
+    stats = st.group_stats(df, "x", ["g"])
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # only explicit hints
+    try:
+        joined = joins.stats_join(df, stats, ["g"], max_rows=5, hot_rows=100)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
+    got = {r.video_id: r._mean for r in joined.collect()}
+    ref = {r.video_id: r._mean for r in df.join(stats, ["g"], "left").collect()}
+    assert got == ref and len(got) == len(rows)
