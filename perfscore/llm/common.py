@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterable
+from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from perfscore.session import materialize
@@ -52,41 +55,61 @@ def same(left: DataFrame, right: DataFrame, columns: Iterable[str]) -> Column:
     return cond
 
 
-def tally(df: DataFrame, group: list[str], rows_per_part: int, salt: Column) -> tuple[DataFrame, int]:
-    """Salted rows and the number of salts, so that no (group, salt) part is large.
+_shipped: set[str] = set()
 
-    The number of salts follows from one count of the input: about
-    ``rows_per_part`` rows meet in one part even if a single group holds them all.
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package (once per application).
+
+    Spark's own file distribution carries it, so the executors need no copy of the
+    repository and no shared folder.
     """
-    n = df.count()
-    parts = max(1, -(-n // rows_per_part))
-    return df.withColumn("_salt", F.pmod(salt, F.lit(parts)).cast("int")), parts
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parents[1]
+    target = Path(tempfile.mkdtemp(prefix=f"{root.name}-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(target))
+    _shipped.add(sc.applicationId)
+
+
+def numbered_table(df: DataFrame, name: str) -> DataFrame:
+    """Write a (narrow) table with a number ``_row`` for each row and read it back.
+
+    The numbers are fixed by the write, so later stages may rely on them.
+    """
+    return materialize(df.withColumn("_row", F.monotonically_increasing_id()), name)
 
 
-def ranked(df: DataFrame, group: list[str], order: list[Column], salt: Column, name: str,
+def ranked(df: DataFrame, group: list[str], order: list[str], spread: Column, name: str,
            rows_per_part: int = 50_000) -> DataFrame:
     """Add ``name``: a gapless rank from 0 within each group, hot groups split.
 
-    Rows are dealt by (group, salt) and numbered there; the salts' counts are
-    summed up to offsets in a table of one row per (group, salt).  ``df`` must be
-    deterministic (a written table), as it is read for the counts and the ranks.
+    Rows are dealt by (group, salt) and numbered there; the salts' counts are summed
+    up to offsets in a table of one row per (group, salt).  The number of salts follows
+    from a count, so about ``rows_per_part`` rows meet in one part even if one group
+    holds all of them.  ``spread`` (a whole number) must differ between most rows; it,
+    ``order`` and ``df`` itself must be deterministic.
     """
-    from pyspark.sql import Window
-
-    salted, _ = tally(df, group, rows_per_part, salt)
+    parts = max(1, -(-df.count() // rows_per_part))
+    salted = df.withColumn("_salt", F.pmod(spread, F.lit(parts)).cast("int"))
     keys = [*group, "_salt"]
-    counts = salted.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    counts = salted.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*group).orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    offsets = counts.select(*[F.col(k).alias(f"_o_{k}") for k in keys],
+                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     inside = Window.partitionBy(*keys).orderBy(*order)
     numbered = salted.withColumn("_in_part", F.row_number().over(inside) - 1)
-    o = offsets.select(*[F.col(k).alias(f"_o_{k}") for k in keys], "_before")
     cond = F.lit(True)
     for k in keys:
-        cond = cond & numbered[k].eqNullSafe(o[f"_o_{k}"])
-    return (numbered.join(o, cond)
+        cond = cond & numbered[k].eqNullSafe(offsets[f"_o_{k}"])
+    return (numbered.join(offsets, cond)
             .withColumn(name, (F.col("_before") + F.col("_in_part")).cast("long"))
             .drop("_salt", "_before", "_in_part", *[f"_o_{k}" for k in keys]))
 
 
-__all__ = ["WORD_GAP", "let", "materialize", "ranked", "same", "split_words", "table", "tally", "whole_text", "with_struct"]
+__all__ = ["WORD_GAP", "let", "materialize", "numbered_table", "ranked", "same", "ship_package", "split_words", "table",
+           "whole_text", "with_struct"]

@@ -8,8 +8,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perfscore.llm import quality_rules
+from perfscore.llm import (
+    jaccard_join,
+    line_dedup,
+    mixing,
+    packing,
+    quality_rules,
+    sharding,
+    token_store,
+)
 from perfscore.llm.common import table
+from perfscore.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -67,3 +76,89 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line-first cleaning of every whole text: base counts and verdict per document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_rules.clean_lines(docs).select("doc_id", *quality_rules.BASE, "base_failed", "kept")
+
+
+OP1_SQL = r"""
+WITH d AS (SELECT DISTINCT doc_id, coalesce(text, '') AS t FROM documents),
+ln AS (SELECT doc_id, t, generate_subscripts(ls, 1) - 1 AS k, unnest(ls) AS l
+       FROM (SELECT doc_id, t, string_split(t, chr(10)) AS ls FROM d)),
+tok AS (SELECT doc_id, t, k, list_transform(regexp_extract_all(l, '[^\x20\x09-\x0D]+'),
+        lambda w: CASE WHEN regexp_matches(w, '\d') THEN '<*>' ELSE w END) AS w FROM ln),
+lines AS (SELECT doc_id, t, k, w, [len(w)::VARCHAR] || w[1:3] AS leaf FROM tok WHERE len(w) > 0),
+several AS (SELECT leaf FROM lines GROUP BY leaf HAVING count(DISTINCT w) > 1),
+places AS (SELECT leaf, w, generate_subscripts(w, 1) AS p, unnest(w) AS x
+           FROM (SELECT DISTINCT leaf, w FROM lines WHERE leaf IN (SELECT leaf FROM several))),
+marked AS (SELECT leaf, w, p, x, count(*) OVER (PARTITION BY leaf, p, x) AS n FROM places WHERE x <> '<*>'),
+known AS (SELECT leaf, w, list([p::VARCHAR, x] ORDER BY p) AS template FROM marked WHERE n > 1
+          GROUP BY leaf, w HAVING count(*) >= 0.75 * len(w)),
+templated AS (SELECT doc_id, t, k, leaf, coalesce(template, [w]) AS template
+              FROM lines LEFT JOIN known USING (leaf, w)),
+texts AS (SELECT leaf, template, t, min(doc_id) AS first FROM templated GROUP BY ALL),
+home AS (SELECT leaf, template, arg_min(t, first) AS home FROM texts GROUP BY leaf, template HAVING count(*) >= 2),
+gone AS (SELECT doc_id, t, list(DISTINCT k::INTEGER ORDER BY k::INTEGER) AS dropped
+         FROM templated JOIN home USING (leaf, template) WHERE t <> home GROUP BY doc_id, t),
+marked_docs AS (SELECT d.doc_id, string_split(coalesce(d.text, ''), chr(10)) AS ls, coalesce(dropped, []) AS dropped, d.text
+    FROM documents d LEFT JOIN gone ON d.doc_id IS NOT DISTINCT FROM gone.doc_id AND coalesce(d.text, '') = gone.t)
+SELECT doc_id, len(ls)::BIGINT AS n_lines, len(dropped)::BIGINT AS n_dropped,
+    array_to_string(list_transform(dropped, lambda x: x::VARCHAR), ',') AS dropped,
+    CASE WHEN len(dropped) = 0 THEN length(coalesce(text, '')) ELSE
+        length(array_to_string(list_filter(ls, lambda x, i: NOT list_contains(dropped, (i - 1)::INTEGER)), chr(10)))
+    END::BIGINT AS clean_chars
+FROM marked_docs"""
+
+
+@query("op1_line_dedup", OP1_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Template-tree line dedup of every document: the lines that go, and what is left."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.drop_recurring_lines(docs).select(
+        "doc_id", "n_lines", "n_dropped", F.array_join(F.col("dropped").cast("array<string>"), ",").alias("dropped"),
+        F.coalesce(F.length("clean_text"), F.lit(0)).cast("long").alias("clean_chars"))
+
+
+@query("op4_sharding")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard (of 8) and slot by the weighted hash tree, and its shard of 9."""
+    return sharding.shard_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op5_packing")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best-two-fit packing of all documents' tokens into sequences of 2048."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op6_token_store")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' token ids, written as Re-Pair blocks and read back."""
+    target = scratch_path(spark, "tokens")
+    token_store.write_tokens(table(spark, sf_dir, "documents"), target)
+    return token_store.read_tokens(spark, target)
+
+
+@query("op7_mixing")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pfair mix of all sources: every document's place in the schedule, once per epoch."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return mixing.mix_sources(docs).select("doc_id", "source", *mixing.PLACES)
+
+
+OP8_SQL = r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT DISTINCT r, array_to_string(w[p:p + 4], ' ') AS s
+      FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS p FROM d WHERE len(w) > 0)),
+n AS (SELECT r, count(*) AS n FROM g GROUP BY r),
+common AS (SELECT a.r AS a, b.r AS b, count(*) AS c FROM g a JOIN g b ON a.s = b.s AND a.r <> b.r GROUP BY 1, 2),
+links AS (SELECT a, b FROM common JOIN n x ON x.r = a JOIN n y ON y.r = b WHERE 10 * c >= 8 * (x.n + y.n - c)),
+reach AS (SELECT r AS a, r AS b FROM d UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT doc_id, class_id, n_links FROM d
+JOIN (SELECT a AS r, min(doc_id) AS class_id FROM reach JOIN d ON d.r = reach.b GROUP BY a) USING (r)
+JOIN (SELECT d.r, count(links.b)::BIGINT AS n_links FROM d LEFT JOIN links ON links.a = d.r GROUP BY d.r) USING (r)"""
+
+
+@query("op8_jaccard_join", OP8_SQL)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's near-duplicate class and number of links (5 words, similarity 0.8)."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard_join.near_classes(docs).select("doc_id", "class_id", "n_links")
