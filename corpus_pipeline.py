@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from perfscore.llm import quality_rules
+from perfscore.llm import jaccard_join, line_dedup, mixing, packing, quality_rules
 from perfscore.llm.common import materialize, table
 
 
@@ -17,7 +17,28 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_clean(docs)
 
 
-STAGES = [("quality_rules", clean)]
+def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Line dedup: recurring templates go from all texts but the first, and documents left without words."""
+    return line_dedup.without_recurring_lines(docs)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """N-gram Jaccard join: one document of each near-duplicate group stays."""
+    return jaccard_join.one_of_each(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pfair mix to flattened source weights: no document goes, those of short sources come again."""
+    return mixing.mixed_documents(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Best-two-fit packing of the documents' tokens into sequences."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [("quality_rules", clean), ("line_dedup", drop_lines), ("jaccard_join", drop_near_duplicates),
+          ("mixing", mix), ("packing", pack)]
 
 #: The stages hash, pack and tokenize; SQL cannot state their rows.
 ORACLE_SQL = None

@@ -9,13 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perfscore.llm import (
+    ann,
     jaccard_join,
     line_dedup,
     mixing,
     packing,
+    quality_classifier,
     quality_rules,
     sharding,
     token_store,
+    url_filter,
 )
 from perfscore.llm.common import table
 from perfscore.session import scratch_path
@@ -162,3 +165,25 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's near-duplicate class and number of links (5 words, similarity 0.8)."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return jaccard_join.near_classes(docs).select("doc_id", "class_id", "n_links")
+
+
+@query("op2_ann")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 vectors of the largest inner product with every 20th vector, by multiprobe hashing."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
+@query("op3_quality_classifier")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text's quality score by the additive model."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality_classifier.train_quality(docs, table(spark, sf_dir, "labels"))
+    return quality_classifier.score_quality(docs, model)
+
+
+@query("op9_url_filter")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's verdict, by the longest rule or else by the url model."""
+    model = url_filter.train(url_filter.labelled_urls(spark))
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.filter_urls(pages, model).select("page_id", "host", "path", "rule", "verdict", "block_score")
