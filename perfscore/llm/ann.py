@@ -41,10 +41,10 @@ PAIRS = 200_000
 class Tables:
     """Hash tables, hashes of a table, bucket width (in greatest lengths), buckets a query visits."""
 
-    tables: int = 4
+    tables: int = 5
     hashes: int = 8
-    width: float = 2.2
-    probes: int = 300
+    width: float = 2.3
+    probes: int = 350
     seed: int = 11
     cell_rows: int = 20_000
 

@@ -31,6 +31,20 @@ def split_words(text: Column) -> Column:
     return F.filter(F.split(text, WORD_GAP), lambda w: w != F.lit(""))
 
 
+def boxed(df: DataFrame, *names: str | Column) -> DataFrame:
+    """The named columns, and whole rows as the struct ``_all``: no other column can clash."""
+    return df.select(*names, F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_all"))
+
+
+def unboxed(df: DataFrame, columns: list[str], changed: dict[str, Column] | None = None,
+            added: Iterable[str] = ()) -> DataFrame:
+    """The columns that were boxed, some of them changed, and added ones, which replace clashing ones."""
+    changed, added = changed or {}, list(added)
+    names = {a.lower() for a in added}
+    old = [changed.get(c, F.col("_all")[c]).alias(c) for c in columns if c.lower() not in names]
+    return df.select(*old, *added)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is worked out once, however often the body names it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -111,5 +125,5 @@ def ranked(df: DataFrame, group: list[str], order: list[str], spread: Column, na
             .drop("_salt", "_before", "_in_part", *[f"_o_{k}" for k in keys]))
 
 
-__all__ = ["WORD_GAP", "let", "materialize", "numbered_table", "ranked", "same", "ship_package", "split_words", "table",
+__all__ = ["WORD_GAP", "boxed", "let", "materialize", "numbered_table", "ranked", "same", "ship_package", "split_words", "table", "unboxed",
            "whole_text", "with_struct"]

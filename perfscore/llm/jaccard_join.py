@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from perfscore.llm.common import materialize, ship_package, split_words, whole_text
+from perfscore.llm.common import boxed, materialize, ship_package, split_words, unboxed, whole_text
 from perfscore.llm.components import connected_components
 
 #: Rows that a band holds; bands follow from the recall.
@@ -258,14 +258,15 @@ def one_of_each(docs: DataFrame, spec: Bands | None = None) -> DataFrame:
     without n-grams (null and empty texts) all stay.
     """
     grouped = near_classes(docs, spec).withColumn("_id", F.coalesce("doc_id", F.lit((1 << 63) - 1)))
-    best = grouped.groupBy("group").agg(F.min(F.struct("_id", "t1", "t2")).alias("k"), F.max("doc_id").alias("any"))
+    best = grouped.groupBy("group").agg(F.min(F.struct("_id", "t1", "t2")).alias("k"))
     stays = best.select(F.when(F.col("k._id") == (1 << 63) - 1, F.lit(None)).otherwise(F.col("k._id")).alias("k_id"),
                         F.col("k.t1").alias("k1"), F.col("k.t2").alias("k2")).distinct()
-    keyed = docs.withColumn("_t1", F.xxhash64(whole_text("text"))).withColumn(
-        "_t2", F.xxhash64(F.lit("t2"), whole_text("text")))
-    kept = keyed.join(stays, keyed["doc_id"].eqNullSafe(F.col("k_id")) & (keyed["_t1"] == F.col("k1"))
-                      & (keyed["_t2"] == F.col("k2")), "left_semi")
+    text = whole_text("text")
+    keyed = boxed(docs, "doc_id", "text").select("_all", "doc_id", F.xxhash64(text).alias("_t1"),
+                                                 F.xxhash64(F.lit("t2"), text).alias("_t2"),
+                                                 (F.size(split_words(text)) == 0).alias("_empty"))
+    kept = keyed.join(stays, F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("_t1") == F.col("k1"))
+                      & (F.col("_t2") == F.col("k2")), "left_semi")
     again = Window.partitionBy("doc_id", "_t1", "_t2").orderBy(F.lit(1))
-    empty = F.length(F.regexp_replace(whole_text("text"), r"[\x20\x09-\x0D]+", "")) == 0
-    return (kept.withColumn("_copy", F.when(empty, 1).otherwise(F.row_number().over(again)))
-            .where("_copy = 1").select(*docs.columns))
+    first = kept.withColumn("_copy", F.row_number().over(again)).where("_empty or _copy = 1")
+    return unboxed(first, docs.columns)

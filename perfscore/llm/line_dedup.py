@@ -28,7 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perfscore.llm.common import WORD_GAP, materialize, split_words, whole_text
+from perfscore.llm.common import boxed, let, materialize, split_words, unboxed, whole_text
 
 WILDCARD = "<*>"
 
@@ -100,18 +100,20 @@ def recurring_lines(docs: DataFrame, tree: TemplateTree | None = None) -> DataFr
 
 def drop_recurring_lines(docs: DataFrame, tree: TemplateTree | None = None) -> DataFrame:
     """Add n_lines, n_dropped, dropped (sorted line numbers) and clean_text (the lines left)."""
-    gone = recurring_lines(docs, tree)
-    docs = docs.drop(*[c for c in ("n_lines", "n_dropped", "dropped", "clean_text") if c in docs.columns])
-    keyed = docs.withColumn("_text_key", F.xxhash64(whole_text("text")))
-    joined = keyed.join(gone.withColumnRenamed("doc_id", "_doc_id"),
-                        keyed["doc_id"].eqNullSafe(F.col("_doc_id")) & (keyed["_text_key"] == gone["text_key"]), "left")
+    return unboxed(_marked(docs, tree), docs.columns, added=("n_lines", "n_dropped", "dropped", "clean_text"))
+
+
+def _marked(docs: DataFrame, tree: TemplateTree | None) -> DataFrame:
+    """Boxed rows with n_lines, n_dropped, dropped and clean_text."""
+    gone = recurring_lines(docs, tree).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "dropped")
+    keyed = boxed(docs, "doc_id", "text").withColumn("_own", F.xxhash64(whole_text("text")))
+    joined = keyed.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_key")), "left")
     lines = F.split(whole_text("text"), "\n")
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "dropped")
     clean = F.when(F.col("dropped").isNull(), F.col("text")).otherwise(
-        F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n"))
+        let(lines, lambda x: F.array_join(F.transform(left, lambda i: F.get(x, i)), "\n")))
     return joined.select(
-        *[docs[c] for c in docs.columns],
-        F.size(lines).cast("long").alias("n_lines"),
+        "_all", "text", F.size(lines).cast("long").alias("n_lines"),
         F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"),
         F.coalesce(F.sort_array("dropped"), F.array().cast("array<int>")).alias("dropped"),
         clean.alias("clean_text"))
@@ -119,9 +121,8 @@ def drop_recurring_lines(docs: DataFrame, tree: TemplateTree | None = None) -> D
 
 def without_recurring_lines(docs: DataFrame, tree: TemplateTree | None = None) -> DataFrame:
     """The columns of ``docs`` with recurring lines taken out; documents that lose all their words go."""
-    marked = drop_recurring_lines(docs, tree)
-    empty = (F.col("n_dropped") > 0) & ~F.rlike("clean_text", F.lit(r"[^\x20\x09-\x0D]"))
-    changed = {"text": F.col("clean_text"), "n_chars": F.length("clean_text").cast("long")}
-    return marked.where(~empty).select(
-        *[F.when(F.col("n_dropped") > 0, changed[c]).otherwise(F.col(c)).alias(c) if c in changed else F.col(c)
-          for c in docs.columns])
+    marked = _marked(docs, tree)
+    changed, empty = F.col("n_dropped") > 0, ~F.rlike("clean_text", F.lit(r"[^\x20\x09-\x0D]"))
+    n_chars = F.when(changed, F.length("clean_text").cast("long")).otherwise(F.col("_all")["n_chars"]) \
+        if "n_chars" in docs.columns else F.lit(None)
+    return unboxed(marked.where(~(changed & empty)), docs.columns, {"text": F.col("clean_text"), "n_chars": n_chars})

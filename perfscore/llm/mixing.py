@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from perfscore.llm.common import ranked
+from perfscore.llm.common import boxed, ranked, unboxed
 
 #: More sources than this are a mistake of the caller's (the schedule is held by the driver).
 MAX_SOURCES = 100_000
@@ -120,8 +120,8 @@ def mix_sources(docs: DataFrame, weights: dict | None = None, *, exponent: float
     Within a source, rows stand in the order of a hash of ``key``.
     """
     spark = docs.sparkSession
-    docs = docs.drop(*[c for c in PLACES if c in docs.columns])
-    counted = docs.groupBy(F.col(source).alias("s")).count().limit(MAX_SOURCES + 1).collect()
+    rows_in = boxed(docs, F.col(source).alias("_name"), F.col(key).alias("_key"))
+    counted = rows_in.groupBy(F.col("_name").alias("s")).count().limit(MAX_SOURCES + 1).collect()
     if len(counted) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
     rows = {r["s"]: r["count"] for r in counted}
@@ -132,10 +132,10 @@ def mix_sources(docs: DataFrame, weights: dict | None = None, *, exponent: float
     length = sum(p.share for p in plans)
     sides = spark.createDataFrame([(p.source, p.rows, p.share, p.slots, p.blocks, length) for p in plans], schema)
 
-    order = F.xxhash64(F.lit("mix"), F.col(key))
-    placed = ranked(docs.withColumn("_order", order), [source], ["_order", key], F.col("_order"), "_rank", 20_000)
+    order = F.xxhash64(F.lit("mix"), F.col("_key"))
+    placed = ranked(rows_in.withColumn("_order", order), ["_name"], ["_order", "_key"], F.col("_order"), "_rank", 20_000)
     # one row per source, and one slot per share of the period: bounded by the plan, not by the rows
-    joined = placed.join(F.broadcast(sides), placed[source].eqNullSafe(sides["_source"]))
+    joined = placed.join(F.broadcast(sides), placed["_name"].eqNullSafe(sides["_source"]))
     last = F.floor((F.col("_blocks") * block_docs - 1 - F.col("_rank")) / F.col("_rows")).cast("long")
     used = joined.where(F.col("_blocks") * block_docs > F.col("_rank")).withColumn(
         "epoch", F.explode(F.sequence(F.lit(0).cast("long"), last)))
@@ -145,17 +145,20 @@ def mix_sources(docs: DataFrame, weights: dict | None = None, *, exponent: float
         """x periods over the share, exactly in whole numbers (floor)."""
         return F.expr(f"({x}) * _period div _share")
 
-    return (used
-            .withColumn("_index", index)
-            .withColumn("block", F.expr(f"_index div {block_docs}"))
-            .withColumn("release", over_share("block"))
-            .withColumn("deadline", F.expr("((block + 1) * _period + _share - 1) div _share"))
-            .withColumn("slot", F.expr("(block div _share) * _period + get(_slots, int(block % _share))"))
-            .withColumn("position", F.expr(f"slot * {block_docs} + _index % {block_docs}"))
-            .drop("_order", "_rank", "_source", "_rows", "_share", "_slots", "_blocks", "_period", "_index"))
+    timed = (used
+             .withColumn("_index", index)
+             .withColumn("block", F.expr(f"_index div {block_docs}"))
+             .withColumn("release", over_share("block"))
+             .withColumn("deadline", F.expr("((block + 1) * _period + _share - 1) div _share"))
+             .withColumn("slot", F.expr("(block div _share) * _period + get(_slots, int(block % _share))"))
+             .withColumn("position", F.expr(f"slot * {block_docs} + _index % {block_docs}")))
+    return unboxed(timed, docs.columns, added=PLACES)
 
 
 def mixed_documents(docs: DataFrame, weights: dict | None = None, **options) -> DataFrame:
     """The mix itself: the columns of ``docs``, its files in the order of the schedule."""
-    placed = mix_sources(docs, weights, **options)
-    return placed.repartitionByRange("position").sortWithinPartitions("position").select(*docs.columns)
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                        F.col(options.get("source", "source")).alias("source"),
+                        F.col(options.get("key", "doc_id")).alias("key"))
+    placed = mix_sources(whole, weights, **{**options, "source": "source", "key": "key"})
+    return placed.repartitionByRange("position").sortWithinPartitions("position").select("row.*")

@@ -19,7 +19,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perfscore.llm.common import WORD_GAP, let, split_words, whole_text, with_struct
+from perfscore.llm.common import WORD_GAP, boxed, let, split_words, unboxed, whole_text, with_struct
 
 #: Symbols that prose hardly holds; fixed by the contract of the base counts.
 NOISE = r"[#*$%&|<>]"
@@ -181,9 +181,5 @@ def clean_lines(docs: DataFrame, rules: LineRules | None = None, text: str = "te
 
 def keep_clean(docs: DataFrame, rules: LineRules | None = None) -> DataFrame:
     """Documents that stay, with their failing lines removed; same columns as ``docs``."""
-    names = docs.columns
-    plain = docs.select(*[F.col(f"`{c}`").alias(f"_in_{i}") for i, c in enumerate(names)],
-                        F.col("text").alias("_body"))
-    kept = clean_lines(plain, rules, text="_body").where("kept")
-    changed = {"text": F.col("clean_text"), "n_chars": F.length("clean_text").cast("long")}
-    return kept.select(*[changed.get(c, F.col(f"_in_{i}")).alias(c) for i, c in enumerate(names)])
+    kept = clean_lines(boxed(docs, "text"), rules).where("kept")
+    return unboxed(kept, docs.columns, {"text": F.col("clean_text"), "n_chars": F.length("clean_text").cast("long")})
