@@ -13,7 +13,6 @@ caller (``sources.files.write_table``).  Nothing here adds logic of its own.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from perfscore.functions.labels import label_columns
 from perfscore.functions.scoring import V5, Weights
@@ -22,22 +21,28 @@ from perfscore.operators import ingest as ig
 from perfscore.operators import models as md
 from perfscore.operators import stats as st
 from perfscore.operators.scoring import score_table
+from perfscore.session import materialize
 from perfscore.sources import pages as pg
 
 
 def ingest_job(search_pages: DataFrame, stats_pages: DataFrame, channel_pages: DataFrame,
                niche_map: DataFrame, images: DataFrame, as_of: str,
-               playlist_pages: DataFrame | None = None, cap: int = 300) -> dict[str, DataFrame]:
-    """Pages → flattened rows → (fallback) → cap → joins and filters → video table."""
+               playlist_pages: DataFrame | None = None, cap: int | None = None) -> dict[str, DataFrame]:
+    """Pages → flattened rows → (fallback) → joins and filters → video table.
+
+    ``cap`` keeps at most so many videos per channel; landed pages are all read by default.
+    """
     videos = pg.flatten_search_pages(search_pages)
     if playlist_pages is not None:
         videos = ig.prefer_search(videos, pg.flatten_playlist_pages(playlist_pages)).drop("source")
-    videos = ig.cap_per_group(videos, cap)
+    if cap is not None:
+        videos = ig.cap_per_group(videos, cap)
     cand = ig.ingest_candidates(videos, pg.flatten_stats_pages(stats_pages),
                                 pg.flatten_channel_pages(channel_pages))
     return {"videos": ig.build_videos(cand, niche_map, images, as_of),
             "audit": ig.ingest_audit(cand),
-            "errors": ig.error_rows(cand)}
+            "errors": ig.error_rows(cand),
+            "page_errors": pg.broken_pages(search_pages, pg.SEARCH_PAGE)}
 
 
 def labelling_job(annotations: DataFrame, profile: str = "label") -> DataFrame:
@@ -60,8 +65,7 @@ def training_job(scored: DataFrame, embeddings: DataFrame | None = None, kind: s
                  k: int = 5, seed: int = 42, fold_safe: bool = False,
                  group: str = "channel_name") -> dict:
     """Cross-validated predictions, fold metrics, final model and score bounds."""
-    data = md.model_input(fe.training_features(scored, group),
-                          scored.select("video_id", F.col("perf_norm").alias("y")), embeddings).cache()
+    data = materialize(fe.training_input(scored, embeddings, group), "training")
     if fold_safe:
         preds = md.cross_val_predictions_fold_safe(scored, embeddings, group=group, kind=kind, k=k, seed=seed)
     else:

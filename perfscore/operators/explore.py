@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from perfscore.functions.scoring import band_names, band_right_closed
 from perfscore.operators.joins import small_side
 from perfscore.operators.quantiles import exact_quantiles
+from perfscore.operators.stats import no_nan, top_k
 
 
 def _explode_structs(row: DataFrame, structs) -> DataFrame:
@@ -95,7 +96,7 @@ def histogram_bins(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
 def boxplot_stats(df: DataFrame, value: str, group: str, digits: int = 9) -> DataFrame:
     """Per group: quartiles, whiskers inside 1.5 IQR, number of outliers."""
     v = F.col(value)
-    keyed = df.where(F.col(group).isNotNull() & v.isNotNull())
+    keyed = df.where(F.col(group).isNotNull() & no_nan(value, df).isNotNull())
     quart = exact_quantiles(keyed, value, [0.25, 0.5, 0.75], [group], ["q1", "median", "q3"])
     quart = small_side(quart.drop("n"))
     iqr = F.col("q3") - F.col("q1")
@@ -114,7 +115,7 @@ def boxplot_stats(df: DataFrame, value: str, group: str, digits: int = 9) -> Dat
 
 def top_formatted(df: DataFrame, k: int = 20, title_chars: int = 50) -> DataFrame:
     """Top k by performance with thousands separators and four decimals."""
-    top = df.orderBy(F.col("performance_score").desc_nulls_last(), F.col("video_id")).limit(k)
+    top = top_k(df, "performance_score", k)
     return top.select(
         "video_id",
         F.when(F.length("title") > title_chars,
@@ -136,8 +137,8 @@ def category_encode(col: str, mapping: dict) -> F.Column:
 
 def top_bottom_k(df: DataFrame, col: str, k: int, tie: str = "video_id") -> DataFrame:
     """k largest and k smallest rows (ties by ``tie``), labelled by side."""
-    top = df.orderBy(F.col(col).desc_nulls_last(), F.col(tie)).limit(k).withColumn("side", F.lit("top"))
-    bottom = df.orderBy(F.col(col).asc_nulls_last(), F.col(tie)).limit(k).withColumn("side", F.lit("bottom"))
+    top = top_k(df, col, k, tie).withColumn("side", F.lit("top"))
+    bottom = top_k(df, col, k, tie, ascending=True).withColumn("side", F.lit("bottom"))
     return top.unionByName(bottom)
 
 
@@ -186,7 +187,7 @@ def flag_stats(df: DataFrame, flags: Sequence[str], digits: int = 6) -> DataFram
     row = df.agg(F.count(F.lit(1)).alias("__rows"),
                  *[F.count_if(F.col(c)).alias(f"__t_{i}") for i, c in enumerate(flags)])
     structs = [F.struct(F.lit(c).alias("feature"), F.col(f"__t_{i}").alias("n_true"),
-                        F.round(F.col(f"__t_{i}") * 100.0 / F.col("__rows"), digits).alias("pct_true"))
+                        F.round(F.try_divide(F.col(f"__t_{i}") * 100.0, F.col("__rows")), digits).alias("pct_true"))
                for i, c in enumerate(flags)]
     return _explode_structs(row, structs)
 
@@ -199,8 +200,8 @@ def mean_by_feature(df: DataFrame, cols: Sequence[str], value: str, digits: int
             .agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(value), digits).alias("mean_value")))
 
 
-def importance_rank(effects: DataFrame, value: str = "diff") -> DataFrame:
-    """Rank features by effect; flag those at or above the median effect.
+def importance_rank(effects: DataFrame, value: str = "diff", digits: int = 6) -> DataFrame:
+    """Rank features by effect; flag those at or above the median effect (both before rounding).
 
     ``effects`` has one row per feature (a few dozen).  It is materialised
     once; the median and the rank window then run over that tiny table only.
@@ -209,7 +210,7 @@ def importance_rank(effects: DataFrame, value: str = "diff") -> DataFrame:
     effects = small_side(effects)
     med = effects.select(F.median(value)).scalar()
     w = Window.orderBy(F.col(value).desc(), F.col("feature"))
-    return effects.select("feature", value,
+    return effects.select("feature", F.round(value, digits).alias(value),
                           F.rank().over(w).alias("rank"),
                           (F.col(value) >= med).alias("above_median"))
 
@@ -222,7 +223,7 @@ def bands_right_closed(df: DataFrame, score: str, value: str, digits: int = 9) -
     agg = (df.select(band_right_closed(score).alias("band"), F.col(value)).groupBy("band")
            .agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(value), digits).alias("mean_value"))
            .where(F.col("band").isNotNull()))
-    return (F.broadcast(band_list).join(agg, "band", "left")
+    return (band_list.join(F.broadcast(agg), "band", "left")
             .select("band_order", "band", F.coalesce("n", F.lit(0)).alias("n"), "mean_value"))
 
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import SQLTransformer
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +18,9 @@ from perfscore.functions import labels as lb
 from perfscore.functions.features import (AI_NICHE, DEFAULT_CHANNEL_AVG_PERF, DEFAULT_NICHE,
                                           DEFAULT_SUBSCRIBERS, TAB_FEATURES, as_double,
                                           channel_feature_columns, image_feature_columns)
-from perfscore.operators.stats import group_mean
+from perfscore.functions.stats import finite, zscore
+from perfscore.operators.joins import stats_join
+from perfscore.operators.stats import group_mean, group_stats
 
 SCORE_MAX = 20.0
 SIGMAS = 3.0
@@ -38,6 +42,29 @@ def training_features(scored: DataFrame, group: str = "channel_name",
     return feature_columns(group_mean(scored, value, group, out="channel_avg_perf"))
 
 
+def training_input(rows: DataFrame, embeddings: DataFrame | None = None, group: str = "channel_name",
+                   value: str = "performance_score", keep: tuple[str, ...] = ()) -> DataFrame:
+    """``video_id, y``, the 20 features (and ``emb``) of the rows that a model is trained on.
+
+    Rows without an embedding go first; the target (within-group z) and the group mean
+    feature are then taken over the rows that are left, in one join with the groups'
+    statistics.  Rows without a finite target go last.
+    """
+    if embeddings is not None:
+        found = embeddings.where(F.col("embedding").isNotNull())
+        rows = rows.join(found.select("video_id", array_to_vector("embedding").alias("emb")), "video_id")
+        keep = ("emb", *keep)
+    joined = stats_join(rows, group_stats(rows, value, group), [group])
+    joined = joined.withColumns({"y": zscore(value, "_mean", "_std"), "channel_avg_perf": F.col("_mean")})
+    return feature_columns(joined, keep=("y", *keep)).where(finite("y"))
+
+
+def scaler_stage(scaler: dict[str, tuple[float, float]]) -> SQLTransformer:
+    """The fitted scaler as a pipeline stage (saved with the model): ``scaled_<name>`` per column."""
+    terms = ", ".join(f"(`{c}` - {m!r}D) / {s!r}D AS `scaled_{c}`" for c, (m, s) in scaler.items())
+    return SQLTransformer(statement=f"SELECT *, {terms} FROM __THIS__")
+
+
 def serving_features(annotations: DataFrame, subscribers: Column | None = None,
                      channel_avg: Column | None = None, niche: Column | None = None,
                      max_chars: int = 200, form: str = "api") -> DataFrame:
@@ -124,8 +151,8 @@ def rescale(col, lo, hi, top: float = SCORE_MAX, digits: int = 1) -> Column:
     c = F.col(col) if isinstance(col, str) else col
     lo_c = lo if isinstance(lo, Column) else F.lit(lo)
     hi_c = hi if isinstance(hi, Column) else F.lit(hi)
-    x = (c - lo_c) / (hi_c - lo_c) * top
-    return F.bround(F.least(F.greatest(x, F.lit(0.0)), F.lit(top)), digits)
+    x = F.try_divide(c - lo_c, hi_c - lo_c) * top  # NULL where all values are one
+    return F.when(x.isNotNull(), F.bround(F.least(F.greatest(x, F.lit(0.0)), F.lit(top)), digits))
 
 
 def rescale_3sigma(df: DataFrame, col: str, out: str = "score_20", sigmas: float = SIGMAS) -> DataFrame:

@@ -14,15 +14,20 @@ from pyspark.sql import functions as F
 
 from perfscore.functions.video import (DEFAULT_NICHE, MIN_VIEWS, as_of_literal, is_short,
                                        performance_score)
-from perfscore.operators.joins import bounded_broadcast, small_side
+from perfscore.operators.joins import small_side
 
 # Skip reasons, in the order the checks are made.
 NO_CHANNEL = "channel not found"
 NO_STATS = "no statistics"
 BAD_COUNTER = "bad counter"
+BAD_DATE = "bad date"
+BAD_SUBSCRIBERS = "bad subscriber count"
 SHORT = "short"
 FEW_VIEWS = "few views"
-ERROR_REASONS = (BAD_COUNTER,)
+ERROR_REASONS = (BAD_COUNTER, BAD_DATE, BAD_SUBSCRIBERS)
+#: Above this many rows per group the window alone is no longer limited before the shuffle.
+PARTIAL_LIMIT = 1000
+SALTS = 64
 
 VIDEO_COLUMNS = ("video_id", "title", "published_at", "thumbnail_url", "channel_id", "view_count",
                  "like_count", "comment_count", "duration", "subscriber_count", "channel_name",
@@ -42,9 +47,15 @@ def cap_per_group(df: DataFrame, n: int, group: str = "channel_id",
     """At most ``n`` rows per group in the given order.
 
     ``row_number() <= n`` is planned with a partial WindowGroupLimit before the
-    shuffle, so a huge channel sends at most ``n`` rows per map task.
+    shuffle, so a huge channel sends at most ``n`` rows per map task.  Catalyst does so
+    for small ``n`` alone; for larger ones each group is first capped in salted parts, of
+    which at most ``SALTS * n`` rows meet in one task.
     """
     order = list(order) if order else [F.col("page_no"), F.col("pos")]
+    if n > PARTIAL_LIMIT:
+        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
+        part = Window.partitionBy(group, "_salt").orderBy(*order)
+        df = salted.withColumn("_rn", F.row_number().over(part)).where(F.col("_rn") <= n).drop("_rn", "_salt")
     w = Window.partitionBy(group).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
@@ -52,7 +63,8 @@ def cap_per_group(df: DataFrame, n: int, group: str = "channel_id",
 def niche_lookup(df: DataFrame, niche_map: DataFrame, key: str = "channel_id",
                  default: str = DEFAULT_NICHE) -> DataFrame:
     """Attach ``niche`` from a (channel → niche) map; unknown channels → default."""
-    m = small_side(niche_map.select(key, F.col("niche").alias("_niche")))
+    one = niche_map.groupBy(key).agg(F.max("niche").alias("_niche"))  # a repeated channel must not fan out
+    m = small_side(one)
     return (df.join(m, key, "left")
             .withColumn("niche", F.coalesce(F.col("_niche"), F.lit(default))).drop("_niche"))
 
@@ -65,11 +77,14 @@ def ingest_candidates(videos: DataFrame, stats: DataFrame, channels: DataFrame,
     the per-channel audit and the error table.
     """
     st = stats.withColumn("_has_stats", F.lit(True))
-    ch = bounded_broadcast(channels.withColumn("_has_channel", F.lit(True)))
+    ch = small_side(channels.withColumn("_has_channel", F.lit(True)))
     rows = videos.join(st, "video_id", "left").join(ch, "channel_id", "left")
+    flag = lambda c: F.col(c) if c in rows.columns else F.lit(False)
     reason = (F.when(F.col("_has_channel").isNull(), F.lit(NO_CHANNEL))
               .when(F.col("_has_stats").isNull(), F.lit(NO_STATS))
               .when(F.col("bad_counter"), F.lit(BAD_COUNTER))
+              .when(flag("bad_date"), F.lit(BAD_DATE))
+              .when(flag("bad_subscribers"), F.lit(BAD_SUBSCRIBERS))
               .when(is_short("duration"), F.lit(SHORT))
               .when(F.col("view_count") < min_views, F.lit(FEW_VIEWS)))
     return rows.withColumn("reason", reason).drop("_has_stats", "_has_channel")
@@ -77,7 +92,7 @@ def ingest_candidates(videos: DataFrame, stats: DataFrame, channels: DataFrame,
 
 def attach_thumbnail_path(df: DataFrame, images: DataFrame) -> DataFrame:
     """Path of the stored image; NULL without a url or without a file."""
-    files = images.select("video_id", F.col("path").alias("_path"))
+    files = images.groupBy("video_id").agg(F.min("path").alias("_path"))  # one of image.jpg and image.png
     return (df.join(files, "video_id", "left")
             .withColumn("thumbnail_path",
                         F.when(F.col("thumbnail_url").isNotNull(), F.col("_path")))
@@ -124,4 +139,4 @@ def run_summary(videos: DataFrame) -> DataFrame:
 
 def per_group_counts(videos: DataFrame, group: str = "channel_name") -> DataFrame:
     return (videos.where(F.col(group).isNotNull()).groupBy(group)
-            .agg(F.count(F.lit(1)).alias("n_videos")))
+            .agg(F.count(F.lit(1)).alias("n_videos")).orderBy(F.desc("n_videos"), group))

@@ -1,65 +1,29 @@
-"""Joins against look-up tables whose size is checked before broadcasting."""
+"""Joins against look-up tables and per-group statistics.
+
+No side is forced to be broadcast.  Derived sides are written once to the shared
+folder, so Spark knows their size in bytes: it broadcasts them below the session's
+``autoBroadcastJoinThreshold`` and otherwise shuffles, where adaptive execution splits
+the partitions of hot keys.  Nothing stays cached in the session.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# Broadcast a look-up side only when it holds at most this many rows.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def bounded_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Mark ``small`` for broadcast if it provably has at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows (a limit, so it stops early).
-    Beyond the bound the side stays a normal shuffle join, where adaptive
-    execution still converts it at run time if its measured size is small and
-    splits skewed partitions otherwise.
-    """
-    n = small.limit(max_rows + 1).count()
-    return F.broadcast(small) if n <= max_rows else small
+from perfscore.session import materialize
 
 
-def lookup_join(big: DataFrame, small: DataFrame, on, how: str = "inner",
-                max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Equi-join ``big`` with a dimension ``small`` (broadcast when bounded)."""
-    return big.join(bounded_broadcast(small, max_rows), on=on, how=how)
+def small_side(small: DataFrame) -> DataFrame:
+    """A derived (aggregated) side, written once: every use reads it, with its size known."""
+    return materialize(small, "side")
 
 
-def small_side(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Materialise a derived (aggregated) side once and broadcast it if bounded.
-
-    The side is cached so that the size check and the join read it once;
-    the cache keeps its lineage, so a lost executor only recomputes it.
-    """
-    cached = small.cache()
-    n = cached.count()
-    return F.broadcast(cached) if n <= max_rows else cached
-
-
-# A group with more rows than this is "hot".  There are at most
-# total_rows / HOT_GROUP_ROWS hot groups, which bounds their broadcast.
-HOT_GROUP_ROWS = 1_000_000
+def lookup_join(big: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Equi-join ``big`` with a dimension (one row per key)."""
+    return big.join(small, on=on, how=how)
 
 
 def stats_join(big: DataFrame, stats: DataFrame, keys: list[str], count_col: str = "_n",
-               how: str = "left", max_rows: int = BROADCAST_MAX_ROWS,
-               hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
-    """Join per-group statistics (with a row count per group) back to the rows.
-
-    A bounded stats table is broadcast.  Otherwise the hot groups (more than
-    ``hot_rows`` rows) are broadcast and their rows joined in place, and only
-    the remaining rows shuffle on the key, so no hot group lands in one
-    reducer even without adaptive skew handling.
-    """
-    cached = stats.cache()
-    n = cached.count()
-    if n <= max_rows:
-        return big.join(F.broadcast(cached.drop(count_col)), keys, how)
-    hot = cached.where(F.col(count_col) > hot_rows).drop(count_col)
-    cold = cached.where(F.col(count_col) <= hot_rows).drop(count_col)
-    hot_keys = F.broadcast(hot.select(*keys))
-    rows_hot = big.join(hot_keys, keys, "left_semi").join(F.broadcast(hot), keys, how)
-    rows_rest = big.join(hot_keys, keys, "left_anti").join(cold, keys, how)
-    return rows_hot.unionByName(rows_rest)
+               how: str = "left") -> DataFrame:
+    """Join per-group statistics back to the rows; the count column stays behind."""
+    return big.join(small_side(stats.drop(count_col)), keys, how)

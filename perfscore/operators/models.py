@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
@@ -22,24 +23,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from perfscore.functions.features import TAB_FEATURES
-from perfscore.functions.stats import finite, pearson
-from perfscore.operators.features import fold_of
+from perfscore.functions.stats import finite, pearson, zscore
+from perfscore.operators.features import apply_scaler, feature_columns, fit_scaler, fold_of, scaler_stage
+from perfscore.operators.joins import small_side
+from perfscore.operators.stats import group_stats
+from perfscore.session import materialize
 
 RIDGE_ALPHA = 50.0          # fixed value: ridge strength of the weight analysis
 
 
-def model_input(features: DataFrame, target: DataFrame | None = None, embeddings: DataFrame | None = None,
-                tab_cols: Sequence[str] = TAB_FEATURES, label: str = "y") -> DataFrame:
-    """Join features (+ embedding vector, + target) by key; drop rows without a finite target."""
-    df = features
-    if embeddings is not None:
-        vec = embeddings.where(F.col("embedding").isNotNull())
-        df = df.join(vec.select("video_id", array_to_vector("embedding").alias("emb")), "video_id")
-    if target is not None:
-        df = df.join(target, "video_id").where(finite(label))
-    return df
-
-
 def assembler(tab_cols: Sequence[str] = TAB_FEATURES, with_embedding: bool = True) -> VectorAssembler:
     cols = (["emb"] if with_embedding else []) + list(tab_cols)
     return VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="error")
@@ -73,36 +65,47 @@ def ridge_weights(df: DataFrame, tab_cols: Sequence[str] = TAB_FEATURES, label:
 
 def regression_pipeline(kind: str, n: int, std_y: float, label: str = "y",
                         tab_cols: Sequence[str] = TAB_FEATURES, with_embedding: bool = True,
-                        alpha: float = 1.0, seed: int = 42) -> Pipeline:
+                        alpha: float = 1.0, seed: int = 42, scaler: dict | None = None,
+                        max_iter: int = 20, max_depth: int = 3) -> Pipeline:
+    """Scaler (if one is given), assembler and estimator as one pipeline, saved and loaded whole."""
     if kind == "ridge":
         est = ridge(alpha, n, std_y, label)
     elif kind == "gbt":
-        est = GBTRegressor(featuresCol="features", labelCol=label, maxIter=20, maxDepth=3, seed=seed)
+        est = GBTRegressor(featuresCol="features", labelCol=label, maxIter=max_iter, maxDepth=max_depth, seed=seed)
     else:
         raise ValueError(f"unknown model kind {kind!r}")
-    return Pipeline(stages=[assembler(tab_cols, with_embedding), est])
+    if scaler is None:
+        return Pipeline(stages=[assembler(tab_cols, with_embedding), est])
+    scaled = [f"scaled_{c}" for c in tab_cols]
+    return Pipeline(stages=[scaler_stage(scaler), assembler(scaled, with_embedding), est])
 
 
 def cross_val_predictions(df: DataFrame, kind: str = "ridge", k: int = 5, seed: int = 42,
                           label: str = "y", with_embedding: bool = True, parallelism: int = 5,
                           alpha: float = 1.0) -> DataFrame:
-    """Out-of-fold predictions: ``video_id, fold, y, prediction``."""
-    data = df.withColumn("fold", fold_of("video_id", seed, k)).cache()
+    """Out-of-fold predictions: ``video_id, fold, y, prediction``.
+
+    The scaler is fitted once over all rows, before the folds, as the reference does
+    (P22); ``cross_val_predictions_fold_safe`` fits it inside each training split.
+    """
+    data = materialize(df.withColumn("fold", fold_of("video_id", seed, k)), "folds")
+    scaler = fit_scaler(data)
 
     def fit_fold(f: int) -> DataFrame:
         train = data.where(F.col("fold") != f)
         n, s = _label_stats(train, label)
         model = regression_pipeline(kind, n, s, label, with_embedding=with_embedding,
-                                    alpha=alpha, seed=seed).fit(train)
+                                    alpha=alpha, seed=seed, scaler=scaler).fit(train)
         return model.transform(data.where(F.col("fold") == f)).select(
             "video_id", "fold", F.col(label).alias("y"), "prediction")
 
+    return _each_fold(fit_fold, k, parallelism)
+
+
+def _each_fold(fit_fold, k: int, parallelism: int) -> DataFrame:
+    """The folds' results, fitted from a few driver threads."""
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, k))) as pool:
-        parts = list(pool.map(fit_fold, range(k)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        return reduce(DataFrame.unionByName, pool.map(fit_fold, range(k)))
 
 
 def cross_val_predictions_fold_safe(scored: DataFrame, embeddings: DataFrame | None = None,
@@ -116,15 +119,12 @@ def cross_val_predictions_fold_safe(scored: DataFrame, embeddings: DataFrame | N
     fold.  A held-out group unseen in training gets the overall training mean
     as its group feature and no target (so it is not scored).
     """
-    from perfscore.functions.stats import zscore
-    from perfscore.operators.features import apply_scaler, feature_columns, fit_scaler
-    from perfscore.operators.joins import small_side
-    from perfscore.operators.stats import group_stats
-
-    base = scored.withColumn("fold", fold_of("video_id", seed, k)).cache()
     with_emb = embeddings is not None
-    emb = (embeddings.where(F.col("embedding").isNotNull())
-           .select("video_id", array_to_vector("embedding").alias("emb")) if with_emb else None)
+    if with_emb:
+        emb = embeddings.where(F.col("embedding").isNotNull())
+        scored = scored.join(emb.select("video_id", array_to_vector("embedding").alias("emb")), "video_id")
+    kept = ("y", "fold", *(("emb",) if with_emb else ()))
+    base = materialize(scored.withColumn("fold", fold_of("video_id", seed, k)), "folds")
 
     def fit_fold(f: int) -> DataFrame:
         train, held = base.where(F.col("fold") != f), base.where(F.col("fold") == f)
@@ -135,8 +135,7 @@ def cross_val_predictions_fold_safe(scored: DataFrame, embeddings: DataFrame | N
             j = df.join(stats, group, "left")
             j = (j.withColumn("y", zscore(value, "_mean", "_std"))
                   .withColumn("channel_avg_perf", F.coalesce(F.col("_mean"), overall)))
-            out = feature_columns(j, keep=("y", "fold"))
-            return out.join(emb, "video_id") if with_emb else out
+            return feature_columns(j, keep=kept)
 
         tr = prep(train).where(finite("y"))
         scaler = fit_scaler(tr)
@@ -146,17 +145,11 @@ def cross_val_predictions_fold_safe(scored: DataFrame, embeddings: DataFrame | N
                                     seed=seed).fit(tr)
         return model.transform(te).select("video_id", "fold", "y", "prediction")
 
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, k))) as pool:
-        parts = list(pool.map(fit_fold, range(k)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return _each_fold(fit_fold, k, parallelism)
 
 
 def cv_metrics(preds: DataFrame, digits: int = 6) -> DataFrame:
     """Per-fold Pearson of prediction and target, with the mean and population std."""
-    from perfscore.operators.joins import small_side
     per_fold = small_side(preds.groupBy("fold").agg(pearson("prediction", "y").alias("corr"),
                                                     F.count(F.lit(1)).alias("n")))
     summary = per_fold.agg(F.avg("corr").alias("mean_corr"), F.stddev_pop("corr").alias("std_corr"))
@@ -168,8 +161,10 @@ def cv_metrics(preds: DataFrame, digits: int = 6) -> DataFrame:
 
 def fit_final(df: DataFrame, kind: str = "ridge", label: str = "y", with_embedding: bool = True,
               alpha: float = 1.0) -> PipelineModel:
+    """The pipeline of scaler and estimator, fitted on all rows."""
     n, s = _label_stats(df, label)
-    return regression_pipeline(kind, n, s, label, with_embedding=with_embedding, alpha=alpha).fit(df)
+    return regression_pipeline(kind, n, s, label, with_embedding=with_embedding, alpha=alpha,
+                               scaler=fit_scaler(df)).fit(df)
 
 
 def save_model(model: PipelineModel, path: str) -> str:
@@ -195,17 +190,26 @@ def prediction_bounds(preds: DataFrame, col: str = "prediction", sigmas: float =
 
 
 def top_quartile_classifier(df: DataFrame, label: str = "label", tab_cols: Sequence[str] = TAB_FEATURES,
-                            with_embedding: bool = True, seed: int = 42) -> tuple[DataFrame, float]:
-    """v3: gradient-boosted classifier of the top-quartile label; probability × 20 and ROC-AUC."""
-    gbt = GBTClassifier(featuresCol="features", labelCol=label, maxIter=20, maxDepth=3, seed=seed)
-    data = df.withColumn(label, F.col(label).cast("double"))
-    model = Pipeline(stages=[assembler(tab_cols, with_embedding), gbt]).fit(data)
-    scored = model.transform(data)
-    auc = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction",
+                            with_embedding: bool = True, seed: int = 42, k: int = 5, max_iter: int = 20,
+                            max_depth: int = 3, parallelism: int = 5) -> tuple[DataFrame, float]:
+    """v3: gradient-boosted classifier of the top-quartile label; probability × 20 and ROC-AUC.
+
+    Probabilities and AUC are out of fold: each row is scored by the model that has not seen it.
+    """
+    gbt = GBTClassifier(featuresCol="features", labelCol=label, maxIter=max_iter, maxDepth=max_depth, seed=seed)
+    data = df.withColumn(label, F.col(label).cast("double")).withColumn("fold", fold_of("video_id", seed, k))
+    data = materialize(data, "folds")
+
+    def fit_fold(f: int) -> DataFrame:
+        model = Pipeline(stages=[assembler(tab_cols, with_embedding), gbt]).fit(data.where(F.col("fold") != f))
+        scored = model.transform(data.where(F.col("fold") == f))
+        return scored.select("video_id", label, vector_to_array("probability")[1].alias("probability"))
+
+    scored = materialize(_each_fold(fit_fold, k, parallelism), "out_of_fold")
+    auc = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="probability",
                                         metricName="areaUnderROC").evaluate(scored)
-    p1 = vector_to_array("probability")[1]
-    out = scored.select("video_id", F.col(label).cast("int").alias("label"), p1.alias("probability"),
-                        F.bround(p1 * 20, 1).alias("score_20"))
+    out = scored.select("video_id", F.col(label).cast("int").alias("label"), "probability",
+                        F.bround(F.col("probability") * 20, 1).alias("score_20"))
     return out, float(auc)
 
 

@@ -97,5 +97,5 @@ def weights_from_lift(lift: DataFrame, total: float = 20.0, digits: int = 6) ->
     """
     pos = small_side(lift.where(F.col("lift") > 1).withColumn("_ln", F.ln("lift")))
     total_ln = pos.select(F.sum("_ln")).scalar()
-    return pos.select("feature", "lift",
+    return pos.select("feature", F.round("lift", digits).alias("lift"),
                       F.round(F.lit(total) * F.col("_ln") / total_ln, digits).alias("points"))

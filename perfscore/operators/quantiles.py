@@ -1,16 +1,12 @@
 """Exact, linearly interpolated quantiles without holding a hot group in one task.
 
-The ``percentile`` aggregate merges every distinct value of a group into one
-buffer, so a group holding a third of the rows would land in one task.  Group
-sizes are therefore counted first: groups up to ``BUFFER_MAX_ROWS`` rows use
-the aggregate (bounded buffer), larger ones are answered by sorted ranks.
-There the values are sorted by ``(group, value)``: the range-partitioned
-sort splits even a hot group across many tasks.  Each row's rank inside its
-group is then ``offset of its (group, partition) segment + position inside the
-segment``.  Segment offsets come from a small aggregate (at most
-groups + partitions rows).  Only the rows at the wanted ranks are kept, at most
-two per quantile and group.  The sorted, indexed data is written as a table in
-the shared folder so positions stay fixed if an executor is lost.
+Rows are first counted per (group, value), a partial aggregate in which ties collapse.
+The different values are then range-partitioned by (group, value), which splits a hot
+group over many tasks; equal values cannot pile up, as each occurs once.  A value's
+ranks are its running count within its part plus the counts of the group's earlier
+parts (one row per group and part).  Only values that hold a wanted rank go on.  The
+partitioned counts are a table in the shared folder, so the parts stay fixed if an
+executor is lost.  One plan serves all sizes.
 
 Interpolation follows the usual (n-1) rule: h = p·(n-1),
 q = x[floor h]·(1-d) + x[ceil h]·d with d = h - floor h.
@@ -23,7 +19,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from perfscore.operators.joins import small_side
 from perfscore.session import materialize
 
 
@@ -31,93 +26,47 @@ def _name(p: float) -> str:
     return "q_" + f"{p:g}".replace(".", "_")
 
 
-# Groups up to this many rows use the ``percentile`` aggregate (its buffer is
-# then bounded); larger groups take the distributed sort path.
-BUFFER_MAX_ROWS = 1_000_000
-
-
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
-                    group_cols: Sequence[str] = (), names: Sequence[str] | None = None,
-                    buffer_max_rows: int = BUFFER_MAX_ROWS) -> DataFrame:
+                    group_cols: Sequence[str] = (), names: Sequence[str] | None = None) -> DataFrame:
     """One row per group (or one row) with ``n`` and one column per probability.
 
-    Group sizes are counted first (a small aggregate).  Groups of at most
-    ``buffer_max_rows`` rows are answered by the built-in ``percentile``
-    aggregate; only larger (hot) groups go through :func:`sorted_quantiles`,
-    which never holds a group in one task.
+    NULL and NaN values and NULL keys take no part; without any value the result is
+    empty for groups, and one row of NULLs (n = 0) without groups.
     """
-    user_keys = list(group_cols)
-    names = list(names) if names else [_name(p) for p in probs]
-    v = F.col(value)
-    cond = v.isNotNull() & ~F.isnan(v)
-    for k in user_keys:
-        cond = cond & F.col(k).isNotNull()
-    keys = user_keys or ["_g"]
-    extra = [] if user_keys else [F.lit(0).alias("_g")]
-    base = df.where(cond).select(*user_keys, *extra, v.cast("double").alias("_v"))
-
-    sizes = small_side(base.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")))
-    hot = sizes.where(F.col("n") > buffer_max_rows)
-    n_hot = hot.count()
-    small = base.join(sizes.where(F.col("n") <= buffer_max_rows), keys)
-    pct = F.percentile(F.col("_v"), F.array(*[F.lit(float(p)) for p in probs]))
-    out = (small.groupBy(*keys, "n").agg(pct.alias("_q"))
-           .select(*keys, "n", *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)]))
-    if n_hot:
-        big = base.join(F.broadcast(hot.select(*keys)), keys, "left_semi")
-        out = out.unionByName(sorted_quantiles(big, "_v", probs, keys, names))
-    return out.select(*user_keys, "n", *names)
-
-
-def sorted_quantiles(df: DataFrame, value: str, probs: Sequence[float],
-                     group_cols: Sequence[str] = (), names: Sequence[str] | None = None) -> DataFrame:
-    """Exact quantiles by sorted ranks (any group size); see the module notes."""
-    user_keys = list(group_cols)
+    keys = list(group_cols)
     names = list(names) if names else [_name(p) for p in probs]
-    v = F.col(value)
+    v = F.col(value).cast("double")
     cond = v.isNotNull() & ~F.isnan(v)
-    for k in user_keys:
+    for k in keys:
         cond = cond & F.col(k).isNotNull()
-    # Without groups, one constant key keeps every join an equi-join.
-    keys = user_keys or ["_g"]
-    extra = [] if user_keys else [F.lit(0).alias("_g")]
-    base = df.where(cond).select(*user_keys, *extra, v.cast("double").alias("_v"))
-
-    indexed = materialize(base.orderBy(*keys, "_v")
-                          .select(*keys, "_v", F.spark_partition_id().alias("_p"),
-                                  F.monotonically_increasing_id().alias("_id")), "quantile_index")
-
-    seg = indexed.groupBy(*keys, "_p").agg(F.count(F.lit(1)).alias("_c"), F.min("_id").alias("_first"))
-    before = Window.partitionBy(*keys).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    seg = seg.withColumn("_off", F.coalesce(F.sum("_c").over(before), F.lit(0)))
-
-    counts = seg.groupBy(*keys).agg(F.sum("_c").alias("n"))
-    tcols = []
-    for i, p in enumerate(probs):
+    counts = df.where(cond).select(*keys, v.alias("_v")).groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    parted = counts.repartitionByRange(*keys, "_v").withColumn("_p", F.spark_partition_id())
+    parted = materialize(parted, "value_counts")
+
+    # per group and part: what the parts before it hold, and what all parts do
+    parts = parted.groupBy(*keys, "_p").agg(F.sum("_c").alias("_s"))
+    whole = Window.partitionBy(*keys)
+    before = whole.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select(*keys, "_p", F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_off"),
+                         F.sum("_s").over(whole).alias("n"))
+    inside = Window.partitionBy(*keys, "_p").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = parted.withColumn("_cum", F.sum("_c").over(inside)).join(parts, [*keys, "_p"])
+    end = F.col("_off") + F.col("_cum")
+    start = end - F.col("_c")
+
+    def at(rank):
+        return F.max(F.when((start <= rank) & (rank < end), F.col("_v")))
+
+    wanted, aggs, outs = F.lit(False), [], []
+    for i, (p, nm) in enumerate(zip(probs, names)):
         h = F.lit(float(p)) * (F.col("n") - 1)
-        tcols += [F.floor(h).cast("bigint").alias(f"_lo{i}"), F.ceil(h).cast("bigint").alias(f"_hi{i}"),
-                  (h - F.floor(h)).alias(f"_d{i}")]
-    targets = counts.select(*keys, "n", *tcols)
-    wanted = F.array(*[F.col(f"_{s}{i}") for i in range(len(probs)) for s in ("lo", "hi")])
-    targets = targets.withColumn("_want", wanted)
-
-    seg_small = small_side(seg.select(*keys, "_p", "_first", "_off"))
-    tgt_small = small_side(targets)
-    ranked = indexed.join(seg_small, keys + ["_p"]).withColumn(
-        "_rank", F.col("_off") + F.col("_id") - F.col("_first"))
-    picked = ranked.join(tgt_small, keys).where(F.array_contains("_want", F.col("_rank")))
-
-    aggs = []
-    for i in range(len(probs)):
-        aggs += [F.max(F.when(F.col("_rank") == F.col(f"_lo{i}"), F.col("_v"))).alias(f"_vlo{i}"),
-                 F.max(F.when(F.col("_rank") == F.col(f"_hi{i}"), F.col("_v"))).alias(f"_vhi{i}")]
-    grp = keys + ["n"] + [f"_d{i}" for i in range(len(probs))]
-    vals = picked.groupBy(*grp).agg(*aggs)
-    outs = []
-    for i, nm in enumerate(names):
-        lo, hi, d = F.col(f"_vlo{i}"), F.col(f"_vhi{i}"), F.col(f"_d{i}")
-        outs.append(F.when(d == 0, lo).otherwise(lo * (1 - d) + hi * d).alias(nm))
-    return vals.select(*user_keys, "n", *outs)
+        lo, hi = F.floor(h), F.ceil(h)
+        wanted = wanted | ((start <= hi) & (lo < end))
+        aggs += [at(lo).alias(f"_lo{i}"), at(hi).alias(f"_hi{i}"), F.max(h - lo).alias(f"_d{i}")]
+        a, b, d = F.col(f"_lo{i}"), F.col(f"_hi{i}"), F.col(f"_d{i}")
+        outs.append(F.when(d == 0, a).otherwise(a * (1 - d) + b * d).alias(nm))
+    picked = ranked.where(wanted).groupBy(*keys).agg(F.coalesce(F.max("n"), F.lit(0)).alias("n"), *aggs)
+    return picked.select(*keys, "n", *outs)
 
 
 def exact_median(df: DataFrame, value: str, group_cols: Sequence[str] = (), name: str = "median") -> DataFrame:

@@ -47,19 +47,6 @@ def zscore_within(df: DataFrame, value: str, group_cols: GroupCols = "channel_na
     return joined.withColumn(out, zscore(value, "_mean", "_std", eps)).drop("_mean", "_std")
 
 
-def zscore_within_window(df: DataFrame, value: str, group_cols: GroupCols = "channel_name",
-                         out: str = "z", eps: float = Z_EPS) -> DataFrame:
-    """Window form of :func:`zscore_within` (same result; one task per group)."""
-    from pyspark.sql import Window
-    w = Window.partitionBy(*_cols(group_cols))
-    z = zscore(value, F.avg(value).over(w), F.stddev_samp(value).over(w), eps)
-    nulls = None
-    for k in _cols(group_cols):
-        c = F.col(k).isNull()
-        nulls = c if nulls is None else nulls | c
-    return df.withColumn(out, F.when(nulls, F.lit(None).cast("double")).otherwise(z))
-
-
 def group_mean(df: DataFrame, value: str, group_cols: GroupCols = "channel_name",
                out: str = "group_mean") -> DataFrame:
     """Add the mean of ``value`` over the row's group."""
@@ -128,22 +115,23 @@ def flag_means(df: DataFrame, flags: dict, value, suffixes=None) -> DataFrame:
     return row.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
 
 
-def _lift(with_col: str, without_col: str, digits: int):
-    return F.round(F.try_divide(with_col, without_col), digits)
+def _lift(with_col: str, without_col: str, digits: int | None):
+    return F.try_divide(with_col, without_col) if digits is None else F.round(F.try_divide(with_col, without_col), digits)
 
 
-def _diff(with_col: str, without_col: str, digits: int):
-    return F.round(F.col(with_col) - F.col(without_col), digits)
+def _diff(with_col: str, without_col: str, digits: int | None):
+    diff = F.col(with_col) - F.col(without_col)
+    return diff if digits is None else F.round(diff, digits)
 
 
-def feature_lift(df: DataFrame, flags: dict, value: str, digits: int = 6) -> DataFrame:
-    """Mean with the feature over mean without it (cross-group multiplier)."""
+def feature_lift(df: DataFrame, flags: dict, value: str, digits: int | None = 6) -> DataFrame:
+    """Mean with the feature over mean without it (cross-group multiplier); ``digits=None``: not rounded."""
     m = flag_means(df, flags, value)
     return m.select("feature", "n_with", _lift("mean_with", "mean_without", digits).alias("lift"))
 
 
-def feature_diff(df: DataFrame, flags: dict, value: str, digits: int = 6) -> DataFrame:
-    """Mean with the feature minus mean without it (within-group effect)."""
+def feature_diff(df: DataFrame, flags: dict, value: str, digits: int | None = 6) -> DataFrame:
+    """Mean with the feature minus mean without it (within-group effect); ``digits=None``: not rounded."""
     m = flag_means(df, flags, value)
     return m.select("feature", "n_with", _diff("mean_with", "mean_without", digits).alias("diff"))
 
@@ -151,10 +139,10 @@ def feature_diff(df: DataFrame, flags: dict, value: str, digits: int = 6) -> Dat
 def confound_flips(df: DataFrame, flags: dict, raw: str, norm: str, digits: int = 6) -> DataFrame:
     """Features whose direction differs between raw lift and within-group diff (one scan)."""
     m = flag_means(df, flags, [raw, norm], suffixes=["_raw", "_norm"])
-    lift = _lift("mean_with_raw", "mean_without_raw", digits)
-    diff = _diff("mean_with_norm", "mean_without_norm", digits)
-    out = m.select("feature", lift.alias("lift"), diff.alias("diff"))
-    return out.withColumn("flipped", (F.col("lift") > 1) != (F.col("diff") > 0))
+    flipped = (_lift("mean_with_raw", "mean_without_raw", None) > 1) != (
+        _diff("mean_with_norm", "mean_without_norm", None) > 0)  # decided before rounding
+    return m.select("feature", _lift("mean_with_raw", "mean_without_raw", digits).alias("lift"),
+                    _diff("mean_with_norm", "mean_without_norm", digits).alias("diff"), flipped.alias("flipped"))
 
 
 def positive_in_both(diff: DataFrame, weights: DataFrame) -> DataFrame:
@@ -166,8 +154,14 @@ def positive_in_both(diff: DataFrame, weights: DataFrame) -> DataFrame:
 def top_k(df: DataFrame, order_col: str, k: int, tie: str = "video_id",
           ascending: bool = False) -> DataFrame:
     """k rows by ``order_col`` with a total order (tie broken by ``tie``)."""
-    o = F.col(order_col).asc_nulls_last() if ascending else F.col(order_col).desc_nulls_last()
-    return df.orderBy(o, F.col(tie).asc()).limit(k)
+    v = no_nan(order_col, df)
+    return df.orderBy(v.asc_nulls_last() if ascending else v.desc_nulls_last(), F.col(tie).asc()).limit(k)
+
+
+def no_nan(col: str, df: DataFrame) -> F.Column:
+    """The column with NaN as NULL, so that both rank last."""
+    floating = dict(df.dtypes)[col] in ("float", "double")
+    return F.when(~F.isnan(col), F.col(col)) if floating else F.col(col)
 
 
 def shorten(col: str, n: int, suffix: str):

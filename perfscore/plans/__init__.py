@@ -5,14 +5,17 @@ from perfscore.plans.registry import ORACLES, QUERIES
 
 def load_all() -> None:
     """Import every key module so that its keys register themselves."""
-    from perfscore.plans import scoring_keys  # noqa: F401
-    for name in ("ingest_keys", "label_keys", "explore_keys", "feature_keys",
-                 "model_keys", "io_keys", "stream_keys", "present_keys"):
-        try:
-            __import__(f"perfscore.plans.{name}")
-        except ModuleNotFoundError as exc:
-            if exc.name != f"perfscore.plans.{name}":
-                raise
+    from perfscore.plans import (  # noqa: F401
+        explore_keys,
+        feature_keys,
+        ingest_keys,
+        io_keys,
+        label_keys,
+        model_keys,
+        present_keys,
+        scoring_keys,
+        stream_keys,
+    )
 
 
 __all__ = ["QUERIES", "ORACLES", "load_all"]

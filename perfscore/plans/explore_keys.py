@@ -11,7 +11,7 @@ from perfscore.operators.scoring import with_performance
 from perfscore.plans.common import SQL_PERF, enriched, scored, scored_cte, videos_raw
 from perfscore.plans.fixtures import AS_OF
 from perfscore.plans.registry import key
-from perfscore.plans.scoring_keys import DIFF_SQL, _flag_union
+from perfscore.plans.scoring_keys import RAW_DIFF_SQL, _flag_union
 
 E = ("f_enriched",)
 V = ("f_videos_raw",)
@@ -172,12 +172,12 @@ def q_mean_by_feature(spark, sf_dir):
     return ex.mean_by_feature(scored(spark, sf_dir), FEATURE_COLS, "performance_score")
 
 
-@key("importance_rank", f", {scored_cte('niche')}, d AS ({_flag_union('perf_norm', DIFF_SQL, 'diff')}), "
-     "m AS (SELECT median(diff) AS med FROM d) "
-     "SELECT feature, diff, rank() OVER (ORDER BY diff DESC, feature) AS rank, diff >= med AS above_median "
+@key("importance_rank", f", {scored_cte('niche')}, d AS ({_flag_union('perf_norm', RAW_DIFF_SQL, 'raw')}), "
+     "m AS (SELECT median(raw) AS med FROM d) "
+     "SELECT feature, round(raw, 6) AS diff, rank() OVER (ORDER BY raw DESC, feature) AS rank, raw >= med AS above_median "
      "FROM d, m", E)
 def q_importance(spark, sf_dir):
-    diff = st.feature_diff(scored(spark, sf_dir), analysis_flags(), "perf_norm").select("feature", "diff")
+    diff = st.feature_diff(scored(spark, sf_dir), analysis_flags(), "perf_norm", digits=None).select("feature", "diff")
     return ex.importance_rank(diff, "diff").withColumn("rank", F.col("rank").cast("bigint"))
 
 

@@ -12,7 +12,7 @@ from perfscore.plans.common import rule_scored, scored, scored_cte
 from perfscore.plans.fixtures import annotations
 from perfscore.plans.registry import key
 from perfscore.plans.present_keys import SQL_VISION
-from perfscore.session import apply_core_conf
+from perfscore.session import apply_core_conf, materialize
 from perfscore.sources.tables import read_table
 
 E = ("f_enriched",)
@@ -98,15 +98,15 @@ def q_features_serve_cli(spark, sf_dir):
     return _r9(fe.serving_features(annotations(spark, sf_dir), form="cli"))
 
 
-def _scaled_sql(n: str) -> str:
+def scaled_sql(n: str) -> str:
     s = f"stddev_pop({n}) OVER ()"
     return f"round(({n} - avg({n}) OVER ()) / (CASE WHEN {s} = 0 THEN 1 ELSE {s} END), 6) AS {n}"
 
 
-@key("features_scaled", TRAIN_CTE + " SELECT video_id, " + ", ".join(_scaled_sql(n) for n in TAB_FEATURES)
+@key("features_scaled", TRAIN_CTE + " SELECT video_id, " + ", ".join(scaled_sql(n) for n in TAB_FEATURES)
      + " FROM feats", E)
 def q_features_scaled(spark, sf_dir):
-    feats = _train(spark, sf_dir).cache()
+    feats = materialize(_train(spark, sf_dir), "features")
     scaled = fe.apply_scaler(feats, fe.fit_scaler(feats))
     return scaled.select("video_id", *[F.round(c, 6).alias(c) for c in TAB_FEATURES])
 

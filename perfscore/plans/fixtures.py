@@ -7,10 +7,12 @@ read identical inputs.  ``AS_OF`` replaces the wall clock of the ingest.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perfscore.sources.tables import read_table, register_tables
+from perfscore.sources.tables import read_table
 
 AS_OF = "2001-08-02 00:00:00"
 
@@ -34,7 +36,8 @@ SELECT CAST(doc_id AS VARCHAR(20)) AS video_id,
        CAST(CASE WHEN doc_id % 5 > 2 THEN 3 ELSE doc_id % 5 END AS INT) AS nb_personnes,
        CASE WHEN doc_id % 5 = 0 THEN 'Aucun' WHEN doc_id % 4 = 0 THEN 'Neutre' WHEN doc_id % 4 = 1 THEN 'Sourire'
             WHEN doc_id % 4 = 2 THEN 'Surprise' ELSE 'Intense' END AS expression,
-       NULLIF(SUBSTR(text, 1, CAST((doc_id * 7) % 101 AS INT)), '') AS texte_contenu,
+       CASE WHEN (doc_id * 7) % 101 = 0 THEN NULL WHEN doc_id % 4 = 1 THEN source
+            WHEN doc_id % 4 = 3 THEN CONCAT('source ', source, ', language ', lang) ELSE text END AS texte_contenu,
        CASE doc_id % 3 WHEN 0 THEN 'Froid' WHEN 1 THEN 'Neutre' ELSE 'Chaud' END AS couleur_dominante,
        CASE doc_id % 7 WHEN 0 THEN 'Faible' WHEN 1 THEN 'Élevé' ELSE 'Moyen' END AS contraste,
        CASE doc_id % 6 WHEN 0 THEN 'Flou' WHEN 1 THEN 'Chargé' ELSE 'Uni' END AS fond,
@@ -43,10 +46,13 @@ FROM documents
 """
 
 _ENRICHED = """
-SELECT v.*, v.view_count / (CASE WHEN v.subscriber_count < 1 THEN 1.0e0 ELSE v.subscriber_count END)
+SELECT v.video_id, v.title, v.published_at, v.channel_id, v.channel_name, v.view_count, v.duration,
+       v.subscriber_count, v.thumbnail_path, v.niche, v.view_count / (CASE WHEN v.subscriber_count < 1 THEN 1.0e0 ELSE v.subscriber_count END)
        AS views_per_sub, l.visage_present, l.texte_present, l.nb_personnes, l.expression, l.texte_contenu,
        l.couleur_dominante, l.contraste, l.fond, l.face_confidence
-FROM f_videos_raw v {join} f_labels l ON v.video_id = l.video_id
+FROM (SELECT r.*, CASE WHEN CAST(r.video_id AS BIGINT) % 5 > 0
+             THEN CAST(CAST(r.video_id AS BIGINT) % (SELECT count(*) FROM documents) AS VARCHAR(20)) END AS image_id
+      FROM f_videos_raw r) v {join} f_labels l ON v.image_id = l.video_id
 """
 F_ENRICHED = _ENRICHED.format(join="JOIN")
 F_ENRICHED_LEFT = _ENRICHED.format(join="LEFT JOIN")
@@ -67,26 +73,20 @@ _DEPENDS = {
 }
 
 
-_FIXTURES: dict[tuple, dict[str, DataFrame]] = {}
+_SOURCE = re.compile(r"\b(FROM|JOIN) (orders|customer|documents|f_videos_raw|f_labels)\b")
 
 
-def register_fixtures(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Register driver tables and the fixture views over them (once per folder)."""
-    import os
-    k = (id(spark), os.path.abspath(sf_dir))
-    views = _FIXTURES.get(k)
-    if views is None or next(iter(views.values())).sparkSession is not spark:
-        register_tables(spark, sf_dir)
-        views = {}
-        for name in ("f_videos_raw", "f_labels", "f_enriched", "f_enriched_left"):
-            views[name] = spark.sql(FIXTURE_SQL[name])
-            views[name].createOrReplaceTempView(name)
-        _FIXTURES[k] = views
-    return views
+def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A fixture view as a DataFrame; the caller's session gets no named views."""
+    sql = FIXTURE_SQL[name]
+    sources = {t: fixture(spark, sf_dir, t) if t in FIXTURE_SQL else read_table(spark, sf_dir, t)
+               for _, t in _SOURCE.findall(sql)}
+    return spark.sql(_SOURCE.sub(r"\1 {\2}", sql), **sources)
 
 
-def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return register_fixtures(spark, sf_dir)[name]
+def videos_from(orders: DataFrame, customer: DataFrame) -> DataFrame:
+    """The raw videos of given order and customer rows (a batch or a stream)."""
+    return orders.sparkSession.sql(_SOURCE.sub(r"\1 {\2}", F_VIDEOS_RAW), orders=orders, customer=customer)
 
 
 def with_fixtures(sql: str, *views: str) -> str:

@@ -24,9 +24,9 @@ SQL_SHORT = ("CASE WHEN duration LIKE '%H%' THEN false WHEN duration NOT LIKE '%
              "ELSE coalesce(try_cast(replace(split_part(duration, 'M', 1), 'PT', '') AS INT) = 0, false) END")
 SQL_CH = "CAST(channel_id AS BIGINT)"
 SQL_REASON = (f"CASE WHEN {SQL_CH} % 10 = 0 THEN 'channel not found' WHEN {SQL_K} % 9 = 0 THEN 'no statistics' "
-              f"WHEN {SQL_K} % 97 = 0 THEN 'bad counter' WHEN {SQL_SHORT} THEN 'short' "
+              f"WHEN {SQL_K} % 97 = 0 THEN 'bad counter' WHEN {SQL_K} % 101 = 0 THEN 'bad date' "
+              f"WHEN {SQL_CH} % 41 = 5 THEN 'bad subscriber count' WHEN {SQL_SHORT} THEN 'short' "
               "WHEN view_count < 5000 THEN 'few views' END")
-CAP = 300           # per-channel cap of the ingest run
 CAP_TEST = 5        # cap used by the cap_per_channel key
 
 
@@ -35,7 +35,7 @@ def _search(spark, sf_dir):
 
 
 def _candidates(spark, sf_dir):
-    videos = ig.cap_per_group(_search(spark, sf_dir), CAP)
+    videos = _search(spark, sf_dir)
     stats = pg.flatten_stats_pages(pf.stats_pages(spark, sf_dir))
     channels = pg.flatten_channel_pages(pf.channel_pages(spark, sf_dir))
     return ig.ingest_candidates(videos, stats, channels)
@@ -46,28 +46,28 @@ def built_videos(spark, sf_dir):
                            pf.image_files(spark, sf_dir), AS_OF)
 
 
-# Oracle CTE of the built video table (the cap of 300 never binds at test sizes
-# but is kept so the oracle states the same rule).
-BUILT_CTE = f""", cand AS (
-  SELECT v.*, {SQL_REASON} AS reason,
-         row_number() OVER (PARTITION BY channel_id ORDER BY {SQL_K}) AS rn FROM f_videos_raw v),
+# Oracle CTE of the built video table.
+BUILT_CTE = f""", cand AS (SELECT v.*, {SQL_REASON} AS reason FROM f_videos_raw v),
 built AS (
   SELECT video_id, title, published_at, {SQL_THUMB} AS thumbnail_url, channel_id, view_count,
          CASE WHEN {SQL_K} % 7 = 0 THEN 0 ELSE view_count // 10 END AS like_count,
          view_count // 100 AS comment_count, duration, subscriber_count, channel_name,
          {SQL_PERF} AS performance_score, thumbnail_path,
          CASE WHEN {SQL_CH} % 3 <> 0 THEN niche ELSE 'General' END AS niche
-  FROM cand WHERE reason IS NULL AND rn <= {CAP})
+  FROM cand WHERE reason IS NULL)
 """
 
 
-@key("ingest_search_pages", f"SELECT video_id, title, published_at, {SQL_THUMB} AS thumbnail_url, channel_id "
+SQL_DATE = f"CASE WHEN {SQL_K} % 101 <> 0 THEN published_at END AS published_at"
+
+
+@key("ingest_search_pages", f"SELECT video_id, title, {SQL_DATE}, {SQL_THUMB} AS thumbnail_url, channel_id "
      "FROM f_videos_raw", V)
 def q_search(spark, sf_dir):
     return _search(spark, sf_dir).select("video_id", "title", "published_at", "thumbnail_url", "channel_id")
 
 
-@key("ingest_playlist_pages", f"SELECT video_id, title, published_at, {SQL_THUMB} AS thumbnail_url, channel_id "
+@key("ingest_playlist_pages", f"SELECT video_id, title, {SQL_DATE}, {SQL_THUMB} AS thumbnail_url, channel_id "
      f"FROM f_videos_raw WHERE NOT {SQL_HIDDEN}", V)
 def q_playlist(spark, sf_dir):
     rows = pg.flatten_playlist_pages(pf.playlist_pages(spark, sf_dir))
@@ -82,8 +82,8 @@ def q_parse_stats(spark, sf_dir):
     return s.select("video_id", "view_count", "like_count", "comment_count", "duration")
 
 
-@key("join_channel", "SELECT video_id, channel_id, channel_name, subscriber_count FROM f_videos_raw "
-     f"WHERE {SQL_CH} % 10 <> 0", V)
+@key("join_channel", f"SELECT video_id, channel_id, channel_name, CASE WHEN {SQL_CH} % 41 <> 5 THEN subscriber_count END "
+     f"AS subscriber_count FROM f_videos_raw WHERE {SQL_CH} % 10 <> 0", V)
 def q_join_channel(spark, sf_dir):
     from perfscore.operators.joins import lookup_join
     channels = pg.flatten_channel_pages(pf.channel_pages(spark, sf_dir))
@@ -140,8 +140,17 @@ def q_resume(spark, sf_dir):
     return ig.resume(stored, v)
 
 
-@key("error_split", f"SELECT video_id, 'bad counter' AS error FROM f_videos_raw "
-     f"WHERE {SQL_CH} % 10 <> 0 AND {SQL_K} % 9 <> 0 AND {SQL_K} % 97 = 0", V)
+@key("page_errors", f"SELECT channel_id, CAST(floor({SQL_K} / 50) AS BIGINT) AS page_no, 'broken page' AS error "
+     f"FROM f_videos_raw WHERE {SQL_CH} % 37 = 1 GROUP BY 1, 2", V)
+def q_page_errors(spark, sf_dir):
+    """Pages cut off while they were landed: an error row each, and the others parse as ever."""
+    pages = pf.search_pages(spark, sf_dir)
+    cut = F.when(F.col("channel_id").cast("bigint") % 37 == 1, F.expr("substr(page, 1, length(page) - 3)"))
+    return pg.broken_pages(pages.withColumn("page", F.coalesce(cut, "page")), pg.SEARCH_PAGE)
+
+
+@key("error_split", f"SELECT video_id, reason AS error FROM (SELECT video_id, {SQL_REASON} AS reason "
+     "FROM f_videos_raw) WHERE reason LIKE 'bad%'", V)
 def q_error_split(spark, sf_dir):
     return ig.error_rows(_candidates(spark, sf_dir))
 

@@ -2,28 +2,55 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from perfscore.functions.features import TAB_FEATURES
 from perfscore.operators import features as fe
 from perfscore.operators import models as md
-from perfscore.operators.enrich import keep_with_embedding
-from perfscore.plans.common import scored
+from perfscore.plans.common import rule_scored, scored_cte, videos_raw
+from perfscore.plans.feature_keys import SQL_TRAIN_COLS, scaled_sql
 from perfscore.plans.fixtures import annotations
 from perfscore.plans.registry import key
 from perfscore.sources.embeddings import embedding_table
+from perfscore.session import materialize
 from perfscore.sources.tables import read_table
 
 
+SQL_EMB = ("JOIN embeddings e ON e.vec_id = CAST(f_enriched.video_id AS BIGINT) % (2 * (SELECT count(*) FROM embeddings)) "
+           "AND e.embedding IS NOT NULL")
+
+
 def _emb(spark, sf_dir):
-    return embedding_table(read_table(spark, sf_dir, "embeddings"))
+    """One vector per video, lent from the embeddings table; every other run of videos has none."""
+    emb = embedding_table(read_table(spark, sf_dir, "embeddings"))
+    n = emb.select(F.count(F.lit(1))).scalar()
+    videos = videos_raw(spark, sf_dir).select(F.col("video_id").alias("id"))
+    lent = videos.withColumn("video_id", (F.col("id").cast("bigint") % (2 * n)).cast("string"))
+    return lent.join(emb, "video_id").drop("video_id").withColumnRenamed("id", "video_id")
 
 
-def _training(spark, sf_dir, with_embedding=True):
-    s = scored(spark, sf_dir)
-    feats = fe.training_features(s)
-    target = s.select("video_id", F.col("perf_norm").alias("y"))
+def _training(spark, sf_dir, with_embedding=True, keep=()):
     emb = _emb(spark, sf_dir) if with_embedding else None
-    return md.model_input(feats, target, emb)
+    return fe.training_input(rule_scored(spark, sf_dir), emb, keep=keep)
+
+
+def _input_sql() -> str:
+    cols = dict(SQL_TRAIN_COLS, channel_avg_perf="avg(performance_score) OVER (PARTITION BY channel_name)")
+    scored = (f", {scored_cte('channel_name')}".replace("FROM f_enriched)", f"FROM f_enriched {SQL_EMB})")
+              .replace("SELECT *, view_count", "SELECT f_enriched.*, view_count"))
+    feats = ", ".join(f"{e} AS {n}" for n, e in cols.items())
+    return (f"{scored}, feats AS (SELECT video_id, perf_norm AS y, {feats} FROM scored), "
+            "used AS (SELECT * FROM feats WHERE y IS NOT NULL AND NOT isnan(y)) SELECT video_id, round(y, 6) AS y, "
+            + ", ".join(scaled_sql(n) for n in TAB_FEATURES) + " FROM used")
+
+
+@key("training_input", _input_sql(), ("f_enriched",))
+def q_training_input(spark, sf_dir):
+    """What the models see: rows with an embedding, their target by channel, their scaled features."""
+    data = materialize(_training(spark, sf_dir), "training_input")
+    scaled = fe.apply_scaler(data, fe.fit_scaler(data))
+    return scaled.select("video_id", F.round("y", 6).alias("y"), *[F.round(c, 6).alias(c) for c in TAB_FEATURES])
 
 
 @key("cv_predictions")
@@ -42,7 +69,7 @@ def q_cv_predictions_gbt(spark, sf_dir):
 @key("cv_predictions_fold_safe")
 def q_cv_predictions_fold_safe(spark, sf_dir):
     """Target, group mean and scaler fitted inside each training split."""
-    preds = md.cross_val_predictions_fold_safe(scored(spark, sf_dir), _emb(spark, sf_dir), group="niche")
+    preds = md.cross_val_predictions_fold_safe(rule_scored(spark, sf_dir), _emb(spark, sf_dir))
     return preds.select("video_id", "fold", F.round("y", 6).alias("y"),
                         F.round("prediction", 6).alias("prediction"))
 
@@ -54,13 +81,13 @@ def q_cv_metrics(spark, sf_dir):
 
 @key("ridge_weights")
 def q_ridge_weights(spark, sf_dir):
-    data = _training(spark, sf_dir, with_embedding=False)
+    data = materialize(_training(spark, sf_dir, with_embedding=False), "training")
     scaled = fe.apply_scaler(data, fe.fit_scaler(data))
     return md.ridge_weights(scaled)
 
 
 def _final(spark, sf_dir):
-    data = _training(spark, sf_dir).cache()
+    data = materialize(_training(spark, sf_dir, keep=("channel_name", "performance_score")), "training")
     model = md.fit_final(data, "ridge")
     lo, hi = md.prediction_bounds(model.transform(data))
     return data, model, lo, hi
@@ -69,10 +96,9 @@ def _final(spark, sf_dir):
 @key("scored_table")
 def q_scored_table(spark, sf_dir):
     data, model, lo, hi = _final(spark, sf_dir)
-    s = scored(spark, sf_dir).select("video_id", "channel_name", "perf_norm", "performance_score")
-    out = (md.batch_score(model, data, lo, hi).join(s, "video_id")
-           .select("video_id", "channel_name", F.col("score_20").alias("thumbnail_score_nn"),
-                   "perf_norm", "performance_score"))
+    out = model.transform(data).select(
+        "video_id", "channel_name", fe.rescale("prediction", lo, hi).alias("thumbnail_score_nn"),
+        F.col("y").alias("perf_norm"), "performance_score")
     path = md.model_path(spark, "scored_nn")
     out.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
@@ -84,21 +110,17 @@ def q_batch_score(spark, sf_dir):
     _, model, lo, hi = _final(spark, sf_dir)
     path = md.save_model(model, md.model_path(spark, "ridge_model"))
     loaded = md.load_model(path)
-    requests = keep_with_embedding(fe.serving_features(annotations(spark, sf_dir)), _emb(spark, sf_dir))
-    requests = requests.join(_emb(spark, sf_dir).select("video_id", F.col("embedding")), "video_id")
-    from pyspark.ml.functions import array_to_vector
-    requests = requests.withColumn("emb", array_to_vector("embedding")).drop("embedding")
+    vectors = _emb(spark, sf_dir).select("video_id", array_to_vector("embedding").alias("emb"))
+    requests = fe.serving_features(annotations(spark, sf_dir)).join(vectors, "video_id")
     return md.batch_score(loaded, requests, lo, hi).select(
         "video_id", F.round("prediction", 6).alias("prediction"), "score_20")
 
 
 @key("ridge_log_v2")
 def q_ridge_log_v2(spark, sf_dir):
-    s = scored(spark, sf_dir)
-    feats = fe.training_features(s)
-    target = s.where(F.col("performance_score") > 0).select(
-        "video_id", F.ln("performance_score").alias("y"))
-    data = md.model_input(feats, target).cache()
+    rows = fe.group_mean(rule_scored(spark, sf_dir).where(F.col("performance_score") > 0), "performance_score",
+                         "channel_name", out="channel_avg_perf")
+    data = materialize(fe.feature_columns(rows.withColumn("y", F.ln("performance_score")), keep=("y",)), "training")
     model = md.fit_final(data, "ridge", with_embedding=False, alpha=1.0)
     preds = model.transform(data).select("video_id", "prediction")
     return md.minmax_scale(preds, "prediction").select(
@@ -107,9 +129,8 @@ def q_ridge_log_v2(spark, sf_dir):
 
 @key("gbt_v3")
 def q_gbt_v3(spark, sf_dir):
-    s = fe.top_quantile_label(scored(spark, sf_dir), "performance_score")
-    feats = fe.training_features(s)
-    data = md.model_input(feats, s.select("video_id", "label"), _emb(spark, sf_dir), label="label")
+    labelled = fe.top_quantile_label(rule_scored(spark, sf_dir), "performance_score")
+    data = fe.training_input(labelled, _emb(spark, sf_dir), keep=("label",))
     out, auc = md.top_quartile_classifier(data)
     return out.select("video_id", "label", F.round("probability", 6).alias("probability"), "score_20",
                       F.lit(round(auc, 6)).alias("roc_auc"))

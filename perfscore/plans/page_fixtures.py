@@ -33,7 +33,9 @@ def _thumbnails():
 
 
 def _published():
-    return F.date_format("published_at", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    """The date as landed; one in 101 is no date."""
+    return F.when(_okey() % 101 == 0, F.lit("sometime")).otherwise(
+        F.date_format("published_at", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
 
 
 def _pages(items: DataFrame, keys) -> DataFrame:
@@ -84,20 +86,28 @@ def stats_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.when(k % 7 != 0, F.floor(vc / 10).cast("string")).alias("likeCount"),
                  F.floor(vc / 100).cast("string").alias("commentCount")).alias("statistics"),
         F.struct(F.col("duration").alias("duration")).alias("contentDetails")).alias("item"))
-    return _pages(items, [])
+    earlier = v.where((k % 9 != 0) & (k % 10 == 3)).select(k.alias("_k"), F.struct(
+        F.col("video_id").alias("id"),
+        F.struct(F.lit("1").alias("viewCount"), F.lit("1").alias("likeCount"), F.lit("1").alias("commentCount"))
+        .alias("statistics"),
+        F.struct(F.lit("PT1S").alias("duration")).alias("contentDetails")).alias("item"))
+    return (_pages(items, []).withColumn("landed_at", F.lit(2))
+            .unionByName(_pages(earlier, []).withColumn("landed_at", F.lit(1))))  # landed again since
 
 
 def channel_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer")
     item = F.struct(
         F.col("c_custkey").cast("string").alias("id"),
-        F.struct(F.when(F.col("c_acctbal") >= 0, F.floor("c_acctbal").cast("string"))
+        F.struct(F.when(F.col("c_custkey") % 41 == 5, F.lit("many"))
+                 .when(F.col("c_acctbal") >= 0, F.floor("c_acctbal").cast("string"))
                  .alias("subscriberCount")).alias("statistics"),
         F.struct(F.col("c_name").alias("title")).alias("snippet"))
     items = F.when(F.col("c_custkey") % 10 != 0, F.array(item)).otherwise(F.array().cast(
         "array<struct<id:string,statistics:struct<subscriberCount:string>,snippet:struct<title:string>>>"))
-    return c.select(F.col("c_custkey").cast("string").alias("channel_id"),
-                    F.to_json(F.struct(items.alias("items"))).alias("page"))
+    pages = c.select(F.col("c_custkey").cast("string").alias("channel_id"),
+                     F.to_json(F.struct(items.alias("items"))).alias("page"), F.lit(1).alias("landed_at"))
+    return pages.unionByName(pages.where(F.col("channel_id").cast("bigint") % 7 == 2))  # some channels landed twice
 
 
 def image_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ from perfscore.plans.common import enriched, scored, scored_cte, videos_raw
 from perfscore.plans.fixtures import annotations, fixture
 from perfscore.plans.label_keys import (SQL_BACKGROUND, SQL_COLOR, SQL_CONTRAST, SQL_EXPR_SERVE, _A)
 from perfscore.plans.registry import key
-from perfscore.plans.scoring_keys import LIFT_SQL, _flag_union
+from perfscore.plans.scoring_keys import RAW_LIFT_SQL, _flag_union
 from perfscore.session import apply_core_conf
 from perfscore.sources.embeddings import embedding_table
 from perfscore.sources.tables import read_table
@@ -155,8 +155,8 @@ def q_score_label(spark, sf_dir):
     return s.select("video_id", "thumbnail_score", score_label("thumbnail_score").alias("score_label"))
 
 
-@key("weights_v4", f", {scored_cte('niche')}, l AS ({_flag_union('performance_score', LIFT_SQL, 'lift')}) "
-     "SELECT feature, lift, round(20 * ln(lift) / sum(ln(lift)) OVER (), 6) AS points FROM l WHERE lift > 1", E)
+@key("weights_v4", f", {scored_cte('niche')}, l AS ({_flag_union('performance_score', RAW_LIFT_SQL, 'raw')}) "
+     "SELECT feature, round(raw, 6) AS lift, round(20 * ln(raw) / sum(ln(raw)) OVER (), 6) AS points FROM l WHERE raw > 1", E)
 def q_weights_v4(spark, sf_dir):
-    lift = st.feature_lift(scored(spark, sf_dir), analysis_flags(), "performance_score")
+    lift = st.feature_lift(scored(spark, sf_dir), analysis_flags(), "performance_score", digits=None)
     return pr.weights_from_lift(lift)

@@ -138,8 +138,10 @@ def _flag_union(value: str, expr: str, alias: str) -> str:
     return " UNION ALL ".join(parts)
 
 
-LIFT_SQL = "round(CASE WHEN {mo} = 0 THEN NULL ELSE {mw} / {mo} END, 6)"
-DIFF_SQL = "round({mw} - {mo}, 6)"
+RAW_LIFT_SQL = "CASE WHEN {mo} = 0 THEN NULL ELSE {mw} / {mo} END"
+RAW_DIFF_SQL = "{mw} - {mo}"
+LIFT_SQL = f"round({RAW_LIFT_SQL}, 6)"
+DIFF_SQL = f"round({RAW_DIFF_SQL}, 6)"
 
 
 @key("feature_lift", f", {scored_cte('niche')} " + _flag_union("performance_score", LIFT_SQL, "lift"), E)
@@ -152,9 +154,9 @@ def q_feature_diff(spark, sf_dir):
     return st.feature_diff(scored(spark, sf_dir), analysis_flags(), "perf_norm")
 
 
-@key("confound_flips", f", {scored_cte('niche')}, l AS ({_flag_union('performance_score', LIFT_SQL, 'lift')}), "
-     f"d AS ({_flag_union('perf_norm', DIFF_SQL, 'diff')}) "
-     "SELECT l.feature, l.lift, d.diff, (l.lift > 1) <> (d.diff > 0) AS flipped "
+@key("confound_flips", f", {scored_cte('niche')}, l AS ({_flag_union('performance_score', RAW_LIFT_SQL, 'lift')}), "
+     f"d AS ({_flag_union('perf_norm', RAW_DIFF_SQL, 'diff')}) "
+     "SELECT l.feature, round(l.lift, 6) AS lift, round(d.diff, 6) AS diff, (l.lift > 1) <> (d.diff > 0) AS flipped "
      "FROM l JOIN d ON l.feature = d.feature", E)
 def q_confound(spark, sf_dir):
     return st.confound_flips(scored(spark, sf_dir), analysis_flags(), "performance_score", "perf_norm")

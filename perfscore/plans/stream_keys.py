@@ -14,10 +14,10 @@ from perfscore.functions.video import MIN_VIEWS, as_of_literal, is_short, perfor
 from perfscore.operators.promote import promote_gate
 from perfscore.plans.common import SQL_PERF, enriched_perf, scored_cte
 from perfscore.plans.feature_keys import PROMOTE_SQL
-from perfscore.plans.fixtures import AS_OF, F_VIDEOS_RAW
+from perfscore.plans.fixtures import AS_OF, videos_from
 from perfscore.plans.ingest_keys import SQL_SHORT
 from perfscore.plans.registry import key
-from perfscore.session import apply_core_conf, scratch_path
+from perfscore.session import apply_core_conf, materialize, scratch_path
 from perfscore.sources.tables import read_table
 from perfscore.streaming.refresh import (GroupMoments, compact, file_stream, read_current,
                                          read_summed, run_available)
@@ -26,12 +26,9 @@ E = ("f_enriched",)
 N_BATCHES = 4
 
 
-def _videos_from_batch(batch, batch_id):
+def _videos_from_batch(batch, sf_dir):
     """One micro-batch of landed order rows → kept, scored video rows."""
-    spark = batch.sparkSession
-    view = f"orders_batch_{batch_id}"
-    batch.createOrReplaceTempView(view)
-    raw = spark.sql(F_VIDEOS_RAW.replace("FROM orders o", f"FROM {view} o"))
+    raw = videos_from(batch, read_table(batch.sparkSession, sf_dir, "customer"))
     kept = raw.where(~is_short("duration") & (F.col("view_count") >= MIN_VIEWS))
     return kept.withColumn("performance_score", performance_score(
         "view_count", "published_at", "subscriber_count", as_of_literal(AS_OF)))
@@ -43,11 +40,11 @@ def _videos_from_batch(batch, batch_id):
 def q_stream_ingest(spark, sf_dir):
     """File stream over the orders file → foreachBatch build → compacted merge-on-read table."""
     apply_core_conf(spark)
-    read_table(spark, sf_dir, "customer").createOrReplaceTempView("customer")
     schema = read_table(spark, sf_dir, "orders").schema
     stream = file_stream(spark, sf_dir, "orders.parquet", schema)
     target = scratch_path(spark, "videos_stream")
-    run_available(stream, _videos_from_batch, target, scratch_path(spark, "videos_stream_ckpt"))
+    run_available(stream, lambda batch, batch_id: _videos_from_batch(batch, sf_dir), target,
+                  scratch_path(spark, "videos_stream_ckpt"))
     compact(spark, target)
     return read_current(spark, target).select(
         "video_id", "channel_id", "channel_name", "published_at", "view_count", "duration",
@@ -57,7 +54,7 @@ def q_stream_ingest(spark, sf_dir):
 @key("zscore_incremental", f", {scored_cte('niche')} SELECT video_id, round(perf_norm, 6) AS z FROM scored", E)
 def q_zscore_incremental(spark, sf_dir):
     """Four hash batches merged into running moments; z equals the one-pass value."""
-    df = enriched_perf(spark, sf_dir).select("video_id", "niche", "performance_score").cache()
+    df = materialize(enriched_perf(spark, sf_dir).select("video_id", "niche", "performance_score"), "rows")
     part = F.pmod(F.xxhash64("video_id"), F.lit(N_BATCHES))
     moments = GroupMoments(spark, "performance_score", ["niche"], "niche_moments")
     for b in range(N_BATCHES):
@@ -105,12 +102,13 @@ def q_zscore_stream(spark, sf_dir):
     from perfscore.plans.fixtures import fixture
 
     apply_core_conf(spark)
-    read_table(spark, sf_dir, "customer").createOrReplaceTempView("customer")
-    labels = fixture(spark, sf_dir, "f_labels").select("video_id")
+    labels = fixture(spark, sf_dir, "f_labels").select(F.col("video_id").alias("image_id"))
+    n_images = labels.count()
     orders = file_stream(spark, sf_dir, "orders.parquet", read_table(spark, sf_dir, "orders").schema)
-    view = "orders_stream_z"
-    orders.createOrReplaceTempView(view)
-    rows = spark.sql(F_VIDEOS_RAW.replace("FROM orders o", f"FROM {view} o")).join(labels, "video_id")
+    rows = videos_from(orders, read_table(spark, sf_dir, "customer"))
+    number = F.col("video_id").cast("bigint")
+    rows = rows.withColumn("image_id", F.when(number % 5 > 0, (number % n_images).cast("string")))
+    rows = rows.join(labels, "image_id")
     rows = rows.withColumn("performance_score", performance_score(
         "view_count", "published_at", "subscriber_count", as_of_literal(AS_OF)))
     stats = (rows.where(F.col("niche").isNotNull()).groupBy("niche")
@@ -119,13 +117,15 @@ def q_zscore_stream(spark, sf_dir):
     target = scratch_path(spark, "niche_stats_stream")
 
     def write_state(batch, batch_id):
-        batch.write.mode("overwrite").parquet(target)
+        batch.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")  # a version per trigger
 
     q = (stats.writeStream.outputMode("complete").foreachBatch(write_state)
          .option("checkpointLocation", scratch_path(spark, "niche_stats_ckpt"))
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    table = small_side(spark.read.parquet(target).drop("n"))
+    versions = spark.read.parquet(target)
+    newest = versions.select(F.max("batch_id")).scalar()
+    table = small_side(versions.where(F.col("batch_id") == newest).drop("n", "batch_id"))
     df = enriched_perf(spark, sf_dir).select("video_id", "niche", "performance_score")
     out = df.join(table, "niche", "left").withColumn("z", zscore("performance_score", "_mean", "_std"))
     return out.select("video_id", F.round("z", 6).alias("z"))

@@ -1,8 +1,8 @@
 """Session settings and the shared scratch location.
 
-The library never picks a machine-local folder on its own: intermediate tables
-go under the cluster's shared ``spark.checkpoint.dir``.  Only when that is
-unset (tests, a laptop) do we fall back to a fresh folder under /tmp.
+Intermediate tables go under the cluster's shared ``spark.checkpoint.dir``.  Only on
+a local master (tests, a laptop), where driver and executors are one process, does an
+unset folder become a fresh one under /tmp; on a cluster it is an error.
 """
 
 from __future__ import annotations
@@ -58,6 +58,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="perfscore-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

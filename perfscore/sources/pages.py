@@ -14,6 +14,8 @@ from pyspark.sql import types as T
 
 from perfscore.functions.video import HIDDEN_TITLES, best_thumbnail, counter
 
+BROKEN_PAGE = "broken page"
+
 _URL = T.StructType([T.StructField("url", T.StringType())])
 THUMBNAILS = T.StructType([T.StructField(s, _URL) for s in ("maxres", "high", "medium", "default")])
 
@@ -63,11 +65,39 @@ CHANNEL_PAGE = T.StructType([
 
 
 def parse_iso_utc(col) -> F.Column:
-    """ISO-8601 text with ``Z`` → TIMESTAMP_NTZ wall clock in UTC (session zone UTC)."""
-    return F.to_timestamp(col).cast("timestamp_ntz")
+    """ISO-8601 text with ``Z`` → TIMESTAMP_NTZ wall clock in UTC (session zone UTC); unparsable → NULL."""
+    return F.try_to_timestamp(col).cast("timestamp_ntz")
+
+
+def _unparsed(text, parsed) -> F.Column:
+    """Whether a value was landed but could not be read."""
+    return text.isNotNull() & parsed.isNull()
+
+
+def broken_pages(pages: DataFrame, schema: T.StructType) -> DataFrame:
+    """Pages that are not JSON of the schema: their keys and an error (the run goes on)."""
+    marked = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
+    parsed = F.from_json("page", marked, {"columnNameOfCorruptRecord": "_corrupt"})
+    keys = [c for c in ("channel_id", "page_no") if c in pages.columns]
+    bad = pages.select(*keys, "page", parsed.alias("p")).where(
+        F.col("page").isNull() | F.col("p").isNull() | F.col("p._corrupt").isNotNull())
+    return bad.select(*keys, F.lit(BROKEN_PAGE).alias("error"))
+
+
+def latest_landing(rows: DataFrame, key: str) -> DataFrame:
+    """One row per key: the one landed last (``landed_at``); ties go to the greatest row.
+
+    A partial aggregate on the key that the rows are joined on next, so a record that was
+    landed again neither fans out nor costs a further shuffle.
+    """
+    rest = [c for c in rows.columns if c not in (key, "landed_at")]
+    at = F.col("landed_at") if "landed_at" in rows.columns else F.lit(0)
+    best = F.max(F.struct(at.alias("_at"), F.struct(*rest).alias("_row")))
+    return rows.groupBy(key).agg(best.alias("_best")).select(key, "_best._row.*")
 
 
 def _items(pages: DataFrame, schema: T.StructType, keep=("channel_id", "page_no")) -> DataFrame:
+    keep = (*keep, "landed_at")
     cols = [c for c in keep if c in pages.columns]
     parsed = pages.select(*cols, F.from_json("page", schema).alias("p"))
     return parsed.select(*cols, F.posexplode_outer("p.items").alias("pos", "item")).where(
@@ -82,7 +112,8 @@ def flatten_search_pages(pages: DataFrame) -> DataFrame:
         F.col("item.snippet.title").alias("title"),
         parse_iso_utc(F.col("item.snippet.publishedAt")).alias("published_at"),
         best_thumbnail(F.col("item.snippet.thumbnails")).alias("thumbnail_url"),
-        "channel_id", "page_no", "pos")
+        "channel_id", "page_no", "pos",
+        _unparsed(F.col("item.snippet.publishedAt"), parse_iso_utc(F.col("item.snippet.publishedAt"))).alias("bad_date"))
 
 
 def flatten_playlist_pages(pages: DataFrame) -> DataFrame:
@@ -93,7 +124,8 @@ def flatten_playlist_pages(pages: DataFrame) -> DataFrame:
         F.col("item.snippet.title").alias("title"),
         parse_iso_utc(F.col("item.snippet.publishedAt")).alias("published_at"),
         best_thumbnail(F.col("item.snippet.thumbnails")).alias("thumbnail_url"),
-        "channel_id", "page_no", "pos")
+        "channel_id", "page_no", "pos",
+        _unparsed(F.col("item.snippet.publishedAt"), parse_iso_utc(F.col("item.snippet.publishedAt"))).alias("bad_date"))
     return out.where(~F.coalesce(F.col("title").isin(*HIDDEN_TITLES), F.lit(False)))
 
 
@@ -109,19 +141,23 @@ def flatten_stats_pages(pages: DataFrame) -> DataFrame:
     for name in ("viewCount", "likeCount", "commentCount"):
         c = s[name].isNotNull() & s[name].try_cast("bigint").isNull()
         present_bad = c if present_bad is None else present_bad | c
-    return it.select(
-        F.col("item.id").alias("video_id"),
+    rows = it.select(
+        F.col("item.id").alias("video_id"), *[c for c in ("landed_at",) if c in it.columns],
         counter(s["viewCount"]).alias("view_count"),
         counter(s["likeCount"]).alias("like_count"),
         counter(s["commentCount"]).alias("comment_count"),
         F.coalesce(F.col("item.contentDetails.duration"), F.lit("")).alias("duration"),
         present_bad.alias("bad_counter"))
+    return latest_landing(rows, "video_id")
 
 
 def flatten_channel_pages(pages: DataFrame) -> DataFrame:
-    """Channel pages → channel_id, channel_name, subscriber_count (missing → 0)."""
+    """Channel pages → channel_id, channel_name, subscriber_count (missing → 0, unparsable → NULL)."""
     it = _items(pages, CHANNEL_PAGE, keep=())
-    return it.select(
-        F.col("item.id").alias("channel_id"),
+    count = F.col("item.statistics.subscriberCount")
+    bad = _unparsed(count, count.try_cast("bigint"))
+    rows = it.select(
+        F.col("item.id").alias("channel_id"), *[c for c in ("landed_at",) if c in it.columns],
         F.col("item.snippet.title").alias("channel_name"),
-        counter(F.col("item.statistics.subscriberCount")).alias("subscriber_count"))
+        F.when(~bad, counter(count)).alias("subscriber_count"), bad.alias("bad_subscribers"))
+    return latest_landing(rows, "channel_id")

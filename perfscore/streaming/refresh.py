@@ -60,13 +60,17 @@ def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     from pyspark.errors import AnalysisException
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
 def _latest_rows(df: DataFrame, key: str) -> DataFrame:
     cols = [c for c in df.columns if c not in (key, "batch_id")]
-    latest = df.groupBy(key).agg(F.max_by(F.struct(*cols), F.col("batch_id")).alias("_row"))
+    # versions of one batch tie on its number: the greatest row wins, in whatever order they came
+    best = F.max(F.struct(F.col("batch_id").alias("_at"), F.struct(*cols).alias("_row")))
+    latest = df.groupBy(key).agg(best.alias("_best")).select(key, "_best._row")
     return latest.select(key, "_row.*")
 
 

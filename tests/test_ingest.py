@@ -64,3 +64,37 @@ def test_candidate_reasons_and_audit(spark):
     assert [r.video_id for r in ig.error_rows(cand).collect()] == ["bad"]
     audit = {r.channel_id: (r.found, r.added, r.dropped) for r in ig.ingest_audit(cand).collect()}
     assert audit == {"c1": (5, 1, 4), "c9": (1, 0, 1)}
+
+
+def test_repeated_landings_give_one_row_the_last(spark):
+    import json
+
+    def page(views, at):
+        doc = {"items": [{"id": "a", "statistics": {"viewCount": str(views)}, "contentDetails": {"duration": "PT2M"}}]}
+        return json.dumps(doc), at
+
+    pages = spark.createDataFrame([page(5, 1), page(9, 3), page(7, 2)], "page string, landed_at int")
+    assert [(r.video_id, r.view_count) for r in pg.flatten_stats_pages(pages).collect()] == [("a", 9)]
+    images = spark.createDataFrame([("a", "a.png"), ("a", "a.jpg")], "video_id string, path string")
+    videos = spark.createDataFrame([("a", "http://x")], "video_id string, thumbnail_url string")
+    assert [r.thumbnail_path for r in ig.attach_thumbnail_path(videos, images).collect()] == ["a.jpg"]
+
+
+def test_broken_pages_dates_and_subscribers_become_errors(spark):
+    good = {"items": [{"id": {"videoId": "a"}, "snippet": {"title": "A", "publishedAt": "yesterday", "thumbnails": {}}}]}
+    pages = spark.createDataFrame([("c1", 0, json.dumps(good)), ("c1", 1, json.dumps(good)[:-4]), ("c1", 2, None)],
+                                  "channel_id string, page_no int, page string")
+    rows = pg.flatten_search_pages(pages).where("video_id is not null").collect()
+    assert [(r.video_id, r.published_at, r.bad_date) for r in rows][0] == ("a", None, True)
+    errors = pg.broken_pages(pages, pg.SEARCH_PAGE).collect()
+    assert sorted((r.page_no, r.error) for r in errors) == [(1, "broken page"), (2, "broken page")]
+    channel = {"items": [{"id": "c1", "statistics": {"subscriberCount": "many"}, "snippet": {"title": "C"}}]}
+    ch = pg.flatten_channel_pages(spark.createDataFrame([(json.dumps(channel),)], "page string")).first()
+    assert ch.subscriber_count is None and ch.bad_subscribers
+
+
+def test_a_large_cap_keeps_the_first_rows_of_a_large_channel(spark):
+    df = spark.range(5000).selectExpr("'c' as channel_id", "id div 50 as page_no", "id % 50 as pos", "id")
+    assert sorted(r.id for r in ig.cap_per_group(df, 2000).collect()) == list(range(2000))
+    plan = ig.cap_per_group(df, 2000)._jdf.queryExecution().executedPlan().toString()
+    assert "_salt" in plan

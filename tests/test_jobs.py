@@ -7,8 +7,6 @@ from perfscore import jobs
 from perfscore.plans import page_fixtures as pf
 from perfscore.plans.common import enriched
 from perfscore.plans.fixtures import AS_OF, annotations
-from perfscore.sources.embeddings import embedding_table
-from perfscore.sources.tables import read_table
 
 from conftest import SF_SMALL
 
@@ -33,7 +31,8 @@ def test_jobs_match_keys(spark):
     assert _same(rep["bands"], qs["score_bands_v5"](spark, SF_SMALL))
     assert _same(rep["correlations"], qs["pearson_pair"](spark, SF_SMALL))
 
-    emb = embedding_table(read_table(spark, SF_SMALL, "embeddings"))
+    from perfscore.plans.model_keys import _emb
+    emb = _emb(spark, SF_SMALL)
     tr = jobs.training_job(rep["scored"], emb, group="niche")
     assert tr["predictions"].count() > 0 and tr["metrics"].count() == 5
     lo, hi = tr["bounds"]

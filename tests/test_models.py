@@ -2,7 +2,7 @@
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
+from pyspark.ml.functions import array_to_vector
 
 from perfscore.functions.features import TAB_FEATURES
 from perfscore.operators import models as md
@@ -38,8 +38,7 @@ def test_assembler_order_and_save_load(spark):
              float(rng.normal())) for i in range(60)]
     schema = "video_id string, embedding array<double>, " + ", ".join(f"{c} double" for c in TAB_FEATURES) + ", y double"
     df = spark.createDataFrame(rows, schema)
-    emb = df.select("video_id", F.col("embedding").cast("array<float>").alias("embedding"))
-    data = md.model_input(df.drop("embedding", "y"), df.select("video_id", "y"), emb)
+    data = df.withColumn("emb", array_to_vector("embedding")).drop("embedding")
     assert md.assembler().getInputCols() == ["emb", *TAB_FEATURES]
     model = md.fit_final(data)
     path = md.save_model(model, scratch_path(spark, "model_test"))

@@ -33,8 +33,12 @@ def test_zscore_edges(groups):
 
 
 def test_aggregate_join_equals_window(groups):
+    from pyspark.sql import Window
+
     a = {r.video_id: r.z for r in st.zscore_within(groups, "x", "g").collect()}
-    w = {r.video_id: r.z for r in st.zscore_within_window(groups, "x", "g").collect()}
+    own = Window.partitionBy("g")
+    z = st.zscore("x", F.avg("x").over(own), F.stddev_samp("x").over(own))
+    w = {r.video_id: r.z for r in groups.withColumn("z", F.when(F.col("g").isNotNull(), z)).collect()}
     assert a.keys() == w.keys()
     for k in a:
         assert (a[k] is None and w[k] is None) or a[k] == pytest.approx(w[k])
@@ -212,15 +216,13 @@ def test_predictions_roundtrip_by_key(spark):
     assert back == {r.video_id: r.prediction for r in df.collect()}
 
 
-@pytest.mark.parametrize("buffer_max_rows", [1_000_000, 50])
-def test_exact_quantiles_both_paths_match_numpy(spark, buffer_max_rows):
+def test_exact_quantiles_match_numpy(spark):
     from perfscore.operators.quantiles import exact_quantiles
     rng = np.random.default_rng(3)
     rows = [("hot" if i % 3 else f"g{i % 7}", float(rng.normal())) for i in range(1500)]
     rows += [("one", 5.0), ("two", 1.0), ("two", 3.0), (None, 1.0), ("two", float("nan"))]
     df = spark.createDataFrame(rows, "g string, x double").repartition(5)
-    got = {r.g: r for r in exact_quantiles(df, "x", [0.25, 0.5, 0.75], ["g"],
-                                           buffer_max_rows=buffer_max_rows).collect()}
+    got = {r.g: r for r in exact_quantiles(df, "x", [0.25, 0.5, 0.75], ["g"]).collect()}
     groups = {}
     for g, x in rows:
         if g is not None and not np.isnan(x):
@@ -231,41 +233,68 @@ def test_exact_quantiles_both_paths_match_numpy(spark, buffer_max_rows):
         r = got[g]
         assert r.n == len(xs)
         assert [r.q_0_25, r.q_0_5, r.q_0_75] == pytest.approx(ref.tolist(), abs=1e-12)
-    whole = exact_quantiles(df, "x", [0.5], buffer_max_rows=buffer_max_rows).first()
+    whole = exact_quantiles(df, "x", [0.5]).first()
     assert whole.q_0_5 == pytest.approx(float(np.quantile([x for g, x in rows if not np.isnan(x)], 0.5)))
 
 
-def test_broadcast_only_within_bound(spark):
-    from perfscore.operators.joins import bounded_broadcast, small_side
+def test_sides_are_broadcast_by_their_bytes(spark):
+    from perfscore.operators.joins import lookup_join, small_side, stats_join
     big = spark.range(1000).withColumnRenamed("id", "k")
     dim = spark.range(20).withColumnRenamed("id", "k")
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # only explicit hints
-    try:
-        def plan(side):
-            return big.join(side, "k")._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" in plan(bounded_broadcast(dim, 100))
-        assert "BroadcastHashJoin" not in plan(bounded_broadcast(dim, 10))
-        assert "BroadcastHashJoin" in plan(small_side(dim, 100))
-        assert "BroadcastHashJoin" not in plan(small_side(dim, 10))
-        assert big.join(bounded_broadcast(dim, 10), "k").count() == 20
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-
-
-def test_stats_join_fallback_splits_hot_groups(spark):
-    from perfscore.operators import joins
     rows = [(f"v{i}", "hot" if i % 3 else f"g{i % 40}", float(i % 17)) for i in range(1200)] + [("vn", None, 1.0)]
     df = spark.createDataFrame(rows, "video_id string, g string, x double")
     stats = st.group_stats(df, "x", ["g"])
+    ref = {r.video_id: r._mean for r in df.join(stats, ["g"], "left").collect()}
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # only explicit hints
+    for threshold, wanted in (("10485760", "BroadcastHashJoin"), ("-1", "SortMergeJoin")):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            sided, joined = big.join(small_side(dim), "k"), stats_join(df, stats, ["g"])
+            assert all(wanted in d._jdf.queryExecution().executedPlan().toString() for d in (sided, joined))
+            assert sided.count() == lookup_join(big, dim, "k").count() == 20
+            assert {r.video_id: r._mean for r in joined.collect()} == ref
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
+
+
+def test_equal_values_do_not_pile_up_in_the_quantile_plan(spark):
+    from perfscore.operators import quantiles
+
+    df = spark.range(20_000).select(F.when(F.col("id") % 10 < 9, 7.0).otherwise(F.col("id") * 1.0).alias("x"))
+    kept = []
+    real = quantiles.materialize
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        joined = joins.stats_join(df, stats, ["g"], max_rows=5, hot_rows=100)
-        plan = joined._jdf.queryExecution().executedPlan().toString()
+        quantiles.materialize = lambda d, name: kept.append(real(d, name)) or kept[-1]
+        row = quantiles.exact_quantiles(df, "x", [0.5, 0.95]).first()
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
-    got = {r.video_id: r._mean for r in joined.collect()}
-    ref = {r.video_id: r._mean for r in df.join(stats, ["g"], "left").collect()}
-    assert got == ref and len(got) == len(rows)
+        quantiles.materialize = real
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    xs = [r.x for r in df.collect()]
+    assert (row.n, row.q_0_5) == (20_000, 7.0) and row.q_0_95 == pytest.approx(float(np.quantile(xs, 0.95)))
+    sizes = [r["count"] for r in kept[0].groupBy("_p").count().collect()]
+    assert max(sizes) <= 0.6 * sum(sizes) and sum(sizes) == 2001  # 18,000 equal rows are one
+    plan = quantiles.exact_quantiles(df, "x", [0.5])._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_empty_and_constant_inputs_give_null_not_an_error(spark):
+    from perfscore.operators import explore, features
+
+    df = spark.createDataFrame([("a", 2.0, True), ("b", 2.0, False)], "video_id string, x double, f boolean")
+    assert [r.score_20 for r in features.rescale_3sigma(df, "x").collect()] == [None, None]
+    assert explore.flag_stats(df.limit(0), ["f"]).first().pct_true is None
+
+
+def test_nan_ranks_last(spark):
+    df = spark.createDataFrame([("a", float("nan")), ("b", 1.0), ("c", None), ("d", 2.0)], "video_id string, x double")
+    assert [r.video_id for r in st.top_k(df, "x", 2).collect()] == ["d", "b"]
+    assert [r.video_id for r in st.top_k(df, "x", 2, ascending=True).collect()] == ["b", "d"]
+
+
+def test_a_flip_is_decided_before_rounding(spark):
+    rows = [("a", True, 1.02, 3e-7), ("b", False, 1.0, 0.0)]
+    df = spark.createDataFrame(rows, "video_id string, on boolean, raw double, norm double")
+    row = st.confound_flips(df, {"f": F.col("on")}, "raw", "norm").first()
+    assert (row.lift, row["diff"], row.flipped) == (1.02, 0.0, False)
