@@ -6,6 +6,7 @@ from perfscore.plans.registry import ORACLES, QUERIES
 def load_all() -> None:
     """Import every key module so that its keys register themselves."""
     from perfscore.plans import (  # noqa: F401
+        chain_keys,
         explore_keys,
         feature_keys,
         ingest_keys,
