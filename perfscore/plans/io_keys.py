@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from perfscore.functions.features import TAB_FEATURES
 from perfscore.operators.features import training_features
 from perfscore.plans.common import enriched, rule_scored
+from perfscore.plans.feature_keys import TRAIN_CTE
 from perfscore.plans.registry import key
 from perfscore.session import scratch_path
 from perfscore.sources import files as fl
@@ -33,10 +35,19 @@ def q_embedding_scan(spark, sf_dir):
     return emb.select("video_id", "dim", "valid", "label")
 
 
-@key("jsonl_instances", ", s AS (SELECT *, length(coalesce(texte_contenu, '')) AS tl FROM f_enriched) "
+# All values count: each one times its place, summed.
+_TAB_MARK = " + ".join(f"{i + 1} * {n}" for i, n in enumerate(TAB_FEATURES))
+
+
+def _mark(values):
+    placed = F.transform(values, lambda x, i: x.cast("double") * (i + 1))
+    return F.aggregate(placed, F.lit(0.0), lambda a, x: a + x)
+
+
+@key("jsonl_instances", TRAIN_CTE + ", s AS (SELECT * FROM feats) "
      "SELECT s.video_id, CAST(len(e.embedding) AS INT) AS dim, 20 AS n_tab, "
-     "CAST(e.embedding[1] AS DOUBLE) AS emb_first, CAST(coalesce(texte_present, false) AS DOUBLE) AS has_text "
-     "FROM s JOIN embeddings e ON s.video_id = CAST(e.vec_id AS VARCHAR)", E)
+     "round(list_sum(list_transform(e.embedding, lambda x, i: CAST(x AS DOUBLE) * i)), 6) AS emb_mark, "
+     f"round({_TAB_MARK}, 6) AS tab_mark FROM s JOIN embeddings e ON s.video_id = CAST(e.vec_id AS VARCHAR)", E)
 def q_jsonl_instances(spark, sf_dir):
     """Nested instances to JSON lines and back; rows re-keyed by id, not position."""
     feats = training_features(rule_scored(spark, sf_dir))
@@ -48,5 +59,5 @@ def q_jsonl_instances(spark, sf_dir):
     inst = F.col("instance")
     return back.select("video_id", F.size(inst["embedding"]).alias("dim"),
                        F.size(inst["tabular"][0]).alias("n_tab"),
-                       inst["embedding"][0].cast("double").alias("emb_first"),
-                       inst["tabular"][0][0].alias("has_text"))
+                       F.round(_mark(inst["embedding"]), 6).alias("emb_mark"),
+                       F.round(_mark(inst["tabular"][0]), 6).alias("tab_mark"))

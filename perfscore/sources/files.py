@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from perfscore.session import materialize
+
 # Admitted image types and the upload size limit.
 IMAGE_EXTENSIONS = ("jpg", "jpeg", "png", "webp")
 MAX_IMAGE_BYTES = 10 * 1024 * 1024
@@ -76,9 +78,20 @@ INSTANCE_SCHEMA = T.StructType([
 ])
 
 
+def json_lines(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """Rows of all JSON-lines files of a folder, and the lines that are not JSON of the schema."""
+    marked = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
+    parsed = spark.read.text(path).where(F.trim("value") != "").select(
+        "value", F.from_json("value", marked, {"columnNameOfCorruptRecord": "_corrupt"}).alias("r"))
+    broken = F.col("r").isNull() | F.col("r._corrupt").isNotNull()
+    good = parsed.where(~broken).select(*[F.col("r")[f.name].alias(f.name) for f in schema.fields])
+    return good, parsed.where(broken).select(F.col("value").alias("line"))
+
+
 def read_instances(spark: SparkSession, path: str, schema: T.StructType = INSTANCE_SCHEMA) -> DataFrame:
-    """All JSON-lines files of a folder, explicit schema; the key travels in each line."""
-    return spark.read.schema(schema).json(path)
+    """All JSON-lines files of a folder, explicit schema; the key travels in each line (``json_lines``
+    also gives the broken lines)."""
+    return json_lines(spark, path, schema)[0]
 
 
 PREDICTION_SCHEMA = T.StructType([
@@ -96,7 +109,7 @@ def write_predictions(df: DataFrame, path: str, key: str = "video_id", value: st
 
 def read_predictions(spark: SparkSession, path: str, key: str = "video_id") -> DataFrame:
     """Every output file of a prediction folder, re-keyed by id (never by position)."""
-    df = spark.read.schema(PREDICTION_SCHEMA).json(path)
+    df = json_lines(spark, path, PREDICTION_SCHEMA)[0]
     return df.select(F.col("video_id").alias(key), F.get(F.col("prediction"), 0).alias("prediction"))
 
 
@@ -137,46 +150,22 @@ def load_admitted_images(spark: SparkSession, folder: str, glob: str = "*",
                     "path", "length", "content"))
 
 
-def byte_histogram_embedder(dim: int = 64) -> Callable[[list[bytes]], list[list[float] | None]]:
-    """Deterministic stand-in for an image network: normalised byte histogram."""
-    import numpy as np
-
-    def embed(batch: list[bytes]) -> list[list[float] | None]:
-        out = []
-        for content in batch:
-            if not content:
-                out.append(None)
-                continue
-            arr = np.frombuffer(content, dtype=np.uint8)
-            hist = np.bincount(arr // (256 // dim), minlength=dim)[:dim].astype(np.float64)
-            out.append((hist / hist.sum()).astype(np.float32).tolist())
-        return out
-
-    return embed
-
-
 EMBED_SCHEMA = "video_id string, embedding array<float>, error string"
 
 
-ARROW_RECORDS_PER_BATCH = 256   # images per Arrow batch handed to the Python worker
+ARROW_RECORDS_PER_BATCH = 64   # images of at most 10 MB per Arrow batch: well below its 2 GB
 
 
-def embed_images(images: DataFrame, make_embedder: Callable[[], Callable] = byte_histogram_embedder,
+def embed_images(images: DataFrame, make_embedder: Callable[[], Callable],
                  batch_size: int = EMBED_BATCH,
                  records_per_arrow_batch: int = ARROW_RECORDS_PER_BATCH) -> DataFrame:
     """Batch embedding with ``mapInPandas``: the model is built once per task,
     images go through it in batches; an unreadable image gets a NULL vector and
     an error text instead of failing the task.
 
-    Image bytes are large, so the Arrow batch size handed to Python is bounded
-    (session setting ``spark.sql.execution.arrow.maxRecordsPerBatch``, lowered
-    here only if it is higher): worker memory stays at a few hundred images.
+    Image bytes are large, so the vectors are written here and now, under a lower
+    ``spark.sql.execution.arrow.maxRecordsPerBatch`` that is put back afterwards.
     """
-    spark = images.sparkSession
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    current = int(spark.conf.get(key, "10000"))
-    if current <= 0 or current > records_per_arrow_batch:
-        spark.conf.set(key, str(records_per_arrow_batch))
     def run(batches: Iterator) -> Iterator:
         import pandas as pd
         embed = make_embedder()
@@ -197,13 +186,19 @@ def embed_images(images: DataFrame, make_embedder: Callable[[], Callable] = byte
                             errors.append(None if v is not None else "unreadable")
                         except Exception as row_exc:  # noqa: BLE001
                             res.append(None)
-                            errors.append(str(row_exc)[:200] or type(exc).__name__)
+                            errors.append(str(row_exc) or type(exc).__name__)
                 ids.extend(i_ for i_, _ in chunk)
                 vecs.extend(res)
                 errs.extend(errors)
             yield pd.DataFrame({"video_id": ids, "embedding": vecs, "error": errs})
 
-    return images.select("video_id", "content").mapInPandas(run, EMBED_SCHEMA)
+    conf, setting = images.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(setting)
+    conf.set(setting, str(records_per_arrow_batch))
+    try:
+        return materialize(images.select("video_id", "content").mapInPandas(run, EMBED_SCHEMA), "embedded")
+    finally:
+        conf.set(setting, before)
 
 
 def missing_embeddings(images: DataFrame, existing: DataFrame) -> DataFrame:

@@ -16,6 +16,24 @@ from perfscore.sources import files as fl
 from perfscore.streaming.refresh import GroupMoments
 
 
+def byte_histogram_embedder(dim: int = 64) -> object:
+    """Deterministic stand-in for an image network: normalised byte histogram."""
+    import numpy as np
+
+    def embed(batch: list[bytes]) -> list[list[float] | None]:
+        out = []
+        for content in batch:
+            if not content:
+                out.append(None)
+                continue
+            arr = np.frombuffer(content, dtype=np.uint8)
+            hist = np.bincount(arr // (256 // dim), minlength=dim)[:dim].astype(np.float64)
+            out.append((hist / hist.sum()).astype(np.float32).tolist())
+        return out
+
+    return embed
+
+
 @pytest.fixture()
 def groups(spark):
     rows = [("a", 1.0), ("a", 2.0), ("a", 4.0), ("b", 3.0), ("c", 5.0), ("c", 5.0), (None, 7.0)]
@@ -177,7 +195,7 @@ def test_embed_images_pluggable(spark, image_dir):
     raw = spark.read.format("binaryFile").load(image_dir)
     imgs = raw.select(F.regexp_extract("path", r"([^/]+)\.[^.]+$", 1).alias("video_id"), "content")
     def make():
-        base = fl.byte_histogram_embedder()
+        base = byte_histogram_embedder()
 
         def embed(batch):
             if any(c.startswith(b"BAD") for c in batch):
@@ -196,7 +214,7 @@ def test_embed_images_pluggable(spark, image_dir):
 def test_load_admitted_images_then_embed(spark, image_dir):
     imgs = fl.load_admitted_images(spark, image_dir, max_bytes=500)
     assert sorted(r.video_id for r in imgs.collect()) == ["v2", "v4"]   # v1 too big, v3 gif
-    out = {r.video_id: r.error for r in fl.embed_images(imgs).collect()}
+    out = {r.video_id: r.error for r in fl.embed_images(imgs, byte_histogram_embedder).collect()}
     assert set(out) == {"v2", "v4"}
 
 
