@@ -28,9 +28,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perfscore.llm.common import boxed, let, materialize, split_words, unboxed, whole_text
+from perfscore.llm.common import boxed, let, materialize, split_words, unboxed, whole_text, with_struct
 
 WILDCARD = "<*>"
+#: Leaves are first looked up by their remainders; so many can be told apart.
+SLOTS = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -38,7 +40,7 @@ class TemplateTree:
     """Leading tokens of a path, share of fixed tokens a template needs, texts that make it recur."""
 
     leading: int = 3
-    similarity: float = 0.75
+    similarity: float = 0.8
     min_texts: int = 2
 
 
@@ -50,24 +52,30 @@ def masked_tokens(line: Column) -> Column:
 
 
 def _lines(docs: DataFrame, tree: TemplateTree) -> DataFrame:
-    """Lines with words: doc_id, text_key, line_no, tokens, leaf and line_key."""
+    """Lines with words: doc_id, text_key, line_no, line, leaf and line_key."""
     numbered = docs.select("doc_id", F.xxhash64(whole_text("text")).alias("text_key"),
                            F.posexplode(F.split(whole_text("text"), "\n")).alias("line_no", "line"))
-    tokens = numbered.select("doc_id", "text_key", "line_no",
-                             F.inline(F.array(F.struct(masked_tokens(F.col("line")).alias("tokens")))))
-    path = [F.size("tokens"), *[F.get("tokens", F.lit(i)) for i in range(tree.leading)]]
-    # a masked line's key: two hashes of different seeds, of which the leaf is a third
-    return tokens.where(F.size("tokens") > 0).select(
-        "*", F.xxhash64(*path).alias("leaf"), F.xxhash64(F.lit("line"), "tokens").alias("line_key"))
+
+    def keys(tokens):
+        path = [F.size(tokens), *[F.get(tokens, F.lit(i)) for i in range(tree.leading)]]
+        # a masked line's key is one hash, its leaf another one of a different seed
+        return F.struct(F.size(tokens).alias("n"), F.xxhash64(*path).alias("leaf"),
+                        F.xxhash64(F.lit("line"), tokens).alias("line_key"))
+
+    return with_struct(numbered, let(masked_tokens(F.col("line")), keys)).where("n > 0").drop("n")
 
 
 def _templates(lines: DataFrame, keyed: DataFrame, tree: TemplateTree) -> DataFrame:
     """leaf, line_key -> template, for lines that share a template with another line."""
     several = (keyed.groupBy("leaf").agg(F.min("line_key").alias("lo"), F.max("line_key").alias("hi"))
                .where("lo <> hi").select("leaf"))
-    inside = (lines.select("leaf", "line_key", "tokens").join(several, "leaf", "left_semi")
-              .dropDuplicates(["leaf", "line_key"])
-              .select("leaf", "line_key", F.size("tokens").alias("n"), F.posexplode("tokens").alias("place", "token"))
+    # lines of other leaves mostly go before the shuffle; the broadcast has at most SLOTS rows
+    slot = F.pmod("leaf", F.lit(SLOTS)).alias("slot")
+    near = lines.select("leaf", "line_key", "line", slot).join(
+        F.broadcast(several.select(slot).distinct()), "slot", "left_semi")
+    one = (near.join(several, "leaf", "left_semi")
+           .dropDuplicates(["leaf", "line_key"]).withColumn("tokens", masked_tokens(F.col("line"))))
+    inside = (one.select("leaf", "line_key", F.size("tokens").alias("n"), F.posexplode("tokens").alias("place", "token"))
               .where(F.col("token") != WILDCARD)
               .withColumn("token", F.xxhash64("token")))
     inside = materialize(inside, "line-tokens")
@@ -75,7 +83,7 @@ def _templates(lines: DataFrame, keyed: DataFrame, tree: TemplateTree) -> DataFr
     return (inside.join(fixed, ["leaf", "place", "token"], "left_semi")
             .groupBy("leaf", "line_key", "n")
             .agg(F.count(F.lit(1)).alias("n_fixed"), F.bit_xor(F.xxhash64("place", "token")).alias("fixed"))
-            .where(F.col("n_fixed") >= tree.similarity * F.col("n"))
+            .where(F.col("n_fixed") + 1e-9 >= tree.similarity * F.col("n"))
             .select("leaf", "line_key", F.xxhash64(F.lit("template"), "n_fixed", "fixed").alias("template")))
 
 
@@ -106,14 +114,15 @@ def drop_recurring_lines(docs: DataFrame, tree: TemplateTree | None = None) -> D
 def _marked(docs: DataFrame, tree: TemplateTree | None) -> DataFrame:
     """Boxed rows with n_lines, n_dropped, dropped and clean_text."""
     gone = recurring_lines(docs, tree).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "dropped")
-    keyed = boxed(docs, "doc_id", "text").withColumn("_own", F.xxhash64(whole_text("text")))
-    joined = keyed.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_key")), "left")
-    lines = F.split(whole_text("text"), "\n")
+    keyed = boxed(docs, F.col("doc_id").alias("_own_id"), F.xxhash64(whole_text("text")).alias("_own_key"))
+    joined = keyed.join(gone, F.col("_own_id").eqNullSafe(F.col("_id")) & (F.col("_own_key") == F.col("_key")), "left")
+    text = F.col("_all")["text"]  # the text moves once, within its row
+    lines = F.split(whole_text(text), "\n")
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "dropped")
-    clean = F.when(F.col("dropped").isNull(), F.col("text")).otherwise(
+    clean = F.when(F.col("dropped").isNull(), text).otherwise(
         let(lines, lambda x: F.array_join(F.transform(left, lambda i: F.get(x, i)), "\n")))
     return joined.select(
-        "_all", "text", F.size(lines).cast("long").alias("n_lines"),
+        "_all", F.size(lines).cast("long").alias("n_lines"),
         F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"),
         F.coalesce(F.sort_array("dropped"), F.array().cast("array<int>")).alias("dropped"),
         clean.alias("clean_text"))

@@ -93,7 +93,7 @@ places AS (SELECT leaf, w, generate_subscripts(w, 1) AS p, unnest(w) AS x
            FROM (SELECT DISTINCT leaf, w FROM lines WHERE leaf IN (SELECT leaf FROM several))),
 marked AS (SELECT leaf, w, p, x, count(*) OVER (PARTITION BY leaf, p, x) AS n FROM places WHERE x <> '<*>'),
 known AS (SELECT leaf, w, list([p::VARCHAR, x] ORDER BY p) AS template FROM marked WHERE n > 1
-          GROUP BY leaf, w HAVING count(*) >= 0.75 * len(w)),
+          GROUP BY leaf, w HAVING 10 * count(*) >= 8 * len(w)),
 templated AS (SELECT doc_id, t, k, leaf, coalesce(template, [w]) AS template
               FROM lines LEFT JOIN known USING (leaf, w)),
 texts AS (SELECT leaf, template, t, min(doc_id) AS first FROM templated GROUP BY ALL),
