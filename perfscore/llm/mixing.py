@@ -51,10 +51,9 @@ def shares_of(weights: dict, period: int) -> dict:
     left = period - sum(shares.values())
     for s in order[:max(0, left)]:
         shares[s] += 1
-    while (left := period - sum(shares.values())) < 0:  # many tiny sources: the largest give way
-        for s in sorted(shares, key=lambda s: (ideal[s] - shares[s], str(s)))[:-left]:
-            if shares[s] > 1:
-                shares[s] -= 1
+    for _ in range(-left):  # many tiny sources: the ones furthest above their ideal give way
+        s = max((s for s in order if shares[s] > 1), key=lambda s: shares[s] - ideal[s])
+        shares[s] -= 1
     return shares
 
 
