@@ -72,9 +72,9 @@ def probe_sets(hashes: int, probes: int) -> list[tuple[int, ...]]:
     return out
 
 
-def _bucket_keys(cells: np.ndarray, table: int) -> np.ndarray:
-    """One 64-bit key for each row of hash values."""
-    key = np.full(len(cells), table + 1, np.uint64)
+def _bucket_keys(cells: np.ndarray, table: int, dim: int) -> np.ndarray:
+    """One 64-bit key for each row of hash values; vectors of different lengths share none."""
+    key = np.full(len(cells), (dim << 16) + table + 1, np.uint64)
     for column in cells.T:
         key = (key ^ column.astype(np.int64).view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
         key ^= key >> np.uint64(29)
@@ -108,10 +108,10 @@ def _hash(spec: Tables, greatest: dict[int, float]):
                 probed = np.empty((len(ask), spec.tables, len(sets)), np.int64)
                 for t in range(spec.tables):
                     place = (x @ a[t, :, :dim].T + extra[:, None] * a[t, :, dim]) / (spec.width * most) + shift[t]
-                    own[rows, t] = _bucket_keys(np.floor(place), t)
+                    own[rows, t] = _bucket_keys(np.floor(place), t, dim)
                     place = q @ a[t, :, :dim].T / spec.width + shift[t]
                     base = np.floor(place).astype(np.int64)
-                    probed[:, t] = _visits(base, place - base, members, t)
+                    probed[:, t] = _visits(base, place - base, members, t, dim)
                 for k, row in enumerate(ask):
                     visits[row] = probed[k].ravel()
             yield pa.RecordBatch.from_arrays(
@@ -120,7 +120,8 @@ def _hash(spec: Tables, greatest: dict[int, float]):
     return run
 
 
-def _visits(base: np.ndarray, inside: np.ndarray, members: np.ndarray, table: int) -> np.ndarray:
+def _visits(base: np.ndarray, inside: np.ndarray, members: np.ndarray, table: int,
+            dim: int) -> np.ndarray:
     """Keys of the buckets that each query visits, best first (rows: queries)."""
     queries, m = base.shape
     walls = np.concatenate([inside, 1 - inside], axis=1)  # to the lower and to the upper wall
@@ -131,7 +132,7 @@ def _visits(base: np.ndarray, inside: np.ndarray, members: np.ndarray, table: in
         for rank in own[own >= 0]:
             wall = order[:, rank]
             cell[np.arange(queries), wall % m] += np.where(wall < m, -1, 1)
-        out[:, p] = _bucket_keys(cell, table)
+        out[:, p] = _bucket_keys(cell, table, dim)
     return out
 
 

@@ -11,15 +11,15 @@ def dropped(rows, doc):
 
 
 def test_variable_fields_are_generalised(spark):
-    rows = run(spark, [(1, "Order 17 was sent to Paris by plane today.\nOwn line of one."),
-                       (2, "Order 23 was sent to Paris by plane today.\nOwn line of two."),
+    rows = run(spark, [(1, "Order 17 was sent to Paris by plane today.\nThis is unlike."),
+                       (2, "Order 23 was sent to Paris by plane today.\nQuite another one here."),
                        (3, "Dear customer please send Anna the final bill soon."),
                        (4, "Dear customer please send Bert the final bill soon."),
                        (5, "Dear customer please note this is unlike all others.")])
     assert dropped(rows, 1) == [] and dropped(rows, 2) == [0]  # digits
     assert dropped(rows, 3) == [] and dropped(rows, 4) == [0]  # a word that differs
     assert dropped(rows, 5) == []
-    assert rows[2, "Order 23 was sent to Paris by plane today.\nOwn line of two."].clean_text == "Own line of two."
+    assert rows[2, "Order 23 was sent to Paris by plane today.\nQuite another one here."].clean_text == "Quite another one here."
 
 
 def test_lines_of_other_lengths_or_leads_are_other_templates(spark):
@@ -58,7 +58,8 @@ def test_odd_documents(odd, none):
     for r in rows:
         by.setdefault(r.doc_id, []).append(r)
     line = by[9][0].text
-    assert [list(r.dropped) for r in by[7]] == [[0, 1], [0, 1]]  # the null doc_id counts as the smallest
+    assert [list(r.dropped) for r in by[7]] == [[], []]  # copies of the null doc_id's text, the first of all
+    assert list(by[6][0].dropped) == [0] and by[6][0].clean_text == "other words here."
     assert all(not r.dropped for r in by[None]) and by[1][0].clean_text is None and by[2][0].clean_text == ""
     assert by[9][0].clean_text == "" and by[10][0].clean_text == "" and line.startswith("The quick")
     kept = d.without_recurring_lines(odd)
