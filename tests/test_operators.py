@@ -16,22 +16,26 @@ from perfscore.sources import files as fl
 from perfscore.streaming.refresh import GroupMoments
 
 
-def byte_histogram_embedder(dim: int = 64) -> object:
-    """Deterministic stand-in for an image network: normalised byte histogram."""
-    import numpy as np
+@pytest.fixture
+def byte_histogram_embedder():
+    def make(dim: int = 64):
+        """Deterministic stand-in for an image network: normalised byte histogram."""
+        import numpy as np
+
+        def embed(batch: list[bytes]) -> list[list[float] | None]:
+            out = []
+            for content in batch:
+                if not content:
+                    out.append(None)
+                    continue
+                arr = np.frombuffer(content, dtype=np.uint8)
+                hist = np.bincount(arr // (256 // dim), minlength=dim)[:dim].astype(np.float64)
+                out.append((hist / hist.sum()).astype(np.float32).tolist())
+            return out
 
-    def embed(batch: list[bytes]) -> list[list[float] | None]:
-        out = []
-        for content in batch:
-            if not content:
-                out.append(None)
-                continue
-            arr = np.frombuffer(content, dtype=np.uint8)
-            hist = np.bincount(arr // (256 // dim), minlength=dim)[:dim].astype(np.float64)
-            out.append((hist / hist.sum()).astype(np.float32).tolist())
-        return out
+        return embed
 
-    return embed
+    return make
 
 
 @pytest.fixture()
@@ -191,7 +195,7 @@ def test_scan_admit_attach(spark, image_dir):
     assert got["v1"].endswith("v1.jpg") and got["v2"] is None and got["v9"] is None
 
 
-def test_embed_images_pluggable(spark, image_dir):
+def test_embed_images_pluggable(spark, image_dir, byte_histogram_embedder):
     raw = spark.read.format("binaryFile").load(image_dir)
     imgs = raw.select(F.regexp_extract("path", r"([^/]+)\.[^.]+$", 1).alias("video_id"), "content")
     def make():
@@ -211,7 +215,7 @@ def test_embed_images_pluggable(spark, image_dir):
     assert sorted(r.video_id for r in fl.missing_embeddings(imgs, existing).collect()) == ["v2", "v3", "v4"]
 
 
-def test_load_admitted_images_then_embed(spark, image_dir):
+def test_load_admitted_images_then_embed(spark, image_dir, byte_histogram_embedder):
     imgs = fl.load_admitted_images(spark, image_dir, max_bytes=500)
     assert sorted(r.video_id for r in imgs.collect()) == ["v2", "v4"]   # v1 too big, v3 gif
     out = {r.video_id: r.error for r in fl.embed_images(imgs, byte_histogram_embedder).collect()}
