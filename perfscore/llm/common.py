@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -69,6 +69,13 @@ def same(left: DataFrame, right: DataFrame, columns: Iterable[str]) -> Column:
     return cond
 
 
+def in_slices(batches: Iterator, rows: int = 1000) -> Iterator:
+    """Arrow batches in smaller ones, so that what is worked out from one stays small."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 _shipped: set[str] = set()
 
 
@@ -125,5 +132,5 @@ def ranked(df: DataFrame, group: list[str], order: list[str], spread: Column, na
             .drop("_salt", "_before", "_in_part", *[f"_o_{k}" for k in keys]))
 
 
-__all__ = ["WORD_GAP", "boxed", "let", "materialize", "numbered_table", "ranked", "same", "ship_package", "split_words", "table", "unboxed",
+__all__ = ["WORD_GAP", "boxed", "in_slices", "let", "materialize", "numbered_table", "ranked", "same", "ship_package", "split_words", "table", "unboxed",
            "whole_text", "with_struct"]

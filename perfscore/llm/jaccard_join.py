@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from perfscore.llm.common import boxed, materialize, ship_package, split_words, unboxed, whole_text
+from perfscore.llm.common import boxed, in_slices, materialize, ship_package, split_words, unboxed, whole_text
 from perfscore.llm.components import connected_components
 
 #: Rows that a band holds; bands follow from the recall.
@@ -85,7 +85,7 @@ def _signatures(spec: Bands):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rng = np.random.default_rng(spec.seed)
         factors = rng.integers(1, 2 ** 63, spec.bands * spec.rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        for b in batches:
+        for b in in_slices(batches):
             sets = [ngram_set(w, spec.words) for w in _word_arrays(b.column("words"))]
             sizes = np.array([len(s) for s in sets], np.int64)
             n = len(sets)
@@ -112,7 +112,7 @@ def _signatures(spec: Bands):
 
 def _word_arrays(column: pa.ListArray) -> list[np.ndarray]:
     """The rows of a list column, without copies."""
-    at = column.offsets.to_numpy()
+    at = column.offsets.to_numpy()  # a slice keeps its whole batch's values
     values = column.values.to_numpy()
     return [values[a:z] for a, z in zip(at[:-1], at[1:])]
 

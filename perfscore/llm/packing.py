@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perfscore.llm.common import materialize, ship_package
+from perfscore.llm.common import in_slices, materialize, ship_package
 from perfscore.llm.tokens import END, crc32, encoder, vocabulary
 
 CAPACITY = 2048
@@ -89,7 +89,7 @@ def _pieces(path: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path).encode_batch
         end = np.array([END], np.uint32)
-        for b in batches:
+        for b in in_slices(batches, 2500):
             rows = []
             for doc, ids in enumerate(encode(b.column("text").to_pylist())):
                 ids = np.concatenate([ids, end])

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perfscore.llm.common import ship_package
+from perfscore.llm.common import in_slices, ship_package
 
 FEATURES = ("log_words", "word_length", "symbols", "marks", "exclamations", "upper", "digits", "different_words",
             "repeated_words", "different_lines", "log_line_length", "bars", "sentence_ends")
@@ -207,7 +207,7 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in in_slices(batches):
         x = text_features(b.column("text").to_pylist())
         yield pa.RecordBatch.from_arrays([b.column("label"), pa.array(list(x), pa.list_(pa.float64()))], ["label", "x"])
 
@@ -229,7 +229,7 @@ def train_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", sp
 
 def _score_rows(model: AdditiveModel):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in in_slices(batches):
             score = model.scores(text_features(b.column("text").to_pylist()))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array(score)],
                                              ["doc_id", "held_out", "score"])
