@@ -87,11 +87,11 @@ def best_two_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
 
 def _pieces(path: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path).encode_batch
+        encode = encoder(path).encode_column
         end = np.array([END], np.uint32)
         for b in in_slices(batches, 2500):
             rows = []
-            for doc, ids in enumerate(encode(b.column("text").to_pylist())):
+            for doc, ids in enumerate(encode(b.column("text"))):
                 ids = np.concatenate([ids, end])
                 rows += [(doc, k, s, n, crc32(ids[s:s + n])) for k, (s, n) in enumerate(cut(len(ids), capacity))]
             doc, piece, start, length, crc = zip(*rows) if rows else [()] * 5

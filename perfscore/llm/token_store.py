@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from perfscore.llm.common import ship_package
+from perfscore.llm.common import in_slices, ship_package
 from perfscore.llm.tokens import END, crc32, encoder, vocabulary
 
 MAGIC = b"RPR1"
@@ -41,7 +41,7 @@ SHARD_IDS = 1 << 18
 #: A pair must occur so often in a shard to be worth a rule.
 MIN_COUNT = 48
 #: A round replaces the pairs that occur at least 1 / LIKE as often as the most frequent one.
-LIKE = 64
+LIKE = 16
 SLOTS = 16  # bits of the counting table that finds the pairs worth an exact count
 
 
@@ -89,13 +89,23 @@ def re_pair(ids: np.ndarray, base: int, min_count: int = MIN_COUNT) -> tuple[np.
     return np.concatenate([*rules, np.empty((0, 2), np.uint32)]), seq
 
 
+def _layers(rules: np.ndarray, base: int) -> Iterator[tuple[int, int]]:
+    """Runs of rules that name only symbols known before the run."""
+    newest, lo = rules.astype(np.int64).max(axis=1, initial=0) - base, 0
+    while lo < len(rules):
+        later = np.flatnonzero(newest[lo:] >= lo)
+        hi = lo + int(later[0]) if len(later) else len(rules)
+        yield lo, hi
+        lo = hi
+
+
 def pack_block(docs: list[np.ndarray], base: int, min_count: int = MIN_COUNT) -> bytes:
     """The block of a shard's documents."""
     ids = np.concatenate(docs)
     rules, seq = re_pair(ids, base, min_count)
     lengths = np.ones(base + len(rules), np.uint32)
-    for k, (left, right) in enumerate(rules.tolist()):
-        lengths[base + k] = lengths[left] + lengths[right]
+    for lo, hi in _layers(rules, base):
+        lengths[base + lo:base + hi] = lengths[rules[lo:hi]].sum(axis=1)
     starts = np.concatenate([[0], np.cumsum([len(d) for d in docs])])
     return b"".join([MAGIC, struct.pack("<4I", base, len(rules), len(seq), len(docs)),
                      rules.astype("<u4").tobytes(), lengths[base:].astype("<u4").tobytes(),
@@ -125,22 +135,26 @@ class Block:
         self._symbol_len = np.concatenate([np.ones(self.base, np.int64), self._lengths.astype(np.int64)])
         self._flat: np.ndarray | None = None
 
-    def _expansions(self) -> tuple[np.ndarray, np.ndarray]:
-        """All symbols' ids end to end, and where each symbol's begin."""
+    def _expansions(self) -> None:
+        """Work out all symbols' ids end to end, and where each symbol's begin."""
         if self._flat is None:
-            parts: list[np.ndarray] = []
-            for left, right in self._rules.tolist():
-                parts.append(np.concatenate([
-                    parts[x - self.base] if x >= self.base else np.array([x], np.uint32) for x in (left, right)]))
-            self._flat = np.concatenate([np.arange(self.base, dtype=np.uint32), *parts])
             self._from = np.cumsum(self._symbol_len) - self._symbol_len
-        return self._flat, self._from
+            self._flat = np.empty(int(self._symbol_len.sum()), np.uint32)
+            self._flat[:self.base] = np.arange(self.base, dtype=np.uint32)
+            for lo, hi in _layers(self._rules, self.base):
+                ids = self._gather(self._rules[lo:hi].ravel())
+                at = int(self._from[self.base + lo])
+                self._flat[at:at + len(ids)] = ids
+
+    def _gather(self, symbols: np.ndarray) -> np.ndarray:
+        n = self._symbol_len[symbols]
+        index = np.repeat(self._from[symbols] - (np.cumsum(n) - n), n)
+        index += np.arange(len(index))
+        return self._flat[index]
 
     def _expand(self, symbols: np.ndarray) -> np.ndarray:
-        flat, begin = self._expansions()
-        n = self._symbol_len[symbols]
-        index = np.repeat(begin[symbols] - (np.cumsum(n) - n), n)
-        return flat[index + np.arange(len(index))]
+        self._expansions()
+        return self._gather(symbols)
 
     def all_ids(self) -> np.ndarray:
         """The shard's ids, end to end."""
@@ -166,14 +180,14 @@ def _shards(path: str, shard_ids: int):
         held = 0
 
         def block() -> pa.RecordBatch:
-            data = pack_block(docs, len(tokens.starts_with_space))
+            data = pack_block(docs, tokens.size)
             return pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int64()), pa.array([number], pa.int64()), pa.array([held], pa.int64()),
                  pa.array([names], pa.list_(pa.int64())), pa.array([data], pa.binary())],
                 ["part", "number", "n_ids", "doc_ids", "block"])
 
-        for b in batches:
-            encoded = tokens.encode_batch(b.column("text").to_pylist())
+        for b in in_slices(batches, 2500):
+            encoded = tokens.encode_column(b.column("text"))
             for name, ids in zip(b.column("doc_id").to_pylist(), encoded):
                 docs.append(np.concatenate([ids, end]))
                 names.append(name)
@@ -197,19 +211,21 @@ def write_tokens(docs: DataFrame, target: str, path: str | None = None, shard_id
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        for before, names, data in zip(b.column("before").to_pylist(), b.column("doc_ids"), b.column("block")):
+        for k, (names, data) in enumerate(zip(b.column("doc_ids"), b.column("block"))):
             block = Block(data.as_py())
             ids, at = block.all_ids(), block.starts
             crcs = [crc32(ids[a:z]) for a, z in zip(at[:-1], at[1:])]
+            shard = [b.column(c).slice(k, 1).take(pa.array(np.zeros(block.docs, np.int64))) for c in ("part", "number")]
             yield pa.RecordBatch.from_arrays(
-                [names.values, pa.array(before + at[:-1]), pa.array(np.diff(at)), pa.array(crcs, pa.int64())],
-                ["doc_id", "start", "n_tokens", "ids_crc32"])
+                [*shard, names.values, pa.array(at[:-1]), pa.array(np.diff(at)), pa.array(crcs, pa.int64())],
+                ["part", "number", "doc_id", "inside", "n_tokens", "ids_crc32"])
 
 
 def read_tokens(spark: SparkSession, source: str) -> DataFrame:
     """Per document of the files: doc_id, start, n_tokens, ids_crc32.
 
-    Shard offsets are summed over the write's parts first, then within each part.
+    Blocks are decoded where they lie; only the documents' numbers meet the shards'
+    offsets, which are summed over the write's parts first and then within each part.
     """
     ship_package(spark)
     shards = spark.read.parquet(source)
@@ -219,5 +235,7 @@ def read_tokens(spark: SparkSession, source: str) -> DataFrame:
     inside = Window.partitionBy("part").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (shards.select("part", "number", F.coalesce(F.sum("n_ids").over(inside), F.lit(0)).alias("in_part"))
                .join(parts, "part").select("part", "number", (F.col("part_start") + F.col("in_part")).alias("before")))
-    return (shards.join(offsets, ["part", "number"]).select("before", "doc_ids", "block")
-            .mapInArrow(_documents, "doc_id long, start long, n_tokens long, ids_crc32 long"))
+    docs = shards.select("part", "number", "doc_ids", "block").mapInArrow(
+        _documents, "part long, number long, doc_id long, inside long, n_tokens long, ids_crc32 long")
+    return docs.join(offsets, ["part", "number"]).select(
+        "doc_id", (F.col("before") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")

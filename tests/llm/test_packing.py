@@ -32,7 +32,7 @@ def test_documents_and_a_full_memory_give_the_library_ids(documents, monkeypatch
     from perfscore.llm import tokens
 
     monkeypatch.setattr(tokens, "REMEMBERED", 500)
-    monkeypatch.setattr(tokens, "GROUP_CHARS", 20_000)
+    monkeypatch.setattr(tokens, "GROUP_BYTES", 20_000)
     texts = [r.text for r in documents.limit(80).collect()]
     e = Encoder(vocabulary())
     assert [x.tolist() for x in e.encode_batch(texts)] == [PLAIN.encode(x, add_special_tokens=False).ids for x in texts]
