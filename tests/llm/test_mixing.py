@@ -67,3 +67,43 @@ def test_odd_documents(odd, none):
     mixed = m.mixed_documents(odd, block_docs=2)
     assert mixed.dtypes == odd.dtypes and mixed.count() == len(rows)
     assert m.mix_sources(none).count() == 0 == m.mixed_documents(none).count()
+
+
+def off_by(sources, weights, steps):
+    """How far any source is from its exact share at any slot, in blocks."""
+    total, given = sum(map(Fraction, weights.values())), dict.fromkeys(sources, 0)
+    worst = 0
+    for t, (k, block, slot, release, deadline) in enumerate(steps):
+        assert slot == t and block == given[sources[k]] and release <= slot < deadline
+        given[sources[k]] += 1
+        if t % 97 == 0:
+            worst = max(worst, *(abs(given[s] - Fraction(weights[s]) * (t + 1) / total) for s in sources))
+    worst = max(worst, *(abs(given[s] - Fraction(weights[s]) * sum(given.values()) / total) for s in sources))
+    return worst, given
+
+
+def test_a_tiny_source_is_given_at_its_exact_weight():
+    rows = {f"big{i:02}": 20_000 for i in range(19)} | {"tiny": 10}
+    weights = {s: 1.0 for s in rows} | {"tiny": 1e-4}
+    names = sorted(rows)
+    steps = list(m.mix_blocks([rows[s] for s in names], m.exact_shares(weights), 16, "all_exhausted"))
+    worst, given = off_by(names, weights, steps)
+    assert worst < 1 and given["tiny"] == 1 and given["big00"] >= 1250
+
+
+def test_weights_count_with_more_than_a_thousand_sources(spark):
+    rows = {f"s{i:04}": 3 for i in range(1100)} | {"hot": 1650}
+    data = [(s, i) for s, n in rows.items() for i in range(n)]
+    docs = spark.createDataFrame([(n, s) for n, (s, _) in enumerate(data)], "doc_id long, source string")
+    weights = {s: float(n) for s, n in rows.items()}
+    mix = m.mix_sources(docs, weights, block_docs=1).collect()
+    names = sorted(rows)
+    steps = [(names.index(r.source), r.block, r.slot, r.release, r.deadline) for r in sorted(mix, key=lambda r: r.slot)]
+    worst, given = off_by(names, weights, steps)
+    assert worst < 1 and {r.doc_id for r in mix} == set(range(len(data)))
+    assert len(mix) < 1.001 * len(data)  # uniform shares would give every small source 1650 times
+
+
+def test_weights_must_be_positive(docs):
+    with pytest.raises(ValueError, match="must be positive"):
+        m.mix_sources(docs, {"hot": 1, "s0": 0, "s1": 1, "s2": 1})
