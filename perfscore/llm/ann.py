@@ -2,7 +2,9 @@
 
 Largest inner products are nearest neighbours once each vector gets one more
 component, sqrt(M^2 - |x|^2) with M the greatest length (and 0 for a query scaled to
-length M).  Each table hashes a vector to floor((a.x + b) / w) for a few Gaussian a.
+length M).  Vectors are split into classes of about equal length, each with an M and
+buckets of its own, so that long vectors do not squeeze short ones together; a query
+probes all classes.  Each table hashes a vector to floor((a.x + b) / w) for a few Gaussian a.
 A query visits its own bucket and perturbed ones, in the order of their estimated
 success: perturbation sets are ordered by the expected squared distances to the bucket
 walls, and mapped to each query's own walls.  The candidates of all tables are merged
@@ -10,11 +12,13 @@ and ranked by the exact inner product of the original vectors.
 
 Buckets are dealt to cells of bounded size; a bucket beyond that is split over several
 cells, and a query goes to all of them.  A cell returns each query's best ``k`` alone.
+Queries that find fewer than ``k``, and fewer than there are, are compared with all
+vectors, in blocks.
 
 Defined results for odd input: vectors that are null, empty, zero or hold a null or
 non-finite component take no part, nor do rows without a vec_id; of rows that repeat a
 vec_id the smallest vector counts; vectors of different lengths are not compared; a
-query with fewer candidates than ``k`` gets all that it finds; ties go to the smaller
+query gets fewer than ``k`` only if there are fewer other vectors; ties go to the smaller
 vec_id; an empty table gives an empty table; other columns are not read.
 """
 
@@ -30,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from perfscore.llm.common import materialize, ship_package
+from perfscore.llm.common import in_slices, materialize, ship_package
 
 
 #: Pairs of query and candidate that a task compares at a time.
@@ -39,7 +43,7 @@ PAIRS = 200_000
 
 @dataclass(frozen=True)
 class Tables:
-    """Hash tables, hashes of a table, bucket width (in greatest lengths), buckets a query visits."""
+    """Hash tables, hashes of a table, bucket width (in a class's greatest lengths), buckets a query visits of a class."""
 
     tables: int = 5
     hashes: int = 8
@@ -72,24 +76,36 @@ def probe_sets(hashes: int, probes: int) -> list[tuple[int, ...]]:
     return out
 
 
-def _bucket_keys(cells: np.ndarray, table: int, dim: int) -> np.ndarray:
-    """One 64-bit key for each row of hash values; vectors of different lengths share none."""
-    key = np.full(len(cells), (dim << 16) + table + 1, np.uint64)
+def length_classes(octaves: list[tuple[float, float]]) -> list[float]:
+    """Greatest length of each class, descending, from each octave's least and greatest length.
+
+    An octave joins the class before it while no length falls below half of that class's greatest.
+    """
+    out: list[float] = []
+    for least, most in sorted(octaves, key=lambda o: -o[1]):
+        if not out or least < out[-1] / 2:
+            out.append(most * (1 + 1e-12))
+    return out
+
+
+def _bucket_keys(cells: np.ndarray, table: int, dim: int, kind: np.ndarray | int = 0) -> np.ndarray:
+    """One 64-bit key for each row of hash values; vectors of other dimensions or length classes share none."""
+    key = np.full(len(cells), (dim << 16) + table + 1, np.uint64) + (np.uint64(1 << 48) * np.asarray(kind, np.uint64))
     for column in cells.T:
         key = (key ^ column.astype(np.int64).view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
         key ^= key >> np.uint64(29)
     return key.view(np.int64)
 
 
-def _hash(spec: Tables, greatest: dict[int, float]):
+def _hash(spec: Tables, classes: dict[int, list[float]]):
     """Per vector: its bucket in each table; per query: the buckets it visits in each table."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = probe_sets(spec.hashes, spec.probes)
         longest = max(map(len, sets))
         members = np.array([[*s, *[-1] * (longest - len(s))] for s in sets])
-        for b in batches:
+        for b in in_slices(batches, max(1, 10_000 // max(map(len, classes.values()), default=1))):
             column = b.column("v")
-            at, values = column.offsets.to_numpy(), column.values.to_numpy()
+            at, values = column.offsets.to_numpy(), column.values.to_numpy()  # offsets of the whole values
             dims = np.diff(at)
             asks = b.column("is_query").to_numpy(zero_copy_only=False)
             own = np.zeros((len(dims), spec.tables), np.int64)
@@ -98,20 +114,22 @@ def _hash(spec: Tables, greatest: dict[int, float]):
                 rows = np.flatnonzero(dims == dim)
                 x = values[at[rows][:, None] + np.arange(dim)]
                 length = np.sqrt((x * x).sum(1))
-                most = greatest[dim]
+                bounds = np.array(classes[dim])
+                kind = np.maximum(0, (bounds[:, None] >= length).sum(0) - 1)
+                most = bounds[kind]
                 rng = np.random.default_rng([spec.seed, dim])
                 a = rng.standard_normal((spec.tables, spec.hashes, dim + 1))
                 shift = rng.random((spec.tables, spec.hashes))
                 extra = np.sqrt(np.maximum(0, most * most - length * length))
                 ask = rows[asks[rows]]
                 q = x[asks[rows]] / length[asks[rows], None]
-                probed = np.empty((len(ask), spec.tables, len(sets)), np.int64)
+                probed = np.empty((len(ask), spec.tables, len(bounds), len(sets)), np.int64)
                 for t in range(spec.tables):
-                    place = (x @ a[t, :, :dim].T + extra[:, None] * a[t, :, dim]) / (spec.width * most) + shift[t]
-                    own[rows, t] = _bucket_keys(np.floor(place), t, dim)
+                    place = (x @ a[t, :, :dim].T + extra[:, None] * a[t, :, dim]) / (spec.width * most)[:, None] + shift[t]
+                    own[rows, t] = _bucket_keys(np.floor(place), t, dim, kind)
                     place = q @ a[t, :, :dim].T / spec.width + shift[t]
                     base = np.floor(place).astype(np.int64)
-                    probed[:, t] = _visits(base, place - base, members, t, dim)
+                    probed[:, t] = _visits(base, place - base, members, t, dim, len(bounds))
                 for k, row in enumerate(ask):
                     visits[row] = probed[k].ravel()
             yield pa.RecordBatch.from_arrays(
@@ -121,18 +139,19 @@ def _hash(spec: Tables, greatest: dict[int, float]):
 
 
 def _visits(base: np.ndarray, inside: np.ndarray, members: np.ndarray, table: int,
-            dim: int) -> np.ndarray:
-    """Keys of the buckets that each query visits, best first (rows: queries)."""
+            dim: int, kinds: int) -> np.ndarray:
+    """Keys of the buckets that each query visits, best first (query, class, bucket)."""
     queries, m = base.shape
     walls = np.concatenate([inside, 1 - inside], axis=1)  # to the lower and to the upper wall
     order = np.argsort(walls, axis=1, kind="stable")
-    out = np.empty((queries, len(members)), np.int64)
+    out = np.empty((queries, kinds, len(members)), np.int64)
     for p, own in enumerate(members):
         cell = base.copy()
         for rank in own[own >= 0]:
             wall = order[:, rank]
             cell[np.arange(queries), wall % m] += np.where(wall < m, -1, 1)
-        out[:, p] = _bucket_keys(cell, table, dim)
+        for kind in range(kinds):
+            out[:, kind, p] = _bucket_keys(cell, table, dim, kind)
     return out
 
 
@@ -204,12 +223,16 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, spec: Tables | No
     spec = spec or Tables()
     ship_package(vectors.sparkSession)
     clean = materialize(clean_vectors(vectors).withColumn("is_query", F.coalesce(is_query, F.lit(False))), "vectors")
-    length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
-    stats = clean.groupBy(F.size("v").alias("dim")).agg(F.max(length).alias("most"), F.count(F.lit(1)).alias("n")).collect()
-    greatest = {r["dim"]: r["most"] * (1 + 1e-12) for r in stats}
-    cells = max(1, -(-sum(r["n"] for r in stats) // spec.cell_rows))
+    length = F.greatest(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)), F.lit(1e-300))
+    # one row per dimension and octave of lengths
+    stats = (clean.select(F.size("v").alias("dim"), length.alias("length"))
+             .groupBy("dim", F.floor(F.log2("length")).alias("octave"))
+             .agg(F.min("length").alias("least"), F.max("length").alias("most"), F.count(F.lit(1)).alias("n")).collect())
+    classes = {d: length_classes([(r["least"], r["most"]) for r in stats if r["dim"] == d]) for d in {r["dim"] for r in stats}}
+    n_rows = {d: sum(r["n"] for r in stats if r["dim"] == d) for d in classes}
+    cells = max(1, -(-sum(n_rows.values()) // spec.cell_rows))
     hashed = materialize(clean.mapInArrow(
-        _hash(spec, greatest), "vec_id long, v array<double>, own array<long>, visits array<long>"), "hashed")
+        _hash(spec, classes), "vec_id long, v array<double>, own array<long>, visits array<long>"), "hashed")
 
     placed = hashed.select("vec_id", "v", F.explode("own").alias("bucket"))
     counts = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).withColumn(
@@ -235,6 +258,42 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, spec: Tables | No
     asked = visits.join(hashed.where("visits is not null").select(F.col("vec_id").alias("query_id"), "v"), "query_id")
     best = dealt.groupBy("cell").cogroup(asked.groupBy("cell")).applyInPandas(
         _best(k), "query_id long, vec_id long, score double")
+    found = materialize(_ranked(best, k), "found")
+
+    asks = hashed.where("visits is not null").select(F.col("vec_id").alias("query_id"), "v", F.size("v").alias("dim"))
+    others = vectors.sparkSession.createDataFrame([(d, n - 1) for d, n in n_rows.items()], "dim int, others long")
+    short = materialize(
+        asks.join(found.groupBy("query_id").count(), "query_id", "left").join(others, "dim")
+        .where(F.coalesce("count", F.lit(0)) < F.least("others", F.lit(k))).select("query_id", "v", "dim"), "short")
+    n_short = short.count()
+    if not n_short:
+        return found
+    whole = _best_of_all(hashed, short, k, cells, -(-n_short // spec.cell_rows))
+    return found.join(short, "query_id", "left_anti").unionByName(whole)
+
+
+def _best_of_all(hashed: DataFrame, short: DataFrame, k: int, cells: int, parts: int) -> DataFrame:
+    """The k best of all vectors for each of the given queries: each block of queries meets each of vectors."""
+    def block(column, n):
+        return F.pmod(F.xxhash64(column), F.lit(n)).cast("int")
+
+    def each(n):
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    rows = (hashed.select("vec_id", "v", F.size("v").cast("long").alias("bucket"))
+            .join(short.select(F.col("dim").cast("long").alias("bucket")).distinct(), "bucket", "left_semi")
+            .withColumn("part", each(parts))
+            .select(F.struct(block("vec_id", cells).alias("a"), F.col("part").alias("b")).alias("cell"),
+                    "bucket", "vec_id", "v"))
+    asked = (short.withColumn("part", each(cells))
+             .select("query_id", F.struct(F.col("part").alias("a"), block("query_id", parts).alias("b")).alias("cell"),
+                     F.array(F.col("dim").cast("long")).alias("buckets"), "v"))
+    return _ranked(rows.groupBy("cell").cogroup(asked.groupBy("cell")).applyInPandas(
+        _best(k), "query_id long, vec_id long, score double"), k)
+
+
+def _ranked(best: DataFrame, k: int) -> DataFrame:
+    """The k best of what the cells returned."""
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (best.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
             .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

@@ -69,3 +69,41 @@ def test_odd_vectors(spark):
     got = sorted(map(tuple, ann.nearest(df, F.col("vec_id") % 20 == 0, 20, ann.Tables(width=50.0)).collect()))
     assert got == [(0, 1, 1, 0.5), (0, 2, 20, 0.0), (0, 3, 9, -1.0), (20, 1, 1, 1.5), (20, 2, 0, 0.0), (20, 3, 9, -0.0)]
     assert ann.nearest(df.limit(0), F.lit(True)).count() == 0
+
+
+@pytest.mark.parametrize("seed", [11, 2])
+def test_one_long_vector_costs_no_recall(spark, seed):
+    e = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select(
+        "vec_id", F.transform("embedding", lambda x: x.cast("double") * F.when(F.col("vec_id") == 7, 100.0).otherwise(1.0))
+        .alias("embedding"))
+    ids, v = zip(*[(r.vec_id, r.embedding) for r in e.collect()])
+    ids, v = np.array(ids), np.array(v)
+    rows = ann.nearest(e, F.col("vec_id") % 20 == 0, 20, ann.Tables(seed=seed)).collect()
+    got, hits, asks = {}, 0, np.flatnonzero(ids % 20 == 0)
+    for r in rows:
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    for at in asks:
+        s = v @ v[at]
+        s[at] = -np.inf
+        own = got[int(ids[at])]
+        assert len(own) == 20
+        hits += len(own & set(ids[np.argsort(-s)[:20]].tolist()))
+    assert hits / (20 * len(asks)) >= 0.95
+
+
+@pytest.mark.parametrize("cell_rows", [20_000, 7])
+def test_queries_whose_probes_miss_still_get_their_best(spark, cell_rows):
+    rnd = np.random.default_rng(3)
+    rows = [(i, (rnd.standard_normal(6) * 3.0 ** (i % 9)).tolist()) for i in range(60)]
+    rows += [(100 + i, rnd.standard_normal(4).tolist()) for i in range(5)]
+    spec = ann.Tables(tables=1, hashes=8, width=1e-6, probes=1, cell_rows=cell_rows)
+    got = {}
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for r in sorted(ann.nearest(df, F.col("vec_id") % 3 == 0, 7, spec).collect(), key=lambda r: r["rank"]):
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert got == brute(rows, lambda q: q % 3 == 0, 7)
+
+
+def test_length_classes():
+    assert len(ann.length_classes([(1.0, 1.000001), (0.999999, 1.0)])) == 1
+    assert len(ann.length_classes([(100.0, 100.0), (1.0, 1.0), (0.99, 0.999)])) == 2
