@@ -7,12 +7,14 @@ that would still lower the loss most get two-way tables in the same manner.  A s
 is the sum of the table entries of a text's bins, looked up for whole batches at once.
 
 Features are read from the whole text alone.  The model is fitted on a bounded sample
-of labelled rows (``max_rows``, the smallest hashes of doc_id); texts are scored where
-they lie, without a shuffle.
+of labelled documents (at most ``max_rows`` rows, the smallest hashes of doc_id): a
+doc_id counts once for each label that it has, with its smallest text; texts are scored
+where they lie, without a shuffle.
 
 Defined results for odd input: null and empty texts have all features 0 and are scored
 like others; rows with a null label are no labels; without labels of both kinds every
-score is the smoothed share of label 1; repeated rows are scored each; a null doc_id
+score is the smoothed share of label 1; rows repeated in the labels or the documents
+train once; repeated rows are scored each; a null doc_id
 counts as in training (not held out); an empty table gives an empty table; other
 columns are not read.
 """
@@ -29,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perfscore.llm.common import in_slices, ship_package
+from perfscore.llm.common import in_slices, materialize, ship_package
 
 FEATURES = ("log_words", "word_length", "symbols", "marks", "exclamations", "upper", "digits", "different_words",
             "repeated_words", "different_lines", "log_line_length", "bars", "sentence_ends")
@@ -218,9 +220,11 @@ def train_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", sp
     ship_package(docs.sparkSession)
     sample = (labels.select("doc_id", F.col(label).cast("double").alias("label"))
               .where(F.col("label").isin(0.0, 1.0) & F.col("doc_id").isNotNull() & ~held_out())
-              .orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(spec.max_rows))
-    # the sample is bounded by max_rows
-    rows = (docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("label", "text")
+              .distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(spec.max_rows))
+    sample = materialize(sample, "label-sample")  # bounded by max_rows, and so is what joins it
+    texts = (docs.select("doc_id", "text").join(F.broadcast(sample.select("doc_id").distinct()), "doc_id", "left_semi")
+             .groupBy("doc_id").agg(F.min("text").alias("text")))
+    rows = (texts.join(F.broadcast(sample), "doc_id").select("label", "text")
             .mapInArrow(_feature_rows, "label double, x array<double>").toPandas())
     x = np.array(rows["x"].tolist(), float).reshape(len(rows), len(FEATURES))
     order = np.lexsort((*x.T, rows["label"].to_numpy(float)))  # the same sums in whatever order rows come

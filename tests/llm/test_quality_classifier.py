@@ -53,3 +53,17 @@ def test_odd_documents_and_labels(spark, odd, none):
     assert q.score_quality(odd, model).count() == odd.count() and q.score_quality(none, model).count() == 0
     nothing = q.train_quality(odd, labels.limit(0))
     assert {r.score for r in q.score_quality(odd, nothing).collect()} == {0.5}
+
+
+def test_repeats_neither_fill_the_sample_nor_reach_the_driver(spark, monkeypatch):
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1]
+    docs = [(i, f"text {i}") for i in ids] + [(ids[0], f"text {ids[0]}")] * 500
+    labels = [(i, i % 2) for i in ids] + [(i, i % 2) for i in ids for _ in range(30)]
+    seen = []
+    monkeypatch.setattr(q, "fit_additive", lambda x, y, spec: seen.append(sorted(y)))
+    frames = (spark.createDataFrame(docs, "doc_id long, text string"),
+              spark.createDataFrame(labels, "doc_id long, quality int"))
+    q.train_quality(*frames, spec=q.Training(max_rows=len(ids)))
+    assert seen == [sorted(float(i % 2) for i in ids)]
+    q.train_quality(*frames, spec=q.Training(max_rows=10))
+    assert len(seen[1]) == 10
