@@ -132,5 +132,34 @@ def ranked(df: DataFrame, group: list[str], order: list[str], spread: Column, na
             .drop("_salt", "_before", "_in_part", *[f"_o_{k}" for k in keys]))
 
 
-__all__ = ["WORD_GAP", "boxed", "in_slices", "let", "materialize", "numbered_table", "ranked", "same", "ship_package", "split_words", "table", "unboxed",
+#: Keys that more than one row in so many has are hot: there are never more of them than this.
+HOT_SHARE = 20_000
+
+
+def hot_join(rows: DataFrame, side: DataFrame, keys: list[str], size: str) -> DataFrame:
+    """Left join of ``rows`` with ``side`` (one row per key, ``size`` = the key's number of rows).
+
+    Keys that hold more than one row in ``HOT_SHARE`` are at most ``HOT_SHARE`` keys, so their
+    side is broadcast and their rows stay where they are; all other rows meet their key in a
+    shuffle, in which no key holds more than that share.  Keys compare null-safe; rows
+    must be deterministic, as they are read twice.
+    """
+    side = materialize(side, "side")
+    bar = rows.count() // HOT_SHARE
+    hot, rest = side.where(F.col(size) > bar), side.where(F.col(size) <= bar)
+    added = [c for c in side.columns if c not in keys]
+
+    def found(left: DataFrame, right: DataFrame) -> DataFrame:
+        right = right.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *added, F.lit(True).alias("_hit"))
+        cond = F.lit(True)
+        for k in keys:
+            cond = cond & left[k].eqNullSafe(right[f"_k_{k}"])
+        return left.join(right, cond, "left").drop(*[f"_k_{k}" for k in keys])
+
+    tried = found(rows, F.broadcast(hot))
+    cold = tried.where(F.col("_hit").isNull()).drop(*added, "_hit")
+    return tried.where("_hit").drop("_hit").unionByName(found(cold, rest).drop("_hit"))
+
+
+__all__ = ["WORD_GAP", "HOT_SHARE", "boxed", "hot_join", "in_slices", "let", "materialize", "numbered_table", "ranked", "same", "ship_package", "split_words", "table", "unboxed",
            "whole_text", "with_struct"]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from perfscore.llm import (
     ann,
+    exact_dedup,
     jaccard_join,
     line_dedup,
     mixing,
@@ -187,3 +188,18 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = url_filter.train(url_filter.labelled_urls(spark))
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.filter_urls(pages, model).select("page_id", "host", "path", "rule", "verdict", "block_score")
+
+
+OP12_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+k AS (SELECT r, doc_id, length(t) AS n, regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g') AS k FROM d),
+p AS (SELECT *, first_value(doc_id) OVER best AS keep_id, row_number() OVER best AS place,
+      count(*) OVER (PARTITION BY k) AS group_size
+      FROM k WINDOW best AS (PARTITION BY k ORDER BY n DESC, doc_id NULLS LAST, r))
+SELECT doc_id, keep_id, group_size::BIGINT AS group_size, place = 1 AS kept, sha256(k) AS text_sha256 FROM p"""
+
+
+@query("op12_exact_dedup", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's group of equal texts (white space aside) and the one that stays."""
+    return exact_dedup.find_copies(table(spark, sf_dir, "documents"))
