@@ -76,6 +76,19 @@ def in_slices(batches: Iterator, rows: int = 1000) -> Iterator:
             yield b.slice(at, rows)
 
 
+def byte_slices(texts, limit: int) -> Iterator[tuple[int, int]]:
+    """(first row, rows) of slices of an Arrow string column, of about ``limit`` bytes at most or one row."""
+    import pyarrow.compute as pc
+
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype("int64").cumsum()
+    lo = 0
+    while lo < len(sizes):
+        before = sizes[lo - 1] if lo else 0
+        hi = max(lo + 1, int(sizes.searchsorted(before + limit, "right")))
+        yield lo, hi - lo
+        lo = hi
+
+
 _shipped: set[str] = set()
 
 
@@ -161,5 +174,5 @@ def hot_join(rows: DataFrame, side: DataFrame, keys: list[str], size: str) -> Da
     return tried.where("_hit").drop("_hit").unionByName(found(cold, rest).drop("_hit"))
 
 
-__all__ = ["WORD_GAP", "HOT_SHARE", "boxed", "hot_join", "in_slices", "let", "materialize", "numbered_table", "ranked", "same", "ship_package", "split_words", "table", "unboxed",
+__all__ = ["WORD_GAP", "HOT_SHARE", "boxed", "byte_slices", "hot_join", "in_slices", "let", "materialize", "numbered_table", "ranked", "same", "ship_package", "split_words", "table", "unboxed",
            "whole_text", "with_struct"]

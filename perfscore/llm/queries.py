@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from perfscore.llm import (
     ann,
     exact_dedup,
+    fill_middle,
     jaccard_join,
     line_dedup,
     mixing,
@@ -190,6 +191,31 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(pages, model).select("page_id", "host", "path", "rule", "verdict", "block_score")
 
 
+OP11_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+k AS (SELECT *, regexp_extract_all(t, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS w,
+      ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+      ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM d),
+c AS (SELECT *, len(w) AS n, least(h1 % (len(w) + 1), h2 % (len(w) + 1)) AS a,
+      greatest(h1 % (len(w) + 1), h2 % (len(w) + 1)) AS b FROM k),
+p AS (SELECT *, array_to_string(w[1:a], '') AS p, array_to_string(w[a + 1:b], '') AS m, array_to_string(w[b + 1:n], '') AS s,
+      CASE WHEN t = '' OR regexp_matches(t, '<[PSM]>') OR h3 % 100 >= 50 THEN 'plain'
+           WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM c)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p) END::BIGINT AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN length(m) END::BIGINT AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+           ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256 FROM p"""
+
+
+@query("op11_fill_middle", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document laid out for fill-in-the-middle, and rebuilt from that: digests of both."""
+    made = fill_middle.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2(F.col("output"), 256).alias("output_sha256"),
+                       F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
 OP12_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
 k AS (SELECT r, doc_id, length(t) AS n, regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g') AS k FROM d),
