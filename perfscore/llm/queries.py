@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from perfscore.llm import (
     ann,
+    collocations,
     exact_dedup,
     fill_middle,
     jaccard_join,
@@ -229,3 +230,34 @@ SELECT doc_id, keep_id, group_size::BIGINT AS group_size, place = 1 AS kept, sha
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's group of equal texts (white space aside) and the one that stays."""
     return exact_dedup.find_copies(table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS doc, coalesce(lang, 'und') AS lang, string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS ps
+    FROM documents),
+w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM (SELECT lang, unnest(ps) AS p FROM d)),
+n AS (SELECT lang, sum(len(w)) AS n FROM w GROUP BY lang),
+f AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+      FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k)
+      GROUP BY ALL HAVING count(*) >= 30),
+c AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS ws, f AS a FROM f WHERE k > 1),
+inner_ AS (SELECT lang, a AS longer, unnest(list_concat(
+        CASE WHEN k = 3 THEN [ws[1:2], ws[2:3]] ELSE [ws[1:2], ws[2:3], ws[3:4], ws[1:3], ws[2:4]] END, [])) AS ws
+      FROM c WHERE k > 2),
+most AS (SELECT lang, array_to_string(ws, ' ') AS phrase, max(longer) AS longer FROM inner_ GROUP BY ALL),
+own AS (SELECT c.* FROM c LEFT JOIN most USING (lang, phrase) WHERE coalesce(100::HUGEINT * longer < 80::HUGEINT * a, true)),
+cut AS (SELECT lang, phrase, a, j, array_to_string(ws[1:j], ' ') AS p, array_to_string(ws[j + 1:], ' ') AS q
+        FROM (SELECT *, unnest(range(1, k)) AS j FROM own)),
+s AS (SELECT cut.*, x.f AS l, y.f AS r, (2000000::HUGEINT * a) // (x.f + y.f) AS score FROM cut
+      JOIN f x ON x.lang = cut.lang AND x.phrase = cut.p JOIN f y ON y.lang = cut.lang AND y.phrase = cut.q),
+low AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM low)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM r JOIN n USING (lang) WHERE rank <= 2000"""
+
+
+@query("op13_collocations", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's first 2000 phrases of 2 to 4 words, counted by stripes over all documents."""
+    return collocations.mine_collocations(table(spark, sf_dir, "documents"))
