@@ -17,10 +17,11 @@ Everything is read off the merged stripes:
   One word more is enough: a longer candidate's part of one word more than the phrase
   occurs at least as often, so it is a candidate too.
 
-Lengths are counted one after the other.  A phrase of length k can only reach ``min_count`` if
-both its parts of length k - 1 do; these are known by then and travel to the tasks as a bit
-table of a fixed size (``BITS`` bits, whatever the input).  Two phrases that share a bit only cause
-cells that turn out too small; counts are exact.
+Which phrases can be candidates is found first, one length after the other.  A phrase of length k
+can only reach ``min_count`` if both its parts of length k - 1 do, so only such occurrences are
+counted, by 48 bits of their hash.  Hashes that reach ``min_count`` travel on as a bit
+table of a fixed size (``BITS`` bits, whatever the input).  Phrases that share a hash or a bit only make
+the tables admit too much: the stripes are counted by their words, and exactly.
 
 Defined results for odd input: a null text is empty, a null language ``und``; empty tables
 and languages without candidates give no rows; repeated rows count as often as they occur; texts
@@ -43,10 +44,12 @@ from perfscore.llm.common import byte_slices, hot_join, materialize, ship_packag
 #: Bits of the table of frequent phrases, a power of two (8 MB).
 BITS = 1 << 26
 #: Bytes of text that are counted together.
-SLICE_BYTES = 8_000_000
+SLICE_BYTES = 2_000_000
+#: What is kept of a hash to count by it.
+KEY_BITS = 48
 #: Parts that a language's candidates are ranked in before the last ranking.
 PARTS = 64
-CELLS = "lang string, prefix string, word string, n long"
+CELLS = "size int, lang string, prefix string, word string, n long"
 
 _WORD, _GAP, _STOP = 0, 1, 2
 _KIND = np.zeros(256, np.uint8)
@@ -71,27 +74,37 @@ def _buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets[1:] - offsets[0]
 
 
-def _string_hashes(strings: pa.Array) -> np.ndarray:
-    """A 64-bit hash of each string's bytes."""
-    data, ends = _buffers(strings)
-    powers = np.cumprod(np.full(len(data) + 1, _STEP, np.uint64))  # wraps; odd, so each has an inverse
-    back = np.cumprod(np.full(len(data) + 1, np.uint64(pow(int(_STEP), -1, 1 << 64)), np.uint64))
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[:-1])])
-    starts = np.concatenate([[0], ends[:-1]])
-    return _mixed((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
+_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]  # of an odd number and of its inverse
+
+
+def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the bytes from each start to its end."""
+    if len(_powers[0]) <= len(data):
+        for k, factor in enumerate((int(_STEP), pow(int(_STEP), -1, 1 << 64))):
+            _powers[k] = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(len(data), factor, np.uint64)]))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers[0][:len(data)], out=sums[1:])
+    return _mixed((sums[ends] - sums[starts]) * _powers[1][starts] + (ends - starts).astype(np.uint64))
 
 
 @dataclass
 class Words:
     """The words of a slice of texts, in order."""
 
-    row: np.ndarray        # the text that a word is of
-    word: np.ndarray       # its place in the dictionary
     follows: np.ndarray    # whether the next word is in the same piece
-    dictionary: pa.Array
+    hashes: np.ndarray     # of language and word
     langs: pa.Array        # different languages
     lang: np.ndarray       # each word's, by place
-    hashes: np.ndarray     # of language and word
+    data: np.ndarray       # the texts' bytes, lower-case
+    inside: np.ndarray     # which of them belong to words
+    sizes: np.ndarray      # bytes of each word
+
+    def spelled(self) -> tuple[np.ndarray, pa.Array]:
+        """Each word's place among the different words, and these."""
+        offsets = np.concatenate([[0], np.cumsum(self.sizes)]).astype(np.int32)
+        body = np.ascontiguousarray(self.data[self.inside])
+        words = pa.StringArray.from_buffers(len(self.sizes), pa.py_buffer(offsets), pa.py_buffer(body)).dictionary_encode()
+        return words.indices.to_numpy(zero_copy_only=False).astype(np.int64), words.dictionary
 
 
 def words_of(texts: pa.Array, langs: pa.Array) -> Words:
@@ -107,29 +120,27 @@ def words_of(texts: pa.Array, langs: pa.Array) -> Words:
     last[:-1] &= ~inside[1:]
     first[begins[filled]] |= inside[begins[filled]]
     last[ends[filled] - 1] |= inside[ends[filled] - 1]
-    start, size = np.flatnonzero(first), np.flatnonzero(last)
-    size += 1 - start
+    start, stop = np.flatnonzero(first), np.flatnonzero(last) + 1
     row = np.searchsorted(ends, start, "right")
     piece = np.cumsum(kind == _STOP, dtype=np.int32)[start]
     follows = np.zeros(len(start), bool)
     follows[:-1] = (row[1:] == row[:-1]) & (piece[1:] == piece[:-1])
-    body = np.ascontiguousarray(data[inside])
-    offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
-    words = pa.StringArray.from_buffers(len(start), pa.py_buffer(offsets), pa.py_buffer(body)).dictionary_encode()
     own = langs.dictionary_encode()
     lang = own.indices.to_numpy(zero_copy_only=False).astype(np.int64)[row]
-    word = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    hashes = _mixed(_string_hashes(words.dictionary)[word] + _STEP * _string_hashes(own.dictionary)[lang])
-    return Words(row, word, follows, words.dictionary, own.dictionary, lang, hashes)
+    names, name_ends = _buffers(own.dictionary)
+    lang_hashes = _hashes(names, np.concatenate([[0], name_ends[:-1]]), name_ends)
+    hashes = _mixed(_hashes(data, start, stop) + _STEP * lang_hashes[lang])
+    return Words(follows, hashes, own.dictionary, lang, data, inside, stop - start)
 
 
 def _grams(words: Words, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Whether a phrase of that length begins at each word, and its hash."""
-    whole, hashes = np.ones(len(words.word), bool), words.hashes
+    total = len(words.hashes)
+    whole, hashes = np.ones(total, bool), words.hashes
     for k in range(1, length):
-        whole[:len(whole) - k] &= words.follows[k - 1:len(whole) - 1]
-        whole[len(whole) - k:] = False
-        hashes = _mixed(hashes * _STEP + np.concatenate([words.hashes[k:], np.zeros(min(k, len(whole)), np.uint64)]))
+        whole[:max(total - k, 0)] &= words.follows[k - 1:max(total - 1, k - 1)]
+        whole[max(total - k, 0):] = False
+        hashes = _mixed(hashes * _STEP + np.concatenate([words.hashes[k:], np.zeros(min(k, total), np.uint64)]))
     return whole, hashes
 
 
@@ -139,66 +150,74 @@ def _listed(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (table[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
 
 
-def stripes(words: Words, length: int, table: np.ndarray | None) -> pa.RecordBatch:
-    """The cells of the slice's stripes whose prefixes have ``length - 1`` words.
+def _possible(words: Words, length: int, tables: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Where phrases of that length begin that both tables and parts admit, and all phrases' hashes.
 
-    ``table`` tells which phrases of ``length - 1`` words are frequent: of prefixes that are not,
-    nothing is counted, and next words that end an infrequent phrase count as no word.
+    ``tables[k]`` lists the frequent phrases of k + 1 words; for the longest length there may be none.
     """
+    whole, hashes = _grams(words, length)
+    if length <= len(tables):
+        return whole & _listed(tables[length - 1], hashes), hashes
     if length == 1:
-        at, word = np.arange(len(words.word)), words.word
-        prefix_id = words.lang
-    else:
-        whole, hashes = _grams(words, length - 1)
-        known = whole & _listed(table, hashes)
-        at = np.flatnonzero(known)
-        after = np.minimum(at + 1, len(known) - 1)
-        longer = words.follows[at + length - 2] & known[after]
-        word = np.where(longer, words.word[np.minimum(at + length - 1, len(known) - 1)], -1)
-        prefix_id = words.lang[at]
-        for k in range(length - 1):
-            code = prefix_id * len(words.dictionary) + words.word[at + k]
-            prefix_id = np.unique(code, return_inverse=True)[1]
-    _, cell, n = np.unique(prefix_id * (len(words.dictionary) + 1) + word + 1, return_index=True, return_counts=True)
-    at, word = at[cell], word[cell]
-    parts = [words.dictionary.take(pa.array(words.word[at + k])) for k in range(length - 1)]
-    prefix = pc.binary_join_element_wise(*parts, " ") if parts else pa.repeat("", len(at))
-    following = words.dictionary.take(pa.array(word, mask=word < 0))
-    return pa.RecordBatch.from_arrays(
-        [words.langs.take(pa.array(words.lang[at])).cast(pa.string()), prefix.cast(pa.string()),
-         following.cast(pa.string()), pa.array(n.astype(np.int64))], ["lang", "prefix", "word", "n"])
-
-
-def _in_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array]]:
+        return whole, hashes
+    part, _ = _possible(words, length - 1, tables)
+    return whole & part & np.concatenate([part[1:], np.zeros(min(1, len(part)), bool)]), hashes
+
+
+def hash_counts(words: Words, length: int, tables: list[np.ndarray]) -> pa.RecordBatch:
+    """Occurrences of the slice's possible phrases of that length, by hash."""
+    at, hashes = _possible(words, length, tables)
+    key, n = np.unique(hashes[at] & np.uint64((1 << KEY_BITS) - 1), return_counts=True)
+    return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n.astype(np.int64))], ["h", "n"])
+
+
+def stripes(words: Words, max_words: int, tables: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """The cells of the slice's stripes, for prefixes of 0 to ``max_words`` - 1 words.
+
+    Prefixes that the tables do not list have no stripe; next words that make no possible
+    phrase count as no word.
+    """
+    word, dictionary = words.spelled()
+    ids = words.lang  # a number for each (language, prefix)
+    at = np.arange(len(word))  # where prefixes begin
+    for length in range(1, max_words + 1):
+        longer = np.zeros(len(word), bool)
+        longer[_possible(words, length, tables)[0]] = True
+        following = np.where(longer[at], word[np.minimum(at + length - 1, len(word) - 1)], -1)
+        code = ids * (len(dictionary) + 1) + following + 1
+        _, cell, n = np.unique(code, return_index=True, return_counts=True)
+        begin, ending = at[cell], following[cell]
+        parts = [dictionary.take(pa.array(word[begin + k])) for k in range(length - 1)]
+        prefix = pc.binary_join_element_wise(*parts, " ") if parts else pa.repeat("", len(begin))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(begin), length, np.int32)), words.langs.take(pa.array(words.lang[begin])).cast(pa.string()),
+             prefix.cast(pa.string()), dictionary.take(pa.array(ending, mask=ending < 0)).cast(pa.string()),
+             pa.array(n.astype(np.int64))], ["size", "lang", "prefix", "word", "n"])
+        kept = following >= 0
+        at, ids = at[kept], np.unique(code[kept], return_inverse=True)[1]
+
+
+def _in_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[Words]:
     for b in batches:
         for lo, size in byte_slices(b.column("text"), SLICE_BYTES):
-            yield b.column("text").slice(lo, size), b.column("lang").slice(lo, size)
+            yield words_of(b.column("text").slice(lo, size), b.column("lang").slice(lo, size))
+
 
+def _read(tables: list) -> list[np.ndarray]:
+    return [np.frombuffer(t.value, np.uint64) for t in tables]
 
-def _merged_stripes(rows: DataFrame, length: int, table) -> DataFrame:
-    """All stripes of one prefix length, merged: lang, prefix, word (null: none), n."""
+
+def _frequent(rows: DataFrame, length: int, tables: list, min_count: int) -> bytes:
+    """The bits of the frequent phrases of one length: ``BITS`` / 8 bytes, however many there are."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = None if table is None else np.frombuffer(table.value, np.uint64)
-        for texts, langs in _in_slices(batches):
-            yield stripes(words_of(texts, langs), length, bits)
-
-    cells = rows.mapInArrow(count, CELLS)
-    return cells.groupBy("lang", "prefix", "word").agg(F.sum("n").alias("n"))
-
-
-def _bit_table(phrases: DataFrame, length: int) -> bytes:
-    """The bits of phrases (lang, text) of one length: ``BITS`` / 8 bytes, however many there are."""
-    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for texts, langs in _in_slices(batches):
-            words = words_of(texts, langs)
-            whole, hashes = _grams(words, length)
-            slot = np.unique(hashes[whole] & np.uint64(BITS - 1))
-            place, first = np.unique((slot >> np.uint64(6)).astype(np.int64), return_index=True)
-            held = np.uint64(1) << (slot & np.uint64(63))
-            either = np.bitwise_or.reduceat(held, first) if len(first) else held
-            yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(either.view(np.int64))], ["place", "bits"])
-
-    found = phrases.mapInArrow(bits, "place long, bits long").groupBy("place").agg(F.bit_or("bits").alias("bits"))
+        known = _read(tables)
+        for words in _in_slices(batches):
+            yield hash_counts(words, length, known)
+
+    counted = rows.mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    bit = F.expr(f"h & {BITS - 1}")
+    found = (counted.where(F.col("n") >= min_count)
+             .groupBy(F.shiftright(bit, 6).alias("place")).agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 63 as int))")).alias("bits")))
     held = found.toArrow()  # at most BITS / 64 rows
     table = np.zeros(BITS // 64, np.int64)
     table[held.column("place").to_numpy()] = held.column("bits").to_numpy()
@@ -212,27 +231,26 @@ def phrase(prefix: str = "prefix", word: str = "word") -> Column:
 
 def count_stripes(docs: DataFrame, min_count: int = 30, max_words: int = 4, text: str = "text",
                   lang: str = "lang") -> DataFrame:
-    """All merged stripes that can hold candidates: lang, size (words of prefix and word), prefix, word, n.
+    """All merged stripes of frequent prefixes: size (words of prefix and next word), lang, prefix, word, n.
 
-    The empty prefix's stripes (size 1) hold every word; the others, cells of ``min_count`` at
-    least, and the cells without a word, to which the smaller ones are added.
+    Cells have ``min_count`` at least; smaller ones are added to the cell without a word.
     """
     spark = docs.sparkSession
     ship_package(spark)
     rows = docs.select(whole_text(f"`{text}`").alias("text"), F.coalesce(F.col(f"`{lang}`"), F.lit("und")).alias("lang"))
-    out, table = None, None
-    for size in range(1, max_words + 1):
-        merged = _merged_stripes(rows, size, table)
-        if size > 1:  # cells that are no candidates only matter in sum
-            merged = (merged.withColumn("word", F.when(F.col("n") >= min_count, F.col("word")))
-                      .groupBy("lang", "prefix", "word").agg(F.sum("n").alias("n")))
-        level = materialize(merged, f"stripes-{size}")
-        if size < max_words:
-            frequent = level.where((F.col("n") >= min_count) & F.col("word").isNotNull())
-            table = spark.sparkContext.broadcast(_bit_table(frequent.select(phrase().alias("text"), "lang"), size))
-        part = level.select("lang", F.lit(size).alias("size"), "prefix", "word", "n")
-        out = part if out is None else out.unionByName(part)
-    return out
+    tables: list = []
+    for length in range(1, max_words):
+        tables.append(spark.sparkContext.broadcast(_frequent(rows, length, tables, min_count)))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _read(tables)
+        for words in _in_slices(batches):
+            yield from stripes(words, max_words, known)
+
+    keys = ["size", "lang", "prefix", "word"]
+    merged = rows.mapInArrow(count, CELLS).groupBy(*keys).agg(F.sum("n").alias("n"))
+    merged = merged.withColumn("word", F.when(F.col("n") >= min_count, F.col("word")))
+    return materialize(merged.groupBy(*keys).agg(F.sum("n").alias("n")), "stripes")
 
 
 def _scores(candidates: DataFrame, totals: DataFrame) -> DataFrame:
