@@ -19,9 +19,11 @@ Everything is read off the merged stripes:
 
 Which phrases can be candidates is found first, one length after the other.  A phrase of length k
 can only reach ``min_count`` if both its parts of length k - 1 do, so only such occurrences are
-counted, by 48 bits of their hash.  Hashes that reach ``min_count`` travel on as a bit
-table of a fixed size (``BITS`` bits, whatever the input).  Phrases that share a hash or a bit only make
-the tables admit too much: the stripes are counted by their words, and exactly.
+counted, by ``KEY_BITS`` of their hash: a task sends its sorted hashes, as the steps between them, to
+the task that merges their range; there are more ranges the more text there is.  Hashes that reach
+``min_count`` travel on as a bit table of a fixed size (``BITS`` bits, whatever the input).  Phrases
+that share a hash or a bit only make the tables admit too much: the stripes are counted by
+their words, and exactly.
 
 Defined results for odd input: a null text is empty, a null language ``und``; empty tables
 and languages without candidates give no rows; repeated rows count as often as they occur; texts
@@ -45,8 +47,10 @@ from perfscore.llm.common import byte_slices, hot_join, materialize, ship_packag
 BITS = 1 << 26
 #: Bytes of text that are counted together.
 SLICE_BYTES = 2_000_000
-#: What is kept of a hash to count by it.
-KEY_BITS = 48
+#: What is kept of a hash to count by it; hashes that a task sorts together; bytes of text for each range of hashes.
+KEY_BITS = 44
+HELD = 4_000_000
+RANGE_BYTES = 2_000_000
 #: Parts that a language's candidates are ranked in before the last ranking.
 PARTS = 64
 CELLS = "size int, lang string, prefix string, word string, n long"
@@ -153,7 +157,7 @@ def _listed(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 def _possible(words: Words, length: int, tables: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Where phrases of that length begin that both tables and parts admit, and all phrases' hashes.
 
-    ``tables[k]`` lists the frequent phrases of k + 1 words; for the longest length there may be none.
+    ``tables[k]`` lists the frequent phrases of k + 1 words, as far as they are known.
     """
     whole, hashes = _grams(words, length)
     if length <= len(tables):
@@ -164,11 +168,50 @@ def _possible(words: Words, length: int, tables: list[np.ndarray]) -> tuple[np.n
     return whole & part & np.concatenate([part[1:], np.zeros(min(1, len(part)), bool)]), hashes
 
 
-def hash_counts(words: Words, length: int, tables: list[np.ndarray]) -> pa.RecordBatch:
-    """Occurrences of the slice's possible phrases of that length, by hash."""
-    at, hashes = _possible(words, length, tables)
-    key, n = np.unique(hashes[at] & np.uint64((1 << KEY_BITS) - 1), return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n.astype(np.int64))], ["h", "n"])
+def runs(keys: np.ndarray, range_bits: int, most: int) -> pa.RecordBatch:
+    """Hashes with their counts (``most`` at most), one row per range of them.
+
+    A range's hashes are sorted and told by the steps from one to the next, all lowest bytes
+    first, then all second ones and so on, so that the empty ones lie together.
+    """
+    keys, n = np.unique(keys, return_counts=True)
+    shift = np.uint64(KEY_BITS - range_bits)
+    part = (keys >> shift).astype(np.int64)
+    first = np.flatnonzero(np.diff(part, prepend=-1))
+    steps = np.diff(keys, prepend=np.uint64(0))
+    steps[first] = keys[first] & ((np.uint64(1) << shift) - np.uint64(1))
+    planes = steps.astype("<u8").view(np.uint8).reshape(-1, 8)
+    n = np.minimum(n, most).astype("<u4")
+    width = -(-int(shift) // 8)
+    ends = [*first[1:].tolist(), len(keys)]
+    cuts = list(zip(first.tolist(), ends))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(part[first]), pa.array([planes[a:z, :width].T.tobytes() for a, z in cuts], pa.binary()),
+         pa.array([n[a:z].tobytes() for a, z in cuts], pa.binary())], ["part", "steps", "n"])
+
+
+def frequent_keys(steps: list[bytes], counts: list[bytes], min_count: int) -> np.ndarray:
+    """The hashes (within their range) of one range's runs that add up to ``min_count``."""
+    keys, n = [], [np.frombuffer(c, "<u4") for c in counts]
+    for run, own in zip(steps, n):
+        planes = np.frombuffer(run, np.uint8).reshape(-1, len(own))
+        wide = np.zeros((len(own), 8), np.uint8)
+        wide[:, :len(planes)] = planes.T
+        keys.append(np.cumsum(wide.view("<u8").ravel()))
+    keys, n = np.concatenate(keys), np.concatenate(n)
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first[np.add.reduceat(n[order].astype(np.int64), first) >= min_count]]
+
+
+def _bits_of(keys: np.ndarray) -> pa.Table:
+    """The table's words that hold the keys' bits."""
+    slot = np.unique(keys & np.uint64(BITS - 1))
+    place, first = np.unique((slot >> np.uint64(6)).astype(np.int64), return_index=True)
+    bits = np.uint64(1) << (slot & np.uint64(63))
+    bits = np.bitwise_or.reduceat(bits, first) if len(first) else bits
+    return pa.table({"place": place, "bits": bits.view(np.int64)})
 
 
 def stripes(words: Words, max_words: int, tables: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -207,17 +250,27 @@ def _read(tables: list) -> list[np.ndarray]:
     return [np.frombuffer(t.value, np.uint64) for t in tables]
 
 
-def _frequent(rows: DataFrame, length: int, tables: list, min_count: int) -> bytes:
+def _frequent(rows: DataFrame, length: int, tables: list, min_count: int, range_bits: int) -> bytes:
     """The bits of the frequent phrases of one length: ``BITS`` / 8 bytes, however many there are."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _read(tables)
+        known, held = _read(tables), []
         for words in _in_slices(batches):
-            yield hash_counts(words, length, known)
-
-    counted = rows.mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    bit = F.expr(f"h & {BITS - 1}")
-    found = (counted.where(F.col("n") >= min_count)
-             .groupBy(F.shiftright(bit, 6).alias("place")).agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 63 as int))")).alias("bits")))
+            at, hashes = _possible(words, length, known)
+            held.append(hashes[at] & np.uint64((1 << KEY_BITS) - 1))
+            if sum(map(len, held)) >= HELD:
+                yield runs(np.concatenate(held), range_bits, min_count)
+                held = []
+        if held:
+            yield runs(np.concatenate(held), range_bits, min_count)
+
+    def merge(own: pa.Table) -> pa.Table:
+        keys = frequent_keys(own.column("steps").to_pylist(), own.column("n").to_pylist(), min_count)
+        part = own.column("part")[0].as_py()
+        return _bits_of(keys + (np.uint64(part) << np.uint64(KEY_BITS - range_bits)))
+
+    sent = rows.mapInArrow(count, "part long, steps binary, n binary")
+    found = (sent.groupBy("part").applyInArrow(merge, "place long, bits long")
+             .groupBy("place").agg(F.bit_or("bits").alias("bits")))
     held = found.toArrow()  # at most BITS / 64 rows
     table = np.zeros(BITS // 64, np.int64)
     table[held.column("place").to_numpy()] = held.column("bits").to_numpy()
@@ -238,9 +291,11 @@ def count_stripes(docs: DataFrame, min_count: int = 30, max_words: int = 4, text
     spark = docs.sparkSession
     ship_package(spark)
     rows = docs.select(whole_text(f"`{text}`").alias("text"), F.coalesce(F.col(f"`{lang}`"), F.lit("und")).alias("lang"))
+    size = rows.select(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    range_bits = min(20, max(1, (size // RANGE_BYTES).bit_length()))
     tables: list = []
-    for length in range(1, max_words):
-        tables.append(spark.sparkContext.broadcast(_frequent(rows, length, tables, min_count)))
+    for length in range(1, max_words + 1):
+        tables.append(spark.sparkContext.broadcast(_frequent(rows, length, tables, min_count, range_bits)))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _read(tables)

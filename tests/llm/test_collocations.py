@@ -105,6 +105,21 @@ def test_hashes_differ_and_repeat_wherever_the_bytes_lie():
     assert h[0] == h[-1] and len(np.unique(h)) == len(h) - 1
 
 
+@pytest.mark.parametrize("range_bits", [1, 5, 20])
+def test_runs_of_hashes_are_merged(range_bits):
+    rng = np.random.default_rng(4)
+    chunks = [rng.integers(0, 1 << c.KEY_BITS, 3000, np.uint64) for _ in range(3)]
+    often = rng.integers(0, 1 << c.KEY_BITS, 50, np.uint64)
+    sent = [c.runs(np.concatenate([x, np.repeat(often, k)]), range_bits, 30).to_pylist()
+            for x, k in zip(chunks, (9, 10, 11))]
+    found = []
+    for part in {r["part"] for rows in sent for r in rows}:
+        own = [r for rows in sent for r in rows if r["part"] == part]
+        keys = c.frequent_keys([r["steps"] for r in own], [r["n"] for r in own], 30)
+        found += [(part << (c.KEY_BITS - range_bits)) + int(k) for k in keys]
+    assert sorted(found) == sorted(map(int, often))
+
+
 def test_slices_cut_between_texts(spark, documents):
     batch = pa.RecordBatch.from_pydict({"text": ["a b c. d"] * 5, "lang": ["en"] * 5})
     whole = c.words_of(batch.column("text"), batch.column("lang"))
