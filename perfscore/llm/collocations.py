@@ -1,9 +1,8 @@
 """Phrase collocations by stripes: each prefix keys a counter of its next words.
 
 A *stripe* belongs to a language and a prefix of 0 to 3 words and counts the words that
-follow it.  Occurrences that no counted word follows (the end of a piece, or a next word that
-cannot make a candidate) are one cell without a word, so a stripe's total is the number of
-occurrences of its prefix.  Python counts the stripes of a slice of texts; the shuffle
+follow it.  Words that cannot make a candidate are left out, but in the stripe of the empty prefix
+they are one cell without a word, so that its total is the number of all words.  Python counts the stripes of a slice of texts; the shuffle
 merges stripes element by element: a stripe travels as its cells, which are summed
 per (language, prefix, next word).  So the stripe of a very frequent prefix lies spread
 over the tasks by its next words, and partial sums meet before the shuffle.
@@ -11,7 +10,8 @@ over the tasks by its next words, and partial sums meet before the shuffle.
 Everything is read off the merged stripes:
 
 * extensions: a cell of at least ``min_count`` is a candidate, prefix and word;
-* prefix totals: the occurrences of every part that a cut leaves, 3 words at most;
+* prefix totals: a prefix occurs as often as the cell of its last word says, in the stripe of its
+  other words; so does every part that a cut leaves, 3 words at most;
 * subsumption maxima: the greatest cell of a stripe is the most frequent
   extension of its prefix to the right, and the greatest cell per (first word taken off) that to the left.
   One word more is enough: a longer candidate's part of one word more than the phrase
@@ -217,8 +217,7 @@ def _bits_of(keys: np.ndarray) -> pa.Table:
 def stripes(words: Words, max_words: int, tables: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
     """The cells of the slice's stripes, for prefixes of 0 to ``max_words`` - 1 words.
 
-    Prefixes that the tables do not list have no stripe; next words that make no possible
-    phrase count as no word.
+    Next words that make no possible phrase are left out, or of no prefix, counted together.
     """
     word, dictionary = words.spelled()
     ids = words.lang  # a number for each (language, prefix)
@@ -226,7 +225,10 @@ def stripes(words: Words, max_words: int, tables: list[np.ndarray]) -> Iterator[
     for length in range(1, max_words + 1):
         longer = np.zeros(len(word), bool)
         longer[_possible(words, length, tables)[0]] = True
-        following = np.where(longer[at], word[np.minimum(at + length - 1, len(word) - 1)], -1)
+        if length > 1:
+            kept = longer[at]
+            at, ids = at[kept], ids[kept]
+        following = np.where(longer[at], word[at + length - 1], -1)
         code = ids * (len(dictionary) + 1) + following + 1
         _, cell, n = np.unique(code, return_index=True, return_counts=True)
         begin, ending = at[cell], following[cell]
@@ -236,8 +238,7 @@ def stripes(words: Words, max_words: int, tables: list[np.ndarray]) -> Iterator[
             [pa.array(np.full(len(begin), length, np.int32)), words.langs.take(pa.array(words.lang[begin])).cast(pa.string()),
              prefix.cast(pa.string()), dictionary.take(pa.array(ending, mask=ending < 0)).cast(pa.string()),
              pa.array(n.astype(np.int64))], ["size", "lang", "prefix", "word", "n"])
-        kept = following >= 0
-        at, ids = at[kept], np.unique(code[kept], return_inverse=True)[1]
+        ids = np.unique(code, return_inverse=True)[1]
 
 
 def _in_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[Words]:
@@ -284,9 +285,9 @@ def phrase(prefix: str = "prefix", word: str = "word") -> Column:
 
 def count_stripes(docs: DataFrame, min_count: int = 30, max_words: int = 4, text: str = "text",
                   lang: str = "lang") -> DataFrame:
-    """All merged stripes of frequent prefixes: size (words of prefix and next word), lang, prefix, word, n.
+    """All merged stripes: size (words of prefix and next word), lang, prefix, word and n (``min_count`` at least).
 
-    Cells have ``min_count`` at least; smaller ones are added to the cell without a word.
+    The words too rare for that are one cell without a word, of the empty prefix.
     """
     spark = docs.sparkSession
     ship_package(spark)
@@ -305,6 +306,7 @@ def count_stripes(docs: DataFrame, min_count: int = 30, max_words: int = 4, text
     keys = ["size", "lang", "prefix", "word"]
     merged = rows.mapInArrow(count, CELLS).groupBy(*keys).agg(F.sum("n").alias("n"))
     merged = merged.withColumn("word", F.when(F.col("n") >= min_count, F.col("word")))
+    merged = merged.where((F.col("size") == 1) | F.col("word").isNotNull())
     return materialize(merged.groupBy(*keys).agg(F.sum("n").alias("n")), "stripes")
 
 
@@ -319,7 +321,7 @@ def _scores(candidates: DataFrame, totals: DataFrame) -> DataFrame:
 
     asked = candidates.select("lang", "phrase", "a", F.inline(halves(F.split("phrase", " "), F.col("size"))))
     uses = asked.groupBy("lang", "part").agg(F.count(F.lit(1)).alias("_uses"))
-    side = uses.join(totals.withColumnRenamed("prefix", "part"), ["lang", "part"])
+    side = uses.join(totals, ["lang", "part"])
     found = hot_join(asked, side, ["lang", "part"], "_uses")
     cut = found.groupBy("lang", "phrase", "a", "k").agg(
         F.max(F.when(F.col("is_left"), F.col("total"))).alias("l"),
@@ -340,22 +342,19 @@ def mine_collocations(docs: DataFrame, min_count: int = 30, max_words: int = 4,
     """
     cells = count_stripes(docs, min_count, max_words, text, lang)
     words = materialize(cells.where("size = 1").groupBy("lang").agg(F.sum("n").alias("n")), "languages")
-    totals = cells.where("size > 1").groupBy("lang", "prefix").agg(
-        F.sum("n").alias("total"), F.max(F.when(F.col("word").isNotNull(), F.col("n"))).alias("most"))
-    totals = materialize(totals, "prefixes")
-
-    found = materialize(cells.where((F.col("size") > 1) & F.col("word").isNotNull() & (F.col("n") >= min_count))
-                        .select("lang", "size", phrase().alias("phrase"), F.col("n").alias("a")), "candidates")
+    found = cells.where(F.col("word").isNotNull()).select("lang", "size", "prefix", phrase().alias("phrase"), F.col("n").alias("a"))
+    found = materialize(found, "phrases")
+    after = found.where("size > 2").groupBy("lang", F.col("prefix").alias("phrase")).agg(F.max("a").alias("most_after"))
+    totals = found.where(F.col("size") < max_words).select("lang", F.col("phrase").alias("part"), F.col("a").alias("total"))
     inner = F.expr("substring(phrase, instr(phrase, ' ') + 1)")
     before = found.where("size > 2").groupBy("lang", inner.alias("phrase")).agg(F.max("a").alias("most_before"))
-    after = totals.where(F.col("most").isNotNull()).select("lang", F.col("prefix").alias("phrase"), F.col("most").alias("most_after"))
-    longer = found.join(before, ["lang", "phrase"], "left").join(after, ["lang", "phrase"], "left")
+    longer = found.where("size > 1").join(before, ["lang", "phrase"], "left").join(after, ["lang", "phrase"], "left")
     most = F.greatest(F.coalesce("most_before", F.lit(0)), F.coalesce("most_after", F.lit(0))).cast("decimal(20, 0)")
     own = longer.where(100 * most < subsumed * F.col("a").cast("decimal(20, 0)"))
     own = materialize(own.select("lang", "phrase", "size", "a"), "own")
 
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    scored = _scores(own, totals.select("lang", "prefix", "total"))
+    scored = _scores(own, totals)
     scored = scored.withColumn("_part", F.pmod(F.xxhash64("phrase"), F.lit(PARTS)))
     best = scored.withColumn("_place", F.row_number().over(Window.partitionBy("lang", "_part").orderBy(*order)))
     best = best.where(F.col("_place") <= top)  # PARTS * top rows of a language at most go on

@@ -77,22 +77,21 @@ def test_bits_that_phrases_share_change_no_count(spark, monkeypatch):
     check(spark, sentences(5), min_count=3)
 
 
-def test_a_stripes_total_is_its_prefix_count(spark):
+def test_stripes_hold_counts_of_words_and_extensions(spark):
     docs = [("to be or not to be. to", "en")] * 4 + [("to see", "en")]
     df = spark.createDataFrame(docs, "text string, lang string")
-    cells = c.count_stripes(df, min_count=4).collect()
-    total = Counter()
-    for r in cells:
-        total[r.size, r.prefix] += r.n
-    assert total[1, ""] == 7 * 4 + 2 and total[2, "to"] == 13 and total[3, "to be"] == 8
-    assert {(r.word, r.n) for r in cells if r.prefix == "to"} == {("be", 8), (None, 5)}
-    assert {r.word for r in cells if r.size == 1} == {"to", "be", "or", "not", None}
+    cells = {(r.size, r.prefix, r.word): r.n for r in c.count_stripes(df, min_count=4).collect()}
+    assert sum(n for (size, _, _), n in cells.items() if size == 1) == 7 * 4 + 2
+    assert {w: n for (size, _, w), n in cells.items() if size == 1} == {"to": 13, "be": 8, "or": 4, "not": 4, None: 1}
+    assert {k[1:]: n for k, n in cells.items() if k[0] == 3} == {
+        ("to be", "or"): 4, ("be or", "not"): 4, ("or not", "to"): 4, ("not to", "be"): 4}
+    assert cells[2, "to", "be"] == 8
 
 
 def test_scores_beyond_64_bits(spark):
     big = 6 * 10**18
     found = spark.createDataFrame([("en", "a b", 2, big)], "lang string, phrase string, size int, a long")
-    totals = spark.createDataFrame([("en", "a", big + 7), ("en", "b", big)], "lang string, prefix string, total long")
+    totals = spark.createDataFrame([("en", "a", big + 7), ("en", "b", big)], "lang string, part string, total long")
     (row,) = c._scores(found, totals).collect()
     assert row.score == 2000000 * big // (2 * big + 7)
 
