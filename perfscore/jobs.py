@@ -42,7 +42,8 @@ def ingest_job(search_pages: DataFrame, stats_pages: DataFrame, channel_pages: D
     return {"videos": ig.build_videos(cand, niche_map, images, as_of),
             "audit": ig.ingest_audit(cand),
             "errors": ig.error_rows(cand),
-            "page_errors": pg.broken_pages(search_pages, pg.SEARCH_PAGE)}
+            "page_errors": pg.page_errors(search=search_pages, playlist=playlist_pages,
+                                          stats=stats_pages, channel=channel_pages)}
 
 
 def labelling_job(annotations: DataFrame, profile: str = "label") -> DataFrame:

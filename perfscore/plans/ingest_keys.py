@@ -140,13 +140,29 @@ def q_resume(spark, sf_dir):
     return ig.resume(stored, v)
 
 
-@key("page_errors", f"SELECT channel_id, CAST(floor({SQL_K} / 50) AS BIGINT) AS page_no, 'broken page' AS error "
-     f"FROM f_videos_raw WHERE {SQL_CH} % 37 = 1 GROUP BY 1, 2", V)
+PAGE_NO = f"CAST(floor({SQL_K} / 50) AS BIGINT)"
+
+
+@key("page_errors", f"""
+SELECT 'search' AS kind, channel_id, {PAGE_NO} AS page_no, 'broken page' AS error FROM f_videos_raw
+WHERE {SQL_CH} % 37 = 1 GROUP BY ALL
+UNION ALL SELECT 'search', channel_id, {PAGE_NO}, 'broken page' FROM f_videos_raw
+WHERE {SQL_CH} % 37 = 1 AND {SQL_K} % 10 = 4 GROUP BY ALL
+UNION ALL SELECT 'playlist', channel_id, {PAGE_NO}, 'broken page' FROM f_videos_raw WHERE {SQL_CH} % 37 = 2 GROUP BY ALL
+UNION ALL SELECT 'stats', NULL, {PAGE_NO}, 'broken page' FROM f_videos_raw
+WHERE {SQL_K} % 9 <> 0 AND {PAGE_NO} % 5 = 1 GROUP BY ALL
+UNION ALL SELECT 'stats', NULL, {PAGE_NO}, 'broken page' FROM f_videos_raw
+WHERE {SQL_K} % 9 <> 0 AND {SQL_K} % 10 = 3 AND {PAGE_NO} % 5 = 1 GROUP BY ALL
+UNION ALL SELECT 'channel', CAST(c_custkey AS VARCHAR), NULL, 'broken page' FROM customer WHERE c_custkey % 37 = 3
+UNION ALL SELECT 'channel', CAST(c_custkey AS VARCHAR), NULL, 'broken page' FROM customer
+WHERE c_custkey % 37 = 3 AND c_custkey % 7 = 2""", V)
 def q_page_errors(spark, sf_dir):
-    """Pages cut off while they were landed: an error row each, and the others parse as ever."""
-    pages = pf.search_pages(spark, sf_dir)
-    cut = F.when(F.col("channel_id").cast("bigint") % 37 == 1, F.expr("substr(page, 1, length(page) - 3)"))
-    return pg.broken_pages(pages.withColumn("page", F.coalesce(cut, "page")), pg.SEARCH_PAGE)
+    """Pages of all four kinds cut off while they were landed: an error row each, and the others parse as ever."""
+    number = F.col("channel_id").cast("bigint")
+    return pg.page_errors(search=pf.cut_off(pf.search_pages(spark, sf_dir), number % 37 == 1),
+                          playlist=pf.cut_off(pf.playlist_pages(spark, sf_dir), number % 37 == 2),
+                          stats=pf.cut_off(pf.stats_pages(spark, sf_dir), F.col("page_no") % 5 == 1),
+                          channel=pf.cut_off(pf.channel_pages(spark, sf_dir), number % 37 == 3))
 
 
 @key("error_split", f"SELECT video_id, reason AS error FROM (SELECT video_id, {SQL_REASON} AS reason "

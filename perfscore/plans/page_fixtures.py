@@ -61,7 +61,15 @@ def search_pages(spark: SparkSession, sf_dir: str, channel_cond=None) -> DataFra
         F.struct(F.col("video_id").alias("videoId")).alias("id"),
         F.struct(F.col("title").alias("title"), _published().alias("publishedAt"),
                  _thumbnails().alias("thumbnails")).alias("snippet")).alias("item"))
-    return _pages(items, ["channel_id"])
+    earlier = items.where(F.col("_k") % 10 == 4).withColumn(
+        "item", F.col("item").withField("snippet.title", F.lit("earlier title")))
+    return (_pages(items, ["channel_id"]).withColumn("landed_at", F.lit(2))
+            .unionByName(_pages(earlier, ["channel_id"]).withColumn("landed_at", F.lit(1))))  # landed again since
+
+
+def cut_off(pages: DataFrame, cond) -> DataFrame:
+    """Pages of which some were cut off while they were landed."""
+    return pages.withColumn("page", F.when(cond, F.expr("substr(page, 1, length(page) - 3)")).otherwise(F.col("page")))
 
 
 def playlist_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,4 +130,9 @@ def niche_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.where(F.col("channel_id").cast("bigint") % 3 != 0).select("channel_id", "niche").distinct()
 
 
-__all__ = ["search_pages", "playlist_pages", "stats_pages", "channel_pages", "image_files", "niche_map"]
+def land(pages: DataFrame, folder: str) -> None:
+    """Add one file to a landing folder."""
+    pages.repartition(1).write.mode("append").parquet(folder)
+
+
+__all__ = ["cut_off", "land", "search_pages", "playlist_pages", "stats_pages", "channel_pages", "image_files", "niche_map"]

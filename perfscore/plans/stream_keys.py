@@ -1,9 +1,10 @@
 """Driver keys: incremental refresh.
 
-T1: ``stream_ingest`` (file stream of orders → video table, merge on read with
-compaction) and ``stream_promote`` (file stream of events → additive run
-partials → promotion gate).  T2: ``zscore_incremental`` (mergeable moments over
-hash batches) and ``zscore_stream`` (stateful streaming group aggregate).
+T1: ``stream_ingest`` (landed files of orders → keyed state with versions and
+deletions → video table), ``stream_pages`` (landed pages whose parts come late) and
+``stream_promote`` (file stream of events → additive run partials → promotion gate).  T2:
+``zscore_incremental`` (mergeable moments over hash batches), ``zscore_changed`` (values
+taken back) and ``zscore_stream`` (stateful streaming group aggregate).
 """
 
 from __future__ import annotations
@@ -12,15 +13,18 @@ from pyspark.sql import functions as F
 
 from perfscore.functions.video import MIN_VIEWS, as_of_literal, is_short, performance_score
 from perfscore.operators.promote import promote_gate
+from perfscore.plans import page_fixtures as pf
 from perfscore.plans.common import SQL_PERF, enriched_perf, scored_cte
 from perfscore.plans.feature_keys import PROMOTE_SQL
 from perfscore.plans.fixtures import AS_OF, videos_from
-from perfscore.plans.ingest_keys import SQL_SHORT
+from perfscore.plans.ingest_keys import BUILT_CTE, SQL_SHORT
+from perfscore.plans.page_fixtures import land
 from perfscore.plans.registry import key
 from perfscore.session import apply_core_conf, materialize, scratch_path
 from perfscore.sources.tables import read_table
-from perfscore.streaming.refresh import (GroupMoments, compact, file_stream, read_current,
-                                         read_summed, run_available)
+from perfscore.streaming.keyed import DELETED, KeyedTable
+from perfscore.streaming.landed import PAGE_SCHEMA, LandedIngest
+from perfscore.streaming.refresh import GroupMoments, each_batch, file_stream, read_summed, run_available
 
 E = ("f_enriched",)
 N_BATCHES = 4
@@ -38,19 +42,59 @@ def _videos_from_batch(batch, sf_dir):
      f"subscriber_count, {SQL_PERF} AS performance_score, niche FROM f_videos_raw "
      f"WHERE NOT ({SQL_SHORT}) AND view_count >= {MIN_VIEWS}", ("f_videos_raw",))
 def q_stream_ingest(spark, sf_dir):
-    """File stream over the orders file → foreachBatch build → compacted merge-on-read table."""
+    """Three landed files of order rows → bucketed keyed state → kept, scored videos.
+
+    Some orders have two versions in the first file, some are corrected by the second, some
+    have a stale version that arrives last, and rows of the first are deleted by the third.
+    """
     apply_core_conf(spark)
-    schema = read_table(spark, sf_dir, "orders").schema
-    stream = file_stream(spark, sf_dir, "orders.parquet", schema)
-    target = scratch_path(spark, "videos_stream")
-    run_available(stream, lambda batch, batch_id: _videos_from_batch(batch, sf_dir), target,
-                  scratch_path(spark, "videos_stream_ckpt"))
-    compact(spark, target)
-    return read_current(spark, target).select(
+    orders = read_table(spark, sf_dir, "orders")
+    number, folder = F.col("o_orderkey"), scratch_path(spark, "landing")
+
+    def version(rows, landed_at, stale=False, deleted=False):
+        out = rows.withColumns({"landed_at": F.lit(landed_at), DELETED: F.lit(deleted)})
+        return out.withColumn("o_totalprice", F.col("o_totalprice") * 0 + 999999) if stale else out
+
+    extra = orders.where(number % 6 == 1).withColumn("o_orderkey", -number - 1)
+    land(version(orders.where(number % 3 != 0), 2).unionByName(version(orders.where(number % 5 == 0), 1, stale=True))
+         .unionByName(version(extra, 1)), folder)
+    land(version(orders.where((number % 3 == 0) | (number % 5 == 0)), 3), folder)
+    land(version(orders.where(number % 4 == 1), 0, stale=True).unionByName(version(extra, 2, deleted=True)), folder)
+    state = KeyedTable(spark, scratch_path(spark, "videos_state"), "o_orderkey", ("landed_at",), buckets=16)
+    stream = file_stream(spark, folder, "*.parquet", spark.read.parquet(folder).schema, max_files_per_trigger=1)
+    each_batch(stream, state.merge, scratch_path(spark, "videos_state_ckpt"))
+    return _videos_from_batch(state.current().drop("landed_at"), sf_dir).select(
         "video_id", "channel_id", "channel_name", "published_at", "view_count", "duration",
         "subscriber_count", "performance_score", "niche")
 
 
+@key("stream_pages", BUILT_CTE + "SELECT * FROM built", ("f_videos_raw",))
+def q_stream_pages(spark, sf_dir):
+    """Four landed files of pages: videos, half of the channels, statistics, then stale versions and the other channels.
+
+    Statistics land two batches after their videos, and half of the channels three.
+    """
+    apply_core_conf(spark)
+    folder = scratch_path(spark, "landed_pages")
+
+    def of(kind, pages):
+        columns = [c if c in pages.columns else F.lit(None).alias(c) for c in ("channel_id", "page_no", "page", "landed_at")]
+        return pages.select(F.lit(kind).alias("kind"), *columns).select(
+            "kind", F.col("channel_id").cast("string"), F.col("page_no").cast("long"), "page", F.col("landed_at").cast("long"))
+
+    search, stats = of("search", pf.search_pages(spark, sf_dir)), of("stats", pf.stats_pages(spark, sf_dir))
+    channels = of("channel", pf.channel_pages(spark, sf_dir))
+    early = F.col("channel_id").cast("bigint") % 2 == 0
+    land(search.where("landed_at = 2"), folder)
+    land(channels.where(early), folder)
+    land(stats.where("landed_at = 2"), folder)
+    land(search.where("landed_at = 1").unionByName(stats.where("landed_at = 1")).unionByName(channels.where(~early)), folder)
+    ingest = LandedIngest(spark, scratch_path(spark, "pages_state"), buckets=16)
+    stream = file_stream(spark, folder, "*.parquet", PAGE_SCHEMA, max_files_per_trigger=1)
+    each_batch(stream, ingest.process, scratch_path(spark, "pages_ckpt"))
+    return ingest.videos(pf.niche_map(spark, sf_dir), pf.image_files(spark, sf_dir), AS_OF)
+
+
 @key("zscore_incremental", f", {scored_cte('niche')} SELECT video_id, round(perf_norm, 6) AS z FROM scored", E)
 def q_zscore_incremental(spark, sf_dir):
     """Four hash batches merged into running moments; z equals the one-pass value."""
@@ -62,6 +106,24 @@ def q_zscore_incremental(spark, sf_dir):
     return moments.zscore(df).select("video_id", F.round("z", 6).alias("z"))
 
 
+@key("zscore_changed", f", {scored_cte('niche')} SELECT video_id, round(perf_norm, 6) AS z FROM scored", E)
+def q_zscore_changed(spark, sf_dir):
+    """Moments of rows that change afterwards: old values are taken back, removed rows go, z equals one pass.
+
+    One niche starts with values a million times too large, so that taking them back cancels
+    and the group is counted anew.
+    """
+    df = materialize(enriched_perf(spark, sf_dir).select("video_id", "niche", "performance_score"), "rows")
+    number, value = F.col("video_id").cast("bigint"), F.col("performance_score")
+    wrong = (number % 5 == 0) | (F.col("niche") == "BUILDING")
+    old = df.where(wrong).withColumn("performance_score", F.when(F.col("niche") == "BUILDING", value * 1e6 + 1e9).otherwise(value * 3 + 1))
+    extra = df.where(number % 7 == 0).withColumn("video_id", F.concat(F.lit("gone"), "video_id"))
+    moments = GroupMoments(spark, "performance_score", ["niche"], "changed_moments")
+    moments.update(old.unionByName(df.where(~wrong)).unionByName(extra))
+    moments.change(old.unionByName(extra), df.where(wrong), df)
+    return moments.zscore(df).select("video_id", F.round("z", 6).alias("z"))
+
+
 def _run_partials(batch, batch_id):
     """One micro-batch of events → additive partials per (segment, day)."""
     return (batch.groupBy(F.col("event_type").alias("segment"), F.to_date("ts").alias("run_day"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from perfscore.session import materialize
+from perfscore.sources import folders
 
 # Admitted image types and the upload size limit.
 IMAGE_EXTENSIONS = ("jpg", "jpeg", "png", "webp")
@@ -49,15 +50,20 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
 
 def read_latest_snapshot(spark: SparkSession, path: str, fmt: str = "parquet",
                          schema: T.StructType | str | None = None) -> DataFrame:
-    """Rows of the newest snapshot under ``path`` (partition filter, pruned scan)."""
+    """Rows of the newest committed snapshot under ``path``.
+
+    The folder is listed, so older snapshots are not read, and one that is still being
+    written (no commit marker) is not chosen.
+    """
+    done = folders.values(spark, path, "snapshot")
+    if not done:
+        raise FileNotFoundError(f"no committed snapshot under {path}")
     reader = spark.read.format(fmt)
     if fmt == "csv":
         reader = reader.options(**CSV_OPTIONS)
     if schema is not None:
         reader = reader.schema(schema)
-    df = reader.load(path)
-    latest = df.select(F.max("snapshot")).scalar()
-    return df.where(F.col("snapshot") == latest).drop("snapshot")
+    return reader.load(os.path.join(path, f"snapshot={done[-1]}"))
 
 
 def write_instances(df: DataFrame, path: str, key: str = "video_id", embedding: str = "embedding",

@@ -84,6 +84,25 @@ def broken_pages(pages: DataFrame, schema: T.StructType) -> DataFrame:
     return bad.select(*keys, F.lit(BROKEN_PAGE).alias("error"))
 
 
+#: Schema of each kind of page.
+PAGE_KINDS = {"search": SEARCH_PAGE, "playlist": PLAYLIST_PAGE, "stats": STATS_PAGE, "channel": CHANNEL_PAGE}
+
+
+def page_errors(**pages: DataFrame | None) -> DataFrame:
+    """Broken pages of all given kinds (``search=``, ``playlist=``, ``stats=``, ``channel=``): kind, keys and error."""
+    out = None
+    for kind, landed in pages.items():
+        if landed is None:
+            continue
+        bad = broken_pages(landed, PAGE_KINDS[kind])
+        for name, sql_type in (("channel_id", "string"), ("page_no", "bigint")):
+            if name not in bad.columns:
+                bad = bad.withColumn(name, F.lit(None).cast(sql_type))
+        bad = bad.select(F.lit(kind).alias("kind"), "channel_id", "page_no", "error")
+        out = bad if out is None else out.unionByName(bad)
+    return out
+
+
 def latest_landing(rows: DataFrame, key: str) -> DataFrame:
     """One row per key: the one landed last (``landed_at``); ties go to the greatest row.
 
@@ -105,10 +124,19 @@ def _items(pages: DataFrame, schema: T.StructType, keep=("channel_id", "page_no"
 
 
 def flatten_search_pages(pages: DataFrame) -> DataFrame:
-    """Search pages → video_id, title, published_at, thumbnail_url, channel_id."""
-    it = _items(pages, SEARCH_PAGE)
+    """Search pages → video_id, title, published_at, thumbnail_url, channel_id: one row per video, the one landed last."""
+    return latest_landing(search_rows(pages), "video_id")
+
+
+def _landed(items: DataFrame) -> list[str]:
+    return [c for c in ("landed_at",) if c in items.columns]
+
+
+def search_rows(pages: DataFrame) -> DataFrame:
+    """The items of search pages as they landed (items without a video id are no videos)."""
+    it = _items(pages, SEARCH_PAGE).where(F.col("item.id.videoId").isNotNull())
     return it.select(
-        F.col("item.id.videoId").alias("video_id"),
+        F.col("item.id.videoId").alias("video_id"), *_landed(it),
         F.col("item.snippet.title").alias("title"),
         parse_iso_utc(F.col("item.snippet.publishedAt")).alias("published_at"),
         best_thumbnail(F.col("item.snippet.thumbnails")).alias("thumbnail_url"),
@@ -117,15 +145,16 @@ def flatten_search_pages(pages: DataFrame) -> DataFrame:
 
 
 def flatten_playlist_pages(pages: DataFrame) -> DataFrame:
-    """Playlist pages (id under resourceId); private and deleted entries dropped."""
-    it = _items(pages, PLAYLIST_PAGE)
+    """Playlist pages (id under resourceId): one row per video; private and deleted entries dropped."""
+    it = _items(pages, PLAYLIST_PAGE).where(F.col("item.snippet.resourceId.videoId").isNotNull())
     out = it.select(
-        F.col("item.snippet.resourceId.videoId").alias("video_id"),
+        F.col("item.snippet.resourceId.videoId").alias("video_id"), *_landed(it),
         F.col("item.snippet.title").alias("title"),
         parse_iso_utc(F.col("item.snippet.publishedAt")).alias("published_at"),
         best_thumbnail(F.col("item.snippet.thumbnails")).alias("thumbnail_url"),
         "channel_id", "page_no", "pos",
         _unparsed(F.col("item.snippet.publishedAt"), parse_iso_utc(F.col("item.snippet.publishedAt"))).alias("bad_date"))
+    out = latest_landing(out, "video_id")  # an entry hidden since its last landing is hidden
     return out.where(~F.coalesce(F.col("title").isin(*HIDDEN_TITLES), F.lit(False)))
 
 
@@ -135,29 +164,37 @@ def flatten_stats_pages(pages: DataFrame) -> DataFrame:
     ``bad_counter`` marks counters that are present but not numbers, so the
     ingest can route such rows to its error table instead of failing.
     """
+    return latest_landing(stats_rows(pages), "video_id")
+
+
+def stats_rows(pages: DataFrame) -> DataFrame:
+    """The items of statistics pages as they landed."""
     it = _items(pages, STATS_PAGE, keep=())
     s = F.col("item.statistics")
     present_bad = None
     for name in ("viewCount", "likeCount", "commentCount"):
         c = s[name].isNotNull() & s[name].try_cast("bigint").isNull()
         present_bad = c if present_bad is None else present_bad | c
-    rows = it.select(
-        F.col("item.id").alias("video_id"), *[c for c in ("landed_at",) if c in it.columns],
+    return it.where(F.col("item.id").isNotNull()).select(
+        F.col("item.id").alias("video_id"), *_landed(it),
         counter(s["viewCount"]).alias("view_count"),
         counter(s["likeCount"]).alias("like_count"),
         counter(s["commentCount"]).alias("comment_count"),
         F.coalesce(F.col("item.contentDetails.duration"), F.lit("")).alias("duration"),
         present_bad.alias("bad_counter"))
-    return latest_landing(rows, "video_id")
 
 
 def flatten_channel_pages(pages: DataFrame) -> DataFrame:
     """Channel pages → channel_id, channel_name, subscriber_count (missing → 0, unparsable → NULL)."""
+    return latest_landing(channel_rows(pages), "channel_id")
+
+
+def channel_rows(pages: DataFrame) -> DataFrame:
+    """The items of channel pages as they landed."""
     it = _items(pages, CHANNEL_PAGE, keep=())
     count = F.col("item.statistics.subscriberCount")
     bad = _unparsed(count, count.try_cast("bigint"))
-    rows = it.select(
-        F.col("item.id").alias("channel_id"), *[c for c in ("landed_at",) if c in it.columns],
+    return it.where(F.col("item.id").isNotNull()).select(
+        F.col("item.id").alias("channel_id"), *_landed(it),
         F.col("item.snippet.title").alias("channel_name"),
         F.when(~bad, counter(count)).alias("subscriber_count"), bad.alias("bad_subscribers"))
-    return latest_landing(rows, "channel_id")

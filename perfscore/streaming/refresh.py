@@ -7,9 +7,13 @@ merge on the key and keep the row of the latest batch (merge on read).
 ``compact`` writes the merged state as ``target/base/upto=<id>``; readers then
 take the newest base plus only the batches after it, so reads stay bounded.
 
+Keyed state with event-time versions and deletions, rewritten bucket by bucket, is in
+``streaming.keyed``; ``streaming.landed`` ingests landed pages on top of it.
+
 T2: per-group running statistics ``(n, mean, M2)`` merged batch by batch with
 the pairwise update (no sums of squares, which cancel), so z-scores after any
-number of batches equal a one-pass computation over all rows.  State is
+number of batches equal a one-pass computation over all rows.  Changed and removed
+rows are taken back by the inverse update.  State is
 written to the shared checkpoint folder after each update, which cuts lineage.
 """
 
@@ -22,7 +26,7 @@ from pyspark.sql import functions as F
 
 from perfscore.functions.stats import Z_EPS, zscore
 from perfscore.operators.joins import small_side
-from perfscore.session import scratch_path
+from perfscore.session import materialize, scratch_path
 
 BatchFn = Callable[[DataFrame, int], DataFrame]
 
@@ -42,13 +46,18 @@ def file_stream(spark: SparkSession, folder: str, glob: str, schema, fmt: str =
 
 def run_available(stream: DataFrame, transform: BatchFn, target: str, checkpoint: str,
                   on_batch: Callable[[DataFrame, int], None] | None = None) -> None:
-    """Process everything available now, then stop (restartable via the checkpoint)."""
+    """Process everything available now into a folder per batch, then stop (restartable via the checkpoint)."""
     def sink(batch: DataFrame, batch_id: int) -> None:
         out = transform(batch, batch_id)
         out.write.mode("overwrite").parquet(f"{target}/batches/batch_id={batch_id}")
         if on_batch is not None:
             on_batch(out, batch_id)
 
+    each_batch(stream, sink, checkpoint)
+
+
+def each_batch(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+    """Hand everything available now to an idempotent ``sink(batch, batch_id)``, batch by batch."""
     q = (stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
@@ -66,34 +75,38 @@ def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def _latest_rows(df: DataFrame, key: str) -> DataFrame:
+def _latest_rows(df: DataFrame, key: str, order: Sequence[str] = ()) -> DataFrame:
     cols = [c for c in df.columns if c not in (key, "batch_id")]
-    # versions of one batch tie on its number: the greatest row wins, in whatever order they came
-    best = F.max(F.struct(F.col("batch_id").alias("_at"), F.struct(*cols).alias("_row")))
+    # versions that tie on event time and batch: the greatest row wins, in whatever order they came
+    best = F.max(F.struct(F.struct(*order, "batch_id").alias("_at"), F.struct(*cols).alias("_row")))
     latest = df.groupBy(key).agg(best.alias("_best")).select(key, "_best._row")
     return latest.select(key, "_row.*")
 
 
-def read_current(spark: SparkSession, target: str, key: str = "video_id") -> DataFrame:
-    """Latest version of each key: newest compacted base plus the batches after it."""
+def read_current(spark: SparkSession, target: str, key: str = "video_id", order: Sequence[str] = ()) -> DataFrame:
+    """Latest version of each key: newest compacted base plus the batches after it.
+
+    ``order`` names the columns of a version (event time first) that decide before the batch's
+    number does; state that is rewritten bucket by bucket is in ``streaming.keyed``.
+    """
     batches = spark.read.parquet(f"{target}/batches")
     base = _read_or_none(spark, f"{target}/base")
     if base is None:
-        return _latest_rows(batches, key)
+        return _latest_rows(batches, key, order)
     upto = base.select(F.max("upto")).scalar()
     base_rows = base.where(F.col("upto") == upto).withColumnRenamed("upto", "batch_id")
     newer = batches.where(F.col("batch_id") > upto)
-    return _latest_rows(base_rows.unionByName(newer), key)
+    return _latest_rows(base_rows.unionByName(newer), key, order)
 
 
-def compact(spark: SparkSession, target: str, key: str = "video_id") -> int:
+def compact(spark: SparkSession, target: str, key: str = "video_id", order: Sequence[str] = ()) -> int:
     """Write the current state as a new base covering all batches so far.
 
     Idempotent: the base folder is named after the last batch it covers.
     Returns that batch id.
     """
     upto = spark.read.parquet(f"{target}/batches").select(F.max("batch_id")).first()[0]
-    read_current(spark, target, key).write.mode("overwrite").parquet(f"{target}/base/upto={upto}")
+    read_current(spark, target, key, order).write.mode("overwrite").parquet(f"{target}/base/upto={upto}")
     return int(upto)
 
 
@@ -134,6 +147,31 @@ def merge_moments(state: DataFrame | None, batch: DataFrame, group_cols: Sequenc
     return j.select(*group_cols, n.alias("n"), mean.alias("mean"), m2.alias("m2"))
 
 
+#: A group whose M2 shrinks below this share of what it was has lost digits and is counted anew.
+RECOUNT_BELOW = 1e-4
+
+
+def retract_moments(state: DataFrame, removed: DataFrame, group_cols: Sequence[str]) -> DataFrame:
+    """Moments without the removed rows (the pairwise merge, inverted), and ``doubtful``.
+
+    A group is doubtful when its rows nearly cancel (or more are taken away than it has):
+    its moments have to be counted from its rows.  Emptied groups go.
+    """
+    a = state.select(*group_cols, F.col("n").alias("na"), F.col("mean").alias("ma"), F.col("m2").alias("qa"))
+    b = removed.select(*group_cols, F.col("n").alias("nb"), F.col("mean").alias("mb"), F.col("m2").alias("qb"))
+    j = a.join(b, list(group_cols), "full_outer")
+    na, nb = F.coalesce("na", F.lit(0.0)), F.coalesce("nb", F.lit(0.0))
+    n = na - nb
+    untouched = nb == 0
+    mean = F.col("ma") - F.try_divide((F.col("mb") - F.col("ma")) * nb, n)
+    delta = F.col("mb") - mean
+    m2 = F.col("qa") - F.col("qb") - F.try_divide(delta * delta * n * nb, na)
+    j = j.select(*group_cols, n.alias("n"), F.when(untouched, F.col("ma")).otherwise(mean).alias("mean"),
+                 F.when(untouched, F.col("qa")).otherwise(m2).alias("m2"), "qa", untouched.alias("_same"))
+    kept = ~F.col("_same") & ((F.col("n") < 0) | F.col("m2").isNull() | (F.col("m2") <= RECOUNT_BELOW * F.col("qa")))
+    return j.where(F.col("n") != 0).select(*group_cols, "n", "mean", "m2", kept.alias("doubtful"))
+
+
 class GroupMoments:
     """Running (n, mean, M2) per group, persisted after every update."""
 
@@ -144,11 +182,30 @@ class GroupMoments:
         self.state: DataFrame | None = None
 
     def update(self, batch: DataFrame) -> DataFrame:
-        merged = merge_moments(self.state, batch_moments(batch, self.value, self.group_cols),
-                               self.group_cols)
+        """Add a batch of new rows."""
+        return self._store(merge_moments(self.state, batch_moments(batch, self.value, self.group_cols),
+                                         self.group_cols))
+
+    def change(self, removed: DataFrame, added: DataFrame, rows: DataFrame) -> DataFrame:
+        """Take back rows as they were counted and add others; a changed row is in both.
+
+        ``rows`` holds all rows as they are after the change.  Of these only doubtful groups' are read
+        (see ``retract_moments``), which are counted anew.
+        """
+        if self.state is None:
+            raise ValueError("nothing has been counted yet")
+        keys = self.group_cols
+        left = materialize(retract_moments(self.state, batch_moments(removed, self.value, keys), keys), "retracted")
+        doubtful = left.where("doubtful").select(*keys)
+        fresh = batch_moments(added, self.value, keys).join(doubtful, keys, "left_anti")
+        merged = merge_moments(left.where("NOT doubtful").drop("doubtful"), fresh, keys)
+        counted = batch_moments(rows.join(doubtful, keys, "left_semi"), self.value, keys)
+        return self._store(merged.unionByName(counted))
+
+    def _store(self, state: DataFrame) -> DataFrame:
         self.version += 1
         path = f"{self.base}/v={self.version}"
-        merged.write.mode("overwrite").parquet(path)
+        state.write.mode("overwrite").parquet(path)
         self.state = self.spark.read.parquet(path)
         return self.state
 
