@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from perfscore.functions import labels as lb
@@ -19,7 +19,7 @@ from perfscore.functions.features import (AI_NICHE, DEFAULT_CHANNEL_AVG_PERF, DE
                                           DEFAULT_SUBSCRIBERS, TAB_FEATURES, as_double,
                                           channel_feature_columns, image_feature_columns)
 from perfscore.functions.stats import finite, zscore
-from perfscore.operators.joins import stats_join
+from perfscore.operators.joins import small_side, stats_join
 from perfscore.operators.stats import group_mean, group_stats
 
 SCORE_MAX = 20.0
@@ -140,10 +140,29 @@ def apply_scaler(df: DataFrame, scaler: dict[str, tuple[float, float]]) -> DataF
     return df.select(*out)
 
 
-def fold_of(id_col: str = "video_id", seed: int = 42, k: int = 5) -> Column:
-    """Seeded fold from the first 32 bits of md5(id || seed); stable under repartition."""
-    h = F.conv(F.substring(F.md5(F.concat(F.col(id_col).cast("string"), F.lit(str(seed)))), 1, 8), 16, 10)
-    return F.pmod(h.cast("bigint"), F.lit(k))
+def fold_hash(id_col: str = "video_id", seed: int = 42) -> Column:
+    """60 bits of md5(id || seed): the place of an id in the seeded permutation."""
+    digest = F.md5(F.concat(F.col(id_col).cast("string"), F.lit(str(seed))))
+    return F.coalesce(F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint"), F.lit(0).cast("bigint"))
+
+
+def assign_folds(df: DataFrame, id_col: str = "video_id", seed: int = 42, k: int = 5, out: str = "fold",
+                 rows_per_part: int = 50_000) -> DataFrame:
+    """Add a fold 0 .. k-1: rows are ranked in a seeded permutation, and ranks dealt in turn.
+
+    Fold sizes differ by at most one, and an id keeps its fold however the rows are
+    partitioned.  The rank is exact and no task holds more than about ``rows_per_part`` rows: parts
+    are ranges of the hash, ranked alone, and start where the parts before them end.
+    """
+    bits = max(0, (df.count() // rows_per_part)).bit_length()
+    placed = df.withColumn("_h", fold_hash(id_col, seed)).withColumn("_part", F.shiftright("_h", 60 - bits))
+    counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per part
+    starts = small_side(counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")))
+    rank = F.row_number().over(Window.partitionBy("_part").orderBy("_h", id_col)) - 1
+    ranked = placed.withColumn("_rank", rank).join(starts, "_part")
+    return ranked.withColumn(out, F.pmod(F.col("_start") + F.col("_rank"), F.lit(k).cast("bigint"))).drop(
+        "_h", "_part", "_rank", "_start")
 
 
 def rescale(col, lo, hi, top: float = SCORE_MAX, digits: int = 1) -> Column:

@@ -123,10 +123,55 @@ def error_rows(candidates: DataFrame) -> DataFrame:
             .select("video_id", F.col("reason").alias("error")))
 
 
-def resume(stored: DataFrame, fresh: DataFrame, key: str = "channel_id") -> DataFrame:
-    """Keep stored rows; append fresh rows of channels not stored yet."""
+#: Bits of a store's filter of known keys: 2^23 bits are at most 131,072 rows (about 1.6 MB).
+FILTER_BITS = 1 << 23
+
+
+def _bits(key: str, bits: int) -> list[tuple[Column, Column]]:
+    """The two places of a key in the filter: word, and bit within the word."""
+    slots = [F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(bits)) for seed in (1, 2)]
+    return [(F.shiftright(s, 6), s.bitwiseAND(F.lit(63)).cast("int")) for s in slots]
+
+
+def known_filter(rows: DataFrame, key: str = "channel_id", bits: int = FILTER_BITS) -> DataFrame:
+    """A Bloom filter of the keys: ``word, bits``, ``bits`` / 64 rows at most however many keys there are.
+
+    Kept beside each stored file; filters of several files are merged by ``merge_filters``.
+    """
+    slots = F.array(*[F.struct(word.alias("word"), at.alias("at")) for word, at in _bits(key, bits)])
+    spread = rows.where(F.col(key).isNotNull()).select(F.inline(slots))
+    return spread.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, at)")).alias("bits"))
+
+
+def merge_filters(filters: DataFrame) -> DataFrame:
+    """One filter of several of the same size."""
+    return filters.groupBy("word").agg(F.bit_or("bits").alias("bits"))
+
+
+def maybe_known(fresh: DataFrame, known: DataFrame, key: str = "channel_id", bits: int = FILTER_BITS) -> DataFrame:
+    """Add ``_maybe``: false for rows whose key is surely not in the filter (no shuffle: the filter is bounded)."""
+    out, hits = fresh, []
+    for n, (word, at) in enumerate(_bits(key, bits)):
+        side = F.broadcast(known.select(F.col("word").alias(f"_w{n}"), F.col("bits").alias(f"_b{n}")))
+        out = out.withColumns({f"_word{n}": word, f"_at{n}": at}).join(side, F.col(f"_word{n}") == F.col(f"_w{n}"), "left")
+        hits.append(F.expr(f"coalesce((shiftrightunsigned(_b{n}, _at{n}) & 1) = 1, false)"))
+    out = out.withColumn("_maybe", hits[0] & hits[1])
+    return out.drop(*[f"{c}{n}" for n in (0, 1) for c in ("_w", "_b", "_word", "_at")])
+
+
+def resume(stored: DataFrame, fresh: DataFrame, key: str = "channel_id", known: DataFrame | None = None,
+           bits: int = FILTER_BITS) -> DataFrame:
+    """Keep stored rows; append fresh rows of channels not stored yet.
+
+    With the store's filter (``known_filter``) rows of surely new channels skip the comparison with the
+    store; only rows that may be known meet it.
+    """
     done = small_side(stored.select(key).distinct())
-    todo = fresh.join(done, key, "left_anti")
+    if known is None:
+        todo = fresh.join(done, key, "left_anti")
+    else:
+        marked = maybe_known(fresh, known, key, bits)
+        todo = marked.where(~F.col("_maybe")).unionByName(marked.where("_maybe").join(done, key, "left_anti")).drop("_maybe")
     return (stored.withColumn("origin", F.lit("stored"))
             .unionByName(todo.withColumn("origin", F.lit("new"))))
 

@@ -3,7 +3,8 @@
 The reference trains a small neural network on one machine; here the same
 inputs ([embedding, 20 tabular features] → within-group z) feed Spark ML
 estimators whose fitting is distributed (normal equations / tree statistics
-are aggregated across partitions).  Fold fits run concurrently from driver
+are aggregated across partitions).  Ridge fits of all folds come from one pass
+(``operators.gram``); tree fits of the folds run concurrently from driver
 threads, as ``CrossValidator(parallelism=…)`` does.
 """
 
@@ -24,9 +25,9 @@ from pyspark.sql import functions as F
 
 from perfscore.functions.features import TAB_FEATURES
 from perfscore.functions.stats import finite, pearson, zscore
-from perfscore.operators.features import apply_scaler, feature_columns, fit_scaler, fold_of, scaler_stage
+from perfscore.operators import gram
+from perfscore.operators.features import apply_scaler, assign_folds, feature_columns, fit_scaler, scaler_stage
 from perfscore.operators.joins import small_side
-from perfscore.operators.stats import group_stats
 from perfscore.session import materialize
 
 RIDGE_ALPHA = 50.0          # fixed value: ridge strength of the weight analysis
@@ -53,14 +54,27 @@ def _label_stats(df: DataFrame, label: str) -> tuple[int, float]:
     return int(row["n"]), float(row["s"] or 0.0)
 
 
+def tab_array(tab_cols: Sequence[str] = TAB_FEATURES, with_embedding: bool = False):
+    """All model inputs as one array: the embedding, if any, then the tabular features."""
+    tab = F.array(*[F.col(c).cast("double") for c in tab_cols])
+    return F.concat(vector_to_array("emb"), tab) if with_embedding else tab
+
+
+def _widths(df: DataFrame, tab_cols: Sequence[str], with_embedding: bool) -> tuple[int, int]:
+    """Number of model inputs, and of those that are not scaled (the embedding)."""
+    lead = 0
+    if with_embedding:
+        row = df.select(F.size(vector_to_array("emb")).alias("n")).first()
+        lead = row["n"] if row else 0
+    return lead + len(tab_cols), lead
+
+
 def ridge_weights(df: DataFrame, tab_cols: Sequence[str] = TAB_FEATURES, label: str = "y",
                   alpha: float = RIDGE_ALPHA) -> DataFrame:
-    """Ridge coefficients of the tabular features on the target."""
-    n, s = _label_stats(df, label)
-    model = Pipeline(stages=[assembler(tab_cols, False), ridge(alpha, n, s, label)]).fit(df)
-    coefs = model.stages[-1].coefficients.toArray().tolist()
-    spark = df.sparkSession
-    return spark.createDataFrame(list(zip(tab_cols, [float(c) for c in coefs])), "feature string, weight double")
+    """Ridge coefficients of the tabular features on the target, from one pass."""
+    g = gram.fold_grams(df, 1, len(tab_cols), tab_array(tab_cols), F.array(F.col(label).cast("double")), F.array(F.lit(True)))
+    weights = gram.solve_ridge(g[0], alpha).weights.tolist()
+    return df.sparkSession.createDataFrame(list(zip(tab_cols, weights)), "feature string, weight double")
 
 
 def regression_pipeline(kind: str, n: int, std_y: float, label: str = "y",
@@ -88,7 +102,9 @@ def cross_val_predictions(df: DataFrame, kind: str = "ridge", k: int = 5, seed:
     The scaler is fitted once over all rows, before the folds, as the reference does
     (P22); ``cross_val_predictions_fold_safe`` fits it inside each training split.
     """
-    data = materialize(df.withColumn("fold", fold_of("video_id", seed, k)), "folds")
+    data = materialize(assign_folds(df, "video_id", seed, k), "folds")
+    if kind == "ridge":
+        return _ridge_folds(data, k, label, with_embedding, alpha)
     scaler = fit_scaler(data)
 
     def fit_fold(f: int) -> DataFrame:
@@ -102,6 +118,18 @@ def cross_val_predictions(df: DataFrame, kind: str = "ridge", k: int = 5, seed:
     return _each_fold(fit_fold, k, parallelism)
 
 
+def _ridge_folds(data: DataFrame, k: int, label: str, with_embedding: bool, alpha: float) -> DataFrame:
+    """Out-of-fold ridge predictions: one pass for all fits, one for the predictions."""
+    width, lead = _widths(data, TAB_FEATURES, with_embedding)
+    x = tab_array(with_embedding=with_embedding)
+    cells = F.sequence(F.lit(0), F.lit(k - 1))
+    grams = gram.fold_grams(data, k, width, x, F.transform(cells, lambda _: F.col(label).cast("double")),
+                            F.transform(cells, lambda c: F.col("fold") == c))
+    scale = gram.deviations(grams.sum(axis=0), lead)
+    models = [gram.solve_ridge(g, alpha, scale) for g in gram.other_cells(grams)]
+    return gram.with_predictions(data, models, "fold", x).select("video_id", "fold", F.col(label).alias("y"), "prediction")
+
+
 def _each_fold(fit_fold, k: int, parallelism: int) -> DataFrame:
     """The folds' results, fitted from a few driver threads."""
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, k))) as pool:
@@ -116,25 +144,27 @@ def cross_val_predictions_fold_safe(scored: DataFrame, embeddings: DataFrame | N
 
     For each fold the within-group z target, the group mean feature and the
     scaler are fitted on the training folds only and applied to the held-out
-    fold.  A held-out group unseen in training gets the overall training mean
+    fold.  The groups are aggregated once, per fold.  A held-out group unseen in training gets the overall training mean
     as its group feature and no target (so it is not scored).
     """
     with_emb = embeddings is not None
     if with_emb:
         emb = embeddings.where(F.col("embedding").isNotNull())
         scored = scored.join(emb.select("video_id", array_to_vector("embedding").alias("emb")), "video_id")
+    base = materialize(assign_folds(scored, "video_id", seed, k), "folds")
+    if kind == "ridge":
+        return _ridge_folds_safe(base, value, group, with_emb, k, alpha)
     kept = ("y", "fold", *(("emb",) if with_emb else ()))
-    base = materialize(scored.withColumn("fold", fold_of("video_id", seed, k)), "folds")
+    splits = materialize(split_stats(base, value, group, k), "splits")
+    overall = _split_means(base, value, k)
 
     def fit_fold(f: int) -> DataFrame:
         train, held = base.where(F.col("fold") != f), base.where(F.col("fold") == f)
-        stats = small_side(group_stats(train, value, group).drop("_n"))
-        overall = train.select(F.avg(value)).scalar()
 
         def prep(df: DataFrame) -> DataFrame:
-            j = df.join(stats, group, "left")
-            j = (j.withColumn("y", zscore(value, "_mean", "_std"))
-                  .withColumn("channel_avg_perf", F.coalesce(F.col("_mean"), overall)))
+            j = df.join(splits, group, "left")
+            j = (j.withColumn("y", zscore(value, F.col("_means")[f], F.col("_stds")[f]))
+                  .withColumn("channel_avg_perf", F.coalesce(F.col("_means")[f], F.lit(overall[f]))))
             return feature_columns(j, keep=kept)
 
         tr = prep(train).where(finite("y"))
@@ -148,6 +178,63 @@ def cross_val_predictions_fold_safe(scored: DataFrame, embeddings: DataFrame | N
     return _each_fold(fit_fold, k, parallelism)
 
 
+def split_stats(rows: DataFrame, value: str, group: str, k: int) -> DataFrame:
+    """Per group the mean and sample deviation of every training split: arrays ``_means`` and ``_stds``.
+
+    One aggregate over the rows gives the moments of each (group, fold); a split's are those of
+    the other folds, merged pairwise (at most k per group).
+    """
+    folds = (rows.where(F.col(group).isNotNull() & F.col(value).isNotNull()).groupBy(group, "fold")
+             .agg(F.count(value).cast("double").alias("n"), F.avg(value).alias("m"),
+                  (F.var_pop(value) * F.count(value)).alias("q")))
+    groups = folds.groupBy(group).agg(F.sort_array(F.collect_list(F.struct("fold", "n", "m", "q"))).alias("_folds"))
+    none = F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("m"), F.lit(0.0).alias("q"))
+
+    def merged(a, b):
+        n, d = a["n"] + b["n"], b["m"] - a["m"]
+        return F.struct(n.alias("n"), (a["m"] + d * b["n"] / n).alias("m"),
+                        (a["q"] + b["q"] + d * d * a["n"] * b["n"] / n).alias("q"))
+
+    splits = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda f: F.aggregate(
+        F.filter("_folds", lambda s: s["fold"] != f), none, merged))
+    return groups.select(
+        group, F.transform(splits, lambda s: F.when(s["n"] > 0, s["m"])).alias("_means"),
+        F.transform(splits, lambda s: F.when(s["n"] > 1, F.sqrt(s["q"] / (s["n"] - 1)))).alias("_stds"))
+
+
+def _split_means(rows: DataFrame, value: str, k: int) -> list[float | None]:
+    """The mean of ``value`` over every training split (one row per fold to the driver)."""
+    per_fold = {r["fold"]: (r["n"], r["s"]) for r in rows.groupBy("fold").agg(
+        F.count(value).alias("n"), F.coalesce(F.sum(value), F.lit(0.0)).alias("s")).collect()}
+    out = []
+    for f in range(k):
+        n = sum(c for g, (c, _) in per_fold.items() if g != f)
+        out.append(sum(t for g, (_, t) in per_fold.items() if g != f) / n if n else None)
+    return out
+
+
+def _ridge_folds_safe(base: DataFrame, value: str, group: str, with_emb: bool, k: int, alpha: float) -> DataFrame:
+    """Leak-free ridge predictions: one aggregate by group, one join, one pass for all fits."""
+    cells = F.sequence(F.lit(0), F.lit(k - 1))
+    overall = F.array(*[F.lit(m).cast("double") for m in _split_means(base, value, k)])
+    joined = base.join(small_side(split_stats(base, value, group, k)), group, "left")
+    joined = joined.withColumns({
+        "_ys": F.transform(cells, lambda f: zscore(value, F.col("_means")[f], F.col("_stds")[f])),
+        "_avgs": F.transform(cells, lambda f: F.coalesce(F.col("_means")[f], overall[f])),
+        "channel_avg_perf": F.lit(0.0)})
+    data = materialize(feature_columns(joined, keep=("fold", "_ys", "_avgs", *(("emb",) if with_emb else ()))), "splits")
+    width, lead = _widths(data, TAB_FEATURES, with_emb)
+    at = lead + TAB_FEATURES.index("channel_avg_perf")
+    x = tab_array(with_embedding=with_emb)
+    used = F.transform(cells, lambda f: (F.col("fold") != f) & finite(F.col("_ys")[f]))
+    ys = F.transform("_ys", lambda y: F.coalesce(y, F.lit(0.0)))
+    grams = gram.fold_grams(data, k, width, x, ys, used, F.transform("_avgs", lambda a: F.coalesce(a, F.lit(0.0))), at)
+    models = [gram.solve_ridge(g, alpha, gram.deviations(g, lead)) for g in grams]
+    held = data.withColumns({"y": F.col("_ys")[F.col("fold").cast("int")],
+                             "channel_avg_perf": F.col("_avgs")[F.col("fold").cast("int")]})
+    return gram.with_predictions(held.where(finite("y")), models, "fold", x).select("video_id", "fold", "y", "prediction")
+
+
 def cv_metrics(preds: DataFrame, digits: int = 6) -> DataFrame:
     """Per-fold Pearson of prediction and target, with the mean and population std."""
     per_fold = small_side(preds.groupBy("fold").agg(pearson("prediction", "y").alias("corr"),
@@ -197,7 +284,7 @@ def top_quartile_classifier(df: DataFrame, label: str = "label", tab_cols: Seque
     Probabilities and AUC are out of fold: each row is scored by the model that has not seen it.
     """
     gbt = GBTClassifier(featuresCol="features", labelCol=label, maxIter=max_iter, maxDepth=max_depth, seed=seed)
-    data = df.withColumn(label, F.col(label).cast("double")).withColumn("fold", fold_of("video_id", seed, k))
+    data = df.withColumn(label, F.col(label).cast("double")).transform(assign_folds, "video_id", seed, k)
     data = materialize(data, "folds")
 
     def fit_fold(f: int) -> DataFrame:

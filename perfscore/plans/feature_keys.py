@@ -111,20 +111,20 @@ def q_features_scaled(spark, sf_dir):
     return scaled.select("video_id", *[F.round(c, 6).alias(c) for c in TAB_FEATURES])
 
 
-SQL_FOLD = "('0x' || substr(md5(video_id || '42'), 1, 8))::BIGINT % 5"
+SQL_FOLD = "(row_number() OVER (ORDER BY ('0x' || substr(md5(video_id || '42'), 1, 15))::BIGINT, video_id) - 1) % 5"
 
 
 @key("fold_assign", f"SELECT video_id, {SQL_FOLD} AS fold FROM f_enriched", E)
 def q_fold_assign(spark, sf_dir):
     from perfscore.plans.common import enriched
-    return enriched(spark, sf_dir).select("video_id", fe.fold_of("video_id", 42, 5).alias("fold"))
+    return fe.assign_folds(enriched(spark, sf_dir).select("video_id"), "video_id", 42, 5, rows_per_part=1000)
 
 
-@key("fold_corr", f", {scored_cte('niche')} SELECT {SQL_FOLD} AS fold, count(*) AS n, "
+@key("fold_corr", f", {scored_cte('niche')} SELECT fold, count(*) AS n, "
      "CASE WHEN isnan(corr(thumbnail_score, perf_norm)) THEN NULL ELSE round(corr(thumbnail_score, perf_norm), 6) END "
-     "AS corr FROM scored GROUP BY 1", E)
+     f"AS corr FROM (SELECT *, {SQL_FOLD} AS fold FROM scored) GROUP BY fold", E)
 def q_fold_corr(spark, sf_dir):
-    df = scored(spark, sf_dir).withColumn("fold", fe.fold_of("video_id", 42, 5))
+    df = fe.assign_folds(scored(spark, sf_dir), "video_id", 42, 5)
     return df.groupBy("fold").agg(F.count(F.lit(1)).alias("n"),
                                   F.round(pearson("thumbnail_score", "perf_norm"), 6).alias("corr"))
 

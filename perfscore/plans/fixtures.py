@@ -106,7 +106,7 @@ def with_fixtures(sql: str, *views: str) -> str:
     for view in views:
         add(view)
     ctes = ",\n".join(f"{v} AS ({FIXTURE_SQL[v]})" for v in needed)
-    return f"WITH {ctes}\n{sql}"
+    return f"WITH {'RECURSIVE ' if 'UNION ALL SELECT f, k + 1' in sql else ''}{ctes}\n{sql}"
 
 
 # ---------------------------------------------------------------------------

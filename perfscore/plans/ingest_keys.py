@@ -10,6 +10,7 @@ from perfscore.plans import page_fixtures as pf
 from perfscore.plans.common import SQL_PERF, videos_raw
 from perfscore.plans.fixtures import AS_OF
 from perfscore.plans.registry import key
+from perfscore.session import materialize
 from perfscore.sources import pages as pg
 
 V = ("f_videos_raw",)
@@ -137,7 +138,8 @@ def q_videos_build(spark, sf_dir):
 def q_resume(spark, sf_dir):
     v = videos_raw(spark, sf_dir).select("video_id", "channel_id")
     stored = v.where(F.col("channel_id").cast("bigint") % 4 == 0)
-    return ig.resume(stored, v)
+    known = materialize(ig.known_filter(stored), "known")  # lies beside the store
+    return ig.resume(stored, v, known=known)
 
 
 PAGE_NO = f"CAST(floor({SQL_K} / 50) AS BIGINT)"

@@ -1,4 +1,4 @@
-"""Driver keys: model fits (no SQL oracle; the driver checks rows only)."""
+"""Driver keys: model fits.  Ridge fits have an oracle (Gauss elimination in SQL); tree fits have none."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from perfscore.functions.features import TAB_FEATURES
 from perfscore.operators import features as fe
 from perfscore.operators import models as md
 from perfscore.plans.common import rule_scored, scored_cte, videos_raw
-from perfscore.plans.feature_keys import SQL_TRAIN_COLS, scaled_sql
+from perfscore.plans.feature_keys import SQL_FOLD, SQL_TRAIN_COLS, scaled_sql
 from perfscore.plans.fixtures import annotations
 from perfscore.plans.registry import key
 from perfscore.sources.embeddings import embedding_table
@@ -53,10 +53,61 @@ def q_training_input(spark, sf_dir):
     return scaled.select("video_id", F.round("y", 6).alias("y"), *[F.round(c, 6).alias(c) for c in TAB_FEATURES])
 
 
-@key("cv_predictions")
+def ridge_cte(alpha: float, width: int, lead: int, scaled_by: str) -> str:
+    """CTEs that fit a ridge per split ``f`` by Gauss elimination: ``fit(f, b, w, ws)``.
+
+    They read ``r(f, held, x, y)``, inputs as a list of ``width`` doubles.  Inputs after the first ``lead`` are divided by
+    their deviation over the rows that ``scaled_by`` names; ``ws`` are the weights of the divided inputs.
+    """
+    n = width + 1
+    return f"""
+ij AS (SELECT i, j FROM (SELECT unnest(range(1, {n + 2})) AS i), (SELECT unnest(range(1, {n + 2})) AS j) WHERE i <= j),
+half AS (SELECT f, i, j, sum(a[i] * a[j]) AS g FROM (SELECT f, list_concat([1.0::DOUBLE], x, [y]) AS a FROM r WHERE NOT held), ij
+         GROUP BY f, i, j),
+gram AS (SELECT f, i, j, g FROM half UNION ALL SELECT f, j, i, g FROM half WHERE i <> j),
+mean AS (SELECT a.f, a.j, a.g / b.g AS m, b.g AS n FROM gram a JOIN gram b ON a.f = b.f AND b.i = 1 AND b.j = 1 WHERE a.i = 1),
+dev AS (SELECT f, j, CASE WHEN j <= {lead + 1} OR s = 0 OR j > {n} THEN 1 ELSE s END AS s
+        FROM (SELECT f, j, stddev_pop(CASE WHEN j = 1 THEN 1 WHEN j <= {n} THEN x[j - 1] END) AS s
+              FROM (SELECT f, x FROM r WHERE {scaled_by}), (SELECT unnest(range(2, {n + 2})) AS j) GROUP BY f, j)),
+inner_ AS (SELECT g.f, g.i, g.j, (g.g - p.n * p.m * q.m) / d.s / e.s + CASE WHEN g.i = g.j THEN {alpha} ELSE 0 END AS v
+           FROM gram g JOIN mean p ON p.f = g.f AND p.j = g.i JOIN mean q ON q.f = g.f AND q.j = g.j
+           JOIN dev d ON d.f = g.f AND d.j = g.i JOIN dev e ON e.f = g.f AND e.j = g.j WHERE g.i > 1 AND g.i <= {n} AND g.j > 1),
+el AS (SELECT f, 1 AS k, list(v ORDER BY i) AS m FROM (SELECT f, i, list(v ORDER BY j) AS v FROM inner_ GROUP BY f, i) GROUP BY f
+       UNION ALL SELECT f, k + 1, list_transform(m, lambda row, i: CASE WHEN i = k THEN pv
+           ELSE list_transform(row, lambda v, c: v - row[k] * pv[c]) END)
+       FROM (SELECT f, k, m, list_transform(m[k], lambda v: v / m[k][k]) AS pv FROM el WHERE k <= {width})),
+solved AS (SELECT f, j, m[j - 1][{n}] AS ws, m[j - 1][{n}] / s AS w FROM el JOIN dev USING (f) WHERE k = {n} AND j <= {n}),
+fit AS (SELECT f, any_value(y.m) - sum(w * x.m) AS b, list(w ORDER BY j) AS w, list(ws ORDER BY j) AS ws
+        FROM solved JOIN mean x USING (f, j) JOIN mean y USING (f) WHERE y.j = {n + 1} GROUP BY f)"""
+
+
+TAB_LIST = "[" + ", ".join(TAB_FEATURES) + "]"
+EMB_DIM = 64    # width of the driver's embedding table
+SPLITS = "(SELECT unnest(range(0, 5)) AS f)"
+
+
+def _feats_sql(embedding: bool, avg: str, cols: str) -> str:
+    """CTE ``feats``: the 20 features of all scored rows, ``avg`` as the group mean, and further columns."""
+    own = dict(SQL_TRAIN_COLS, channel_avg_perf=avg)
+    scored = f", {scored_cte('channel_name')}"
+    if embedding:
+        scored = (scored.replace("FROM f_enriched)", f"FROM f_enriched {SQL_EMB})")
+                  .replace("SELECT *, view_count", "SELECT f_enriched.*, e.embedding, view_count"))
+    return (f"{scored}, feats AS (SELECT video_id, " + ", ".join(f"{e} AS {n}" for n, e in own.items()) + f", {cols} FROM scored)")
+
+
+_CV_SQL = (_feats_sql(True, "avg(performance_score) OVER (PARTITION BY channel_name)", "embedding, perf_norm AS y")
+           + ", used AS (SELECT * FROM feats WHERE y IS NOT NULL AND NOT isnan(y)), "
+           f"folded AS (SELECT video_id, {SQL_FOLD} AS fold, list_concat(embedding::DOUBLE[], {TAB_LIST}) AS x, y FROM used), "
+           f"r AS (SELECT *, fold = f AS held FROM folded, {SPLITS}), " + ridge_cte(1.0, EMB_DIM + len(TAB_FEATURES), EMB_DIM, "true")
+           + " SELECT video_id, fold, round(y, 6) AS y, round(b + list_dot_product(w, x), 6) AS prediction FROM r JOIN fit USING (f) WHERE held")
+
+
+@key("cv_predictions", _CV_SQL, ("f_enriched",))
 def q_cv_predictions(spark, sf_dir):
+    """Out-of-fold ridge predictions; the oracle solves each fold's normal equations."""
     preds = md.cross_val_predictions(_training(spark, sf_dir), "ridge")
-    return preds.select("video_id", "fold", "y", F.round("prediction", 6).alias("prediction"))
+    return preds.select("video_id", "fold", F.round("y", 6).alias("y"), F.round("prediction", 6).alias("prediction"))
 
 
 @key("cv_predictions_gbt")
@@ -66,7 +117,17 @@ def q_cv_predictions_gbt(spark, sf_dir):
     return preds.select("video_id", "fold", "y", F.round("prediction", 6).alias("prediction"))
 
 
-@key("cv_predictions_fold_safe")
+_SAFE_SQL = (_feats_sql(True, "0.0::DOUBLE", f"embedding, channel_name, performance_score AS v, {SQL_FOLD} AS fold")
+             + f", stat AS (SELECT f, channel_name, avg(v) AS m, stddev_samp(v) AS s FROM feats, {SPLITS} "
+             "WHERE fold <> f GROUP BY f, channel_name), "
+             f"r AS (SELECT f, fold = f AS held, video_id, fold, list_concat(embedding::DOUBLE[], "
+             f"{TAB_LIST.replace('channel_avg_perf', 'm')}) AS x, (v - m) / (s + 1e-9) AS y "
+             f"FROM (SELECT * FROM feats, {SPLITS}) JOIN stat USING (f, channel_name) WHERE s IS NOT NULL AND NOT isnan(s)), "
+             + ridge_cte(1.0, EMB_DIM + len(TAB_FEATURES), EMB_DIM, "NOT held")
+             + " SELECT video_id, fold, round(y, 6) AS y, round(b + list_dot_product(w, x), 6) AS prediction FROM r JOIN fit USING (f) WHERE held")
+
+
+@key("cv_predictions_fold_safe", _SAFE_SQL, ("f_enriched",))
 def q_cv_predictions_fold_safe(spark, sf_dir):
     """Target, group mean and scaler fitted inside each training split."""
     preds = md.cross_val_predictions_fold_safe(rule_scored(spark, sf_dir), _emb(spark, sf_dir))
@@ -74,16 +135,26 @@ def q_cv_predictions_fold_safe(spark, sf_dir):
                         F.round("prediction", 6).alias("prediction"))
 
 
-@key("cv_metrics")
+@key("cv_metrics", _CV_SQL.replace(" SELECT video_id, fold, round(y, 6) AS y, round(b + list_dot_product(w, x), 6) AS prediction", ", "
+     "p AS (SELECT fold, y, b + list_dot_product(w, x) AS p") + "), c AS (SELECT fold, count(*) AS n, corr(p, y) AS c FROM p GROUP BY fold) "
+     "SELECT fold, n, round(c, 6) AS corr, round(avg(c) OVER (), 6) AS mean_corr, round(stddev_pop(c) OVER (), 6) AS std_corr FROM c",
+     ("f_enriched",))
 def q_cv_metrics(spark, sf_dir):
     return md.cv_metrics(md.cross_val_predictions(_training(spark, sf_dir), "ridge"))
 
 
-@key("ridge_weights")
+_WEIGHTS_SQL = (_feats_sql(False, "avg(performance_score) OVER (PARTITION BY channel_name)", "perf_norm AS y")
+                + f", r AS (SELECT 0 AS f, false AS held, {TAB_LIST} AS x, y FROM feats WHERE y IS NOT NULL AND NOT isnan(y)), "
+                + ridge_cte(md.RIDGE_ALPHA, len(TAB_FEATURES), 0, "true")
+                + f" SELECT unnest({list(TAB_FEATURES)}) AS feature, round(unnest(ws), 6) AS weight FROM fit")
+
+
+@key("ridge_weights", _WEIGHTS_SQL, ("f_enriched",))
 def q_ridge_weights(spark, sf_dir):
+    """Ridge weights of the standardised features; the oracle solves the normal equations."""
     data = materialize(_training(spark, sf_dir, with_embedding=False), "training")
     scaled = fe.apply_scaler(data, fe.fit_scaler(data))
-    return md.ridge_weights(scaled)
+    return md.ridge_weights(scaled).select("feature", F.round("weight", 6).alias("weight"))
 
 
 def _final(spark, sf_dir):

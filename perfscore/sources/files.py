@@ -210,3 +210,34 @@ def embed_images(images: DataFrame, make_embedder: Callable[[], Callable],
 def missing_embeddings(images: DataFrame, existing: DataFrame) -> DataFrame:
     """Only images without a stored embedding (recompute nothing twice)."""
     return images.join(existing.select("video_id"), "video_id", "left_anti")
+
+
+CONTENT_KEY = "content_key"
+
+
+def with_content_key(images: DataFrame, model: str) -> DataFrame:
+    """Add the key that a vector is stored under: the image's bytes and the model's version.
+
+    A changed image gets another key; copies share one.
+    """
+    return images.withColumn(CONTENT_KEY, F.sha2(F.concat(F.col("content"), F.encode(F.lit(f"/{model}"), "UTF-8")), 256))
+
+
+def embed_store(images: DataFrame, store: str, make_embedder: Callable[[], Callable], model: str,
+                batch_size: int = EMBED_BATCH) -> DataFrame:
+    """Vectors of all images (``video_id, embedding, error``) from a store by content.
+
+    Only contents that the store lacks are embedded, each once however many images share it; they are
+    appended to the store, unreadable ones too (so they are not tried again by the same model).
+    """
+    spark = images.sparkSession
+    keyed = with_content_key(images, model)
+    first = keyed.groupBy(CONTENT_KEY).agg(F.min("video_id").alias("video_id"))
+    known = spark.read.parquet(store) if folders.exists(spark, store) else None
+    if known is not None:
+        first = first.join(known.select(CONTENT_KEY), CONTENT_KEY, "left_anti")
+    first = materialize(first, "new_contents")
+    todo = keyed.join(first, [CONTENT_KEY, "video_id"], "left_semi").dropDuplicates([CONTENT_KEY])
+    new = embed_images(todo.select(F.col(CONTENT_KEY).alias("video_id"), "content"), make_embedder, batch_size)
+    new.withColumnRenamed("video_id", CONTENT_KEY).write.mode("append").parquet(store)
+    return keyed.select("video_id", CONTENT_KEY).join(spark.read.parquet(store), CONTENT_KEY).drop(CONTENT_KEY)

@@ -31,6 +31,11 @@ def values(spark: SparkSession, folder: str, name: str, committed: bool = True)
     return sorted(out)
 
 
+def exists(spark: SparkSession, folder: str) -> bool:
+    fs, place = _file_system(spark, folder)
+    return fs.exists(place)
+
+
 def remove(spark: SparkSession, folder: str) -> None:
     """Delete a folder of the library's own."""
     fs, place = _file_system(spark, folder)

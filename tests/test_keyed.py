@@ -209,3 +209,69 @@ def test_newest_committed_snapshot_is_read_alone(spark):
     assert df.count() == 5 and df.columns == ["id"] and all("snapshot=20240201" in f for f in df.inputFiles())
     with pytest.raises(FileNotFoundError):
         fl.read_latest_snapshot(spark, scratch_path(spark, "nothing"))
+
+
+# -- store of vectors by content, filter of known keys -------------------------------------------------
+
+def test_vectors_are_stored_by_content_and_model(spark, tmp_path):
+    store, calls = scratch_path(spark, "vectors"), tmp_path / "calls"
+    calls.mkdir()
+
+    def embedder():
+        import uuid
+
+        def run(contents):
+            for c in contents:
+                (calls / uuid.uuid4().hex).write_bytes(c)
+            return [None if c == b"bad" else [float(len(c))] for c in contents]
+        return run
+
+    def images(rows):
+        return spark.createDataFrame([(v, bytearray(c)) for v, c in rows], "video_id string, content binary")
+
+    def vectors(rows, model="m1"):
+        got = {r.video_id: (r.embedding, r.error) for r in fl.embed_store(images(rows), store, embedder, model).collect()}
+        new = sorted(f.read_bytes() for f in calls.iterdir())
+        for f in calls.iterdir():
+            f.unlink()
+        return got, new
+
+    got, new = vectors([("a", b"x"), ("b", b"x"), ("c", b"yy"), ("d", b"bad")])
+    assert got == {"a": ([1.0], None), "b": ([1.0], None), "c": ([2.0], None), "d": (None, "unreadable")}
+    assert new == [b"bad", b"x", b"yy"]  # the copy was not embedded again
+    got, new = vectors([("a", b"zzz"), ("b", b"x"), ("d", b"bad")])
+    assert got["a"] == ([3.0], None) and new == [b"zzz"]  # only the changed image
+    assert vectors([("a", b"zzz")], "m2")[1] == [b"zzz"]  # another model
+
+
+def test_surely_new_rows_skip_the_store(spark):
+    stored = spark.range(500).select(F.concat(F.lit("c"), "id").alias("channel_id"))
+    fresh = spark.range(2000).select(F.concat(F.lit("c"), F.col("id") + 400).alias("channel_id"))
+    known = ig.merge_filters(ig.known_filter(stored.limit(250), bits=1 << 14).unionByName(ig.known_filter(stored, bits=1 << 14)))
+    assert known.count() <= (1 << 14) // 64
+    marked = ig.maybe_known(fresh, known, bits=1 << 14)
+    assert marked.columns == ["channel_id", "_maybe"]
+    maybe = {r.channel_id for r in marked.where("_maybe").collect()}
+    assert {f"c{k}" for k in range(400, 500)} <= maybe and len(maybe) < 200
+    plain, filtered = ig.resume(stored, fresh), ig.resume(stored, fresh, known=known, bits=1 << 14)
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, filtered.collect()))
+
+
+@pytest.mark.parametrize("block_days", [1, 7, 4096])
+def test_promotions_equal_the_plain_rule(spark, block_days):
+    import datetime as dt
+    from perfscore.operators.promote import promote_gate
+
+    rng = random.Random(block_days)
+    runs = [(s, dt.date(2020, 1, 1) + dt.timedelta(days=d), rng.choice([None, rng.random() * d / 100, 0.2, d * 0.003]))
+            for s in ("x", "y", None) for d in range(120)] + [("x", dt.date(2020, 1, 9), 0.9)] * 2
+    expected = []
+    for s in ("x", "y", None):
+        champion = 0.0
+        for _, day, metric in sorted((r for r in runs if r[0] == s), key=lambda r: (r[1], r[2] is not None, r[2] or 0)):
+            won = None if metric is None else metric > champion + 0.005
+            champion = metric if won else champion
+            expected.append((s, day, metric, won, champion))
+    got = promote_gate(spark.createDataFrame(runs, "segment string, run_day date, metric double"), block_days=block_days)
+    assert "collect_list" not in got._jdf.queryExecution().toString()
+    assert sorted(((r.segment, r.run_day, r.metric, r.promoted, r.champion) for r in got.collect()), key=str) == sorted(expected, key=str)

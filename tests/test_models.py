@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector
+from pyspark.sql import functions as F
 
 from perfscore.functions.features import TAB_FEATURES
 from perfscore.operators import models as md
@@ -59,3 +60,44 @@ def test_gbt_learns_a_step(spark):
     pred = np.array([r.prediction for r in model.transform(df).orderBy("video_id").collect()])
     truth = np.array([r.y for r in df.orderBy("video_id").collect()])
     assert np.corrcoef(pred, truth)[0, 1] > 0.95
+
+
+def fold_data(spark, n=240):
+    rng = np.random.default_rng(5)
+    rows = [(f"v{i}", f"g{i % 7}" if i % 11 else None, float(rng.gamma(2.0)), *[float(v) for v in rng.integers(0, 2, len(TAB_FEATURES) - 2)],
+             float(rng.normal(8, 1))) for i in range(n)]
+    cols = [c for c in TAB_FEATURES if c != "channel_avg_perf"]
+    return spark.createDataFrame(rows, "video_id string, g string, v double, " + ", ".join(f"{c} double" for c in cols))
+
+
+def test_one_pass_ridge_equals_a_fit_per_fold(spark):
+    data = fold_data(spark).withColumnRenamed("v", "y").withColumn("channel_avg_perf", F.lit(0.5)).drop("g")
+    got = {r.video_id: r for r in md.cross_val_predictions(data, "ridge", with_embedding=False, alpha=3.0).collect()}
+    scaled = apply_scaler(data, fit_scaler(data)).toPandas().set_index("video_id")
+    fold = np.array([got[v].fold for v in scaled.index])
+    X, y = scaled[list(TAB_FEATURES)].to_numpy(), scaled["y"].to_numpy()
+    for f in range(5):
+        A, b = X[fold != f], y[fold != f]
+        w = np.linalg.solve((A - A.mean(0)).T @ (A - A.mean(0)) + 3.0 * np.eye(A.shape[1]), (A - A.mean(0)).T @ (b - b.mean()))
+        expected = b.mean() + (X[fold == f] - A.mean(0)) @ w
+        assert [got[v].prediction for v in scaled.index[fold == f]] == pytest.approx(expected.tolist(), abs=1e-9)
+
+
+def test_split_stats_are_those_of_the_other_folds(spark):
+    from perfscore.operators.features import assign_folds
+    from perfscore.operators.stats import group_stats
+
+    data = assign_folds(fold_data(spark), k=5).cache()
+    got = {r.g: r for r in md.split_stats(data, "v", "g", 5).collect()}
+    for f in range(5):
+        for r in group_stats(data.where(F.col("fold") != f), "v", "g").collect():
+            assert (got[r.g]["_means"][f], got[r.g]["_stds"][f]) == pytest.approx((r["_mean"], r["_std"]))
+    one = md.split_stats(data.where("video_id in ('v1', 'v2')"), "v", "g", 5).collect()
+    assert all(r["_stds"] == [None] * 5 for r in one)
+
+
+def test_the_rows_are_aggregated_by_group_once(spark):
+    from perfscore.operators.features import assign_folds
+
+    plan = md.split_stats(assign_folds(fold_data(spark)), "v", "g", 5)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("var_pop") >= 1 and sum("var_pop" in line for line in plan.splitlines()) == 1

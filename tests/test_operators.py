@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from perfscore.operators import explore as ex
 from perfscore.operators import ingest as ig
 from perfscore.operators import stats as st
-from perfscore.operators.features import fold_of, rescale
+from perfscore.operators.features import assign_folds, rescale
 from perfscore.operators.promote import promote_gate
 from perfscore.session import scratch_path
 from perfscore.sources import files as fl
@@ -137,11 +137,16 @@ def test_niche_default_and_resume(spark):
     assert got == [("v1", "stored"), ("v2", "new")]
 
 
-def test_fold_stable_under_repartition(spark):
-    df = spark.range(200).select(F.col("id").cast("string").alias("video_id"))
-    a = {r.video_id: r.f for r in df.select("video_id", fold_of().alias("f")).collect()}
-    b = {r.video_id: r.f for r in df.repartition(7).select("video_id", fold_of().alias("f")).collect()}
-    assert a == b and set(a.values()) == {0, 1, 2, 3, 4}
+@pytest.mark.parametrize("rows_per_part", [3, 50, 50_000])
+def test_folds_are_of_equal_size_and_stable_under_repartition(spark, rows_per_part):
+    df = spark.range(203).select(F.col("id").cast("string").alias("video_id"))
+    a = {r.video_id: r.fold for r in assign_folds(df, rows_per_part=rows_per_part).collect()}
+    b = {r.video_id: r.fold for r in assign_folds(df.repartition(7), rows_per_part=50_000).collect()}
+    sizes = [list(a.values()).count(f) for f in range(5)]
+    assert a == b and len(a) == 203 and max(sizes) - min(sizes) <= 1
+    assert {r.video_id: r.fold for r in assign_folds(df, seed=7).collect()} != a
+    assert assign_folds(df.limit(0)).count() == 0
+    assert assign_folds(spark.createDataFrame([(None,), ("a",), ("a",)], "video_id string")).count() == 3
 
 
 def test_rescale_clip_and_round(spark):
