@@ -1,11 +1,17 @@
 """Line dedup by a log-template tree of fixed depth.
 
 Every line descends by its number of tokens and its leading tokens to a leaf; tokens
-that hold a digit are variable fields (``<*>``) from the start.  In a leaf, a token
-is fixed where at least two different lines have it at the same place, and variable
-elsewhere.  Lines whose fixed tokens make up at least ``similarity`` of all tokens
-are an instance of the template that these tokens form; other lines stand for
-themselves.  A template recurs when it occurs in ``min_texts`` different texts; its
+that hold a digit are variable fields (``<*>``) from the start, the others are words.  A word's
+support is the number of the leaf's different lines that have it at the same place.  The fixed
+words of a template all have about its number of lines as their support, and a field's
+value has less, however many lines share it.  So a word is fixed if its support is at least
+``support`` of the line's typical one (the upper median over the words after the leading ones)
+and variable otherwise: field values may recur as often as they like.
+
+A line is an instance of the template of its fixed words if these are ``min_words`` at least,
+``similarity`` of its words and ``share`` of all its tokens.  Other lines stand for themselves: by their
+masked text if words make up ``share`` of the tokens, so that a number may differ, else by
+their exact tokens, so that rows of numbers are told apart.  A template recurs when it occurs in ``min_texts`` different texts; its
 lines are dropped from all but the first text (the one with the smallest doc_id),
 so nothing is lost altogether.  Documents of equal texts count as one text and keep
 the same lines.
@@ -37,11 +43,19 @@ SLOTS = 1 << 20
 
 @dataclass(frozen=True)
 class TemplateTree:
-    """Leading tokens of a path, share of fixed tokens a template needs, texts that make it recur."""
+    """Leading tokens of a path, texts that make a template recur, and the shares in tenths (see above).
+
+    The shares are those at which planted templates of 5 to 12 tokens with one or two fields are
+    found for any number of values, while prose of the same beginnings and rows of
+    numbers stay (``tests/llm/test_line_dedup.py``).
+    """
 
     leading: int = 3
-    similarity: float = 0.8
     min_texts: int = 2
+    support: int = 7
+    similarity: int = 7
+    share: int = 6
+    min_words: int = 4
 
 
 def masked_tokens(line: Column) -> Column:
@@ -52,21 +66,24 @@ def masked_tokens(line: Column) -> Column:
 
 
 def _lines(docs: DataFrame, tree: TemplateTree) -> DataFrame:
-    """Lines with words: doc_id, text_key, line_no, line, leaf and line_key."""
+    """Lines with words: doc_id, text_key, line_no, line, leaf, line_key and exact_key (lines mostly of numbers)."""
     numbered = docs.select("doc_id", F.xxhash64(whole_text("text")).alias("text_key"),
                            F.posexplode(F.split(whole_text("text"), "\n")).alias("line_no", "line"))
 
     def keys(tokens):
         path = [F.size(tokens), *[F.get(tokens, F.lit(i)) for i in range(tree.leading)]]
+        words = F.size(F.filter(tokens, lambda w: w != F.lit(WILDCARD)))
         # a masked line's key is one hash, its leaf another one of a different seed
         return F.struct(F.size(tokens).alias("n"), F.xxhash64(*path).alias("leaf"),
-                        F.xxhash64(F.lit("line"), tokens).alias("line_key"))
+                        F.xxhash64(F.lit("line"), tokens).alias("line_key"),
+                        F.when(10 * words < tree.share * F.size(tokens),
+                               F.xxhash64(F.lit("exact"), split_words(F.col("line")))).alias("exact_key"))
 
     return with_struct(numbered, let(masked_tokens(F.col("line")), keys)).where("n > 0").drop("n")
 
 
 def _templates(lines: DataFrame, keyed: DataFrame, tree: TemplateTree) -> DataFrame:
-    """leaf, line_key -> template, for lines that share a template with another line."""
+    """leaf, line_key -> template, for lines that are an instance of one."""
     several = (keyed.groupBy("leaf").agg(F.min("line_key").alias("lo"), F.max("line_key").alias("hi"))
                .where("lo <> hi").select("leaf"))
     # lines of other leaves mostly go before the shuffle; the broadcast has at most SLOTS rows
@@ -79,22 +96,32 @@ def _templates(lines: DataFrame, keyed: DataFrame, tree: TemplateTree) -> DataFr
               .where(F.col("token") != WILDCARD)
               .withColumn("token", F.xxhash64("token")))
     inside = materialize(inside, "line-tokens")
-    fixed = inside.groupBy("leaf", "place", "token").count().where("count > 1").select("leaf", "place", "token")
-    return (inside.join(fixed, ["leaf", "place", "token"], "left_semi")
-            .groupBy("leaf", "line_key", "n")
-            .agg(F.count(F.lit(1)).alias("n_fixed"), F.bit_xor(F.xxhash64("place", "token")).alias("fixed"))
-            .where(F.col("n_fixed") + 1e-9 >= tree.similarity * F.col("n"))
-            .select("leaf", "line_key", F.xxhash64(F.lit("template"), "n_fixed", "fixed").alias("template")))
+    support = inside.groupBy("leaf", "place", "token").agg(F.count(F.lit(1)).alias("lines"))
+    counted = (inside.join(support, ["leaf", "place", "token"])
+               .select("leaf", "line_key", "n", F.xxhash64("place", "token").alias("word"), "lines",
+                       (F.col("place") < tree.leading).alias("leads"))
+               .repartition("leaf", "line_key")  # a line's words meet; there is no more to combine before
+               .groupBy("leaf", "line_key", "n").agg(F.collect_list(F.struct("word", "lines", "leads")).alias("words")))
+    after = F.array_sort(F.transform(F.filter("words", lambda w: ~w["leads"]), lambda w: w["lines"]))
+    counted = counted.withColumn("base", let(after, lambda x: F.get(x, F.floor(F.size(x) / 2).cast("int"))))
+    fixed = F.filter("words", lambda w: (w["lines"] > 1) & (10 * w["lines"] >= tree.support * F.col("base")))
+    counted = counted.where(F.col("base").isNotNull()).select(
+        "leaf", "line_key", "n", F.size("words").alias("n_words"), fixed.alias("fixed"))
+    n_fixed = F.size("fixed")
+    own = F.aggregate("fixed", F.lit(0).cast("long"), lambda a, w: a.bitwiseXOR(w["word"]))
+    return (counted.where((n_fixed >= tree.min_words) & (10 * n_fixed >= tree.similarity * F.col("n_words"))
+                          & (10 * n_fixed >= tree.share * F.col("n")))
+            .select("leaf", "line_key", F.xxhash64(F.lit("template"), n_fixed, own).alias("template")))
 
 
 def recurring_lines(docs: DataFrame, tree: TemplateTree | None = None) -> DataFrame:
     """doc_id, text_key and ``dropped`` (line numbers from 0) of documents that lose lines."""
     tree = tree or TemplateTree()
     lines = _lines(docs, tree)
-    keyed = materialize(lines.select("doc_id", "text_key", "line_no", "leaf", "line_key"), "line-keys")
+    keyed = materialize(lines.select("doc_id", "text_key", "line_no", "leaf", "line_key", "exact_key"), "line-keys")
     known = _templates(lines, keyed, tree)
     templated = (keyed.join(known, ["leaf", "line_key"], "left")
-                 .withColumn("template", F.coalesce("template", "line_key")).drop("line_key"))
+                 .withColumn("template", F.coalesce("template", "exact_key", "line_key")).drop("line_key", "exact_key"))
     texts = templated.groupBy("leaf", "template", "text_key").agg(
         F.min(F.coalesce("doc_id", F.lit(-1 << 63))).alias("first"))
     recurring = (texts.groupBy("leaf", "template")

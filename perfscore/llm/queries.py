@@ -88,16 +88,21 @@ OP1_SQL = r"""
 WITH d AS (SELECT DISTINCT doc_id, coalesce(text, '') AS t FROM documents),
 ln AS (SELECT doc_id, t, generate_subscripts(ls, 1) - 1 AS k, unnest(ls) AS l
        FROM (SELECT doc_id, t, string_split(t, chr(10)) AS ls FROM d)),
-tok AS (SELECT doc_id, t, k, list_transform(regexp_extract_all(l, '[^\x20\x09-\x0D]+'),
-        lambda w: CASE WHEN regexp_matches(w, '\d') THEN '<*>' ELSE w END) AS w FROM ln),
-lines AS (SELECT doc_id, t, k, w, [len(w)::VARCHAR] || w[1:3] AS leaf FROM tok WHERE len(w) > 0),
+tok AS (SELECT doc_id, t, k, r, list_transform(r, lambda w: CASE WHEN regexp_matches(w, '\d') THEN '<*>' ELSE w END) AS w
+        FROM (SELECT *, regexp_extract_all(l, '[^\x20\x09-\x0D]+') AS r FROM ln)),
+lines AS (SELECT doc_id, t, k, r, w, [len(w)::VARCHAR] || w[1:3] AS leaf FROM tok WHERE len(w) > 0),
 several AS (SELECT leaf FROM lines GROUP BY leaf HAVING count(DISTINCT w) > 1),
 places AS (SELECT leaf, w, generate_subscripts(w, 1) AS p, unnest(w) AS x
            FROM (SELECT DISTINCT leaf, w FROM lines WHERE leaf IN (SELECT leaf FROM several))),
 marked AS (SELECT leaf, w, p, x, count(*) OVER (PARTITION BY leaf, p, x) AS n FROM places WHERE x <> '<*>'),
-known AS (SELECT leaf, w, list([p::VARCHAR, x] ORDER BY p) AS template FROM marked WHERE n > 1
-          GROUP BY leaf, w HAVING 10 * count(*) >= 8 * len(w)),
-templated AS (SELECT doc_id, t, k, leaf, coalesce(template, [w]) AS template
+support AS (SELECT leaf, w, list({'p': p, 'x': x, 'n': n} ORDER BY p) AS ts, list_sort(list(n) FILTER (WHERE p > 3)) AS s
+            FROM marked GROUP BY leaf, w),
+fixed AS (SELECT leaf, w, len(ts) AS words, list_filter(ts, lambda y: y.n > 1 AND 10 * y.n >= 7 * s[len(s) // 2 + 1]) AS f
+          FROM support WHERE len(s) > 0),
+known AS (SELECT leaf, w, list_transform(f, lambda y: [y.p::VARCHAR, y.x]) AS template FROM fixed
+          WHERE len(f) >= 4 AND 10 * len(f) >= 7 * words AND 10 * len(f) >= 6 * len(w)),
+templated AS (SELECT doc_id, t, k, leaf, coalesce(template, CASE WHEN 10 * len(list_filter(w, lambda y: y <> '<*>')) < 6 * len(w)
+              THEN [['exact'], r] ELSE [w] END) AS template
               FROM lines LEFT JOIN known USING (leaf, w)),
 texts AS (SELECT leaf, template, t, min(doc_id) AS first FROM templated GROUP BY ALL),
 home AS (SELECT leaf, template, arg_min(t, first) AS home FROM texts GROUP BY leaf, template HAVING count(*) >= 2),

@@ -1,3 +1,5 @@
+import pytest
+
 from perfscore.llm import line_dedup as d
 
 
@@ -22,6 +24,45 @@ def test_variable_fields_are_generalised(spark):
     assert rows[2, "Order 23 was sent to Paris by plane today.\nQuite another one here."].clean_text == "Quite another one here."
 
 
+FRAMES = {1: "You can always contact {} about further details", 2: "Shipped with great care from {} to {}"}
+
+
+@pytest.mark.parametrize("fields", [1, 2])
+@pytest.mark.parametrize("values", [2, 20, 2000])
+def test_templates_hold_however_often_values_recur(spark, fields, values):
+    names = [f"name{'abcdefghij'[k % 10]}{'abcdefghij'[k // 10 % 10]}{'abcdefghij'[k // 100 % 10]}{'xy'[k // 1000]}" for k in range(values)]
+    pairs = [(a, b) for a in names for b in names][:: max(1, values ** 2 // 3000)] if fields == 2 else [(a, "") for a in names]
+    if values == 2 and fields == 2:
+        pairs = pairs[:3]  # Paris to Anna, Paris to Bob, Rome to Anna
+    rows = run(spark, [(k, FRAMES[fields].format(*pair)) for k, pair in enumerate(pairs)])
+    assert [k for (k, _), r in sorted(rows.items()) if not r.dropped] == [0]
+
+
+def test_two_templates_of_one_leaf_are_told_apart(spark):
+    rows = run(spark, [(k, f"All you can {a} with {b} on this page") for k, (a, b) in enumerate(
+        [("read", "Anna"), ("read", "Bob"), ("read", "Cleo"), ("write", "Anna"), ("write", "Dora")])])
+    assert sorted(k for (k, _), r in rows.items() if not r.dropped) in ([0], [0, 3])
+
+
+def test_rows_of_numbers_are_told_apart(spark):
+    rows = run(spark, [(1, "Revenue 2019 4.5 3.2 8.1\n12 7 9\nTotal sales 2019 77"),
+                       (2, "Revenue 2020 9.9 1.0 7.7\n8 1 3\nTotal sales 2020 78"),
+                       (3, "12 7 9\nRevenue 2020 9.9 1.0 7.7")])
+    assert dropped(rows, 1) == dropped(rows, 2) == [] and dropped(rows, 3) == [0, 1]  # equal rows recur
+
+
+def test_bylines_of_a_date_and_a_name(spark):
+    rows = run(spark, [(1, "Published on 12 May by Anna"), (2, "Published on 12 May by Bert"), (3, "Published on 9 May by Cleo")])
+    assert dropped(rows, 1) == [] and dropped(rows, 2) == dropped(rows, 3) == [0]
+
+
+def test_prose_of_the_same_beginning_stays(spark):
+    tails = ["we went down to the river early", "my sister sold her small red car", "nobody could say what had happened",
+             "they came back without their old dog", "a storm broke over the empty fields"]
+    rows = run(spark, [(k, f"In the end {t}.\nI do not {t.split()[0]}") for k, t in enumerate(tails)])
+    assert all(not r.dropped for r in rows.values())
+
+
 def test_lines_of_other_lengths_or_leads_are_other_templates(spark):
     rows = run(spark, [(1, "a b c d e f"), (2, "a b c d e f g"), (3, "z b c d e f"), (4, "a b c q r s")])
     assert all(not r.dropped for r in rows.values())
