@@ -102,16 +102,18 @@ def _templates(lines: DataFrame, keyed: DataFrame, tree: TemplateTree) -> DataFr
                        (F.col("place") < tree.leading).alias("leads"))
                .repartition("leaf", "line_key")  # a line's words meet; there is no more to combine before
                .groupBy("leaf", "line_key", "n").agg(F.collect_list(F.struct("word", "lines", "leads")).alias("words")))
+    # each step is generated, not projected: base and fixed words are worked out once a line
     after = F.array_sort(F.transform(F.filter("words", lambda w: ~w["leads"]), lambda w: w["lines"]))
-    counted = counted.withColumn("base", let(after, lambda x: F.get(x, F.floor(F.size(x) / 2).cast("int"))))
+    counted = with_struct(counted, let(after, lambda x: F.struct(F.get(x, F.floor(F.size(x) / 2).cast("int")).alias("base"))))
     fixed = F.filter("words", lambda w: (w["lines"] > 1) & (10 * w["lines"] >= tree.support * F.col("base")))
-    counted = counted.where(F.col("base").isNotNull()).select(
-        "leaf", "line_key", "n", F.size("words").alias("n_words"), fixed.alias("fixed"))
-    n_fixed = F.size("fixed")
-    own = F.aggregate("fixed", F.lit(0).cast("long"), lambda a, w: a.bitwiseXOR(w["word"]))
-    return (counted.where((n_fixed >= tree.min_words) & (10 * n_fixed >= tree.similarity * F.col("n_words"))
-                          & (10 * n_fixed >= tree.share * F.col("n")))
-            .select("leaf", "line_key", F.xxhash64(F.lit("template"), n_fixed, own).alias("template")))
+    counted = with_struct(counted, let(fixed, lambda x: F.struct(
+        F.size(x).alias("n_fixed"),
+        F.aggregate(x, F.lit(0).cast("long"), lambda a, w: a.bitwiseXOR(w["word"])).alias("own"))))
+    tenfold = 10 * F.col("n_fixed")
+    found = (counted.where((F.col("n_fixed") >= tree.min_words) & (tenfold >= tree.similarity * F.size("words"))
+                           & (tenfold >= tree.share * F.col("n")))
+             .select("leaf", "line_key", F.xxhash64(F.lit("template"), "n_fixed", "own").alias("template")))
+    return materialize(found, "line-templates")
 
 
 def recurring_lines(docs: DataFrame, tree: TemplateTree | None = None) -> DataFrame:
