@@ -6,7 +6,8 @@ alike wherever it stands.  Each worker keeps the ids of the first
 pieces it meets (a bounded number; frequent ones are among them) and hands only other
 ones to the library, many at a time.  Arrow cuts the texts and finds their different
 pieces, so Python meets each of a group's pieces once.  Texts with other runs of white space go to the
-library whole.
+library whole, and so do texts that hold the string of an added token (such as ``<|endoftext|>``), which
+becomes that token's id, as the library has it.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._whole = Tokenizer.from_file(path)
-        self._whole.encode_special_tokens = True  # their strings in a text are ordinary text
+        self._added = [t.content for t in self._whole.get_added_tokens_decoder().values()]
         if hasattr(self._whole.model, "_resize_cache"):
             self._whole.model._resize_cache(0)  # no word is asked for twice
         vocab = self._whole.get_vocab()
@@ -116,6 +117,15 @@ class Encoder:
         return out
 
     def _encode_group(self, texts: pa.Array) -> list[np.ndarray]:
+        held = [pc.match_substring(texts, t).to_numpy(zero_copy_only=False) for t in self._added]
+        marked = np.flatnonzero(np.logical_or.reduce(held)) if held else np.empty(0, int)
+        if len(marked):
+            empty = np.zeros(len(texts), bool)
+            empty[marked] = True
+            out = self._encode_group(pc.if_else(pa.array(empty), "", texts))
+            for k in marked.tolist():
+                out[k] = self._whole_ids(texts[k].as_py())
+            return out
         pieces = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
         ends = pieces.offsets.to_numpy().astype(np.int64)
         first = ends[:-1]  # a text's first piece follows no space; every text has one, maybe empty

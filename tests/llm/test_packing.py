@@ -13,9 +13,13 @@ TEXT = st.text(alphabet=st.sampled_from(list(" \n\tab'sé.,1漢\x1c\u3000")), ma
 
 
 def plain():
-    t = Tokenizer.from_file(vocabulary())
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(vocabulary())
+
+
+def test_strings_of_added_tokens_become_their_ids():
+    texts = ["one two", "a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y one two\n<|endoftext|>", "<|endoftext", "one two a"]
+    got = [x.tolist() for x in ENCODER.encode_batch(texts)]
+    assert got == [PLAIN.encode(x, add_special_tokens=False).ids for x in texts] and got[2] == [50256]
 
 
 @settings(max_examples=60, deadline=None)

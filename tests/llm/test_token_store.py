@@ -53,3 +53,11 @@ def test_odd_documents(spark, odd, none):
                   key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
     assert stored(spark, odd) == expected(docs)
     assert stored(spark, none) == []
+
+
+def test_strings_of_added_tokens_are_stored_as_the_library_has_them(spark):
+    docs = [(1, "a <|endoftext|> b"), (2, "one two"), (3, "<|endoftext|>")]
+    path = scratch_path(spark, "special")
+    ts.write_tokens(spark.createDataFrame(docs, "doc_id long, text string"), path)
+    got = [(r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in ts.read_tokens(spark, path).orderBy("doc_id").collect()]
+    assert got == expected(docs)
