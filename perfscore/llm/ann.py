@@ -43,15 +43,22 @@ PAIRS = 200_000
 
 @dataclass(frozen=True)
 class Tables:
-    """Hash tables, hashes of a table, bucket width (in a class's greatest lengths), buckets a query visits of a class."""
+    """Hash tables, hashes of a table, bucket width (in a class's greatest lengths), buckets a query visits of a class.
 
-    tables: int = 5
-    hashes: int = 8
+    ``probes`` may differ by table: a vector that two tables offer is compared twice, so one table is
+    visited widely and the other adds what lies beyond its walls.
+    """
+
+    tables: int = 2
+    hashes: int = 6
     width: float = 2.3
-    probes: int = 350
+    probes: int | tuple[int, ...] = (280, 8)
     seed: int = 11
     cell_rows: int = 20_000
 
+    def probes_of(self, table: int) -> int:
+        return self.probes if isinstance(self.probes, int) else self.probes[table]
+
 
 def probe_sets(hashes: int, probes: int) -> list[tuple[int, ...]]:
     """Sets of wall ranks (0: the nearest wall) in the order of their expected scores.
@@ -100,7 +107,8 @@ def _bucket_keys(cells: np.ndarray, table: int, dim: int, kind: np.ndarray | int
 def _hash(spec: Tables, classes: dict[int, list[float]]):
     """Per vector: its bucket in each table; per query: the buckets it visits in each table."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets = probe_sets(spec.hashes, spec.probes)
+        each = [spec.probes_of(t) for t in range(spec.tables)]
+        sets = probe_sets(spec.hashes, max(each))
         longest = max(map(len, sets))
         members = np.array([[*s, *[-1] * (longest - len(s))] for s in sets])
         for b in in_slices(batches, max(1, 10_000 // max(map(len, classes.values()), default=1))):
@@ -123,15 +131,16 @@ def _hash(spec: Tables, classes: dict[int, list[float]]):
                 extra = np.sqrt(np.maximum(0, most * most - length * length))
                 ask = rows[asks[rows]]
                 q = x[asks[rows]] / length[asks[rows], None]
-                probed = np.empty((len(ask), spec.tables, len(bounds), len(sets)), np.int64)
+                probed = []
                 for t in range(spec.tables):
                     place = (x @ a[t, :, :dim].T + extra[:, None] * a[t, :, dim]) / (spec.width * most)[:, None] + shift[t]
                     own[rows, t] = _bucket_keys(np.floor(place), t, dim, kind)
                     place = q @ a[t, :, :dim].T / spec.width + shift[t]
                     base = np.floor(place).astype(np.int64)
-                    probed[:, t] = _visits(base, place - base, members, t, dim, len(bounds))
-                for k, row in enumerate(ask):
-                    visits[row] = probed[k].ravel()
+                    visited = _visits(base, place - base, members[:each[t]], t, dim, len(bounds))
+                    probed.append(visited.reshape(len(ask), visited.shape[1] * visited.shape[2]))
+                for row, keys in zip(ask, np.concatenate(probed, axis=1)):
+                    visits[row] = keys
             yield pa.RecordBatch.from_arrays(
                 [b.column("vec_id"), column, pa.array(list(own), pa.list_(pa.int64())),
                  pa.array(visits, pa.list_(pa.int64()))], ["vec_id", "v", "own", "visits"])
@@ -234,6 +243,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, spec: Tables | No
     hashed = materialize(clean.mapInArrow(
         _hash(spec, classes), "vec_id long, v array<double>, own array<long>, visits array<long>"), "hashed")
 
+    # a cell meets the queries in blocks, so that neither side of a task grows with the input
+    blocks = max(1, -(-hashed.where("visits is not null").count() // spec.cell_rows))
     placed = hashed.select("vec_id", "v", F.explode("own").alias("bucket"))
     counts = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).withColumn(
         "splits", F.ceil(F.col("n") / spec.cell_rows).cast("int"))
@@ -248,12 +259,14 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, spec: Tables | No
     split = counts.where("splits > 1").select("bucket", "splits")
     dealt = (placed.join(split, "bucket", "left").withColumn("splits", F.coalesce("splits", F.lit(1)))
              .withColumn("cell", cell(F.pmod(F.xxhash64("vec_id"), F.col("splits"))))
-             .select("cell", "bucket", "vec_id", "v"))
+             .withColumn("asks", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+             .select(F.struct("cell.a", "cell.b", "asks").alias("cell"), "bucket", "vec_id", "v"))
     visits = (hashed.where("visits is not null")
               .select(F.col("vec_id").alias("query_id"), F.explode(F.array_distinct("visits")).alias("bucket"))
               .join(counts, "bucket")  # buckets that hold nothing are not visited
               .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("splits") - 1)))
               .withColumn("cell", cell(F.col("salt")))
+              .withColumn("cell", F.struct("cell.a", "cell.b", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int").alias("asks")))
               .groupBy("query_id", "cell").agg(F.collect_list("bucket").alias("buckets")))
     asked = visits.join(hashed.where("visits is not null").select(F.col("vec_id").alias("query_id"), "v"), "query_id")
     best = dealt.groupBy("cell").cogroup(asked.groupBy("cell")).applyInPandas(

@@ -1,4 +1,6 @@
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -33,6 +35,38 @@ def test_recall_and_exact_scores(spark):
         assert [(-r.score, r.vec_id) for r in own] == sorted((-r.score, r.vec_id) for r in own)
 
 
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_a_query_compares_fewer_pairs_than_brute_force(sf):
+    """Recall and products with production parameters: the README names these figures."""
+    t = pq.read_table(f"/root/testdata/{sf}/embeddings.parquet")
+    ids, v = t.column("vec_id").to_numpy(), np.array(t.column("embedding").to_pylist(), float)
+    length = np.linalg.norm(v, axis=1)
+    batch = pa.RecordBatch.from_arrays([pa.array(ids), pa.array(list(v)), pa.array(ids % 20 == 0)], ["vec_id", "v", "is_query"])
+    (hashed,) = ann._hash(ann.Tables(), {v.shape[1]: ann.length_classes([(length.min(), length.max())])})([batch])
+    own, visits = np.array(hashed.column("own").to_pylist()), hashed.column("visits").to_pylist()
+    found = products = asked = 0
+    for q in np.flatnonzero(ids % 20 == 0):
+        scores = v @ v[q]
+        scores[q] = -np.inf
+        hit = np.isin(own, visits[q])
+        found += hit.any(axis=1)[np.argsort(-scores)[:20]].sum()
+        products += hit.sum()
+        asked += 1
+    assert found / (20 * asked) >= 0.9 and products < asked * len(ids)
+
+
+@pytest.mark.parametrize("cell_rows", [20_000, 3])
+def test_queries_meet_a_cell_in_blocks(spark, cell_rows):
+    rnd = np.random.default_rng(3)
+    rows = [(i, rnd.standard_normal(4).tolist()) for i in range(40)]
+    spec = ann.Tables(tables=1, hashes=2, width=50.0, probes=9, cell_rows=cell_rows)
+    got = {}
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for r in sorted(ann.nearest(df, F.col("vec_id") < 20, 4, spec).collect(), key=lambda r: r["rank"]):
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert got == brute(rows, lambda q: q < 20, 4)
+
+
 def test_probes_start_at_home_and_never_hold_both_walls():
     sets = ann.probe_sets(6, 200)
     assert sets[0] == () and sets[1] == (0,) and len(set(sets)) == 200
