@@ -1,8 +1,7 @@
 """Ingest of flattened API rows into the video table.
 
-All look-ups (channels, niche map, stored channel ids) are joined through a
-size-checked broadcast; the only shuffle of video-sized data is the
-video ⋈ statistics join on ``video_id`` (a uniformly spread key).
+All look-ups (channels, niche map, stored channel ids) are written once and joined as their
+size asks; the only shuffles of video-sized data are on ``video_id`` (a uniformly spread key).
 """
 
 from __future__ import annotations

@@ -3,10 +3,8 @@
 Group statistics use the aggregate-then-join form: a partial/final hash
 aggregate yields one row per group, joined back by key.  Unlike a window over
 the group, no task has to hold a whole (possibly huge) group.  The per-group
-table is materialised once, its row count checked, and it is broadcast when
-bounded, so the big side is joined in place without a shuffle; beyond the
-bound, hot groups are still broadcast and only the other rows shuffle
-(``operators.joins.stats_join``).
+table is written once, so Spark knows its size: it broadcasts a small one and shuffles
+otherwise, where adaptive execution splits hot groups (``operators.joins.stats_join``).
 """
 
 from __future__ import annotations
