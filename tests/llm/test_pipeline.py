@@ -11,7 +11,7 @@ from .conftest import SF_SMALL
 def test_stages_in_order_and_registered_queries():
     assert [n for n, _ in c.STAGES] == ["quality_rules", "line_dedup", "jaccard_join", "mixing", "packing"]
     names = entry.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in QUERIES} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in QUERIES} and "pipeline" in names
     assert set(ORACLES) <= set(QUERIES)
 
 
