@@ -65,7 +65,7 @@ def rule_scoring_job(enriched: DataFrame, as_of: str, group_cols="channel_name",
 def training_job(scored: DataFrame, embeddings: DataFrame | None = None, kind: str = "ridge",
                  k: int = 5, seed: int = 42, fold_safe: bool = False,
                  group: str = "channel_name") -> dict:
-    """Cross-validated predictions, fold metrics, final model and score bounds."""
+    """Cross-validated predictions, fold metrics, score bounds and the final model, which holds them."""
     data = materialize(fe.training_input(scored, embeddings, group), "training")
     if fold_safe:
         preds = md.cross_val_predictions_fold_safe(scored, embeddings, group=group, kind=kind, k=k, seed=seed)
@@ -73,4 +73,4 @@ def training_job(scored: DataFrame, embeddings: DataFrame | None = None, kind: s
         preds = md.cross_val_predictions(data, kind, k=k, seed=seed, with_embedding=embeddings is not None)
     model = md.fit_final(data, kind, with_embedding=embeddings is not None)
     lo, hi = md.prediction_bounds(model.transform(data))
-    return {"predictions": preds, "metrics": md.cv_metrics(preds), "model": model, "bounds": (lo, hi)}
+    return {"predictions": preds, "metrics": md.cv_metrics(preds), "model": md.with_bounds(model, lo, hi), "bounds": (lo, hi)}

@@ -237,8 +237,9 @@ def band_top_share(df: DataFrame, score: str, value: str, threshold: float,
 
 
 def channel_scores(df: DataFrame, group: str, score: str, value: str) -> DataFrame:
-    """Per group: mean score, mean performance, count; two decimals."""
+    """Per group: mean score, mean performance, count; two decimals; best mean score first, ties by group."""
     return (df.where(F.col(group).isNotNull()).groupBy(group)
             .agg(F.round(F.avg(score), 2).alias("mean_score"),
                  F.round(F.avg(value), 2).alias("mean_performance"),
-                 F.count("video_id").alias("video_count")))
+                 F.count("video_id").alias("video_count"))
+            .orderBy(F.desc("mean_score"), group))

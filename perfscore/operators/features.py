@@ -113,19 +113,20 @@ def serving_features(annotations: DataFrame, subscribers: Column | None = None,
     return annotations.select("video_id", *[cols[n].alias(n) for n in TAB_FEATURES])
 
 
+def fit_moments(df: DataFrame, cols: Sequence[str] = TAB_FEATURES) -> dict[str, tuple[float, float]]:
+    """Mean and population std per column, 0 where unknown (one aggregate, one row to the driver)."""
+    row = df.agg(*[F.avg(c).alias(f"m_{i}") for i, c in enumerate(cols)],
+                 *[F.stddev_pop(c).alias(f"s_{i}") for i, c in enumerate(cols)]).first()
+    return {c: (row[f"m_{i}"] or 0.0, row[f"s_{i}"] or 0.0) for i, c in enumerate(cols)}
+
+
 def fit_scaler(df: DataFrame, cols: Sequence[str] = TAB_FEATURES) -> dict[str, tuple[float, float]]:
-    """Mean and population std per column (one aggregate, one row to the driver).
+    """Mean and population std per column as the scaler uses them.
 
     A zero deviation becomes 1 so constant columns map to 0, as the
     reference scaler does; Spark ML's scaler would use the sample std.
     """
-    row = df.agg(*[F.avg(c).alias(f"m_{i}") for i, c in enumerate(cols)],
-                 *[F.stddev_pop(c).alias(f"s_{i}") for i, c in enumerate(cols)]).first()
-    out = {}
-    for i, c in enumerate(cols):
-        m, s = row[f"m_{i}"], row[f"s_{i}"]
-        out[c] = (m if m is not None else 0.0, s if s else 1.0)
-    return out
+    return {c: (m, s or 1.0) for c, (m, s) in fit_moments(df, cols).items()}
 
 
 def apply_scaler(df: DataFrame, scaler: dict[str, tuple[float, float]]) -> DataFrame:
@@ -174,6 +175,13 @@ def rescale(col, lo, hi, top: float = SCORE_MAX, digits: int = 1) -> Column:
     return F.when(x.isNotNull(), F.bround(F.least(F.greatest(x, F.lit(0.0)), F.lit(top)), digits))
 
 
+def rescale_stage(col: str, lo: float, hi: float, top: float = SCORE_MAX, out: str = "score_20") -> SQLTransformer:
+    """``rescale`` with fixed bounds as a pipeline stage (saved with the model)."""
+    x = f"try_divide(`{col}` - {lo!r}D, {hi!r}D - {lo!r}D) * {float(top)!r}D"
+    return SQLTransformer(statement=f"SELECT *, CASE WHEN {x} IS NOT NULL THEN "
+                                    f"bround(least(greatest({x}, 0.0D), {float(top)!r}D), 1) END AS `{out}` FROM __THIS__")
+
+
 def rescale_3sigma(df: DataFrame, col: str, out: str = "score_20", sigmas: float = SIGMAS) -> DataFrame:
     """0-20 scale over mean ± 3 population std of ``col`` (bounds as scalar subqueries)."""
     b = df.select(F.struct(F.avg(col).alias("m"), F.stddev_pop(col).alias("s"))).scalar()

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from perfscore.functions.features import TAB_FEATURES
 from perfscore.functions.stats import finite, pearson, zscore
 from perfscore.operators import gram
-from perfscore.operators.features import apply_scaler, assign_folds, feature_columns, fit_scaler, scaler_stage
+from perfscore.operators.features import apply_scaler, assign_folds, feature_columns, fit_moments, fit_scaler, rescale_stage, scaler_stage
 from perfscore.operators.joins import small_side
 from perfscore.session import materialize
 
@@ -248,10 +248,16 @@ def cv_metrics(preds: DataFrame, digits: int = 6) -> DataFrame:
 
 def fit_final(df: DataFrame, kind: str = "ridge", label: str = "y", with_embedding: bool = True,
               alpha: float = 1.0) -> PipelineModel:
-    """The pipeline of scaler and estimator, fitted on all rows."""
+    """The pipeline of scaler and estimator, fitted on all rows.
+
+    Columns that are constant in training have no weight and stay out of the fit: with
+    them Spark would solve the normal equations by iteration, to 1e-6 only.
+    """
     n, s = _label_stats(df, label)
-    return regression_pipeline(kind, n, s, label, with_embedding=with_embedding, alpha=alpha,
-                               scaler=fit_scaler(df)).fit(df)
+    moments = fit_moments(df)
+    varying = [c for c in TAB_FEATURES if moments[c][1] > 0] or list(TAB_FEATURES)
+    scaler = {c: (moments[c][0], moments[c][1] or 1.0) for c in varying}
+    return regression_pipeline(kind, n, s, label, varying, with_embedding, alpha, scaler=scaler).fit(df)
 
 
 def save_model(model: PipelineModel, path: str) -> str:
@@ -263,11 +269,14 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def batch_score(model: PipelineModel, df: DataFrame, lo: float, hi: float) -> DataFrame:
-    """Score any table with a saved model; keep the key; 0-20 with given bounds."""
-    from perfscore.operators.features import rescale
-    return model.transform(df).select("video_id", "prediction",
-                                      rescale("prediction", lo, hi).alias("score_20"))
+def with_bounds(model: PipelineModel, lo: float, hi: float) -> PipelineModel:
+    """The model with its score bounds as a last stage, so that they are saved and loaded with it."""
+    return PipelineModel([*model.stages, rescale_stage("prediction", lo, hi)])
+
+
+def batch_score(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """Score any table with a model that holds its bounds (``with_bounds``): key, prediction, 0-20 score."""
+    return model.transform(df).select("video_id", "prediction", "score_20")
 
 
 def prediction_bounds(preds: DataFrame, col: str = "prediction", sigmas: float = 3.0) -> tuple[float, float]:

@@ -129,19 +129,19 @@ def q_fold_corr(spark, sf_dir):
                                   F.round(pearson("thumbnail_score", "perf_norm"), 6).alias("corr"))
 
 
-def _rescale_sql(x: str, lo: str, hi: str) -> str:
+def rescale_sql(x: str, lo: str, hi: str) -> str:
     return f"round_even(least(greatest(({x} - {lo}) / ({hi} - {lo}) * 20, 0), 20), 1)"
 
 
 @key("rescale_3sigma", f", {scored_cte('niche')}, b AS (SELECT avg(thumbnail_score) AS m, "
      "stddev_pop(thumbnail_score) AS s FROM scored) SELECT video_id, "
-     + _rescale_sql("thumbnail_score", "(m - 3 * s)", "(m + 3 * s)") + " AS score_20 FROM scored, b", E)
+     + rescale_sql("thumbnail_score", "(m - 3 * s)", "(m + 3 * s)") + " AS score_20 FROM scored, b", E)
 def q_rescale_3sigma(spark, sf_dir):
     return fe.rescale_3sigma(scored(spark, sf_dir), "thumbnail_score").select("video_id", "score_20")
 
 
 @key("rescale_fixed", f", {scored_cte('niche')} SELECT video_id, "
-     + _rescale_sql("perf_norm", f"({fe.MODEL_SCORE_MIN})", f"({fe.MODEL_SCORE_MAX})") + " AS score_20 FROM scored", E)
+     + rescale_sql("perf_norm", f"({fe.MODEL_SCORE_MIN})", f"({fe.MODEL_SCORE_MAX})") + " AS score_20 FROM scored", E)
 def q_rescale_fixed(spark, sf_dir):
     return fe.rescale_fixed(scored(spark, sf_dir), "perf_norm").select("video_id", "score_20")
 

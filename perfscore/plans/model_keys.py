@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from perfscore.functions.features import TAB_FEATURES
+from perfscore.functions.features import TAB_FEATURES, analysis_flags
 from perfscore.operators import features as fe
 from perfscore.operators import models as md
-from perfscore.plans.common import rule_scored, scored_cte, videos_raw
-from perfscore.plans.feature_keys import SQL_FOLD, SQL_TRAIN_COLS, scaled_sql
+from perfscore.operators import present as pr
+from perfscore.operators import stats as st
+from perfscore.plans.common import rule_scored, scored, scored_cte, videos_raw
+from perfscore.plans.feature_keys import SQL_FOLD, SQL_SERVE_COLS, SQL_TRAIN_COLS, rescale_sql, scaled_sql
 from perfscore.plans.fixtures import annotations
+from perfscore.plans.present_keys import SQL_VISION, result_json_sql
 from perfscore.plans.registry import key
+from perfscore.plans.scoring_keys import RAW_DIFF_SQL, _flag_union
 from perfscore.sources.embeddings import embedding_table
 from perfscore.session import materialize
 from perfscore.sources.tables import read_table
@@ -157,38 +161,92 @@ def q_ridge_weights(spark, sf_dir):
     return md.ridge_weights(scaled).select("feature", F.round("weight", 6).alias("weight"))
 
 
+_BOTH_SQL = (_WEIGHTS_SQL.replace(" SELECT unnest(", ", ridge AS (SELECT unnest(", 1) + f"), diffs AS ({_flag_union('perf_norm', RAW_DIFF_SQL, 'diff')}) "
+             "SELECT feature, round(diff, 6) AS diff, weight FROM diffs JOIN ridge USING (feature) WHERE diff > 0 AND weight > 0")
+
+
+@key("positive_in_both", _BOTH_SQL, ("f_enriched",))
+def q_positive_in_both(spark, sf_dir):
+    """Features with a positive mean difference within channels and a positive ridge weight."""
+    rows = materialize(scored(spark, sf_dir, "channel_name"), "scored")
+    diff = st.feature_diff(rows, analysis_flags(), "perf_norm", digits=None)
+    both = st.positive_in_both(diff, q_ridge_weights(spark, sf_dir))
+    return both.select("feature", F.round("diff", 6).alias("diff"), "weight")
+
+
 def _final(spark, sf_dir):
+    """Training rows and the final ridge model with its bounds, saved and loaded again."""
     data = materialize(_training(spark, sf_dir, keep=("channel_name", "performance_score")), "training")
     model = md.fit_final(data, "ridge")
     lo, hi = md.prediction_bounds(model.transform(data))
-    return data, model, lo, hi
+    path = md.save_model(md.with_bounds(model, lo, hi), md.model_path(spark, "ridge_model"))
+    return data, md.load_model(path)
+
 
+_FINAL_SQL = (_feats_sql(True, "avg(performance_score) OVER (PARTITION BY channel_name)",
+                         "embedding, perf_norm AS y, channel_name, performance_score")
+              + f", used AS (SELECT *, list_concat(embedding::DOUBLE[], {TAB_LIST}) AS x FROM feats WHERE y IS NOT NULL AND NOT isnan(y)), "
+              "r AS (SELECT 0 AS f, false AS held, x, y FROM used), " + ridge_cte(1.0, EMB_DIM + len(TAB_FEATURES), EMB_DIM, "true")
+              + ", bounds AS (SELECT avg(p) - 3 * stddev_pop(p) AS lo, avg(p) + 3 * stddev_pop(p) AS hi "
+              "FROM (SELECT b + list_dot_product(w, x) AS p FROM used, fit))")
 
-@key("scored_table")
+
+@key("scored_table", _FINAL_SQL + " SELECT video_id, channel_name, " + rescale_sql("(b + list_dot_product(w, x))", "lo", "hi")
+     + " AS thumbnail_score_nn, round(y, 6) AS perf_norm, performance_score FROM used, fit, bounds", ("f_enriched",))
 def q_scored_table(spark, sf_dir):
-    data, model, lo, hi = _final(spark, sf_dir)
+    """The model's scores of all training rows, written as a table and read again."""
+    data, model = _final(spark, sf_dir)
     out = model.transform(data).select(
-        "video_id", "channel_name", fe.rescale("prediction", lo, hi).alias("thumbnail_score_nn"),
-        F.col("y").alias("perf_norm"), "performance_score")
+        "video_id", "channel_name", F.col("score_20").alias("thumbnail_score_nn"),
+        F.round("y", 6).alias("perf_norm"), "performance_score")
     path = md.model_path(spark, "scored_nn")
     out.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
-@key("batch_score")
+_SERVED = dict(SQL_SERVE_COLS, log_subs="ln(1 + 100000)")
+_REQUEST_SQL = (_FINAL_SQL + ", " + SQL_VISION.removeprefix("WITH ").rstrip()
+                + ", requests AS (SELECT vis2.*, list_concat(e.embedding::DOUBLE[], ["
+                + ", ".join(_SERVED[n] for n in TAB_FEATURES) + "]) AS inputs FROM vis2 JOIN f_videos_raw USING (video_id) "
+                + SQL_EMB.replace("f_enriched.video_id", "video_id")
+                + "), served AS (SELECT *, " + rescale_sql("prediction", "lo", "hi") + " AS score_20 FROM "
+                "(SELECT requests.*, fit.b + list_dot_product(fit.w, inputs) AS prediction FROM requests, fit), bounds)")
+
+
+def _served(spark, sf_dir):
+    """Predictions and scores of the serving features of raw annotations, by the loaded model."""
+    _, model = _final(spark, sf_dir)
+    vectors = _emb(spark, sf_dir).select("video_id", array_to_vector("embedding").alias("emb"))
+    return md.batch_score(model, fe.serving_features(annotations(spark, sf_dir)).join(vectors, "video_id"))
+
+
+@key("batch_score", _REQUEST_SQL + " SELECT video_id, round(prediction, 6) AS prediction, score_20 FROM served",
+     ("f_enriched", "f_videos_raw"))
 def q_batch_score(spark, sf_dir):
     """Fit, save, load, then score the serving feature table of raw annotations."""
-    _, model, lo, hi = _final(spark, sf_dir)
-    path = md.save_model(model, md.model_path(spark, "ridge_model"))
-    loaded = md.load_model(path)
-    vectors = _emb(spark, sf_dir).select("video_id", array_to_vector("embedding").alias("emb"))
-    requests = fe.serving_features(annotations(spark, sf_dir)).join(vectors, "video_id")
-    return md.batch_score(loaded, requests, lo, hi).select(
-        "video_id", F.round("prediction", 6).alias("prediction"), "score_20")
+    return _served(spark, sf_dir).select("video_id", F.round("prediction", 6).alias("prediction"), "score_20")
+
+
+@key("model_result_json", _REQUEST_SQL + " SELECT video_id, " + result_json_sql("score_20") + " AS json FROM served",
+     ("f_enriched", "f_videos_raw"))
+def q_model_result_json(spark, sf_dir):
+    """The nested result of the serving path: the model's score over the rule's breakdown."""
+    vision = pr.serving_vision(annotations(spark, sf_dir)).join(_served(spark, sf_dir), "video_id")
+    return pr.result_json(pr.score_result(vision, F.col("score_20")))
+
+
+_V2_SQL = (f", {scored_cte('channel_name')}, feats AS (SELECT video_id, ln(performance_score) AS y, "
+           + ", ".join(f"{e} AS {n}" for n, e in SQL_TRAIN_COLS.items()) + " FROM scored WHERE performance_score > 0), "
+           f"used AS (SELECT video_id, {TAB_LIST} AS x, y FROM feats), r AS (SELECT 0 AS f, false AS held, x, y FROM used), "
+           + ridge_cte(1.0, len(TAB_FEATURES), 0, "true")
+           + ", p AS (SELECT video_id, b + list_dot_product(w, x) AS prediction FROM used, fit) "
+           "SELECT video_id, round(prediction, 6) AS prediction, round_even((prediction - min(prediction) OVER ()) / "
+           "(max(prediction) OVER () - min(prediction) OVER ()) * 20, 1) AS score_20 FROM p")
 
 
-@key("ridge_log_v2")
+@key("ridge_log_v2", _V2_SQL, ("f_enriched",))
 def q_ridge_log_v2(spark, sf_dir):
+    """v2: ridge on the logarithm of positive performance, predictions mapped to 0-20 by their range."""
     rows = fe.group_mean(rule_scored(spark, sf_dir).where(F.col("performance_score") > 0), "performance_score",
                          "channel_name", out="channel_avg_perf")
     data = materialize(fe.feature_columns(rows.withColumn("y", F.ln("performance_score")), keep=("y",)), "training")

@@ -117,16 +117,19 @@ _SQL_PTS = {
 _SQL_VALUES = {"text": "text_content", "face": "CAST(nb_faces AS VARCHAR)", "expression": "expression",
                "colors": "color"}
 _SQL_MAX = {"text": 10, "face": 4, "expression": 3, "colors": 3}
-SQL_RESULT_JSON = (
-    SQL_VISION + "SELECT video_id, to_json({'score': round_even(" + " + ".join(_SQL_PTS.values()) + ", 1), "
-    "'score_max': 20, 'dimensions': {" + ", ".join(
-        f"'{d}': {{'score': {_SQL_PTS[d]}, 'max': {_SQL_MAX[d]}, 'value': {_SQL_VALUES[d]}}}" for d in _SQL_PTS)
-    + "}, 'vision': {'text_present': text_length > 0, 'text_length': CAST(text_length AS INT), "
-    "'text_content': text_content, 'nb_faces': nb_faces, 'expression': expression, 'color': color, "
-    "'background': background, 'contrast': contrast, 'face_conf': face_conf}})::VARCHAR AS json FROM vis2")
+SQL_RULE_SCORE = "round_even(" + " + ".join(_SQL_PTS.values()) + ", 1)"
 
 
-@key("score_result_json", SQL_RESULT_JSON)
+def result_json_sql(score: str) -> str:
+    """The nested result as JSON text, over the columns of ``vis2`` and an expression of the score."""
+    dims = ", ".join(f"'{d}': {{'score': {_SQL_PTS[d]}, 'max': {_SQL_MAX[d]}, 'value': {_SQL_VALUES[d]}}}" for d in _SQL_PTS)
+    return (f"to_json({{'score': {score}, 'score_max': 20, 'dimensions': {{{dims}}}, "
+            "'vision': {'text_present': text_length > 0, 'text_length': CAST(text_length AS INT), "
+            "'text_content': text_content, 'nb_faces': nb_faces, 'expression': expression, 'color': color, "
+            "'background': background, 'contrast': contrast, 'face_conf': face_conf}})::VARCHAR")
+
+
+@key("score_result_json", SQL_VISION + f"SELECT video_id, {result_json_sql(SQL_RULE_SCORE)} AS json FROM vis2")
 def q_score_result_json(spark, sf_dir):
     return pr.result_json(pr.score_result(_vision(spark, sf_dir)))
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from perfscore.functions.features import TAB_FEATURES
 from perfscore.operators import models as md
 from perfscore.operators.features import apply_scaler, fit_scaler
-from perfscore.session import scratch_path
+from perfscore.session import materialize, scratch_path
 
 
 def test_ridge_matches_closed_form(spark):
@@ -48,6 +48,26 @@ def test_assembler_order_and_save_load(spark):
     assert [r.prediction for r in a] == pytest.approx([r.prediction for r in b])
 
 
+def test_constant_columns_leave_an_exact_fit_and_bounds_travel_with_the_model(spark):
+    rng = np.random.default_rng(4)
+    x, fixed = rng.normal(size=(80, 3)), {"niche_ai": 1.0, "bg_blur": 0.0}
+    free = [c for c in TAB_FEATURES if c not in fixed]
+    X = np.hstack([x, rng.integers(0, 2, (80, len(free) - 3)).astype(float)])
+    y = X[:, 0] + rng.normal(size=80)
+    rows = [(f"v{i:02d}", *[float(v) for v in X[i]], *fixed.values(), float(y[i])) for i in range(80)]
+    df = spark.createDataFrame(rows, "video_id string, " + ", ".join(f"{c} double" for c in [*free, *fixed]) + ", y double")
+    model = md.fit_final(df, with_embedding=False, alpha=2.0)
+    Z = (X - X.mean(0)) / X.std(0)
+    w = np.linalg.solve(Z.T @ Z + 2.0 * np.eye(Z.shape[1]), Z.T @ (y - y.mean()))
+    expected = y.mean() + Z @ w
+    path = md.save_model(md.with_bounds(model, -1.0, 3.0), scratch_path(spark, "bounded"))
+    got = md.batch_score(md.load_model(path), df).orderBy("video_id").collect()
+    assert [r.prediction for r in got] == pytest.approx(expected.tolist(), abs=1e-10)
+    assert [r.score_20 for r in got] == pytest.approx(np.clip((expected + 1) * 5, 0, 20).tolist(), abs=0.0501)
+    flat = md.batch_score(md.with_bounds(model, 1.0, 1.0), df).collect()
+    assert {r.score_20 for r in flat} == {None}
+
+
 def test_gbt_learns_a_step(spark):
     rng = np.random.default_rng(2)
     n = 300
@@ -87,7 +107,7 @@ def test_split_stats_are_those_of_the_other_folds(spark):
     from perfscore.operators.features import assign_folds
     from perfscore.operators.stats import group_stats
 
-    data = assign_folds(fold_data(spark), k=5).cache()
+    data = materialize(assign_folds(fold_data(spark), k=5), "folds")
     got = {r.g: r for r in md.split_stats(data, "v", "g", 5).collect()}
     for f in range(5):
         for r in group_stats(data.where(F.col("fold") != f), "v", "g").collect():
