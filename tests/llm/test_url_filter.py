@@ -1,4 +1,8 @@
+import math
+import re
+
 import pytest
+import xxhash
 
 from perfscore.llm import url_filter as u
 
@@ -50,13 +54,50 @@ def test_pages_equal_brute_force(spark, model):
         assert (r.host, r.path, r.rule) == brute(r.url)
 
 
-def test_unseen_hosts_are_judged_by_their_names(spark, model):
-    bad = ["https://mega-casino-club.net/en/1", "http://www.cheap-pills-4u.net/", "https://adult-x.net/de/7",
-           "https://cdn.ads-track.net/en/5", "http://free-bets.net/fr/2?page=2", "https://spam-farm.net/es/33.html"]
-    good = ["https://www.botanic-garden.net/en/1", "http://history-museum.net/de/4", "https://blog.shoreham.net/en/99",
-            "https://tionsh.net/en/5", "http://m.thering.net/fr/3", "https://library.net/es/12.html"]
-    assert [r.verdict for r in judge(spark, model, bad)] == ["block"] * 6
-    assert [r.verdict for r in judge(spark, model, good)] == ["allow"] * 6
+#: Hosts that are not in the labelled table: names of real kinds, some with its subjects in them.
+UNWANTED = """pornhub.com 888poker.com getfreebitcoin.com slotmachines24.net onlinecasinos.net freecams.com
+ buyviagraonline.net torrentz.eu crackedsoftware.org paydaylender.com xxxvideos.com sexchat.net adserving.net
+ replicawatchstore.com lotterywinner.info bettingtips.co.uk escortservices.com phishingkit.net cheappills.biz
+ seobacklinks.org bet365.com xvideos.com thepiratebay.org instantloan.com sportsbook.ag""".split()
+WANTED = """wikipedia.org www.bbc.co.uk nytimes.com stackoverflow.com github.com theguardian.com who.int mozilla.org
+ python.org imdb.com goodreads.com etsy.com nasa.gov essex.ac.uk middlesexcounty.gov scunthorpe.gov.uk hackney.gov.uk
+ expertsexchange.com betterhomes.com britannica.com spiegel.de lemonde.fr arxiv.org cambridge.org adobe.com""".split()
+
+
+def test_held_out_hosts(spark, model):
+    table = " ".join(r.url for r in u.labelled_urls(spark).collect())
+    assert not any(f"/{h}/" in table or f".{h}/" in table for h in UNWANTED + WANTED)
+    # by the score alone: the rules allow whatever lies under .org
+    bad, good = ([r.block_score >= 0.5 for r in judge(spark, model, [f"https://{h}/en/12" for h in hosts])]
+                 for hosts in (UNWANTED, WANTED))
+    assert sum(bad) >= 18 and sum(good) <= 3
+
+
+def brute_score(model, host, path):
+    """The block score by a plain loop over n-grams; Spark's hash chains its arguments as seeds."""
+    at = set()
+    for kind, text in (("h", host), ("p", re.sub(r"\d+", "0", path))):
+        framed, seed = f"^{text}$", xxhash.xxh64_intdigest(kind.encode(), 42)
+        for n in u.SIZES if text else ():
+            at |= {xxhash.xxh64_intdigest(framed[i:i + n].encode(), seed) for i in range(len(framed) - n + 1)}
+    signed = {(x - (1 << 64) if x >> 63 else x) % u.SPACE for x in at}
+    return 1 / (1 + math.exp(-model.bias - sum(round(model.weights[k], 9) for k in signed)))
+
+
+def test_scores_equal_brute_force(spark, model):
+    long = "https://" + "xé" * 5000 + ".net/" + "casino/7" * 10_000
+    urls = [*URLS, *(f"https://{h}/a{k}/B" for k, h in enumerate(UNWANTED)), long, long]
+    for url, r in zip(urls, judge(spark, model, urls)):
+        assert r.block_score == pytest.approx(brute_score(model, *brute(url)[:2]), abs=1e-9)
+
+
+def test_clashing_columns_are_replaced_and_repeated_rows_stay(spark, model):
+    df = spark.createDataFrame([(1, "https://a.com/fr/x", "p", "r", "v", 0)] * 2 + [(None, None, None, None, None, 1)],
+                               "page_id long, url string, path string, Rule string, verdict string, block_score int")
+    out = u.filter_urls(df, model)
+    assert out.columns == ["page_id", "url", "host", "path", "rule", "block_score", "verdict"]
+    rows = sorted(((r.page_id, r.path, r.rule, r.verdict) for r in out.collect()), key=str)
+    assert rows == [(1, "/fr/x", "com/fr/", "allow")] * 2 + [(None, "", None, "allow")]
 
 
 def test_empty_table(spark, model):
