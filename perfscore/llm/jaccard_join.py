@@ -27,7 +27,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perfscore.llm.common import boxed, in_slices, materialize, ship_package, split_words, unboxed, whole_text
@@ -257,16 +257,21 @@ def one_of_each(docs: DataFrame, spec: Bands | None = None) -> DataFrame:
     A null doc_id counts as the largest; of repeated rows one stays.  Documents
     without n-grams (null and empty texts) all stay.
     """
-    grouped = near_classes(docs, spec).withColumn("_id", F.coalesce("doc_id", F.lit((1 << 63) - 1)))
-    best = grouped.groupBy("group").agg(F.min(F.struct("_id", "t1", "t2")).alias("k"))
-    stays = best.select(F.when(F.col("k._id") == (1 << 63) - 1, F.lit(None)).otherwise(F.col("k._id")).alias("k_id"),
-                        F.col("k.t1").alias("k1"), F.col("k.t2").alias("k2")).distinct()
+    copies = (near_classes(docs, spec).withColumn("_id", F.coalesce("doc_id", F.lit((1 << 63) - 1)))
+              .groupBy("group", "_id", "t1", "t2").agg(F.count(F.lit(1)).alias("n")))
+    best = copies.groupBy("group").agg(F.min(F.struct("_id", "t1", "t2", "n")).alias("k"))
+    stays = materialize(best.select(
+        F.when(F.col("k._id") == (1 << 63) - 1, F.lit(None)).otherwise(F.col("k._id")).alias("k_id"),
+        F.col("k.t1").alias("k1"), F.col("k.t2").alias("k2"), (F.col("k.n") > 1).alias("again")).distinct(), "stays")
     text = whole_text("text")
     keyed = boxed(docs, "doc_id", "text").select("_all", "doc_id", F.xxhash64(text).alias("_t1"),
-                                                 F.xxhash64(F.lit("t2"), text).alias("_t2"),
-                                                 (F.size(split_words(text)) == 0).alias("_empty"))
-    kept = keyed.join(stays, F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("_t1") == F.col("k1"))
-                      & (F.col("_t2") == F.col("k2")), "left_semi")
-    again = Window.partitionBy("doc_id", "_t1", "_t2").orderBy(F.lit(1))
-    first = kept.withColumn("_copy", F.row_number().over(again)).where("_empty or _copy = 1")
+                                                 F.xxhash64(F.lit("t2"), text).alias("_t2"))
+
+    def of(keys: DataFrame) -> DataFrame:
+        return keyed.join(keys, F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("_t1") == F.col("k1"))
+                          & (F.col("_t2") == F.col("k2")), "left_semi")
+
+    # rows that stand there more than once meet as one row per task; texts without words are each their own group
+    first = of(stays.where("not again")).unionByName(
+        of(stays.where("again")).dropDuplicates(["doc_id", "_t1", "_t2"]))
     return unboxed(first, docs.columns)

@@ -4,6 +4,7 @@ from itertools import combinations
 import numpy as np
 import pytest
 from perfscore.llm import jaccard_join as j
+from perfscore.llm.common import materialize
 from perfscore.llm.components import connected_components
 
 
@@ -115,3 +116,13 @@ def test_odd_documents(odd, none):
     ids = [r.doc_id for r in kept.collect()]
     assert sorted(i for i in ids if i is not None) == [1, 2, 3, 4, 5, 6, 7, 8, 9] and ids.count(None) == 1
     assert j.near_classes(none).count() == 0 == j.one_of_each(none).count()
+
+
+def test_repeated_rows_meet_as_one_row_a_task(spark):
+    text = "one two three four five six seven"
+    rows = [(1, text, "a")] * 40 + [(None, text, "b")] * 3 + [(None, "x y z", "c")] * 5 + [(2, "", "d")] * 4 + [(None, None, "e")] * 2
+    docs = materialize(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3), "repeated")
+    kept = j.one_of_each(docs)
+    got = sorted(((r.doc_id, r.text, r.source) for r in kept.collect()), key=str)
+    assert got == sorted([(1, text, "a"), (None, "x y z", "c")] + [(2, "", "d")] * 4 + [(None, None, "e")] * 2, key=str)
+    assert "Window" not in kept._jdf.queryExecution().optimizedPlan().toString()
