@@ -8,6 +8,7 @@ or scalar subqueries, never by joining the data with itself.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.functions import array_to_vector
@@ -21,6 +22,7 @@ from perfscore.functions.features import (AI_NICHE, DEFAULT_CHANNEL_AVG_PERF, DE
 from perfscore.functions.stats import finite, zscore
 from perfscore.operators.joins import small_side, stats_join
 from perfscore.operators.stats import group_mean, group_stats
+from perfscore.session import materialize
 
 SCORE_MAX = 20.0
 SIGMAS = 3.0
@@ -50,10 +52,46 @@ def training_input(rows: DataFrame, embeddings: DataFrame | None = None, group:
     feature are then taken over the rows that are left, in one join with the groups'
     statistics.  Rows without a finite target go last.
     """
-    if embeddings is not None:
-        found = embeddings.where(F.col("embedding").isNotNull())
-        rows = rows.join(found.select("video_id", array_to_vector("embedding").alias("emb")), "video_id")
-        keep = ("emb", *keep)
+    if embeddings is None:
+        return training_rows(rows, None, group, value, keep)
+    keyed = keyed_vectors(embeddings)
+    return attach_vectors(training_rows(rows, keyed, group, value, keep), keyed)
+
+
+@dataclass(frozen=True)
+class KeyedVectors:
+    """Vectors (``video_id, emb``) and, beside them, what names each: its id and, where ids repeat, its number ``_copy``.
+
+    Rows meet the names first, so that groups, targets and folds are made of narrow rows; the vectors come last.
+    """
+
+    names: DataFrame
+    vectors: DataFrame
+    on: list[str]
+
+
+def keyed_vectors(embeddings: DataFrame) -> KeyedVectors:
+    found = embeddings.where(F.col("embedding").isNotNull() & F.col("video_id").isNotNull()).select("video_id", "embedding")
+    counts = materialize(found.groupBy("video_id").agg(F.count(F.lit(1)).alias("_n")), "vector_names")
+    if not counts.where(F.col("_n") > 1).take(1):
+        return KeyedVectors(counts.select("video_id"), found, ["video_id"])
+    names = counts.select("video_id", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n"))).alias("_copy"))
+    copy = F.row_number().over(Window.partitionBy("video_id").orderBy("video_id")).cast("bigint")
+    return KeyedVectors(names, found.withColumn("_copy", copy), ["video_id", "_copy"])
+
+
+def attach_vectors(rows: DataFrame, keyed: KeyedVectors) -> DataFrame:
+    """Rows of ``training_rows`` with their vector as ``emb`` (single floats until after the join)."""
+    joined = rows.join(keyed.vectors, keyed.on)
+    return joined.withColumn("emb", array_to_vector("embedding")).drop("embedding", "_copy")
+
+
+def training_rows(rows: DataFrame, keyed: KeyedVectors | None = None, group: str = "channel_name",
+                  value: str = "performance_score", keep: tuple[str, ...] = ()) -> DataFrame:
+    """``training_input`` before its vectors are attached (``attach_vectors``): one row per row and vector."""
+    if keyed is not None:
+        rows = rows.join(keyed.names, "video_id")
+        keep = (*keep, *keyed.on[1:])
     joined = stats_join(rows, group_stats(rows, value, group), [group])
     joined = joined.withColumns({"y": zscore(value, "_mean", "_std"), "channel_avg_perf": F.col("_mean")})
     return feature_columns(joined, keep=("y", *keep)).where(finite("y"))
@@ -152,18 +190,27 @@ def assign_folds(df: DataFrame, id_col: str = "video_id", seed: int = 42, k: int
     """Add a fold 0 .. k-1: rows are ranked in a seeded permutation, and ranks dealt in turn.
 
     Fold sizes differ by at most one, and an id keeps its fold however the rows are
-    partitioned.  The rank is exact and no task holds more than about ``rows_per_part`` rows: parts
-    are ranges of the hash, ranked alone, and start where the parts before them end.
+    partitioned.  The ids alone are ranked, and written once: parts are ranges of the hash of about
+    ``rows_per_part`` rows, ranked each for itself, and start where the parts before them end.  The rows
+    meet their ranks by id, so rows that were joined by id are not shuffled again.
     """
-    bits = max(0, (df.count() // rows_per_part)).bit_length()
-    placed = df.withColumn("_h", fold_hash(id_col, seed)).withColumn("_part", F.shiftright("_h", 60 - bits))
-    counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    ids = df.select(F.col(id_col).alias("_id")).groupBy("_id").agg(F.count(F.lit(1)).alias("_n"))
+    ids = materialize(ids.withColumn("_h", fold_hash("_id", seed)), "fold_ids")
+    total = ids.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
+                    F.coalesce(F.max((F.col("_n") > 1) | F.col("_id").isNull()), F.lit(False)).alias("repeated")).first()
+    bits = max(0, (total["rows"] // rows_per_part)).bit_length()
+    placed = ids.withColumn("_part", F.shiftright("_h", 60 - bits))
+    counts = placed.groupBy("_part").agg(F.sum("_n").alias("_c"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per part
-    starts = small_side(counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")))
-    rank = F.row_number().over(Window.partitionBy("_part").orderBy("_h", id_col)) - 1
-    ranked = placed.withColumn("_rank", rank).join(starts, "_part")
-    return ranked.withColumn(out, F.pmod(F.col("_start") + F.col("_rank"), F.lit(k).cast("bigint"))).drop(
-        "_h", "_part", "_rank", "_start")
+    starts = small_side(counts.select("_part", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_start")))
+    inside = Window.partitionBy("_part").orderBy("_h", "_id").rowsBetween(Window.unboundedPreceding, -1)
+    ranks = placed.withColumn("_before", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(starts, "_part").select(
+        F.col("_id").alias(id_col), (F.col("_start") + F.col("_before")).alias("_rank"))
+    ranked = df.join(ranks, id_col, "left").withColumn("_rank", F.coalesce("_rank", F.lit(0)))  # rows without an id rank first
+    if total["repeated"]:  # rows of one id rank one after another
+        nth = F.row_number().over(Window.partitionBy(id_col).orderBy(id_col)) - 1
+        ranked = ranked.withColumn("_rank", F.col("_rank") + nth)
+    return ranked.withColumn(out, F.pmod(F.col("_rank"), F.lit(k).cast("bigint"))).drop("_rank")
 
 
 def rescale(col, lo, hi, top: float = SCORE_MAX, digits: int = 1) -> Column:

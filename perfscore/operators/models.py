@@ -18,7 +18,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from perfscore.functions.features import TAB_FEATURES
 from perfscore.functions.stats import finite, pearson, zscore
 from perfscore.operators import gram
-from perfscore.operators.features import apply_scaler, assign_folds, feature_columns, fit_moments, fit_scaler, rescale_stage, scaler_stage
+from perfscore.operators.features import (KeyedVectors, apply_scaler, assign_folds, attach_vectors, feature_columns,
+                                          fit_moments, fit_scaler, keyed_vectors, rescale_stage, scaler_stage)
 from perfscore.operators.joins import small_side
 from perfscore.session import materialize
 
@@ -96,13 +97,16 @@ def regression_pipeline(kind: str, n: int, std_y: float, label: str = "y",
 
 def cross_val_predictions(df: DataFrame, kind: str = "ridge", k: int = 5, seed: int = 42,
                           label: str = "y", with_embedding: bool = True, parallelism: int = 5,
-                          alpha: float = 1.0) -> DataFrame:
+                          alpha: float = 1.0, vectors: KeyedVectors | None = None) -> DataFrame:
     """Out-of-fold predictions: ``video_id, fold, y, prediction``.
 
+    ``vectors`` are attached after the folds are dealt, to rows that do not hold theirs yet (``features.training_rows``).
+
     The scaler is fitted once over all rows, before the folds, as the reference does
     (P22); ``cross_val_predictions_fold_safe`` fits it inside each training split.
     """
-    data = materialize(assign_folds(df, "video_id", seed, k), "folds")
+    folded = assign_folds(df, "video_id", seed, k)
+    data = materialize(folded if vectors is None else attach_vectors(folded, vectors), "folds")
     if kind == "ridge":
         return _ridge_folds(data, k, label, with_embedding, alpha)
     scaler = fit_scaler(data)
@@ -148,12 +152,13 @@ def cross_val_predictions_fold_safe(scored: DataFrame, embeddings: DataFrame | N
     as its group feature and no target (so it is not scored).
     """
     with_emb = embeddings is not None
+    vectors = keyed_vectors(embeddings) if with_emb else None
     if with_emb:
-        emb = embeddings.where(F.col("embedding").isNotNull())
-        scored = scored.join(emb.select("video_id", array_to_vector("embedding").alias("emb")), "video_id")
-    base = materialize(assign_folds(scored, "video_id", seed, k), "folds")
+        scored = scored.join(vectors.names, "video_id")
+    folded = assign_folds(scored, "video_id", seed, k)
     if kind == "ridge":
-        return _ridge_folds_safe(base, value, group, with_emb, k, alpha)
+        return _ridge_folds_safe(materialize(folded, "folds"), value, group, vectors, k, alpha)
+    base = materialize(attach_vectors(folded, vectors) if with_emb else folded, "folds")
     kept = ("y", "fold", *(("emb",) if with_emb else ()))
     splits = materialize(split_stats(base, value, group, k), "splits")
     overall = _split_means(base, value, k)
@@ -213,8 +218,9 @@ def _split_means(rows: DataFrame, value: str, k: int) -> list[float | None]:
     return out
 
 
-def _ridge_folds_safe(base: DataFrame, value: str, group: str, with_emb: bool, k: int, alpha: float) -> DataFrame:
-    """Leak-free ridge predictions: one aggregate by group, one join, one pass for all fits."""
+def _ridge_folds_safe(base: DataFrame, value: str, group: str, vectors: KeyedVectors | None, k: int, alpha: float) -> DataFrame:
+    """Leak-free ridge predictions: one aggregate by group, one join, one pass for all fits; the vectors are attached last."""
+    with_emb = vectors is not None
     cells = F.sequence(F.lit(0), F.lit(k - 1))
     overall = F.array(*[F.lit(m).cast("double") for m in _split_means(base, value, k)])
     joined = base.join(small_side(split_stats(base, value, group, k)), group, "left")
@@ -222,7 +228,8 @@ def _ridge_folds_safe(base: DataFrame, value: str, group: str, with_emb: bool, k
         "_ys": F.transform(cells, lambda f: zscore(value, F.col("_means")[f], F.col("_stds")[f])),
         "_avgs": F.transform(cells, lambda f: F.coalesce(F.col("_means")[f], overall[f])),
         "channel_avg_perf": F.lit(0.0)})
-    data = materialize(feature_columns(joined, keep=("fold", "_ys", "_avgs", *(("emb",) if with_emb else ()))), "splits")
+    data = feature_columns(joined, keep=("fold", "_ys", "_avgs", *(vectors.on[1:] if with_emb else ())))
+    data = materialize(attach_vectors(data, vectors) if with_emb else data, "splits")
     width, lead = _widths(data, TAB_FEATURES, with_emb)
     at = lead + TAB_FEATURES.index("channel_avg_perf")
     x = tab_array(with_embedding=with_emb)
@@ -287,14 +294,17 @@ def prediction_bounds(preds: DataFrame, col: str = "prediction", sigmas: float =
 
 def top_quartile_classifier(df: DataFrame, label: str = "label", tab_cols: Sequence[str] = TAB_FEATURES,
                             with_embedding: bool = True, seed: int = 42, k: int = 5, max_iter: int = 20,
-                            max_depth: int = 3, parallelism: int = 5) -> tuple[DataFrame, float]:
+                            max_depth: int = 3, parallelism: int = 5,
+                            vectors: KeyedVectors | None = None) -> tuple[DataFrame, float]:
     """v3: gradient-boosted classifier of the top-quartile label; probability × 20 and ROC-AUC.
 
+    ``vectors`` are attached after the folds are dealt, to rows that do not hold theirs yet (``features.training_rows``).
+
     Probabilities and AUC are out of fold: each row is scored by the model that has not seen it.
     """
     gbt = GBTClassifier(featuresCol="features", labelCol=label, maxIter=max_iter, maxDepth=max_depth, seed=seed)
     data = df.withColumn(label, F.col(label).cast("double")).transform(assign_folds, "video_id", seed, k)
-    data = materialize(data, "folds")
+    data = materialize(data if vectors is None else attach_vectors(data, vectors), "folds")
 
     def fit_fold(f: int) -> DataFrame:
         model = Pipeline(stages=[assembler(tab_cols, with_embedding), gbt]).fit(data.where(F.col("fold") != f))

@@ -15,9 +15,10 @@ def with_performance(df: DataFrame, as_of: str, out: str = "performance_score")
 
 
 def with_rule_score(df: DataFrame, weights: Weights = V5, out: str = "thumbnail_score") -> DataFrame:
-    """Add ``text_length`` and the v5 rule score."""
-    return (df.withColumn("text_length", text_length("texte_contenu"))
-              .withColumn(out, score_v5(w=weights)))
+    """Add ``text_length`` (unless the rows hold it in place of the text) and the v5 rule score."""
+    if "texte_contenu" in df.columns or "text_length" not in df.columns:
+        df = df.withColumn("text_length", text_length("texte_contenu"))
+    return df.withColumn(out, score_v5(w=weights))
 
 
 def score_table(enriched: DataFrame, as_of: str, group_cols="channel_name",

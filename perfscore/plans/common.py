@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from perfscore.operators.scoring import score_table, with_performance, with_rule_score
-from perfscore.plans.fixtures import AS_OF, fixture
+from perfscore.plans.fixtures import AS_OF, enriched_measured, fixture
 from perfscore.session import apply_core_conf
 
 # SQL twins (DuckDB) of the library's column expressions.
@@ -52,9 +52,12 @@ def enriched_perf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rule_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Enriched + performance + rule score, without the within-group z."""
-    return with_rule_score(enriched_perf(spark, sf_dir))
+    """Enriched + performance + rule score, without the within-group z; the texts' lengths alone go along."""
+    apply_core_conf(spark)
+    return with_rule_score(with_performance(enriched_measured(spark, sf_dir), AS_OF))
 
 
 def scored(spark: SparkSession, sf_dir: str, group: str = "niche") -> DataFrame:
-    return score_table(enriched(spark, sf_dir), AS_OF, group_cols=group)
+    """Enriched + performance, rule score and within-group z; the texts' lengths alone go along."""
+    apply_core_conf(spark)
+    return score_table(enriched_measured(spark, sf_dir), AS_OF, group_cols=group)

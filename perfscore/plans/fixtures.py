@@ -12,6 +12,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from perfscore.functions.scoring import text_length
 from perfscore.sources.tables import read_table
 
 AS_OF = "2001-08-02 00:00:00"
@@ -84,6 +85,16 @@ def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(_SOURCE.sub(r"\1 {\2}", sql), **sources)
 
 
+def enriched_measured(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``f_enriched`` with ``text_length`` in place of the text, which is measured before it is joined.
+
+    Catalyst does not move an expression below a join, and each text would be shuffled once per video that shows it.
+    """
+    sources = {"f_videos_raw": fixture(spark, sf_dir, "f_videos_raw"), "documents": read_table(spark, sf_dir, "documents"),
+               "f_labels": fixture(spark, sf_dir, "f_labels").withColumn("text_length", text_length("texte_contenu"))}
+    return spark.sql(_SOURCE.sub(r"\1 {\2}", F_ENRICHED.replace("l.texte_contenu", "l.text_length")), **sources)
+
+
 def videos_from(orders: DataFrame, customer: DataFrame) -> DataFrame:
     """The raw videos of given order and customer rows (a batch or a stream)."""
     return orders.sparkSession.sql(_SOURCE.sub(r"\1 {\2}", F_VIDEOS_RAW), orders=orders, customer=customer)

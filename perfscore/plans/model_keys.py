@@ -10,7 +10,7 @@ from perfscore.operators import features as fe
 from perfscore.operators import models as md
 from perfscore.operators import present as pr
 from perfscore.operators import stats as st
-from perfscore.plans.common import rule_scored, scored, scored_cte, videos_raw
+from perfscore.plans.common import rule_scored, scored_cte, videos_raw
 from perfscore.plans.feature_keys import SQL_FOLD, SQL_SERVE_COLS, SQL_TRAIN_COLS, rescale_sql, scaled_sql
 from perfscore.plans.fixtures import annotations
 from perfscore.plans.present_keys import SQL_VISION, result_json_sql
@@ -25,18 +25,34 @@ SQL_EMB = ("JOIN embeddings e ON e.vec_id = CAST(f_enriched.video_id AS BIGINT)
            "AND e.embedding IS NOT NULL")
 
 
-def _emb(spark, sf_dir):
-    """One vector per video, lent from the embeddings table; every other run of videos has none."""
+def _emb(spark, sf_dir, only=None):
+    """One vector per video (of those that are asked for), lent from the embeddings table; every other run of videos has none."""
     emb = embedding_table(read_table(spark, sf_dir, "embeddings"))
     n = emb.select(F.count(F.lit(1))).scalar()
-    videos = videos_raw(spark, sf_dir).select(F.col("video_id").alias("id"))
+    videos = videos_raw(spark, sf_dir).select("video_id")
+    if only is not None:
+        videos = videos.join(only.select("video_id"), "video_id", "left_semi")
+    videos = videos.select(F.col("video_id").alias("id"))
     lent = videos.withColumn("video_id", (F.col("id").cast("bigint") % (2 * n)).cast("string"))
     return lent.join(emb, "video_id").drop("video_id").withColumnRenamed("id", "video_id")
 
 
+def _rows(spark, sf_dir):
+    """The scored rows as far as the models and reports read them, written once: statistics and rows are made of them."""
+    return materialize(rule_scored(spark, sf_dir).select(
+        "video_id", "channel_name", "niche", "subscriber_count", "performance_score", "text_length", "texte_present",
+        "visage_present", "nb_personnes", "expression", "couleur_dominante", "contraste", "fond", "face_confidence"), "rows")
+
+
 def _training(spark, sf_dir, with_embedding=True, keep=()):
     emb = _emb(spark, sf_dir) if with_embedding else None
-    return fe.training_input(rule_scored(spark, sf_dir), emb, keep=keep)
+    return fe.training_input(_rows(spark, sf_dir), emb, keep=keep)
+
+
+def _out_of_fold(spark, sf_dir):
+    """Ridge predictions; the vectors are attached to rows that have their target and fold."""
+    vectors = fe.keyed_vectors(_emb(spark, sf_dir))
+    return md.cross_val_predictions(fe.training_rows(_rows(spark, sf_dir), vectors), "ridge", vectors=vectors)
 
 
 def _input_sql() -> str:
@@ -110,7 +126,7 @@ _CV_SQL = (_feats_sql(True, "avg(performance_score) OVER (PARTITION BY channel_n
 @key("cv_predictions", _CV_SQL, ("f_enriched",))
 def q_cv_predictions(spark, sf_dir):
     """Out-of-fold ridge predictions; the oracle solves each fold's normal equations."""
-    preds = md.cross_val_predictions(_training(spark, sf_dir), "ridge")
+    preds = _out_of_fold(spark, sf_dir)
     return preds.select("video_id", "fold", F.round("y", 6).alias("y"), F.round("prediction", 6).alias("prediction"))
 
 
@@ -134,7 +150,7 @@ _SAFE_SQL = (_feats_sql(True, "0.0::DOUBLE", f"embedding, channel_name, performa
 @key("cv_predictions_fold_safe", _SAFE_SQL, ("f_enriched",))
 def q_cv_predictions_fold_safe(spark, sf_dir):
     """Target, group mean and scaler fitted inside each training split."""
-    preds = md.cross_val_predictions_fold_safe(rule_scored(spark, sf_dir), _emb(spark, sf_dir))
+    preds = md.cross_val_predictions_fold_safe(_rows(spark, sf_dir), _emb(spark, sf_dir))
     return preds.select("video_id", "fold", F.round("y", 6).alias("y"),
                         F.round("prediction", 6).alias("prediction"))
 
@@ -144,7 +160,7 @@ def q_cv_predictions_fold_safe(spark, sf_dir):
      "SELECT fold, n, round(c, 6) AS corr, round(avg(c) OVER (), 6) AS mean_corr, round(stddev_pop(c) OVER (), 6) AS std_corr FROM c",
      ("f_enriched",))
 def q_cv_metrics(spark, sf_dir):
-    return md.cv_metrics(md.cross_val_predictions(_training(spark, sf_dir), "ridge"))
+    return md.cv_metrics(_out_of_fold(spark, sf_dir))
 
 
 _WEIGHTS_SQL = (_feats_sql(False, "avg(performance_score) OVER (PARTITION BY channel_name)", "perf_norm AS y")
@@ -156,7 +172,11 @@ _WEIGHTS_SQL = (_feats_sql(False, "avg(performance_score) OVER (PARTITION BY cha
 @key("ridge_weights", _WEIGHTS_SQL, ("f_enriched",))
 def q_ridge_weights(spark, sf_dir):
     """Ridge weights of the standardised features; the oracle solves the normal equations."""
-    data = materialize(_training(spark, sf_dir, with_embedding=False), "training")
+    return _ridge_weights(_rows(spark, sf_dir))
+
+
+def _ridge_weights(rows):
+    data = materialize(fe.training_input(rows), "training")
     scaled = fe.apply_scaler(data, fe.fit_scaler(data))
     return md.ridge_weights(scaled).select("feature", F.round("weight", 6).alias("weight"))
 
@@ -168,9 +188,10 @@ _BOTH_SQL = (_WEIGHTS_SQL.replace(" SELECT unnest(", ", ridge AS (SELECT unnest(
 @key("positive_in_both", _BOTH_SQL, ("f_enriched",))
 def q_positive_in_both(spark, sf_dir):
     """Features with a positive mean difference within channels and a positive ridge weight."""
-    rows = materialize(scored(spark, sf_dir, "channel_name"), "scored")
-    diff = st.feature_diff(rows, analysis_flags(), "perf_norm", digits=None)
-    both = st.positive_in_both(diff, q_ridge_weights(spark, sf_dir))
+    rows = _rows(spark, sf_dir)
+    scored = st.zscore_within(rows, "performance_score", "channel_name", out="perf_norm")
+    diff = st.feature_diff(scored, analysis_flags(), "perf_norm", digits=None)
+    both = st.positive_in_both(diff, _ridge_weights(rows))
     return both.select("feature", F.round("diff", 6).alias("diff"), "weight")
 
 
@@ -216,8 +237,9 @@ _REQUEST_SQL = (_FINAL_SQL + ", " + SQL_VISION.removeprefix("WITH ").rstrip()
 def _served(spark, sf_dir):
     """Predictions and scores of the serving features of raw annotations, by the loaded model."""
     _, model = _final(spark, sf_dir)
-    vectors = _emb(spark, sf_dir).select("video_id", array_to_vector("embedding").alias("emb"))
-    return md.batch_score(model, fe.serving_features(annotations(spark, sf_dir)).join(vectors, "video_id"))
+    vectors = _emb(spark, sf_dir, only=annotations(spark, sf_dir))
+    requests = fe.serving_features(annotations(spark, sf_dir)).join(vectors.select("video_id", "embedding"), "video_id")
+    return md.batch_score(model, requests.withColumn("emb", array_to_vector("embedding")).drop("embedding"))
 
 
 @key("batch_score", _REQUEST_SQL + " SELECT video_id, round(prediction, 6) AS prediction, score_20 FROM served",
@@ -258,8 +280,9 @@ def q_ridge_log_v2(spark, sf_dir):
 
 @key("gbt_v3")
 def q_gbt_v3(spark, sf_dir):
-    labelled = fe.top_quantile_label(rule_scored(spark, sf_dir), "performance_score")
-    data = fe.training_input(labelled, _emb(spark, sf_dir), keep=("label",))
-    out, auc = md.top_quartile_classifier(data)
+    labelled = fe.top_quantile_label(_rows(spark, sf_dir), "performance_score")
+    vectors = fe.keyed_vectors(_emb(spark, sf_dir))
+    data = fe.training_rows(labelled, vectors, keep=("label",))
+    out, auc = md.top_quartile_classifier(data, vectors=vectors)
     return out.select("video_id", "label", F.round("probability", 6).alias("probability"), "score_20",
                       F.lit(round(auc, 6)).alias("roc_auc"))
