@@ -131,8 +131,8 @@ def niche_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def land(pages: DataFrame, folder: str) -> None:
-    """Add one file to a landing folder."""
-    pages.repartition(1).write.mode("append").parquet(folder)
+    """Add the files of one landing to a folder, as many as tasks write."""
+    pages.write.mode("append").parquet(folder)
 
 
 __all__ = ["cut_off", "land", "search_pages", "playlist_pages", "stats_pages", "channel_pages", "image_files", "niche_map"]

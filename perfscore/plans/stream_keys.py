@@ -38,13 +38,20 @@ def _videos_from_batch(batch, sf_dir):
         "view_count", "published_at", "subscriber_count", as_of_literal(AS_OF)))
 
 
+def land_and_run(landings, folder, schema, sink, checkpoint):
+    """Land one set of files after another; the stream takes each up where it left off, as a batch of its own."""
+    for rows in landings:
+        land(rows, folder)
+        each_batch(file_stream(rows.sparkSession, folder, "*.parquet", schema), sink, checkpoint)
+
+
 @key("stream_ingest", "SELECT video_id, channel_id, channel_name, published_at, view_count, duration, "
      f"subscriber_count, {SQL_PERF} AS performance_score, niche FROM f_videos_raw "
      f"WHERE NOT ({SQL_SHORT}) AND view_count >= {MIN_VIEWS}", ("f_videos_raw",))
 def q_stream_ingest(spark, sf_dir):
-    """Three landed files of order rows → bucketed keyed state → kept, scored videos.
+    """Three landings of order rows → bucketed keyed state → kept, scored videos.
 
-    Some orders have two versions in the first file, some are corrected by the second, some
+    Some orders have two versions in the first landing, some are corrected by the second, some
     have a stale version that arrives last, and rows of the first are deleted by the third.
     """
     apply_core_conf(spark)
@@ -56,13 +63,12 @@ def q_stream_ingest(spark, sf_dir):
         return out.withColumn("o_totalprice", F.col("o_totalprice") * 0 + 999999) if stale else out
 
     extra = orders.where(number % 6 == 1).withColumn("o_orderkey", -number - 1)
-    land(version(orders.where(number % 3 != 0), 2).unionByName(version(orders.where(number % 5 == 0), 1, stale=True))
-         .unionByName(version(extra, 1)), folder)
-    land(version(orders.where((number % 3 == 0) | (number % 5 == 0)), 3), folder)
-    land(version(orders.where(number % 4 == 1), 0, stale=True).unionByName(version(extra, 2, deleted=True)), folder)
+    landings = (version(orders.where(number % 3 != 0), 2).unionByName(version(orders.where(number % 5 == 0), 1, stale=True))
+                .unionByName(version(extra, 1)),
+                version(orders.where((number % 3 == 0) | (number % 5 == 0)), 3),
+                version(orders.where(number % 4 == 1), 0, stale=True).unionByName(version(extra, 2, deleted=True)))
     state = KeyedTable(spark, scratch_path(spark, "videos_state"), "o_orderkey", ("landed_at",), buckets=16)
-    stream = file_stream(spark, folder, "*.parquet", spark.read.parquet(folder).schema, max_files_per_trigger=1)
-    each_batch(stream, state.merge, scratch_path(spark, "videos_state_ckpt"))
+    land_and_run(landings, folder, landings[0].schema, state.merge, scratch_path(spark, "videos_state_ckpt"))
     return _videos_from_batch(state.current().drop("landed_at"), sf_dir).select(
         "video_id", "channel_id", "channel_name", "published_at", "view_count", "duration",
         "subscriber_count", "performance_score", "niche")
@@ -70,7 +76,7 @@ def q_stream_ingest(spark, sf_dir):
 
 @key("stream_pages", BUILT_CTE + "SELECT * FROM built", ("f_videos_raw",))
 def q_stream_pages(spark, sf_dir):
-    """Four landed files of pages: videos, half of the channels, statistics, then stale versions and the other channels.
+    """Four landings of pages: videos, half of the channels, statistics, then stale versions and the other channels.
 
     Statistics land two batches after their videos, and half of the channels three.
     """
@@ -85,13 +91,10 @@ def q_stream_pages(spark, sf_dir):
     search, stats = of("search", pf.search_pages(spark, sf_dir)), of("stats", pf.stats_pages(spark, sf_dir))
     channels = of("channel", pf.channel_pages(spark, sf_dir))
     early = F.col("channel_id").cast("bigint") % 2 == 0
-    land(search.where("landed_at = 2"), folder)
-    land(channels.where(early), folder)
-    land(stats.where("landed_at = 2"), folder)
-    land(search.where("landed_at = 1").unionByName(stats.where("landed_at = 1")).unionByName(channels.where(~early)), folder)
+    landings = (search.where("landed_at = 2"), channels.where(early), stats.where("landed_at = 2"),
+                search.where("landed_at = 1").unionByName(stats.where("landed_at = 1")).unionByName(channels.where(~early)))
     ingest = LandedIngest(spark, scratch_path(spark, "pages_state"), buckets=16)
-    stream = file_stream(spark, folder, "*.parquet", PAGE_SCHEMA, max_files_per_trigger=1)
-    each_batch(stream, ingest.process, scratch_path(spark, "pages_ckpt"))
+    land_and_run(landings, folder, PAGE_SCHEMA, ingest.process, scratch_path(spark, "pages_ckpt"))
     return ingest.videos(pf.niche_map(spark, sf_dir), pf.image_files(spark, sf_dir), AS_OF)
 
 

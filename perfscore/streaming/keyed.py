@@ -14,6 +14,7 @@ does not bring the row back.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,9 @@ from pyspark.sql import functions as F
 from perfscore.sources import folders
 from perfscore.session import materialize
 
+#: Rows that one task merges; a larger bucket is merged by several, each with a slice of its keys.
+ROWS_PER_TASK = 250_000
+
 BATCH = "_batch"
 DELETED = "_deleted"
 
@@ -53,11 +57,19 @@ class KeyedTable:
             return None
         return self.spark.read.option("basePath", f"{self.path}/rows").parquet(*paths).drop("version")
 
+    def _sliced(self, rows: DataFrame, n_rows: int, n_buckets: int) -> DataFrame:
+        """Rows dealt by key over as many tasks as their number asks for; a task meets a few buckets only."""
+        tasks = max(n_buckets, math.ceil(n_rows / ROWS_PER_TASK))
+        per_bucket = math.ceil(2 * tasks / n_buckets)  # finer than tasks, so that tasks come out even
+        sliced = rows.withColumn("_slice", F.pmod(F.xxhash64(F.lit(1), F.col(self.key)), F.lit(per_bucket)).cast("int"))
+        return sliced.repartition(tasks, "bucket", "_slice")
+
     def _newest(self, rows: DataFrame) -> DataFrame:
-        rest = [c for c in rows.columns if c not in (self.key, "bucket", *self.order)]
+        rest = [c for c in rows.columns if c not in (self.key, "bucket", "_slice", *self.order)]
+        lead = [c for c in ("bucket", "_slice") if c in rows.columns]
         version = F.struct(*[F.col(c) for c in self.order])
         best = F.max(F.struct(version.alias("v"), F.struct(*rest).alias("r")))
-        return rows.groupBy("bucket", self.key).agg(best.alias("_best")).select(
+        return rows.groupBy(*lead, self.key).agg(best.alias("_best")).select(
             "bucket", self.key, "_best.v.*", "_best.r.*")
 
     def merge(self, batch: DataFrame, batch_id: int) -> DataFrame | None:
@@ -67,20 +79,22 @@ class KeyedTable:
             batch = batch.withColumn(DELETED, F.lit(False))
         if BATCH not in batch.columns:
             batch = batch.withColumn(BATCH, F.lit(batch_id).cast("long"))
-        new = materialize(self._newest(self._bucket(batch)), "batch")
-        touched = {r.bucket for r in new.select("bucket").distinct().collect()}  # at most all buckets
+        new = materialize(self._bucket(batch), "batch")
+        counts = {r["bucket"]: r["count"] for r in new.groupBy("bucket").count().collect()}  # at most all buckets
+        touched = set(counts)
         if not touched:
             return None
         before = self.manifest(batch_id)
         old = self._stored(before, touched)
-        rows = new if old is None else self._newest(
-            old.unionByName(new, allowMissingColumns=True).repartition(len(touched), "bucket"))
+        n_rows = sum(counts.values()) + (0 if old is None else old.count())
+        rows = new if old is None else old.unionByName(new, allowMissingColumns=True)
+        rows = self._newest(self._sliced(rows, n_rows, len(touched)))
         (rows.write.partitionBy("bucket").mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .parquet(f"{self.path}/rows/version={batch_id}"))
         listed = sorted({**before, **dict.fromkeys(touched, batch_id)}.items())
         (self.spark.createDataFrame(listed, "bucket int, version long").coalesce(1)
          .write.mode("overwrite").json(f"{self.path}/manifest/version={batch_id}"))
-        return new
+        return self._newest(new)
 
     def _visible(self, rows: DataFrame) -> DataFrame:
         return rows.where(~F.col(DELETED)).drop("bucket", DELETED, BATCH)
