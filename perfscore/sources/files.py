@@ -23,6 +23,8 @@ CSV_OPTIONS = {"header": "true", "multiLine": "true", "escape": '"', "quote": '"
                "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
                "nullValue": "\\N"}
 CSV_WRITE_OPTIONS = {**CSV_OPTIONS, "emptyValue": '""'}
+# A file whose fields hold line breaks cannot be split: one task reads it whole, so files end after so many rows.
+CSV_ROWS_PER_FILE = 20_000
 
 
 def read_csv_table(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
@@ -40,7 +42,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
-        w.options(**CSV_WRITE_OPTIONS).csv(target)
+        w.options(**CSV_WRITE_OPTIONS).option("maxRecordsPerFile", CSV_ROWS_PER_FILE).csv(target)
     elif fmt == "json":
         w.json(target)
     else:
