@@ -112,6 +112,6 @@ def with_predictions(rows: DataFrame, models: list[Linear], fold: str, x: Column
     """Add each row's ``prediction`` by its fold's model (a table of one row per fold)."""
     table = rows.sparkSession.createDataFrame(
         [(f, m.intercept, m.weights.tolist()) for f, m in enumerate(models)], f"{fold} long, _b double, _w array<double>")
-    joined = rows.join(table, fold)
+    joined = rows.join(F.broadcast(table), fold)  # a row per fold; by key, each fold's rows would meet in one task
     dot = F.aggregate(F.zip_with(x, F.col("_w"), lambda a, w: a * w), F.col("_b"), lambda s, v: s + v)
     return joined.withColumn("prediction", dot).drop("_b", "_w")
