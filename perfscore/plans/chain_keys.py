@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from perfscore.functions import labels as lb
+from perfscore.functions.scoring import text_length
 from perfscore.operators import stats as st
 from perfscore.operators.scoring import score_table
 from perfscore.plans.common import SQL_SCORE
@@ -12,6 +13,7 @@ from perfscore.plans.fixtures import AS_OF, annotations
 from perfscore.plans.ingest_keys import BUILT_CTE, built_videos
 from perfscore.plans.label_keys import _A, SQL_COLOR, SQL_EXPR_LABEL, SQL_TEXT
 from perfscore.plans.registry import key
+from perfscore.session import materialize
 
 # BUILT_CTE and the annotation CTEs as one list; the video's image is its number modulo the images.
 CHAIN_SQL = f"""{BUILT_CTE.rstrip()}, {_A.removeprefix('WITH ')},
@@ -28,12 +30,17 @@ SELECT CASE WHEN score >= 0 AND score < 5 THEN '0-5' WHEN score >= 5 AND score <
        count(*) AS n, round(avg(z), 6) AS mean_z FROM z WHERE score < 20 GROUP BY 1"""
 
 
+SCORED = ("texte_present", "nb_personnes", "expression", "couleur_dominante")
+
+
 @key("pipeline_bands", CHAIN_SQL, ("f_videos_raw",))
 def q_pipeline_bands(spark, sf_dir):
     """Pages → videos; annotations → labels; joined, scored by rule, normalised by channel, banded."""
     videos = built_videos(spark, sf_dir)
     labels = annotations(spark, sf_dir).select(F.col("video_id").alias("image_id"), *lb.label_columns("label"))
-    n_images = labels.count()
+    n_images = annotations(spark, sf_dir).count()
     image = (F.col("video_id").cast("bigint") % n_images).cast("string")
-    rows = videos.withColumn("image_id", image).join(labels, "image_id")
+    measured = labels.withColumn("text_length", text_length("texte_contenu")).select("image_id", "text_length", *SCORED)
+    rows = videos.select("channel_name", "performance_score", image.alias("image_id")).join(measured, "image_id")
+    rows = materialize(rows.drop("image_id"), "rated")  # pages and annotations are read once for the statistics and the bands
     return st.score_bands(score_table(rows, AS_OF), "thumbnail_score", "perf_norm")
