@@ -275,3 +275,15 @@ def test_promotions_equal_the_plain_rule(spark, block_days):
     got = promote_gate(spark.createDataFrame(runs, "segment string, run_day date, metric double"), block_days=block_days)
     assert "collect_list" not in got._jdf.queryExecution().toString()
     assert sorted(((r.segment, r.run_day, r.metric, r.promoted, r.champion) for r in got.collect()), key=str) == sorted(expected, key=str)
+
+
+def test_a_large_bucket_is_merged_by_several_tasks(spark, monkeypatch):
+    from perfscore.streaming import keyed
+    monkeypatch.setattr(keyed, "ROWS_PER_TASK", 100)
+    table = keyed.KeyedTable(spark, scratch_path(spark, "keyed"), "k", ("at",), buckets=2)
+    for at in (1, 2):
+        table.merge(spark.range(2000).selectExpr("cast(id as string) AS k", f"{at}L AS at", f"id * {at} AS v"), at)
+    rows = table.current()
+    assert len(rows.inputFiles()) > 10  # two before: a task for each bucket
+    got = {r.k: r.v for r in rows.collect()}
+    assert got == {str(i): 2 * i for i in range(2000)} and rows.count() == 2000
