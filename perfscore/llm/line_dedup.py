@@ -30,11 +30,13 @@ empty table; extra columns stay, and columns that clash with the added ones are
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perfscore.llm.common import boxed, let, materialize, split_words, unboxed, whole_text, with_struct
+from perfscore.llm.common import boxed, let, materialize, unboxed, whole_text, with_struct
 
 WILDCARD = "<*>"
 #: Leaves are first looked up by their remainders; so many can be told apart.
@@ -58,40 +60,72 @@ class TemplateTree:
     min_words: int = 4
 
 
+def _tokens(line: Column) -> Column:
+    """The words of a line of ``_lines``, whose only white space is the space (a regex would be compiled for each line)."""
+    return F.array_remove(F.split(line, " "), "")
+
+
+def _has_digit(text: Column) -> Column:
+    return F.rlike(text, F.lit(r"\d"))
+
+
 def masked_tokens(line: Column) -> Column:
-    """Tokens of a line, those with a digit as the wildcard."""
-    return F.when(F.rlike(line, F.lit(r"\d")), F.transform(
-        split_words(line), lambda w: F.when(F.rlike(w, F.lit(r"\d")), F.lit(WILDCARD)).otherwise(w))
-    ).otherwise(split_words(line))
+    """Tokens of a line of ``_lines``, those with a digit as the wildcard."""
+    masked = F.regexp_replace(line, r"(?<![^ ])[^ \d]*+\d[^ ]*+", WILDCARD)
+    return _tokens(F.when(_has_digit(line), masked).otherwise(line))
+
+
+def _lines(docs: DataFrame) -> DataFrame:
+    """Lines of all texts: doc_id, text_key, line_no and line, with spaces for other white space.
+
+    Texts are hashed before their lines are generated: after that it would be once a line.
+    """
+    text = whole_text("text")
+    spaced = F.when(reduce(or_, [F.contains(text, F.lit(c)) for c in "\t\v\f\r"]),
+                    F.regexp_replace(text, r"[\x09\x0B-\x0D]", " ")).otherwise(text)
+    return (docs.select("doc_id", F.xxhash64(text).alias("text_key"), spaced.alias("text"))
+            .select("doc_id", "text_key", F.posexplode(F.split("text", "\n")).alias("line_no", "line")))
+
+
+def _with_tokens(lines: DataFrame, tokens: Column) -> DataFrame:
+    """Lines with words, and their tokens, which are generated, not projected: they are made once a line."""
+    return lines.select("*", F.explode(F.array(tokens)).alias("tokens")).where(F.size("tokens") > 0)
+
+
+def _leaf(tree: TemplateTree, masked: bool) -> Column:
+    """The leaf of a line's ``tokens``; of those that are not masked yet, only the leading ones are looked at."""
+    leading = [F.get("tokens", F.lit(i)) for i in range(tree.leading)]
+    if not masked:
+        leading = [F.when(_has_digit(token), F.lit(WILDCARD)).otherwise(token) for token in leading]
+    return F.xxhash64(F.size("tokens"), *leading)
 
 
-def _lines(docs: DataFrame, tree: TemplateTree) -> DataFrame:
-    """Lines with words: doc_id, text_key, line_no, line, leaf, line_key and exact_key (lines mostly of numbers)."""
-    numbered = docs.select("doc_id", F.xxhash64(whole_text("text")).alias("text_key"),
-                           F.posexplode(F.split(whole_text("text"), "\n")).alias("line_no", "line"))
+def _line_key(tokens: Column) -> Column:
+    """The key of a masked line (its leaf is another hash, of a different seed)."""
+    return F.xxhash64(F.lit("line"), tokens)
 
-    def keys(tokens):
-        path = [F.size(tokens), *[F.get(tokens, F.lit(i)) for i in range(tree.leading)]]
-        words = F.size(F.filter(tokens, lambda w: w != F.lit(WILDCARD)))
-        # a masked line's key is one hash, its leaf another one of a different seed
-        return F.struct(F.size(tokens).alias("n"), F.xxhash64(*path).alias("leaf"),
-                        F.xxhash64(F.lit("line"), tokens).alias("line_key"),
-                        F.when(10 * words < tree.share * F.size(tokens),
-                               F.xxhash64(F.lit("exact"), split_words(F.col("line")))).alias("exact_key"))
 
-    return with_struct(numbered, let(masked_tokens(F.col("line")), keys)).where("n > 0").drop("n")
+def _keyed(docs: DataFrame, tree: TemplateTree) -> DataFrame:
+    """Lines with words: doc_id, text_key, line_no, leaf, line_key and exact_key (lines mostly of numbers)."""
+    line, tokens = F.col("line"), F.col("tokens")
+    words = F.size(F.array_remove(tokens, WILDCARD))
+    numbers = F.array_contains(tokens, WILDCARD) & (10 * words < tree.share * F.size(tokens))
+    return _with_tokens(_lines(docs), masked_tokens(line)).select(
+        "doc_id", "text_key", "line_no", _leaf(tree, masked=True).alias("leaf"), _line_key(tokens).alias("line_key"),
+        F.when(numbers, F.xxhash64(F.lit("exact"), _tokens(line))).alias("exact_key"))
 
 
-def _templates(lines: DataFrame, keyed: DataFrame, tree: TemplateTree) -> DataFrame:
+def _templates(docs: DataFrame, keyed: DataFrame, tree: TemplateTree) -> DataFrame:
     """leaf, line_key -> template, for lines that are an instance of one."""
     several = (keyed.groupBy("leaf").agg(F.min("line_key").alias("lo"), F.max("line_key").alias("hi"))
                .where("lo <> hi").select("leaf"))
-    # lines of other leaves mostly go before the shuffle; the broadcast has at most SLOTS rows
-    slot = F.pmod("leaf", F.lit(SLOTS)).alias("slot")
-    near = lines.select("leaf", "line_key", "line", slot).join(
-        F.broadcast(several.select(slot).distinct()), "slot", "left_semi")
+    # lines of other leaves mostly go before they are masked and shuffled; the broadcast has at most SLOTS rows
+    line, slot = F.col("line"), F.pmod("leaf", F.lit(SLOTS)).alias("slot")
+    near = (_with_tokens(_lines(docs), _tokens(line)).select("line", _leaf(tree, masked=False).alias("leaf")).select("leaf", "line", slot)
+            .join(F.broadcast(several.select(slot).distinct()), "slot", "left_semi")
+            .select("leaf", _line_key(masked_tokens(line)).alias("line_key"), "line"))
     one = (near.join(several, "leaf", "left_semi")
-           .dropDuplicates(["leaf", "line_key"]).withColumn("tokens", masked_tokens(F.col("line"))))
+           .dropDuplicates(["leaf", "line_key"]).withColumn("tokens", masked_tokens(line)))
     inside = (one.select("leaf", "line_key", F.size("tokens").alias("n"), F.posexplode("tokens").alias("place", "token"))
               .where(F.col("token") != WILDCARD)
               .withColumn("token", F.xxhash64("token")))
@@ -119,9 +153,8 @@ def _templates(lines: DataFrame, keyed: DataFrame, tree: TemplateTree) -> DataFr
 def recurring_lines(docs: DataFrame, tree: TemplateTree | None = None) -> DataFrame:
     """doc_id, text_key and ``dropped`` (line numbers from 0) of documents that lose lines."""
     tree = tree or TemplateTree()
-    lines = _lines(docs, tree)
-    keyed = materialize(lines.select("doc_id", "text_key", "line_no", "leaf", "line_key", "exact_key"), "line-keys")
-    known = _templates(lines, keyed, tree)
+    keyed = materialize(_keyed(docs, tree), "line-keys")
+    known = _templates(docs, keyed, tree)
     templated = (keyed.join(known, ["leaf", "line_key"], "left")
                  .withColumn("template", F.coalesce("template", "exact_key", "line_key")).drop("line_key", "exact_key"))
     texts = templated.groupBy("leaf", "template", "text_key").agg(

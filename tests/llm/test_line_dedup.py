@@ -92,6 +92,20 @@ def test_every_recurring_template_is_left_in_one_text(documents, spark):
     assert not homes and len(whole) >= left.count() - (documents.count() - len(whole))
 
 
+def test_lines_are_read_without_functions_of_single_tokens(spark, documents):
+    plan = d._keyed(documents, d.TemplateTree())._jdf.queryExecution().optimizedPlan().toString()
+    text_hash = next(line for line in plan.split("\n") if "AS text_key" in line)
+    assert "lambda" not in plan  # a lambda runs interpreted, token by token
+    assert plan.index("Generate posexplode") < plan.index(text_hash)  # below: a text is hashed once, not once a line
+
+
+def test_odd_white_space_and_wildcards(spark):
+    rows = run(spark, [(1, "Order\t17 was\x0bsent to\x0cParis by plane today.\r\n\t \r\n  <*> 12  a1b\tc"),
+                       (2, "  Order 23\twas sent  to Paris by plane today. \n12 <*>\ta1b c"),
+                       (3, "<*> 12 a1b c\r\nOrder\u00a0 17 was sent to Paris by plane today.")])
+    assert dropped(rows, 1) == [] and dropped(rows, 2) == [0] and dropped(rows, 3) == [0]
+
+
 def test_odd_documents(odd, none):
     rows = d.drop_recurring_lines(odd).collect()
     assert len(rows) == odd.count()
