@@ -45,17 +45,18 @@ def training_features(scored: DataFrame, group: str = "channel_name",
 
 
 def training_input(rows: DataFrame, embeddings: DataFrame | None = None, group: str = "channel_name",
-                   value: str = "performance_score", keep: tuple[str, ...] = ()) -> DataFrame:
-    """``video_id, y``, the 20 features (and ``emb``) of the rows that a model is trained on.
+                   value: str = "performance_score", keep: tuple[str, ...] = (), written: str | None = None) -> DataFrame:
+    """``video_id, y``, the 20 features (and ``emb``) of the rows that a model is trained on, as a table if ``written`` names one.
 
     Rows without an embedding go first; the target (within-group z) and the group mean
     feature are then taken over the rows that are left, in one join with the groups'
     statistics.  Rows without a finite target go last.
     """
     if embeddings is None:
-        return training_rows(rows, None, group, value, keep)
+        narrow = training_rows(rows, None, group, value, keep)
+        return narrow if written is None else materialize(narrow, written)
     keyed = keyed_vectors(embeddings)
-    return attach_vectors(training_rows(rows, keyed, group, value, keep), keyed)
+    return attach_vectors(training_rows(rows, keyed, group, value, keep), keyed, written)
 
 
 @dataclass(frozen=True)
@@ -80,10 +81,16 @@ def keyed_vectors(embeddings: DataFrame) -> KeyedVectors:
     return KeyedVectors(names, found.withColumn("_copy", copy), ["video_id", "_copy"])
 
 
-def attach_vectors(rows: DataFrame, keyed: KeyedVectors) -> DataFrame:
-    """Rows of ``training_rows`` with their vector as ``emb`` (single floats until after the join)."""
-    joined = rows.join(keyed.vectors, keyed.on)
-    return joined.withColumn("emb", array_to_vector("embedding")).drop("embedding", "_copy")
+def attach_vectors(rows: DataFrame, keyed: KeyedVectors, written: str | None = None) -> DataFrame:
+    """Rows of ``training_rows`` with their vector as ``emb``.
+
+    If ``written`` names a table, the rows are written once, with vectors as they came (single floats take
+    half the bytes of ``emb``), which become doubles as they are read.
+    """
+    joined = rows.join(keyed.vectors, keyed.on).drop("_copy")
+    if written is not None:
+        joined = materialize(joined, written)
+    return joined.withColumn("emb", array_to_vector("embedding")).drop("embedding")
 
 
 def training_rows(rows: DataFrame, keyed: KeyedVectors | None = None, group: str = "channel_name",

@@ -106,7 +106,7 @@ def cross_val_predictions(df: DataFrame, kind: str = "ridge", k: int = 5, seed:
     (P22); ``cross_val_predictions_fold_safe`` fits it inside each training split.
     """
     folded = assign_folds(df, "video_id", seed, k)
-    data = materialize(folded if vectors is None else attach_vectors(folded, vectors), "folds")
+    data = materialize(folded, "folds") if vectors is None else attach_vectors(folded, vectors, "folds")
     if kind == "ridge":
         return _ridge_folds(data, k, label, with_embedding, alpha)
     scaler = fit_scaler(data)
@@ -158,7 +158,7 @@ def cross_val_predictions_fold_safe(scored: DataFrame, embeddings: DataFrame | N
     folded = assign_folds(scored, "video_id", seed, k)
     if kind == "ridge":
         return _ridge_folds_safe(materialize(folded, "folds"), value, group, vectors, k, alpha)
-    base = materialize(attach_vectors(folded, vectors) if with_emb else folded, "folds")
+    base = attach_vectors(folded, vectors, "folds") if with_emb else materialize(folded, "folds")
     kept = ("y", "fold", *(("emb",) if with_emb else ()))
     splits = materialize(split_stats(base, value, group, k), "splits")
     overall = _split_means(base, value, k)
@@ -229,7 +229,7 @@ def _ridge_folds_safe(base: DataFrame, value: str, group: str, vectors: KeyedVec
         "_avgs": F.transform(cells, lambda f: F.coalesce(F.col("_means")[f], overall[f])),
         "channel_avg_perf": F.lit(0.0)})
     data = feature_columns(joined, keep=("fold", "_ys", "_avgs", *(vectors.on[1:] if with_emb else ())))
-    data = materialize(attach_vectors(data, vectors) if with_emb else data, "splits")
+    data = attach_vectors(data, vectors, "splits") if with_emb else materialize(data, "splits")
     width, lead = _widths(data, TAB_FEATURES, with_emb)
     at = lead + TAB_FEATURES.index("channel_avg_perf")
     x = tab_array(with_embedding=with_emb)
@@ -304,7 +304,7 @@ def top_quartile_classifier(df: DataFrame, label: str = "label", tab_cols: Seque
     """
     gbt = GBTClassifier(featuresCol="features", labelCol=label, maxIter=max_iter, maxDepth=max_depth, seed=seed)
     data = df.withColumn(label, F.col(label).cast("double")).transform(assign_folds, "video_id", seed, k)
-    data = materialize(data if vectors is None else attach_vectors(data, vectors), "folds")
+    data = materialize(data, "folds") if vectors is None else attach_vectors(data, vectors, "folds")
 
     def fit_fold(f: int) -> DataFrame:
         model = Pipeline(stages=[assembler(tab_cols, with_embedding), gbt]).fit(data.where(F.col("fold") != f))

@@ -44,9 +44,9 @@ def _rows(spark, sf_dir):
         "visage_present", "nb_personnes", "expression", "couleur_dominante", "contraste", "fond", "face_confidence"), "rows")
 
 
-def _training(spark, sf_dir, with_embedding=True, keep=()):
+def _training(spark, sf_dir, with_embedding=True, keep=(), written=None):
     emb = _emb(spark, sf_dir) if with_embedding else None
-    return fe.training_input(_rows(spark, sf_dir), emb, keep=keep)
+    return fe.training_input(_rows(spark, sf_dir), emb, keep=keep, written=written)
 
 
 def _out_of_fold(spark, sf_dir):
@@ -68,7 +68,7 @@ def _input_sql() -> str:
 @key("training_input", _input_sql(), ("f_enriched",))
 def q_training_input(spark, sf_dir):
     """What the models see: rows with an embedding, their target by channel, their scaled features."""
-    data = materialize(_training(spark, sf_dir), "training_input")
+    data = _training(spark, sf_dir, written="training_input")
     scaled = fe.apply_scaler(data, fe.fit_scaler(data))
     return scaled.select("video_id", F.round("y", 6).alias("y"), *[F.round(c, 6).alias(c) for c in TAB_FEATURES])
 
@@ -197,7 +197,7 @@ def q_positive_in_both(spark, sf_dir):
 
 def _final(spark, sf_dir):
     """Training rows and the final ridge model with its bounds, saved and loaded again."""
-    data = materialize(_training(spark, sf_dir, keep=("channel_name", "performance_score")), "training")
+    data = _training(spark, sf_dir, keep=("channel_name", "performance_score"), written="training")
     model = md.fit_final(data, "ridge")
     lo, hi = md.prediction_bounds(model.transform(data))
     path = md.save_model(md.with_bounds(model, lo, hi), md.model_path(spark, "ridge_model"))

@@ -121,3 +121,17 @@ def test_the_rows_are_aggregated_by_group_once(spark):
 
     plan = md.split_stats(assign_folds(fold_data(spark)), "v", "g", 5)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("var_pop") >= 1 and sum("var_pop" in line for line in plan.splitlines()) == 1
+
+
+def test_vectors_are_written_as_they_came(spark):
+    from perfscore.operators.features import attach_vectors, keyed_vectors
+
+    rows = spark.createDataFrame([("a", 1.0), ("b", 2.0), ("c", 3.0)], "video_id string, y double")
+    emb = spark.createDataFrame([("a", [0.5, 0.1]), ("b", [1.5, 0.2]), ("d", [2.5, 0.3])], "video_id string, embedding array<float>")
+    found = attach_vectors(rows, keyed_vectors(emb), "attached")
+    kept = {f.rsplit("/", 1)[0] for f in found.inputFiles()}
+    assert len(kept) == 1 and "attached-" in min(kept)  # read from the table, not joined again
+    assert dict(spark.read.parquet(*kept).dtypes)["embedding"] == "array<float>"
+    assert found.columns == ["video_id", "y", "emb"]
+    want = {"a": [float(np.float32(x)) for x in (0.5, 0.1)], "b": [float(np.float32(x)) for x in (1.5, 0.2)]}
+    assert {r.video_id: list(r.emb) for r in found.collect()} == want
