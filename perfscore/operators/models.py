@@ -31,6 +31,7 @@ from perfscore.operators.features import (KeyedVectors, apply_scaler, assign_fol
 from perfscore.operators.joins import small_side
 from perfscore.session import materialize
 
+TREE_ROW_BYTES = 300        # memory of a row in a tree fit, beside 4 bytes per feature
 RIDGE_ALPHA = 50.0          # fixed value: ridge strength of the weight analysis
 
 
@@ -109,17 +110,16 @@ def cross_val_predictions(df: DataFrame, kind: str = "ridge", k: int = 5, seed:
     data = materialize(folded, "folds") if vectors is None else attach_vectors(folded, vectors, "folds")
     if kind == "ridge":
         return _ridge_folds(data, k, label, with_embedding, alpha)
-    scaler = fit_scaler(data)
+    *inputs, tree = regression_pipeline(kind, 0, 0.0, label, with_embedding=with_embedding, alpha=alpha, seed=seed,
+                                        scaler=fit_scaler(data)).getStages()
+    ready = _assembled(data, inputs, label)
 
     def fit_fold(f: int) -> DataFrame:
-        train = data.where(F.col("fold") != f)
-        n, s = _label_stats(train, label)
-        model = regression_pipeline(kind, n, s, label, with_embedding=with_embedding,
-                                    alpha=alpha, seed=seed, scaler=scaler).fit(train)
-        return model.transform(data.where(F.col("fold") == f)).select(
+        model = tree.fit(ready.where(F.col("fold") != f))
+        return model.transform(ready.where(F.col("fold") == f)).select(
             "video_id", "fold", F.col(label).alias("y"), "prediction")
 
-    return _each_fold(fit_fold, k, parallelism)
+    return _each_fold(fit_fold, k, _fits_at_once(ready, parallelism))
 
 
 def _ridge_folds(data: DataFrame, k: int, label: str, with_embedding: bool, alpha: float) -> DataFrame:
@@ -134,6 +134,31 @@ def _ridge_folds(data: DataFrame, k: int, label: str, with_embedding: bool, alph
     return gram.with_predictions(data, models, "fold", x).select("video_id", "fold", F.col(label).alias("y"), "prediction")
 
 
+def _assembled(data: DataFrame, inputs: list, label: str) -> DataFrame:
+    """``video_id, fold``, the label and ``features``, made once for the fits of all folds and written in one part per core.
+
+    A tree fit goes over its rows some sixty times, and each time waits for its longest task: the parts are equal.
+    """
+    cores = data.sparkSession.sparkContext.defaultParallelism
+    rows = PipelineModel(inputs).transform(data.repartition(cores, "video_id"))
+    return materialize(rows.select("video_id", "fold", label, "features"), "assembled")
+
+
+def _fits_at_once(ready: DataFrame, parallelism: int) -> int:
+    """How many tree fits run together: as many as the executors' storage memory holds, one at least.
+
+    Each fit keeps its binned rows, pseudo-residuals and errors in memory, and what does not fit is read from disk in each of
+    its passes.
+    """
+    status = ready.sparkSession.sparkContext._jsc.sc().getExecutorMemoryStatus().valuesIterator()
+    memory = 0
+    while status.hasNext():
+        memory += status.next()._1()
+    first = ready.select(F.size(vector_to_array("features")).alias("n")).first()
+    held = ready.count() * (TREE_ROW_BYTES + 4 * (first["n"] if first else 0))
+    return max(1, min(parallelism, memory // max(held, 1)))
+
+
 def _each_fold(fit_fold, k: int, parallelism: int) -> DataFrame:
     """The folds' results, fitted from a few driver threads."""
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, k))) as pool:
@@ -306,12 +331,13 @@ def top_quartile_classifier(df: DataFrame, label: str = "label", tab_cols: Seque
     data = df.withColumn(label, F.col(label).cast("double")).transform(assign_folds, "video_id", seed, k)
     data = materialize(data, "folds") if vectors is None else attach_vectors(data, vectors, "folds")
 
+    ready = _assembled(data, [assembler(tab_cols, with_embedding)], label)
+
     def fit_fold(f: int) -> DataFrame:
-        model = Pipeline(stages=[assembler(tab_cols, with_embedding), gbt]).fit(data.where(F.col("fold") != f))
-        scored = model.transform(data.where(F.col("fold") == f))
+        scored = gbt.fit(ready.where(F.col("fold") != f)).transform(ready.where(F.col("fold") == f))
         return scored.select("video_id", label, vector_to_array("probability")[1].alias("probability"))
 
-    scored = materialize(_each_fold(fit_fold, k, parallelism), "out_of_fold")
+    scored = materialize(_each_fold(fit_fold, k, _fits_at_once(ready, parallelism)), "out_of_fold")
     auc = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="probability",
                                         metricName="areaUnderROC").evaluate(scored)
     out = scored.select("video_id", F.col(label).cast("int").alias("label"), "probability",

@@ -135,3 +135,52 @@ def test_vectors_are_written_as_they_came(spark):
     assert found.columns == ["video_id", "y", "emb"]
     want = {"a": [float(np.float32(x)) for x in (0.5, 0.1)], "b": [float(np.float32(x)) for x in (1.5, 0.2)]}
     assert {r.video_id: list(r.emb) for r in found.collect()} == want
+
+
+def test_tree_fits_read_assembled_rows_and_share_the_memory(spark, monkeypatch):
+    import threading
+    import time
+
+    from pyspark.ml.regression import GBTRegressor
+
+    data = materialize(fold_data(spark).withColumnRenamed("v", "y").withColumn("channel_avg_perf", F.lit(0.5)).drop("g"), "rows")
+    fit, lock, running, most, read = GBTRegressor.fit, threading.Lock(), [], [], []
+
+    def watched(self, train, params=None):
+        with lock:
+            running.append(1)
+            most.append(len(running))
+            read.append((train.columns, {f.rsplit("/", 2)[1].split("-")[0] for f in train.inputFiles()}))
+        try:
+            time.sleep(0.5)
+            return fit(self, train, params)
+        finally:
+            with lock:
+                running.pop()
+
+    monkeypatch.setattr(GBTRegressor, "fit", watched)
+    found = {}
+    for held, wanted in ((md.TREE_ROW_BYTES, 5), (1 << 50, 1)):  # rows that fit the memory, and rows that exceed it
+        monkeypatch.setattr(md, "TREE_ROW_BYTES", held)
+        most.clear()
+        found[wanted] = {r.video_id: r for r in md.cross_val_predictions(data, "gbt", with_embedding=False).collect()}
+        assert max(most) == wanted
+    assert all(r == (["video_id", "fold", "y", "features"], {"assembled"}) for r in read) and len(read) == 10
+    one, scaler = found[1], fit_scaler(data)
+
+    def alike(a, b):  # splits of equal gain are chosen by the rounding of sums, whose order varies
+        return np.isclose(a, b, rtol=1e-6).mean() > 0.9
+
+    assert len(one) == data.count() and alike([r.prediction for r in one.values()], [found[5][v].prediction for v in one])
+    fold = spark.createDataFrame([(v, r.fold) for v, r in one.items()], "video_id string, fold long")
+    rows = data.join(fold, "video_id")
+    for f in (0, 3):
+        plain = md.regression_pipeline("gbt", 0, 0.0, with_embedding=False, scaler=scaler).fit(rows.where(F.col("fold") != f))
+        want = {r.video_id: r.prediction for r in plain.transform(rows.where(F.col("fold") == f)).collect()}
+        assert alike([one[v].prediction for v in want], list(want.values()))
+
+
+def test_the_classifier_reads_assembled_rows_too(spark):
+    data = fold_data(spark).withColumns({"label": (F.col("v") > 2.5).cast("int"), "channel_avg_perf": F.lit(0.5)}).drop("g", "v")
+    out, auc = md.top_quartile_classifier(data, with_embedding=False, k=2, max_iter=2)
+    assert out.columns == ["video_id", "label", "probability", "score_20"] and out.count() == data.count() and 0 <= auc <= 1
