@@ -20,11 +20,14 @@ EMB_DIM = 64    # width of the driver's embedding table
 
 @key("csv_roundtrip", "SELECT * FROM f_enriched", E)
 def q_csv_roundtrip(spark, sf_dir):
-    """Write the enriched table as CSV (snapshot folder), read it back typed."""
+    """Write the enriched table as CSV (snapshot folder), read it back typed.
+
+    Each video's row carries its whole text, so the files are compressed.
+    """
     df = enriched(spark, sf_dir)
     base = scratch_path(spark, "enriched_csv")
-    fl.write_table(df, base, fmt="csv", snapshot="20010802T000000")
-    fl.write_table(df.limit(0), base, fmt="csv", snapshot="20010801T000000")
+    fl.write_table(df, base, fmt="csv", snapshot="20010802T000000", compression="gzip")
+    fl.write_table(df.limit(0), base, fmt="csv", snapshot="20010801T000000", compression="gzip")
     return fl.read_latest_snapshot(spark, base, fmt="csv", schema=df.schema)
 
 

@@ -25,6 +25,8 @@ CSV_OPTIONS = {"header": "true", "multiLine": "true", "escape": '"', "quote": '"
 CSV_WRITE_OPTIONS = {**CSV_OPTIONS, "emptyValue": '""'}
 # A file whose fields hold line breaks cannot be split: one task reads it whole, so files end after so many rows.
 CSV_ROWS_PER_FILE = 20_000
+# Level of gzip: the fastest leaves about a tenth more bytes of mixed texts than the usual one, in a third of the time.
+GZIP_LEVEL = {"zlib.compress.level": "BEST_SPEED"}
 
 
 def read_csv_table(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
@@ -34,11 +36,18 @@ def read_csv_table(spark: SparkSession, path: str, schema: T.StructType | str) -
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
-                snapshot: str | None = None, partition_by: list[str] | None = None) -> str:
+                snapshot: str | None = None, partition_by: list[str] | None = None,
+                compression: str | None = None) -> str:
     """Write a table (no index column).  With ``snapshot`` the rows go to
-    ``path/snapshot=<ts>`` so earlier runs stay readable side by side."""
+    ``path/snapshot=<ts>`` so earlier runs stay readable side by side.
+
+    ``compression`` names a codec of the format (``gzip``); Spark's readers know it by the
+    files' names, so compressed and plain snapshots can lie side by side.
+    """
     target = os.path.join(path, f"snapshot={snapshot}") if snapshot else path
     w = df.write.mode(mode)
+    if compression:
+        w = w.options(**GZIP_LEVEL).option("compression", compression)
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":

@@ -119,3 +119,46 @@ def test_csv_files_end_after_so_many_rows(spark, tmp_path, monkeypatch):
     assert len(list((tmp_path / "snapshot=1").glob("*.csv"))) == 10
     back = fl.read_csv_table(spark, at, "t string")
     assert sorted(r.t for r in back.collect()) == sorted(r.t for r in df.collect())
+
+
+def test_csv_roundtrip_writes_texts_compressed(spark, tmp_path):
+    import datetime as dt
+    import os
+    import random
+    from decimal import Decimal
+
+    from perfscore.plans import QUERIES, load_all
+    from perfscore.plans.common import enriched
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(3000)]
+    odd = ["", None, "NA", 'He said "hi",\nand\r\nleft ', " blanks ", "Élevé, été"]
+    texts = [odd[i // 2 % 8] if i // 2 % 8 < 6 else " ".join(rng.choices(words, k=2000)) for i in range(160)]
+    spark.createDataFrame([(i, t, "fr", "web") for i, t in enumerate(texts)],
+                          "doc_id long, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, "Channel", Decimal("12.50"), "BUILDING"), (2, None, Decimal("-3.00"), None)],
+                          "c_custkey long, c_name string, c_acctbal decimal(15,2), c_mktsegment string") \
+        .write.parquet(str(tmp_path / "customer.parquet"))
+    spark.createDataFrame([(i, 1 + i % 2, "O", Decimal("99.90"), dt.datetime(2000, 1, 1), "1-URGENT") for i in range(160)],
+                          "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice decimal(15,2), o_orderdate timestamp, "
+                          "o_orderpriority string").write.parquet(str(tmp_path / "orders.parquet"))
+    load_all()
+    back, rows = QUERIES["csv_roundtrip"](spark, str(tmp_path)), enriched(spark, str(tmp_path))
+    files = [f.removeprefix("file://") for f in back.inputFiles()]
+    assert files and all(f.endswith(".csv.gz") for f in files)
+    held = sum(len((r.texte_contenu or "").encode()) for r in rows.select("texte_contenu").collect())
+    assert held > 100_000 and sum(map(os.path.getsize, files)) < held * 0.6
+    plain = lambda df: sorted(map(repr, df.collect()))
+    assert back.dtypes == rows.dtypes and rows.count() == 128
+    assert plain(back) == plain(rows)
+
+
+def test_compressed_csv_files_end_after_so_many_rows(spark, tmp_path, monkeypatch):
+    from perfscore.sources import files as fl
+    monkeypatch.setattr(fl, "CSV_ROWS_PER_FILE", 10)
+    df = spark.range(95).coalesce(1).select(F.concat(F.lit("line\nbreak "), F.col("id").cast("string")).alias("t"))
+    fl.write_table(df.limit(3), str(tmp_path), fmt="csv", snapshot="1")
+    fl.write_table(df, str(tmp_path), fmt="csv", snapshot="2", compression="gzip")
+    assert len(list((tmp_path / "snapshot=2").glob("*.csv.gz"))) == 10
+    assert fl.read_csv_table(spark, str(tmp_path / "snapshot=1"), "t string").count() == 3
+    back = fl.read_latest_snapshot(spark, str(tmp_path), fmt="csv", schema="t string")
+    assert sorted(r.t for r in back.collect()) == sorted(r.t for r in df.collect())
