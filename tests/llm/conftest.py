@@ -8,6 +8,13 @@ def documents(spark):
     return spark.read.parquet(f"{SF_SMALL}/documents.parquet").cache()
 
 
+@pytest.fixture(scope="module", autouse=True)
+def released(spark):
+    """What a module's tests have cached ends with it: other tests assert that the shared session holds nothing."""
+    yield
+    spark.catalog.clearCache()
+
+
 @pytest.fixture(scope="session")
 def odd(spark):
     """Documents with nulls, empty and very long texts, ties, repeated rows and clashing extra columns."""
